@@ -18,13 +18,21 @@ WHITESPACE = (
 MONEY_TYPE = "decimal(32,12)"
 
 
+def trim(text: Column) -> Column:
+    """Strip surrounding whitespace, Unicode included.
+
+    Most texts begin and end with a visible ASCII character, which two comparisons tell; only the others
+    are searched.
+    """
+    last = F.substring(text, -1, 1)
+    clean = (text >= "!") & (text < "\x7f") & (last >= "!") & (last < "\x7f")
+    return F.when(clean, text).otherwise(F.btrim(text, F.lit(WHITESPACE)))
+
+
 def trim_all(df: DataFrame) -> DataFrame:
-    """Strip surrounding whitespace, Unicode included, from every string column."""
+    """``trim`` on every string column."""
     return df.select(
-        *[
-            F.btrim(F.col(name), F.lit(WHITESPACE)).alias(name) if kind == "string" else F.col(name)
-            for name, kind in df.dtypes
-        ]
+        *[trim(F.col(name)).alias(name) if kind == "string" else F.col(name) for name, kind in df.dtypes]
     )
 
 
@@ -55,14 +63,20 @@ def dollars(cents: Column) -> Column:
 
 
 def parse_capped(
-    text: Column, sentinel: str = "120+", cap: int = 120, lo: int = 1, hi: int = 119
+    text: Column,
+    sentinel: str = "120+",
+    cap: int = 120,
+    lo: int = 1,
+    hi: int = 119,
+    number: Column | None = None,
 ) -> dict[str, Column]:
     """Split a capped numeric text into ``censored`` (0/1), ``exact`` and ``lower_bound``.
 
-    ``exact`` is NULL for the sentinel and for anything outside ``lo``..``hi``.
+    ``exact`` is NULL for the sentinel and for anything outside ``lo``..``hi``.  ``number`` is the text as a
+    whole number where the caller has it already.
     """
+    number = to_int(text) if number is None else number
     is_capped = F.coalesce(text == sentinel, F.lit(False))
-    number = to_int(text)
     exact = F.when(~is_capped & number.between(lo, hi), number)
     return {
         "censored": is_capped.cast("int"),

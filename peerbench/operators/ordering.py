@@ -8,7 +8,7 @@ aggregate first where it is not.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,22 +19,38 @@ from peerbench.session import stored
 _PLACE_MASK = (1 << 33) - 1
 
 
-def _ranged(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+def _ranged(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     keys = [F.col(c) for c in by] + list(order)
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return stored(
-        ranged.select(
-            "*",
+    placed = (
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .select(
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_MASK)).alias("_place"),
-        ),
-        name,
+            "*",
+        )
     )
+    return stored(finish(placed) if finish else placed, name)
+
 
+def row_key(
+    df: DataFrame,
+    order: Sequence[Column],
+    name: str,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Add ``name``: 1..n in the given order, dense over the whole table.
 
-def row_key(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Add ``name``: 1..n in the given order, dense over the whole table."""
-    placed = _ranged(df, [], order, f"ordered-{name}")
+    Choosing the ranges reads ``df`` an extra time.  ``finish`` is a row-by-row projection (keeping the
+    columns ``_part`` and ``_place``) that is better done once, on the ordered rows.
+    """
+    placed = _ranged(df, [], order, f"ordered-{name}", finish)
     # One row per partition, so this window and the broadcast below are bounded by the partition count.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -43,7 +59,8 @@ def row_key(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
     return placed.join(F.broadcast(starts), "_part").select(
-        (F.col("_start") + F.col("_place") + 1).alias(name), *df.columns
+        (F.col("_start") + F.col("_place") + 1).alias(name),
+        *[c for c in placed.columns if c not in ("_part", "_place")],
     )
 
 

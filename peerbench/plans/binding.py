@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
@@ -39,17 +39,17 @@ def raw_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
     costs = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     charges = F.round(F.col("l_extendedprice") * (F.col("l_tax") + 1) * 100).cast("bigint")
     return rows.select(
-        F.format_string(
-            "%09d-%09d-%06d-%d-%d",
-            "l_orderkey",
-            "l_partkey",
-            "l_suppkey",
-            "l_linenumber",
-            F.col("l_quantity").cast("bigint"),
+        F.concat_ws(
+            "-",
+            _padded("l_orderkey", 9),
+            _padded("l_partkey", 9),
+            _padded("l_suppkey", 6),
+            F.col("l_linenumber").cast("string"),
+            F.col("l_quantity").cast("bigint").cast("string"),
         ).alias("source_row_id"),
         F.col("n_name").alias("health_service_area"),
         F.col("r_name").alias("hospital_county"),
-        F.format_string("%06d", "s_suppkey").alias("permanent_facility_id"),
+        _padded("s_suppkey", 6).alias("permanent_facility_id"),
         F.col("s_name").alias("facility_name"),
         F.col("c_mktsegment").alias("age_group"),
         F.when(days >= 120, "120+").otherwise(days.cast("string")).alias("length_of_stay"),
@@ -68,7 +68,13 @@ def raw_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _money_text(cents):
+def _padded(key: str, width: int) -> Column:
+    """Key with leading zeros up to ``width`` digits; longer keys keep all their digits."""
+    text = F.col(key).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
+def _money_text(cents: Column) -> Column:
     return F.concat(
         F.call_function("div", cents, F.lit(100)).cast("string"),
         F.lit("."),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerbench.functions.text import band, parse_capped, short_label, to_cents, to_int, trim_all
+from peerbench.functions.text import band, parse_capped, short_label, to_cents, to_int
 from peerbench.operators.benchmark import assign_expected, leave_one_out
 from peerbench.operators.ordering import row_key
 from peerbench.plans.layout import (
@@ -19,14 +19,15 @@ from peerbench.plans.layout import (
 )
 
 
-def clean_fields(raw: DataFrame) -> DataFrame:
-    """The typed fields of a raw extract, without the row key.
+def clean_fields(raw: DataFrame, *kept: str) -> DataFrame:
+    """The typed fields of a trimmed extract, without the row key but with the ``kept`` columns.
 
     One row per source row: repeated rows stay, and so do rows with an unknown stay.
     """
-    raw = trim_all(raw.select(*RAW_FIELDS))
-    stay = parse_capped(F.col("length_of_stay"))
+    raw = raw.select(*kept, *RAW_FIELDS, to_int(F.col("length_of_stay")).alias("_stay"))
+    stay = parse_capped(F.col("length_of_stay"), number=F.col("_stay"))
     return raw.select(
+        *kept,
         F.col("source_row_id").alias("SourceRowId"),
         F.col("permanent_facility_id").alias("HospitalKey"),
         F.col("facility_name").alias("HospitalName"),
@@ -52,8 +53,13 @@ def clean_fields(raw: DataFrame) -> DataFrame:
 
 
 def clean_records(raw: DataFrame) -> DataFrame:
-    """Typed records with ``DischargeKey``, 1..n in the order of the source id."""
-    return row_key(clean_fields(raw), [F.col("SourceRowId")], "DischargeKey")
+    """Typed records with ``DischargeKey``, 1..n in the order of the source id, from a trimmed extract."""
+    return row_key(
+        raw.select(*RAW_FIELDS),
+        [F.col("source_row_id")],
+        "DischargeKey",
+        lambda ordered: clean_fields(ordered, "_part", "_place"),
+    )
 
 
 def benchmark_table(clean: DataFrame, domain: Domain, min_peers: int | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerbench.functions.text import half_even_cents, to_cents, to_int
+from peerbench.functions.text import half_even_cents, to_cents, to_int, trim_all
 from peerbench.operators.compare import compare_values
 from peerbench.operators.ordering import row_key
 from peerbench.operators.selections import long_form, selection_metrics
@@ -64,7 +64,7 @@ def csv_roundtrip(lake: Lake) -> DataFrame:
     """The raw extract written as CSV, read back as text and cleaned again, summed per condition."""
     path = fresh_path(lake.spark, "extract")
     write_csv(lake.raw, path)
-    again = clean_fields(read_text_table(lake.spark, path, RAW_FIELDS))
+    again = clean_fields(trim_all(read_text_table(lake.spark, path, RAW_FIELDS)))
     return again.groupBy("ConditionKey").agg(
         F.count(F.lit(1)).alias("Discharges"),
         F.count("ExactLOS").alias("ExactLOSDischarges"),

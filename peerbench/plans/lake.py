@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerbench.functions.text import trim_all
 from peerbench.operators.benchmark import entity_summary
 from peerbench.operators.star import Star, dimension
 from peerbench.plans.binding import raw_stays, table_paths
@@ -46,8 +47,8 @@ class Lake:
 
     @cached_property
     def raw(self) -> DataFrame:
-        """The all-text extract."""
-        return stored(self.source, "raw")
+        """The all-text extract, surrounding whitespace removed."""
+        return stored(trim_all(self.source), "raw")
 
     @cached_property
     def clean(self) -> DataFrame:
