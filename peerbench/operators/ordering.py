@@ -19,17 +19,20 @@ from peerbench.session import stored
 _PLACE_MASK = (1 << 33) - 1
 
 
-def _ranged(
+def place_rows(
     df: DataFrame,
-    by: Sequence[str],
     order: Sequence[Column],
     name: str,
     finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    keys = [F.col(c) for c in by] + list(order)
+    """Write the rows of ``df`` in order, with the number of their range and their place in it.
+
+    Choosing the ranges reads ``df`` an extra time.  ``finish`` is a row-by-row projection (keeping the
+    columns ``_part`` and ``_place``) that is better done once, on the ordered rows.
+    """
     placed = (
-        df.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .select(
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_MASK)).alias("_place"),
@@ -39,19 +42,9 @@ def _ranged(
     return stored(finish(placed) if finish else placed, name)
 
 
-def row_key(
-    df: DataFrame,
-    order: Sequence[Column],
-    name: str,
-    finish: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
-    """Add ``name``: 1..n in the given order, dense over the whole table.
-
-    Choosing the ranges reads ``df`` an extra time.  ``finish`` is a row-by-row projection (keeping the
-    columns ``_part`` and ``_place``) that is better done once, on the ordered rows.
-    """
-    placed = _ranged(df, [], order, f"ordered-{name}", finish)
-    # One row per partition, so this window and the broadcast below are bounded by the partition count.
+def number_rows(placed: DataFrame, name: str) -> DataFrame:
+    """Rows written by ``place_rows`` with ``name``: 1..n over the whole table."""
+    # One row per range, so this window and the broadcast below are bounded by the number of ranges.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy("_part")
@@ -64,6 +57,11 @@ def row_key(
     )
 
 
+def row_key(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Add ``name``: 1..n in the given order, dense over the whole table."""
+    return number_rows(place_rows(df, order, f"ordered-{name}"), name)
+
+
 def running(
     df: DataFrame,
     by: Sequence[str],
@@ -73,7 +71,7 @@ def running(
     prefix: str = "cum_",
 ) -> DataFrame:
     """Add the 1-based position within ``by`` and a running total of every column in ``sums``."""
-    placed = _ranged(df, by, order, "running")
+    placed = place_rows(df, [*[F.col(c) for c in by], *order], "running")
     totals = [F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{c}") for c in sums]]
     parts = placed.groupBy("_part", *by).agg(*totals)
     before = (

@@ -25,7 +25,10 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     The fact is reduced to one row per key before it meets the dimension.
     """
     keys = fact.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return keys.join(dim.select(key), keys[key].eqNullSafe(dim[key]), "left_anti")
+    # An outer join rather than an anti join, which the optimizer would push below the aggregation.
+    known = dim.select(F.col(key).alias("_key"), F.lit(True).alias("_known"))
+    joined = keys.join(known, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.filter(F.col("_known").isNull()).select(key, "rows")
 
 
 @dataclass(frozen=True)

@@ -86,7 +86,7 @@ def by_disposition(lake: Lake) -> DataFrame:
 
 def sensitivity_index(lake: Lake) -> DataFrame:
     """Index without deaths and long stays, peers rebuilt, beside the primary index."""
-    base = lake.clean.filter(lake.domain.sensitivity_base())
+    base = lake.records.filter(lake.domain.sensitivity_base())
     rebuilt = sensitivity(
         base, lake.summary(), ENTITY, STRATA, "ExactLOS", lake.domain.min_matched
     )

@@ -128,7 +128,7 @@ def record_checks(lake: Lake) -> DataFrame:
 def key_checks(lake: Lake) -> DataFrame:
     """Unique keys and fact keys without a dimension row."""
     parts = [
-        none_of(duplicate_keys(lake.clean, ["SourceRowId"]), "source id is unique"),
+        none_of(duplicate_keys(lake.records, ["SourceRowId"]), "source id is unique"),
         none_of(duplicate_keys(lake.model, ["DischargeKey"]), "discharge key is unique"),
     ]
     for table, key in RELATIONSHIPS.items():

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from peerbench.functions.text import band, parse_capped, short_label, to_cents, to_int
 from peerbench.operators.benchmark import assign_expected, leave_one_out
-from peerbench.operators.ordering import row_key
+from peerbench.operators.ordering import number_rows, place_rows
 from peerbench.plans.layout import (
     BAND_EDGES,
     ENTITY,
@@ -52,16 +52,21 @@ def clean_fields(raw: DataFrame, *kept: str) -> DataFrame:
     )
 
 
-def clean_records(raw: DataFrame) -> DataFrame:
-    """Typed records with ``DischargeKey``, 1..n in the order of the source id, from a trimmed extract."""
-    return row_key(
+def place_records(raw: DataFrame) -> DataFrame:
+    """Typed records of a trimmed extract, written in the order of the source id."""
+    return place_rows(
         raw.select(*RAW_FIELDS),
         [F.col("source_row_id")],
-        "DischargeKey",
+        "records",
         lambda ordered: clean_fields(ordered, "_part", "_place"),
     )
 
 
+def clean_records(placed: DataFrame) -> DataFrame:
+    """Typed records with ``DischargeKey``, 1..n in the order of the source id."""
+    return number_rows(placed, "DischargeKey")
+
+
 def benchmark_table(clean: DataFrame, domain: Domain, min_peers: int | None = None) -> DataFrame:
     """Peers and expected stay per hospital and stratum of the comparable records."""
     return leave_one_out(

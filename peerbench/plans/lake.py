@@ -22,6 +22,7 @@ from peerbench.plans.clean import (
     condition_label,
     fact_table,
     model_records,
+    place_records,
 )
 from peerbench.plans.layout import (
     ENTITY_FIELDS,
@@ -50,14 +51,19 @@ class Lake:
         """The all-text extract, surrounding whitespace removed."""
         return stored(trim_all(self.source), "raw")
 
+    @cached_property
+    def records(self) -> DataFrame:
+        """Typed records without their key, for whatever does not need it."""
+        return place_records(self.raw)
+
     @cached_property
     def clean(self) -> DataFrame:
-        # Already written by the ordering step; reading it adds one small broadcast of range starts.
-        return clean_records(self.raw)
+        """Typed records with their key, which takes one small broadcast of range starts."""
+        return clean_records(self.records)
 
     @cached_property
     def benchmark(self) -> DataFrame:
-        return stored(benchmark_table(self.clean, self.domain), "benchmark")
+        return stored(benchmark_table(self.records, self.domain), "benchmark")
 
     @cached_property
     def model(self) -> DataFrame:

@@ -115,7 +115,7 @@ def stay_model(lake: Lake) -> DataFrame:
 
 @query
 def entity_stratum(lake: Lake) -> DataFrame:
-    return bm.entity_strata(lake.clean.filter(lake.domain.comparable()), ENTITY, STRATA, "ExactLOS")
+    return bm.entity_strata(lake.records.filter(lake.domain.comparable()), ENTITY, STRATA, "ExactLOS")
 
 
 @query
@@ -125,17 +125,17 @@ def cohort_stratum(lake: Lake) -> DataFrame:
 
 @query
 def leave_one_out(lake: Lake) -> DataFrame:
-    return benchmark_table(lake.clean, lake.domain)
+    return benchmark_table(lake.records, lake.domain)
 
 
 @query
 def leave_one_out_350(lake: Lake) -> DataFrame:
-    return benchmark_table(lake.clean, lake.domain, min_peers=350)
+    return benchmark_table(lake.records, lake.domain, min_peers=350)
 
 
 @query
 def leave_one_out_direct(lake: Lake) -> DataFrame:
-    records = lake.clean.filter(lake.domain.comparable())
+    records = lake.records.filter(lake.domain.comparable())
     return bm.leave_one_out_from_records(records, ENTITY, STRATA, "ExactLOS")
 
 
