@@ -36,15 +36,20 @@ def fixed(value: Column, decimals: int) -> Column:
     return F.when(value.isNotNull(), F.format_string(f"%.{decimals}f", value.cast("double")))
 
 
+def _grouped(number: Column, decimals: int) -> Column:
+    """Text with thousands separators, rounded half away from zero."""
+    return F.format_number(F.round(number, decimals), decimals)
+
+
 def display(value: Column, style: str) -> Column:
     """Display text for one of the formats that the measure catalogue names."""
     number = value.cast("double")
     if style == "#,##0":
-        text = F.format_number(number, 0)
+        text = _grouped(number, 0)
     elif style == "#,##0.0":
-        text = F.format_number(number, 1)
+        text = _grouped(number, 1)
     elif style == "$#,##0":
-        text = F.concat(F.lit("$"), F.format_number(number, 0))
+        text = F.concat(F.lit("$"), _grouped(number, 0))
     elif style == "0.0":
         text = fixed(number, 1)
     elif style == "0.00":
@@ -56,7 +61,7 @@ def display(value: Column, style: str) -> Column:
     elif style == '0.00"x"':
         text = F.concat(fixed(number, 2), F.lit("x"))
     elif style == "+#,##0.0;-#,##0.0;0.0":
-        magnitude = F.format_number(F.abs(number), 1)
+        magnitude = _grouped(F.abs(number), 1)
         text = (
             F.when(number > 0, F.concat(F.lit("+"), magnitude))
             .when(number < 0, F.concat(F.lit("-"), magnitude))

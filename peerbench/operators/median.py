@@ -9,7 +9,7 @@ Every pass is one column-pruned scan whose shuffle holds at most ``2**BITS`` cou
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,16 +20,33 @@ from peerbench.session import stored
 BITS = 12
 
 
-def narrowed_median(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Columns ``by``, ``low`` and ``high``: the two middle values, equal for odd counts."""
+def narrowed_median(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    expand: Callable[[DataFrame], DataFrame] | None = None,
+    keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """Key columns, ``low`` and ``high``: the two middle values, equal for odd counts.
+
+    For subtotals, ``expand`` turns counts per ``by`` into rows per ``keys``, one for every subtotal that
+    they belong to; it sees counts, never the records.
+    """
+    keys = list(by if keys is None else keys)
     rows = df.select(*by, F.col(value).cast("bigint").alias("_v")).filter(F.col("_v").isNotNull())
     bounds = rows.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).first()
     base, top = (0, 0) if bounds["lo"] is None else (bounds["lo"], bounds["hi"])
     rows = rows.select(*by, (F.col("_v") - F.lit(base)).alias("_v"))
 
+    def counted(buckets: DataFrame) -> DataFrame:
+        counts = buckets.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+        if expand:
+            counts = expand(counts).groupBy(*keys, "_b").agg(F.sum("_n").alias("_n"))
+        return counts
+
     shift = max(0, (top - base).bit_length() - BITS)
-    counts = rows.groupBy(*by, F.shiftright("_v", shift).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n").over(Window.partitionBy(*by))
+    counts = counted(rows.select(*by, F.shiftright("_v", shift).alias("_b")))
+    total = F.sum("_n").over(Window.partitionBy(*keys))
     targets = F.explode(
         F.array(
             F.struct(F.lit("low").alias("_side"), F.expr("(_total + 1) div 2").alias("_rank")),
@@ -37,25 +54,22 @@ def narrowed_median(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
         )
     )
     wanted = _buckets(
-        counts.withColumn("_total", total).select("*", targets.alias("_t")).select("*", "_t.*"), by
+        counts.withColumn("_total", total).select("*", targets.alias("_t")).select("*", "_t.*"), keys
     )
+    # Subtotals share their records, so then a bucket is kept for all groups when one of them wants it.
+    match = list(by) if expand is None else []
     while shift > 0:
         wanted = stored(wanted, "median-buckets")
         step = min(BITS, shift)
         shift -= step
-        inside = wanted.select(*by, F.col("_b").alias("_outer")).distinct()
+        inside = wanted.select(*match, F.col("_b").alias("_outer")).distinct()
         keyed = rows.select(*by, F.shiftright("_v", shift).alias("_b"))
-        counts = (
-            _join(keyed, inside, by, F.shiftright("_b", step) == F.col("r._outer"), "left_semi")
-            .groupBy(*by, "_b")
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
-        ranked = wanted.select(*by, F.col("_b").alias("_outer"), "_side", "_rank")
-        wanted = _buckets(
-            _join(counts, ranked, by, F.shiftright("_b", step) == F.col("r._outer"), "inner"), by
-        )
+        in_bucket = F.shiftright("_b", step) == F.col("r._outer")
+        counts = counted(_join(keyed, inside, match, in_bucket, "left_semi"))
+        ranked = wanted.select(*keys, F.col("_b").alias("_outer"), "_side", "_rank")
+        wanted = _buckets(_join(counts, ranked, keys, in_bucket, "inner"), keys)
     side = {s: F.max(F.when(F.col("_side") == s, F.col("_b") + F.lit(base))) for s in ("low", "high")}
-    return wanted.groupBy(*by).agg(side["low"].alias("low"), side["high"].alias("high"))
+    return wanted.groupBy(*keys).agg(side["low"].alias("low"), side["high"].alias("high"))
 
 
 def _buckets(counts: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerbench.functions.numbers import within
+from peerbench.functions.numbers import ratio, within
 from peerbench.functions.text import to_cents, valid_capped
 from peerbench.operators.benchmark import leave_one_out_from_records
-from peerbench.operators.compare import differing_rows, outside_domain
+from peerbench.operators.compare import differing_rows, outside_domain, unused_domain
 from peerbench.operators.ordering import every_kth
 from peerbench.operators.star import duplicate_keys, orphans
 from peerbench.plans.clean import clean_fields, stay_band
@@ -139,7 +139,10 @@ def key_checks(lake: Lake) -> DataFrame:
 
 
 def domain_checks(lake: Lake) -> DataFrame:
-    """Values that the domain does not list."""
+    """Values that the domain does not list, and listed values that do not occur.
+
+    Ages may be missing; conditions, years and areas must be exactly those listed.
+    """
     domain = lake.domain
     listed = {"age_group": domain.age_groups, "apr_drg_code": tuple(domain.condition_labels)}
     if domain.years:
@@ -150,6 +153,11 @@ def domain_checks(lake: Lake) -> DataFrame:
         none_of(outside_domain(lake.raw, column, values), f"{column} is within its domain")
         for column, values in listed.items()
     ]
+    parts += [
+        none_of(unused_domain(lake.raw, column, values), f"{column} uses all of its domain")
+        for column, values in listed.items()
+        if column != "age_group"
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -220,12 +228,17 @@ def peer_spot_check(lake: Lake) -> DataFrame:
     sample = every_kth(strata, [F.col(k) for k in keys])
     focal = sample.select(F.col(ENTITY).alias("_focal"), *STRATA, "ExpectedLOS")
     # The sample has fewer than 50 rows by construction, so a record meets at most that many.
-    records = lake.model.filter(F.col("ExactLOS").isNotNull()).select(ENTITY, *STRATA, "ExactLOS")
-    peers = records.join(F.broadcast(focal), list(STRATA))
-    direct = (
-        peers.filter(F.col(ENTITY) != F.col("_focal"))
-        .groupBy(F.col("_focal").alias(ENTITY), *STRATA, "ExpectedLOS")
-        .agg(F.count(F.lit(1)).alias("PeerRecords"), F.avg("ExactLOS").alias("PeerMean"))
+    # Equal stays are counted once per hospital and stratum; the sample then meets these counts only.
+    stays = (
+        lake.model.filter(F.col("ExactLOS").isNotNull())
+        .groupBy(*keys, "ExactLOS")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    # The sample has fewer than 50 rows by construction.
+    peers = stays.join(F.broadcast(focal), list(STRATA)).filter(F.col(ENTITY) != F.col("_focal"))
+    days = F.sum(F.col("_n") * F.col("ExactLOS"))
+    direct = peers.groupBy(F.col("_focal").alias(ENTITY), *STRATA, "ExpectedLOS").agg(
+        F.sum("_n").alias("PeerRecords"), ratio(days, F.sum("_n")).alias("PeerMean")
     )
     return direct.withColumn(
         "passed", within(F.col("PeerMean"), F.col("ExpectedLOS"), PEER_TOLERANCE)

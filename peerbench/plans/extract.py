@@ -113,7 +113,7 @@ def expected_compare(lake: Lake, tolerance: float = 1e-6) -> DataFrame:
 
 
 def snapshot_manifest(lake: Lake, path: str) -> DataFrame:
-    """path, bytes, sha256 and total rows of a written extract, with the time of reading."""
+    """path, bytes, sha256 of the files of an extract, its total rows and the time of reading."""
     files = relative_to(file_digests(lake.spark, path), path)
     rows = lake.raw.agg(F.count(F.lit(1))).scalar()
     return files.select("*", rows.alias("row_count"), F.current_timestamp().alias("retrieved_at"))
@@ -123,8 +123,9 @@ def manifest_check(lake: Lake, root: str) -> DataFrame:
     """Digest every file under ``root``, keep the manifest as a CSV table, and verify the files against it."""
     path = fresh_path(lake.spark, "manifest")
     before = stored(list_files(lake.spark, root), "listing")
-    write_csv(relative_to(file_digests(lake.spark, root), root), path)
-    manifest = read_text_table(lake.spark, path, ["path", "bytes", "sha256"])
+    write_csv(snapshot_manifest(lake, root), path)
+    columns = ["path", "bytes", "sha256", "row_count", "retrieved_at"]
+    manifest = read_text_table(lake.spark, path, columns)
     after = relative_to(list_files(lake.spark, root), root)
     unchanged = relative_to(before, root).join(after, ["path", "bytes", "modified"], "left_semi")
     verified = verify_manifest(lake.spark, root, manifest)

@@ -12,8 +12,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.functions.text import trim_all
-from peerbench.operators.benchmark import entity_summary
+from peerbench.functions.text import to_cents, trim_all
+from peerbench.operators.benchmark import entity_summary, stratum_totals
 from peerbench.operators.star import Star, dimension
 from peerbench.plans.binding import raw_stays, table_paths
 from peerbench.plans.clean import (
@@ -92,6 +92,31 @@ class Lake:
             "Scenario": scenario_table(self.spark),
         }
 
+    def views(self) -> None:
+        """Register the layers as temporary views, under the names and columns that SQL users know."""
+        keys = ["ConditionKey", "SeverityKey", "AgeGroup"]
+        partials = self.benchmark.select("HospitalKey", *keys, "own_n", "own_sum")
+        tables = {
+            "raw_discharge": self.raw.withColumns(
+                {
+                    "CostCentsParsed": to_cents(F.col("total_costs")),
+                    "ChargesCentsParsed": to_cents(F.col("total_charges")),
+                }
+            ),
+            "clean_discharge": self.clean,
+            "hospital_stratum": partials.toDF("HospitalKey", *keys, "HospitalN", "HospitalDays"),
+            "cohort_stratum": stratum_totals(partials, keys).toDF(
+                *keys, "CohortN", "CohortDays", "HospitalsInStratum"
+            ),
+            "benchmark": self.benchmark.select(
+                "HospitalKey", *keys, "peer_n", "peer_entities", "expected"
+            ).toDF("HospitalKey", *keys, "PeerN", "PeerHospitals", "ExpectedLOS"),
+            "discharge_model": self.model,
+            "hospital_summary": self.summary(),
+        }
+        for name, table in tables.items():
+            table.createOrReplaceTempView(name)
+
     def star(self) -> Star:
         dims = {name: (self.dimensions[name], key) for name, key in RELATIONSHIPS.items()}
         return Star(fact_table(self.model), dims)

@@ -373,12 +373,17 @@ def _subtotals(
 
 
 def _cost_medians(rows: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
-    keys = list(by)
-    if mode != "group":
-        rows = rows.select("CostCents", F.explode(_grouping_sets(rows, by, mode)).alias("_g"))
-        rows = rows.select("CostCents", "_g.*")
-        keys = ["level", *keys]
-    medians = narrowed_median(rows, keys, "CostCents")
+    if mode == "group":
+        keys = list(by)
+        medians = narrowed_median(rows, by, "CostCents")
+    else:
+        keys = ["level", *by]
+
+        def expand(counts: DataFrame) -> DataFrame:
+            sets = F.explode(_grouping_sets(counts, by, mode)).alias("_g")
+            return counts.select("_b", "_n", sets).select("_b", "_n", "_g.*")
+
+        medians = narrowed_median(rows, by, "CostCents", expand, keys)
     return medians.select(*keys, (F.col("low") + F.col("high")).alias(COST_MEDIAN))
 
 

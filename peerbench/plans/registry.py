@@ -21,7 +21,7 @@ from peerbench.plans import analysis, checks, extract, reports
 from peerbench.plans.clean import benchmark_table
 from peerbench.plans.lake import Lake, supply_lake
 from peerbench.plans.layout import ENTITY, STRATA
-from peerbench.plans.measures import evaluate
+from peerbench.plans.measures import displayed, evaluate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,7 +60,10 @@ def settled(df: DataFrame) -> DataFrame:
     """Round the columns that rest on floating sums or ratios."""
     digits = {**dict.fromkeys(SUMS, 4), **dict.fromkeys(RATIOS, 6), **dict.fromkeys(DAYS, 4)}
     return df.select(
-        *[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns]
+        *[
+            F.round(c, digits[c]).alias(c) if c in digits and kind == "double" else F.col(c)
+            for c, kind in df.dtypes
+        ]
     )
 
 
@@ -353,6 +356,40 @@ def measures_cube(lake: Lake) -> DataFrame:
     return evaluate(lake.labelled, PLAIN, ["Condition", "HospitalCounty"], mode="cube")
 
 
+@query
+def measures_displayed(lake: Lake) -> DataFrame:
+    """Measures as display text in their catalogue formats."""
+    names = [
+        "Discharges",
+        "AvgLOS",
+        "CensoredShare",
+        "EstimatedCost",
+        "BenchmarkCoverage",
+        "ExpectedMatchedDays",
+        "LOSIndex",
+        "SelectedReduction",
+        "LOSVarianceDays",
+    ]
+    return displayed(evaluate(lake.labelled, names, ["Condition"]))
+
+
+@query
+def sql_views(lake: Lake) -> DataFrame:
+    """Spark SQL over the registered views."""
+    lake.views()
+    return lake.spark.sql(
+        """
+        SELECT s.HospitalCounty, count(*) AS Hospitals, sum(s.Discharges) AS Discharges,
+               sum(b.strata) AS Strata, sum(b.supported) AS Supported
+        FROM hospital_summary s
+        JOIN (SELECT HospitalKey, count(*) AS strata, count(ExpectedLOS) AS supported
+              FROM benchmark JOIN cohort_stratum USING (ConditionKey, SeverityKey, AgeGroup)
+              WHERE CohortN - PeerN > 0 GROUP BY HospitalKey) b USING (HospitalKey)
+        GROUP BY s.HospitalCounty
+        """
+    )
+
+
 @query
 def pareto(lake: Lake) -> DataFrame:
     return reports.cost_pareto(lake.labelled)

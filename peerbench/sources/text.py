@@ -32,7 +32,12 @@ def select_as(df: DataFrame, fields: dict[str, str], scope: Column | None = None
     return rows.select(*[F.col(source).alias(name) for name, source in fields.items()])
 
 
-def read_document(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Read a JSON document, or an array of objects; keys that an object lacks are NULL."""
-    reader = spark.read.option("multiLine", True)
+def read_document(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, lines: bool = False
+) -> DataFrame:
+    """Read JSON: one document or array of objects per file, or one object per line.
+
+    Keys that an object lacks are NULL.
+    """
+    reader = spark.read.option("multiLine", not lines)
     return (reader.schema(schema) if schema is not None else reader).json(path)

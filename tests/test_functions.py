@@ -100,7 +100,7 @@ def test_blank_minus_and_within(spark):
     [
         (1234.0, "#,##0", "1,234"),
         (34823.4, "#,##0.0", "34,823.4"),
-        (1234.5, "$#,##0", "$1,234"),
+        (1234.5, "$#,##0", "$1,235"),
         (0.5, "0.0%", "50.0%"),
         (0.99881, "0.00%", "99.88%"),
         (1.2, '0.00"x"', "1.20x"),

@@ -342,3 +342,30 @@ def test_manifest_states(spark, tmp_path):
     assert snapshot_state(spark, str(root)) == before
     (root / "a.txt").write_bytes(b"longer")
     assert snapshot_state(spark, str(root)) != before
+
+
+def test_build_writes_every_result(spark, lake, tmp_path):
+    from peerbench.plans.build import build
+
+    build(lake, str(tmp_path))
+    written = {p.parent.name + "/" + p.name for p in tmp_path.glob("*/*")}
+    assert {f"analysis/query_0{i}" for i in range(1, 7)} <= written
+    assert {"analysis/hospital_summary", "analysis/summary", "qa/data_checks", "model/StayBands"} <= written
+    fact = spark.read.parquet(str(tmp_path / "model" / "Discharges"))
+    assert fact.count() == 1500 and len(fact.columns) == 21
+    failed = read_document(spark, str(tmp_path / "qa" / "data_checks"), lines=True).filter("not passed")
+    assert failed.count() == 2
+
+
+def test_views(spark, lake):
+    lake.views()
+    got = spark.sql(
+        "SELECT count(*) AS n, sum(CostCents) AS c FROM discharge_model d LEFT JOIN benchmark b"
+        " USING (HospitalKey, ConditionKey, SeverityKey, AgeGroup)"
+        " WHERE d.PeerN IS NOT DISTINCT FROM b.PeerN"
+    ).first()
+    raw = spark.sql("SELECT count(*) AS n, sum(CostCentsParsed) AS c FROM raw_discharge").first()
+    assert got == raw
+    assert spark.sql("SELECT sum(HospitalN) FROM hospital_stratum").first() == spark.sql(
+        "SELECT sum(CohortN) FROM cohort_stratum"
+    ).first()
