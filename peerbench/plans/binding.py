@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerbench.sources.files import spread_small
+
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
 
 
@@ -12,7 +14,7 @@ def table_paths(sf_dir: str) -> list[str]:
     return [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in TABLES]
 
 
-def raw_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_stays(spark: SparkSession, sf_dir: str, input_bytes: int) -> DataFrame:
     """One row per line item with the 19 text fields of a raw extract.
 
     Orders meet their customers before the line items do, so the line items are not shuffled by customer.
@@ -27,12 +29,13 @@ def raw_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     parts = part.select("p_partkey", "p_type", "p_brand")
     rows = (
-        line.join(placed, line.l_orderkey == placed.o_orderkey)
-        .join(parts, line.l_partkey == parts.p_partkey)
+        line.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier.select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
+    rows = spread_small(rows, input_bytes)
     days = F.abs(F.date_diff("l_shipdate", "o_orderdate")) % 130
     costs = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     charges = F.round(F.col("l_extendedprice") * (F.col("l_tax") + 1) * 100).cast("bigint")

@@ -33,7 +33,7 @@ from peerbench.plans.layout import (
     Domain,
 )
 from peerbench.session import stored
-from peerbench.sources.files import snapshot_state
+from peerbench.sources.files import snapshot_state, spread_small
 from peerbench.sources.literals import ordered_labels, scenario_table
 from peerbench.sources.text import read_text_table
 
@@ -128,7 +128,8 @@ def _keyed(fields):
 
 def from_extract(spark: SparkSession, path: str | list[str], domain: Domain) -> Lake:
     """Layers of a raw CSV extract, or of a folder of its pages."""
-    return Lake(read_text_table(spark, path, RAW_FIELDS), domain)
+    rows = read_text_table(spark, path, RAW_FIELDS)
+    return Lake(spread_small(rows, snapshot_state(spark, path).bytes), domain)
 
 
 _lakes: dict[tuple[str, str, str], Lake] = {}
@@ -138,8 +139,8 @@ _lock = threading.Lock()
 def supply_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """Layers of the supply-chain tables in ``sf_dir``, built once per application and state of the files."""
     state = snapshot_state(spark, table_paths(sf_dir))
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), state)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), state.mark)
     with _lock:
         if key not in _lakes:
-            _lakes[key] = Lake(raw_stays(spark, sf_dir), SUPPLY)
+            _lakes[key] = Lake(raw_stays(spark, sf_dir, state.bytes), SUPPLY)
         return _lakes[key]
