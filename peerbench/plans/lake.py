@@ -82,12 +82,13 @@ class Lake:
         """The seven small tables of the star schema."""
         model = self.model
         conditions = dimension(model, "ConditionKey", ["ConditionDescription"])
+        conditions = conditions.withColumn("Condition", condition_label(self.domain))
         return {
-            "Hospitals": stored(dimension(model, *_keyed(ENTITY_FIELDS)), "hospitals"),
-            "Conditions": conditions.withColumn("Condition", condition_label(self.domain)),
-            "Severity": dimension(model, "SeverityKey", ["Severity"]),
+            "Hospitals": stored(dimension(model, ENTITY_FIELDS[0], ENTITY_FIELDS[1:]), "hospitals"),
+            "Conditions": stored(conditions, "conditions"),
+            "Severity": stored(dimension(model, "SeverityKey", ["Severity"]), "severity"),
             "AgeGroups": ordered_labels(self.spark, self.domain.age_groups, "AgeGroup", "AgeSort"),
-            "Payers": dimension(model, "PrimaryPayer"),
+            "Payers": stored(dimension(model, "PrimaryPayer"), "payers"),
             "StayBands": ordered_labels(self.spark, STAY_BANDS, "StayBand", "BandSort"),
             "Scenario": scenario_table(self.spark),
         }
@@ -122,10 +123,6 @@ class Lake:
         return Star(fact_table(self.model), dims)
 
 
-def _keyed(fields):
-    return fields[0], list(fields[1:])
-
-
 def from_extract(spark: SparkSession, path: str | list[str], domain: Domain) -> Lake:
     """Layers of a raw CSV extract, or of a folder of its pages."""
     rows = read_text_table(spark, path, RAW_FIELDS)

@@ -369,3 +369,37 @@ def test_views(spark, lake):
     assert spark.sql("SELECT sum(HospitalN) FROM hospital_stratum").first() == spark.sql(
         "SELECT sum(CohortN) FROM cohort_stratum"
     ).first()
+
+
+def test_wrong_dimensions_are_reported(spark, lake, monkeypatch):
+    payers = lake.dimensions["Payers"]
+    header = spark.createDataFrame([("PrimaryPayer",), ("Medicare",)], payers.schema)
+    monkeypatch.setitem(lake.dimensions, "Payers", payers.unionAll(header))
+    hospitals = lake.dimensions["Hospitals"]
+    monkeypatch.setitem(lake.dimensions, "Hospitals", hospitals.filter("HospitalKey <> '001464'"))
+    shapes = {r.table: r.header_rows for r in checks.contract_check(lake).collect()}
+    assert shapes["Payers"] == 1 and sum(shapes.values()) == 1
+    found = {r.check: (r.passed, r.observed) for r in checks.key_checks(lake).collect()}
+    assert found["Payers key is unique"] == (False, 1)
+    assert found["Hospitals has no orphans"] == (False, 1)
+    assert found["Hospitals key is unique"] == (True, 0)
+
+
+def test_sensitivity_base_drops_unknown_dispositions(spark):
+    rows = [(5, "Home"), (5, "Expired"), (5, None), (31, "Home"), (None, "Home"), (30, "")]
+    df = spark.createDataFrame(rows, "ExactLOS int, Disposition string")
+    kept = [tuple(r) for r in df.filter(HOSPITAL.sensitivity_base()).collect()]
+    assert kept == [(5, "Home"), (30, "")]
+
+
+def test_records_without_broadcast_joins(spark, lake):
+    """The model is the same when every join is shuffled."""
+    from peerbench.plans.clean import model_records
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = model_records(lake.clean, lake.benchmark)
+        assert again.exceptAll(lake.model.select(*again.columns)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
