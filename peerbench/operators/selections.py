@@ -1,4 +1,4 @@
-"""Several named selections of one table evaluated in a single pass."""
+"""Several named selections of one table evaluated together."""
 
 from __future__ import annotations
 
@@ -10,26 +10,59 @@ from peerbench.operators.benchmark import observed_matched
 from peerbench.operators.median import narrowed_median
 
 
-def by_selection(df: DataFrame, selections: dict[str, Column]) -> DataFrame:
-    """``df`` with a ``Selection`` column, one copy of a row per selection that it belongs to."""
-    labels = [F.when(predicate, F.lit(label)) for label, predicate in selections.items()]
+def by_selection(df: DataFrame, flags: dict[str, str]) -> DataFrame:
+    """``df`` with a ``Selection`` column: one copy of a row for every label whose flag column is true."""
+    labels = [F.when(F.col(flag), F.lit(label)) for label, flag in flags.items()]
     return df.withColumn("Selection", F.explode(F.array_compact(F.array(*labels))))
 
 
 def selection_metrics(model: DataFrame, selections: dict[str, Column], entity: str) -> DataFrame:
-    """One row per named selection with 14 metrics; an empty one has zero counts and blank values."""
-    rows = by_selection(model, selections)
-    sums = rows.groupBy("Selection").agg(
-        F.count(F.lit(1)).alias("Discharges"),
-        F.count_distinct(entity).alias("Hospitals"),
-        F.avg("ExactLOS").alias("AvgExactLOS"),
+    """One row per named selection with 14 metrics; an empty one has zero counts and blank values.
+
+    Records are first reduced per combination of selections that they belong to; only these few rows are
+    then copied to each of their selections.
+    """
+    flags = {label: f"_in{i}" for i, label in enumerate(selections)}
+    rows = model.select(
+        entity,
+        "ExactLOS",
+        "CostCents",
+        "LOSCensored",
+        "BenchmarkEligible",
+        "ExpectedLOS",
+        *[F.coalesce(p, F.lit(False)).alias(flags[label]) for label, p in selections.items()],
+    )
+    partial = rows.groupBy(*flags.values(), entity).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count("ExactLOS").alias("_known"),
+        F.sum("ExactLOS").alias("_days"),
         F.sum("CostCents").alias("_cost"),
-        F.sum("LOSCensored").alias("CensoredStays"),
-        F.sum("BenchmarkEligible").alias("MatchedDischarges"),
-        observed_matched().alias("ObservedMatchedDays"),
-        F.sum("ExpectedLOS").alias("ExpectedMatchedDays"),
+        F.sum("LOSCensored").alias("_capped"),
+        F.sum("BenchmarkEligible").alias("_matched"),
+        observed_matched().alias("_observed"),
+        F.sum("ExpectedLOS").alias("_expected"),
+    )
+    sums = (
+        by_selection(partial, flags)
+        .groupBy("Selection")
+        .agg(
+            F.sum("_n").alias("Discharges"),
+            F.count_distinct(entity).alias("Hospitals"),
+            ratio(F.sum("_days"), F.sum("_known")).alias("AvgExactLOS"),
+            F.sum("_cost").alias("_cost"),
+            F.sum("_capped").alias("CensoredStays"),
+            F.sum("_matched").alias("MatchedDischarges"),
+            F.sum("_observed").alias("ObservedMatchedDays"),
+            F.sum("_expected").alias("ExpectedMatchedDays"),
+        )
+    )
+    medians = narrowed_median(
+        rows,
+        list(flags.values()),
+        "CostCents",
+        lambda counts: by_selection(counts, flags),
+        ["Selection"],
     )
-    medians = narrowed_median(rows, ["Selection"], "CostCents")
     labels = model.sparkSession.createDataFrame([(s,) for s in selections], "Selection string")
     observed = F.col("ObservedMatchedDays")
     # Every side has at most one row per selection that the caller named.
