@@ -5,14 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from peerbench.llm import mixing
 from peerbench.llm.byte_bpe import encode_digests
 from peerbench.llm.common import table
+from peerbench.llm.langid import identify
+from peerbench.llm.quality import judge
+from peerbench.llm.simhash import near_duplicates
 from peerbench.llm.token_counts import count_tokens
+from peerbench.llm.toxicity import classify
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.withColumnRenamed("_id", "doc_id").drop("_text")
+
+
+def mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
@@ -21,9 +40,28 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"))
 
 
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    fingerprint = F.lpad(F.lower(F.hex("print")), 16, "0")
+    return found.select(
+        F.col("_id").alias("doc_id"), fingerprint.alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_id": language,
+    "op2_quality_rules": quality,
+    "op4_mixing": mixing_sources,
     "op6_token_counts": token_counts,
     "op7_byte_bpe": byte_bpe,
+    "op9_simhash": simhash,
+    "op10_toxicity": toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_mixing": mixing.ORACLE,
+}
