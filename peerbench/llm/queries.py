@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerbench.llm import mixing
+from peerbench.llm import secrets as secret_scan
 from peerbench.llm.byte_bpe import encode_digests
 from peerbench.llm.common import table
 from peerbench.llm.langid import identify
+from peerbench.llm.pii import pseudonyms
 from peerbench.llm.quality import judge
 from peerbench.llm.simhash import near_duplicates
 from peerbench.llm.token_counts import count_tokens
@@ -28,6 +30,10 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumnRenamed("_id", "doc_id").drop("_text")
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
 def mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -40,6 +46,10 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"))
 
 
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms(table(spark, sf_dir, "documents"))
+
+
 def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     fingerprint = F.lpad(F.lower(F.hex("print")), 16, "0")
@@ -55,13 +65,16 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_language_id": language,
     "op2_quality_rules": quality,
+    "op3_secrets": secrets,
     "op4_mixing": mixing_sources,
     "op6_token_counts": token_counts,
     "op7_byte_bpe": byte_bpe,
+    "op8_pii": pii,
     "op9_simhash": simhash,
     "op10_toxicity": toxicity,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_secrets": secret_scan.oracle(),
     "op4_mixing": mixing.ORACLE,
 }
