@@ -11,6 +11,7 @@ from peerbench.llm import mixing
 from peerbench.llm import secrets as secret_scan
 from peerbench.llm.byte_bpe import encode_digests
 from peerbench.llm.common import table
+from peerbench.llm.embeddings import near_duplicate_vectors
 from peerbench.llm.langid import identify
 from peerbench.llm.pii import pseudonyms
 from peerbench.llm.quality import judge
@@ -38,6 +39,10 @@ def mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_rules": quality,
     "op3_secrets": secrets,
     "op4_mixing": mixing_sources,
+    "op5_embeddings": embeddings,
     "op6_token_counts": token_counts,
     "op7_byte_bpe": byte_bpe,
     "op8_pii": pii,

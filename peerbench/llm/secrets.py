@@ -184,10 +184,12 @@ def joined_spans(spans: Column) -> Column:
 def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, n_assign, n_access, n_hex, base_sha256 and spans of every row."""
     found = scan(docs, id_col, text_col)
-    counts = [
-        F.size(F.filter("_spans", lambda s, i=i: s["place"] == i)).cast("bigint").alias(f"n_{RULES[i].kind}")
-        for i in range(BASE)
-    ]
+
+    def count(place: int) -> Column:
+        own = F.filter("_spans", lambda s: s["place"] == place)
+        return F.size(own).cast("bigint").alias(f"n_{RULES[place].kind}")
+
+    counts = [count(place) for place in range(BASE)]
     basic = F.filter("_spans", lambda s: s["place"] < BASE)
     return found.select(
         F.col("_id").alias(id_col),
