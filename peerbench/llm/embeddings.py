@@ -117,8 +117,7 @@ class Cell:
         self.table, self.bucket = rows["table"][0], rows["bucket"][0]
         # Two chunks are compared with each other only; each with itself has a cell of its own.
         self.crossing = rows["low"][0] != rows["high"][0]
-        raw = np.stack([np.frombuffer(v, dtype=np.float64) for v in rows["vector"][order]])
-        self.vectors = raw
+        self.vectors = np.stack([np.frombuffer(v, dtype=np.float64) for v in rows["vector"][order]])
         self.codes = np.stack([np.frombuffer(c, dtype=np.int32).reshape(TABLES, PROBES) for c in rows["codes"][order]])
 
     def links(self, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -171,36 +170,35 @@ def bucket_rows(distinct: DataFrame) -> DataFrame:
                 codes = bucket_codes(vectors)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(name).take(pa.array(rows)) for name in ("gid", "label", "copies")
-                    ]
-                    + [
+                        *[batch.column(name).take(pa.array(rows)) for name in ("gid", "label", "copies")],
+                        pa.array(np.full(len(rows), length, dtype=np.int32)),
                         pa.array([v.tobytes() for v in vectors], pa.binary()),
                         pa.array([c.tobytes() for c in codes], pa.binary()),
                         pa.array(list(codes.reshape(len(rows), -1)), pa.list_(pa.int32())),
                     ],
-                    ["gid", "label", "copies", "vector", "codes", "places"],
+                    ["gid", "label", "copies", "size", "vector", "codes", "places"],
                 )
 
     kind = distinct.schema["label"].dataType.simpleString()
     hashed = distinct.mapInArrow(
-        place, f"gid bigint, label {kind}, copies bigint, vector binary, codes binary, places array<int>"
+        place, f"gid bigint, label {kind}, copies bigint, size int, vector binary, codes binary, places array<int>"
     )
-    exploded = hashed.select("gid", "label", "copies", "vector", "codes", F.posexplode("places").alias("at", "bucket"))
+    exploded = hashed.select("gid", "label", "copies", "size", "vector", "codes", F.posexplode("places").alias("at", "bucket"))
     return exploded.select(
-        "gid", "label", "copies", "vector", "codes", "bucket",
+        "gid", "label", "copies", "size", "vector", "codes", "bucket",
         F.floor(F.col("at") / PROBES).cast("int").alias("table"), (F.col("at") % PROBES == 0).alias("own"),
     )
 
 
 def cell_rows(rows: DataFrame, chunk: int) -> DataFrame:
     """``rows`` with the chunk of each and the pairs of chunks it takes part in."""
-    bucket = ["label", "table", "bucket"]
+    bucket = ["label", "size", "table", "bucket"]
     large = (
         rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk)
         .select(*[F.col(c).alias(f"_{c}") for c in bucket], F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
     )
     large = stored(large, "embedding-large-buckets")
-    same = (rows["label"] == large["_label"]) & (rows["table"] == large["_table"]) & (rows["bucket"] == large["_bucket"])
+    same = [rows[c] == large[f"_{c}"] for c in bucket]
     cut = rows.join(large, same, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     cut = cut.withColumn("chunk", F.pmod(F.xxhash64("gid"), F.col("chunks")).cast("int"))
     return cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
@@ -213,15 +211,16 @@ def cell_rows(rows: DataFrame, chunk: int) -> DataFrame:
 
 def bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
     """``gid``, ``n`` (vectors linked here) and ``root`` (smallest connected here) from every cell."""
+    cell = ["cell", "label", "size", "low", "high"]
     names = ["gid", "copies", "own", "table", "bucket", "chunk", "low", "high", "vector", "codes"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, np.ndarray] | None = None
         for batch in batches:
-            read = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ["cell", "label", *names]}
+            read = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ["cell", "label", "size", *names]}
             if waiting is not None:
                 read = {name: np.concatenate([waiting[name], values]) for name, values in read.items()}
-            keys = [read[name] for name in ("cell", "label", "low", "high")]
+            keys = [read[name] for name in cell]
             changes = np.any([k[1:] != k[:-1] for k in keys], axis=0)
             starts = np.append(0, np.flatnonzero(changes) + 1)
             # The last cell may go on in the next batch.
@@ -241,8 +240,7 @@ def bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
             columns = [pa.array(np.concatenate(column)) for column in zip(*found)]
             yield pa.RecordBatch.from_arrays(columns, ["gid", "n", "root"])
 
-    cell = ["cell", "label", "low", "high"]
-    placed = rows.withColumn("cell", F.xxhash64("table", "bucket", "label"))
+    placed = rows.withColumn("cell", F.xxhash64("table", "bucket", "label", "size"))
     dealt = placed.repartition(*cell).sortWithinPartitions(*cell)
     return dealt.mapInArrow(compare, "gid bigint, n bigint, root bigint")
 

@@ -48,11 +48,9 @@ class Profiler:
 
     def grams(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For all n-grams of all texts: number of the text and number of the n-gram; and the n-grams' letters."""
-        joined = "\n" + "".join(text.lower() + "\n\n" for text in texts)
-        codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
-        sizes = np.fromiter((len(text.lower()) + 2 for text in texts), np.int64, len(texts))
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        owner = np.append(owner[:1], owner)
+        bounded = ["\n" + text.lower() + "\n" for text in texts]
+        codes = np.frombuffer("".join(bounded).encode("utf-32-le"), dtype=np.uint32)
+        owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, bounded), np.int64, len(texts)))
         codes = np.where(self.letter[codes], codes, 0)
         # A run of other characters is one boundary, but every text has its own at either end.
         inside = np.append(True, (codes[1:] != 0) | (codes[:-1] != 0) | (owner[1:] != owner[:-1]))
