@@ -14,8 +14,8 @@ WHITESPACE = (
     "    　"
 )
 
-# Longest money text kept exactly: 20 digits before the point, 12 after it.
-MONEY_TYPE = "decimal(32,12)"
+# Decimal money text: sign, whole part, decimals.  Anything else, exponents included, is not money.
+MONEY = r"^([+-]?)([0-9]*)(?:\.([0-9]*))?$"
 
 
 def trim(text: Column) -> Column:
@@ -47,19 +47,32 @@ def lenient_int(text: Column) -> Column:
     return F.when(text.isNotNull(), F.coalesce(digits.try_cast("int"), F.lit(0)))
 
 
+def _money_parts(text: Column) -> tuple[Column, Column, Column]:
+    """Sign (1 or -1), whole cents without the sign, and the digits behind them; NULL where it is not money.
+
+    The digits are taken from the text, so no number of decimals is rounded away.  Amounts beyond the range of
+    whole cents in 64 bits are NULL, which the checks of positive money report.
+    """
+    bare = F.btrim(text)
+    money = bare.rlike(MONEY) & bare.rlike("[0-9]")
+    decimals = F.regexp_extract(bare, MONEY, 3)
+    cents = F.concat(F.regexp_extract(bare, MONEY, 2), F.rpad(F.substring(decimals, 1, 2), 2, "0"))
+    sign = F.when(F.regexp_extract(bare, MONEY, 1) == "-", -1).otherwise(1)
+    return sign, F.when(money, cents.try_cast("bigint")), F.substring(decimals, F.lit(3), F.length(decimals))
+
+
 def to_cents(text: Column) -> Column:
     """Decimal text to whole cents, cutting off fractions of a cent."""
-    return (text.try_cast(MONEY_TYPE) * F.lit(100)).cast("bigint")
+    sign, cents, _ = _money_parts(text)
+    return sign * cents
 
 
 def half_even_cents(text: Column) -> Column:
     """Decimal text to whole cents, rounding half a cent to the even neighbour."""
-    return F.bround(text.try_cast(MONEY_TYPE) * F.lit(100), 0).cast("bigint")
-
-
-def dollars(cents: Column) -> Column:
-    """Whole cents to a two-decimal money value."""
-    return (cents.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(18,2)")
+    sign, cents, rest = _money_parts(text)
+    half = rest.rlike("^50*$")
+    up = F.when(half, cents % 2 == 1).otherwise(rest >= "5")
+    return sign * (cents + up.cast("bigint"))
 
 
 def parse_capped(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import ratio
+from peerbench.session import stored
 
 
 def entity_strata(df: DataFrame, entity: str, strata: Sequence[str], value: str) -> DataFrame:
@@ -124,30 +125,36 @@ def index(matched: Column, observed: Column, expected: Column, min_matched: int)
     return F.when(matched >= min_matched, ratio(observed, expected))
 
 
-def entity_summary(model: DataFrame, entity_cols: Sequence[str], min_matched: int = 30) -> DataFrame:
-    """One row per entity: counts, averages, money, coverage and the standardised index.
+def whole_sum(column: str) -> Column:
+    """Sum of whole numbers that may exceed 64 bits."""
+    return F.sum(F.col(column).cast("decimal(20,0)"))
 
-    Money is returned in whole cents (``TotalCostCents``) and as averages in dollars.
-    """
-    sums = model.groupBy(*entity_cols).agg(
+
+def entity_sums(model: DataFrame, entity_cols: Sequence[str]) -> DataFrame:
+    """One row per entity with whole-number sums: ``TotalCostCents``, ``ExactDays`` and counts."""
+    return model.groupBy(*entity_cols).agg(
         F.count(F.lit(1)).alias("Discharges"),
         F.count("ExactLOS").alias("ExactLOSDischarges"),
-        F.avg("ExactLOS").alias("AvgExactLOS"),
+        F.sum("ExactLOS").alias("ExactDays"),
         F.sum("LOSCensored").alias("CensoredDischarges"),
-        F.sum("CostCents").alias("_cost"),
+        whole_sum("CostCents").alias("TotalCostCents"),
         F.count("CostCents").alias("_cost_n"),
         F.sum("BenchmarkEligible").alias("MatchedDischarges"),
         observed_matched().alias("MatchedObservedDays"),
         F.sum("ExpectedLOS").alias("MatchedExpectedDays"),
     )
-    return sums.select(
+
+
+def entity_summary(model: DataFrame, entity_cols: Sequence[str], min_matched: int = 30) -> DataFrame:
+    """One row per entity: counts, averages, money in dollars, coverage and the standardised index."""
+    return entity_sums(model, entity_cols).select(
         *entity_cols,
         "Discharges",
         "ExactLOSDischarges",
-        "AvgExactLOS",
+        ratio(F.col("ExactDays"), F.col("ExactLOSDischarges")).alias("AvgExactLOS"),
         "CensoredDischarges",
-        (F.col("_cost").cast("double") / 100).alias("TotalEstimatedCost"),
-        (ratio(F.col("_cost"), F.col("_cost_n")) / 100).alias("AvgEstimatedCost"),
+        (F.col("TotalCostCents").cast("double") / 100).alias("TotalEstimatedCost"),
+        (ratio(F.col("TotalCostCents"), F.col("_cost_n")) / 100).alias("AvgEstimatedCost"),
         "MatchedDischarges",
         ratio(F.col("MatchedDischarges"), F.col("Discharges")).alias("BenchmarkCoverage"),
         "MatchedObservedDays",
@@ -168,12 +175,13 @@ def sensitivity(
     strata: Sequence[str],
     value: str,
     min_matched: int = 30,
+    min_peers: int = 30,
 ) -> DataFrame:
     """Index rebuilt from ``records`` (already filtered), beside the index in ``summary``.
 
     Peers are rebuilt among the given records only; strata without support are left out.
     """
-    peers = leave_one_out(records, entity, strata, value, drop_unsupported=True)
+    peers = leave_one_out(records, entity, strata, value, min_peers, drop_unsupported=True)
     rebuilt = (
         peers.groupBy(entity)
         .agg(
@@ -211,6 +219,8 @@ def group_shares(df: DataFrame, by: Sequence[str], amounts: dict[str, str]) -> D
             for name, column in amounts.items()
         ]
     )
+    # Written once, so that the totals are taken from the few groups and not from the records again.
+    sums = stored(sums, "group-sums")
     whole = {name: sums.agg(F.sum(name)).scalar() for name in amounts}
     return sums.select(
         *by,

@@ -17,7 +17,8 @@ def pareto(df: DataFrame, entity: str, amount: str, partition: Sequence[str] = (
 
     Output: ``partition``, ``entity``, ``amount``, ``rank`` (gaps after ties), ``cumulative`` and ``share``.
     Entities are ordered by amount, then name; tied entities share the running total that ends at the first
-    of the tie, since the running total covers as many entities as the rank says.
+    of the tie, since the running total covers as many entities as the rank says.  A NULL partition is a
+    partition, and NULL amounts tie with each other, behind all others.
     """
     by = list(partition)
     totals = df.groupBy(*by, entity).agg(F.sum(amount).alias(amount))
@@ -32,7 +33,7 @@ def pareto(df: DataFrame, entity: str, amount: str, partition: Sequence[str] = (
         )
         .filter(F.col("_tied") > 1)
     )
-    ranked = ordered.join(ties, [*by, amount], "left").select(
+    ranked = _joined(ordered, ties, [*by, amount], "left").select(
         *by,
         entity,
         amount,
@@ -41,7 +42,14 @@ def pareto(df: DataFrame, entity: str, amount: str, partition: Sequence[str] = (
     )
     if by:
         whole = ordered.groupBy(*by).agg(F.sum(amount).alias("_whole"))
-        ranked = ranked.join(whole, by)
+        ranked = _joined(ranked, whole, by, "inner")
     else:
         ranked = ranked.withColumn("_whole", ordered.agg(F.sum(amount)).scalar())
     return ranked.withColumn("share", ratio(F.col("cumulative"), F.col("_whole"))).drop("_whole")
+
+
+def _joined(left: DataFrame, right: DataFrame, by: Sequence[str], how: str) -> DataFrame:
+    """``left`` with the other columns of ``right``, NULL keys being equal to each other."""
+    other = right.withColumnsRenamed({name: f"_r_{name}" for name in by})
+    same = [F.col(name).eqNullSafe(F.col(f"_r_{name}")) for name in by]
+    return left.join(other, same, how).drop(*[f"_r_{name}" for name in by])

@@ -7,11 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerbench.session import stored
+
 
 def repeated_rows(df: DataFrame, exclude: Sequence[str]) -> DataFrame:
     """How often the visible fields (all but ``exclude``) repeat beyond their first occurrence."""
     visible = [c for c in df.columns if c not in exclude]
-    copies = df.groupBy(*visible).agg(F.count(F.lit(1)).alias("n"))
+    # Digests of 128 bits go through the first shuffle; whole rows only where a digest occurs again.
+    marked = df.select(*visible, F.xxhash64(*visible).alias("_a"), F.xxhash64(F.lit(1), *visible).alias("_b"))
+    digests = stored(marked.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("n")), "row-digests")
+    again = digests.where("n > 1").select("_a", "_b")
+    whole = marked.join(again, ["_a", "_b"], "left_semi").groupBy(*visible).agg(F.count(F.lit(1)).alias("n"))
+    copies = whole.select("n").unionByName(digests.where("n = 1").select("n"))
     return copies.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.count(F.lit(1)).alias("distinct_rows"),

@@ -33,7 +33,10 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Star:
-    """A fact with its dimensions: name -> (table, key column)."""
+    """A fact with its dimensions: name -> (table, key column).
+
+    Every key has one row in its dimension.  Labelling relies on it, so it refuses a key with more.
+    """
 
     fact: DataFrame
     dims: dict[str, tuple[DataFrame, str]]
@@ -63,5 +66,15 @@ class Star:
             wanted.setdefault(key, (table, []))[1].append(attribute)
         labelled = self.fact
         for key, (table, names) in wanted.items():
-            labelled = labelled.join(table.select(key, *names), key, "left")
+            labels = table.select(F.col(key).alias("_key"), *names)
+            labelled = labelled.join(_single(labels), F.col(key) == F.col("_key"), "left").drop("_key")
         return labelled
+
+
+def _single(labels: DataFrame) -> DataFrame:
+    """One row per ``_key``; the query fails if a key has several."""
+    names = [c for c in labels.columns if c != "_key"]
+    message = F.concat(F.lit("a dimension has several rows for key "), F.col("_key").cast("string"))
+    kept = F.when(F.col("_copies") == 1, F.col("_row")).otherwise(F.raise_error(message).cast(labels.select(F.struct(*names)).schema[0].dataType))
+    rows = labels.groupBy("_key").agg(F.count(F.lit(1)).alias("_copies"), F.first(F.struct(*names)).alias("_row"))
+    return rows.select("_key", kept.alias("_row")).select("_key", "_row.*")

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import rounded_ratio
-from peerbench.operators.benchmark import sensitivity
+from peerbench.operators.benchmark import entity_sums, index, sensitivity, whole_sum
 from peerbench.operators.median import median_cents, narrowed_median, ranked_median
 from peerbench.plans.lake import Lake
-from peerbench.plans.layout import ENTITY, STRATA
+from peerbench.plans.layout import ENTITY, ENTITY_FIELDS, STRATA
 
 
 def _activity(model: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -19,7 +19,7 @@ def _activity(model: DataFrame, by: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("Discharges"),
         F.sum("ExactLOS").alias("_days"),
         F.count("ExactLOS").alias("_known"),
-        F.sum("CostCents").alias("_cost"),
+        whole_sum("CostCents").alias("_cost"),
         F.count("CostCents").alias("_priced"),
     )
 
@@ -47,15 +47,17 @@ def by_condition(lake: Lake) -> DataFrame:
 
 def supported_entities(lake: Lake) -> DataFrame:
     """Hospitals with enough matched records, highest index first."""
-    shown = lake.summary().filter(F.col("MatchedDischarges") >= lake.domain.min_matched)
-    days = F.round(F.col("AvgExactLOS") * F.col("ExactLOSDischarges")).cast("bigint")
+    least = lake.domain.min_matched
+    matched = F.col("MatchedDischarges")
+    shown = entity_sums(lake.model, ENTITY_FIELDS).filter(matched >= least)
+    standard = index(matched, F.col("MatchedObservedDays"), F.col("MatchedExpectedDays"), least)
     return shown.select(
         "HospitalName",
         "Discharges",
         "MatchedDischarges",
         rounded_ratio(F.col("MatchedDischarges") * 100, F.col("Discharges"), 2).alias("CoveragePct"),
-        rounded_ratio(days, F.col("ExactLOSDischarges"), 2).alias("AvgExactLOS"),
-        F.round("LOSIndex", 3).alias("LOSIndex"),
+        rounded_ratio(F.col("ExactDays"), F.col("ExactLOSDischarges"), 2).alias("AvgExactLOS"),
+        F.round(standard, 3).alias("LOSIndex"),
     ).orderBy(F.desc("LOSIndex"), "HospitalName")
 
 
@@ -84,10 +86,10 @@ def by_disposition(lake: Lake) -> DataFrame:
     )
 
 
-def sensitivity_index(lake: Lake) -> DataFrame:
+def sensitivity_index(lake: Lake, min_peers: int = 30) -> DataFrame:
     """Index without deaths and long stays, peers rebuilt, beside the primary index."""
     base = lake.records.filter(lake.domain.sensitivity_base())
     rebuilt = sensitivity(
-        base, lake.summary(), ENTITY, STRATA, "ExactLOS", lake.domain.min_matched
+        base, lake.summary(), ENTITY, STRATA, "ExactLOS", lake.domain.min_matched, min_peers
     )
     return rebuilt.orderBy(F.desc("SensitivityLOSIndex"), ENTITY)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.sources.files import spread_small
-
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
 
 
@@ -14,11 +12,12 @@ def table_paths(sf_dir: str) -> list[str]:
     return [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in TABLES]
 
 
-def raw_stays(spark: SparkSession, sf_dir: str, input_bytes: int) -> DataFrame:
+def raw_stays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with the 19 text fields of a raw extract.
 
     Orders meet their customers before the line items do, so the line items are not shuffled by customer.
-    Which joins broadcast is left to the sizes on disk.
+    Which joins broadcast is left to the sizes on disk, and how many tasks read the tables to the session's
+    split sizes.
     """
     line, orders, customer, part, supplier, nation, region = (
         spark.read.parquet(path) for path in table_paths(sf_dir)
@@ -28,14 +27,17 @@ def raw_stays(spark: SparkSession, sf_dir: str, input_bytes: int) -> DataFrame:
         "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "c_mktsegment"
     )
     parts = part.select("p_partkey", "p_type", "p_brand")
+    # Nations and regions meet the suppliers, so the line items meet one small table for all three.
+    placed_suppliers = (
+        supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("s_suppkey", "s_name", "n_name", "r_name")
+    )
     rows = (
         line.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(supplier.select("s_suppkey", "s_name", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(placed_suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    rows = spread_small(rows, input_bytes)
     days = F.abs(F.date_diff("l_shipdate", "o_orderdate")) % 130
     costs = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     charges = F.round(F.col("l_extendedprice") * (F.col("l_tax") + 1) * 100).cast("bigint")

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import ratio, within
 from peerbench.functions.text import to_cents, valid_capped
-from peerbench.operators.benchmark import leave_one_out_from_records
+from peerbench.operators.benchmark import entity_sums, leave_one_out_from_records, whole_sum
 from peerbench.operators.compare import differing_rows, outside_domain, unused_domain
 from peerbench.operators.ordering import every_kth
+from peerbench.operators.pareto import pareto
 from peerbench.operators.star import duplicate_keys, orphans
 from peerbench.plans.clean import clean_fields, stay_band
 from peerbench.plans.lake import Lake
-from peerbench.plans.layout import ENTITY, MODEL_TABLES, RELATIONSHIPS, STRATA
-from peerbench.plans.reports import cost_pareto
+from peerbench.plans.layout import ENTITY, ENTITY_FIELDS, MODEL_TABLES, RELATIONSHIPS, STRATA
+from peerbench.session import stored
 
 PEER_TOLERANCE = 1e-10
 
@@ -77,18 +78,43 @@ def _count(predicate: Column) -> Column:
     return F.count(F.when(predicate, 1))
 
 
-def record_checks(lake: Lake) -> DataFrame:
+def value_counts(df: DataFrame, columns: dict[str, Column], name: str) -> DataFrame:
+    """``field``, ``value`` (text), ``n``: how often each value of each column occurs, from one pass."""
+    pairs = [F.struct(F.lit(c).alias("field"), e.cast("string").alias("value")) for c, e in columns.items()]
+    counts = df.select(F.explode(F.array(*pairs)).alias("_p")).groupBy("_p.field", "_p.value")
+    return stored(counts.agg(F.count(F.lit(1)).alias("n")), name)
+
+
+class Facts:
+    """What the checks need, gathered once: the model and the raw extract are each read twice."""
+
+    def __init__(self, lake: Lake):
+        self.lake = lake
+        keys = {key: F.col(key) for key in RELATIONSHIPS.values()} | {"ConditionKey": F.col("ConditionKey")}
+        self.model_values = value_counts(lake.model, keys, "model-values")
+        listed = ("age_group", "apr_drg_code", "discharge_year", "health_service_area")
+        again = clean_fields(lake.raw, *listed).withColumn("StayBand", stay_band())
+        columns = {c: F.col(c) for c in (*listed, "StayBand", "ConditionKey")}
+        self.raw_values = value_counts(again, columns, "raw-values")
+        self.hospitals = stored(entity_sums(lake.model, ENTITY_FIELDS), "hospital-sums")
+
+    def values(self, counts: DataFrame, field: str) -> DataFrame:
+        return counts.where(F.col("field") == field).select(F.col("value").alias(field), "n")
+
+
+def record_checks(facts: Facts) -> DataFrame:
     """Everything that one pass over the model and one over the raw extract can tell."""
+    lake = facts.lake
     domain = lake.domain
     source = lake.raw.agg(
         F.count(F.lit(1)).alias("raw_rows"),
-        F.sum(to_cents(F.col("total_costs"))).alias("raw_cost"),
+        F.sum(to_cents(F.col("total_costs")).cast("decimal(20,0)")).alias("raw_cost"),
     )
     known, eligible = F.col("ExactLOS").isNotNull(), F.col("BenchmarkEligible") == 1
     matched_days = F.coalesce(F.sum(F.when(eligible, F.col("ExactLOS"))), F.lit(0))
     model = lake.model.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum("CostCents").alias("cost"),
+        whole_sum("CostCents").alias("cost"),
         _count(~valid_capped(F.col("SourceLOS"))).alias("invalid_stay"),
         _count(~F.coalesce(F.col("CostCents") > 0, F.lit(False))).alias("cost_not_positive"),
         _count(~F.coalesce(F.col("ChargesCents") > 0, F.lit(False))).alias("charges_not_positive"),
@@ -101,10 +127,17 @@ def record_checks(lake: Lake) -> DataFrame:
         F.round(matched_days * 0.1 * 1000).cast("bigint").alias("tenth"),
         F.round(2 * (matched_days * 0.05) * 1000).cast("bigint").alias("two_twentieths"),
         F.round(matched_days * 0.0).cast("bigint").alias("nothing"),
-        _count(F.col("HospitalName").isNull()).alias("unlabelled"),
     )
+    # A hospital's name is looked up in its dimension, as a report does.
+    names = lake.dimensions["Hospitals"].select(F.col("HospitalKey").alias("_key"), "HospitalName")
+    found = facts.values(facts.model_values, "HospitalKey").join(
+        names, F.col("HospitalKey").eqNullSafe(F.col("_key")), "left"
+    )
+    unlabelled = found.where(F.col("HospitalName").isNull()).agg(F.coalesce(F.sum("n"), F.lit(0)))
     zero = F.lit(0)
-    both = model.select("*", *[source.select(c).scalar().alias(c) for c in source.columns])
+    both = model.select(
+        "*", *[source.select(c).scalar().alias(c) for c in source.columns], unlabelled.scalar().alias("unlabelled")
+    )
     return _rows(
         both,
         {
@@ -125,66 +158,68 @@ def record_checks(lake: Lake) -> DataFrame:
     )
 
 
-def key_checks(lake: Lake) -> DataFrame:
+def key_checks(facts: Facts) -> DataFrame:
     """Unique keys and fact keys without a dimension row."""
+    lake = facts.lake
     parts = [
         none_of(duplicate_keys(lake.records, ["SourceRowId"]), "source id is unique"),
         none_of(duplicate_keys(lake.model, ["DischargeKey"]), "discharge key is unique"),
     ]
     for table, key in RELATIONSHIPS.items():
         dim = lake.dimensions[table]
+        known = dim.select(F.col(key).cast("string").alias(key))
+        keys = facts.values(facts.model_values, key)
         parts.append(none_of(duplicate_keys(dim, [key]), f"{table} key is unique"))
-        parts.append(none_of(orphans(lake.model, dim, key), f"{table} has no orphans"))
+        parts.append(none_of(orphans(keys, known, key), f"{table} has no orphans"))
     return reduce(DataFrame.unionByName, parts)
 
 
-def domain_checks(lake: Lake) -> DataFrame:
+def domain_checks(facts: Facts) -> DataFrame:
     """Values that the domain does not list, and listed values that do not occur.
 
     Ages may be missing; conditions, years and areas must be exactly those listed.
     """
-    domain = lake.domain
+    domain = facts.lake.domain
     listed = {"age_group": domain.age_groups, "apr_drg_code": tuple(domain.condition_labels)}
     if domain.years:
         listed["discharge_year"] = domain.years
     if domain.areas:
         listed["health_service_area"] = domain.areas
+    found = {column: facts.values(facts.raw_values, column) for column in listed}
     parts = [
-        none_of(outside_domain(lake.raw, column, values), f"{column} is within its domain")
+        none_of(outside_domain(found[column], column, values), f"{column} is within its domain")
         for column, values in listed.items()
     ]
     parts += [
-        none_of(unused_domain(lake.raw, column, values), f"{column} uses all of its domain")
+        none_of(unused_domain(found[column], column, values), f"{column} uses all of its domain")
         for column, values in listed.items()
         if column != "age_group"
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def total_checks(lake: Lake) -> DataFrame:
-    """Hospital totals add up to the cohort, and the last Pareto point is everything."""
-    cents = F.round(F.sum("TotalEstimatedCost") * 100).cast("bigint")
-    summary = lake.summary().agg(cents.alias("summed"))
-    cohort = lake.model.agg(F.sum("CostCents")).scalar()
-    last = cost_pareto(lake.labelled).agg(
-        F.round(F.max("CumulativeCostPct") * 1000000).cast("bigint").alias("last")
-    )
+def total_checks(facts: Facts) -> DataFrame:
+    """Hospital totals add up to the cohort, and the last Pareto point is everything.
+
+    Totals are compared as whole cents, however large.
+    """
+    summed = facts.hospitals.agg(F.sum("TotalCostCents").alias("summed"))
+    cohort = facts.lake.raw.agg(F.sum(to_cents(F.col("total_costs")).cast("decimal(20,0)"))).scalar()
+    ranked = pareto(facts.hospitals, "HospitalName", "TotalCostCents")
+    last = ranked.agg(F.round(F.max("share") * 1000000).cast("bigint").alias("last"))
     return _rows(
-        summary.withColumn("cohort", cohort),
+        summed.withColumn("cohort", cohort),
         {"hospital costs add up to the cohort": (F.col("summed"), F.col("cohort"))},
     ).unionByName(
         _rows(last, {"last Pareto point is everything": (F.col("last"), F.lit(1000000))})
     )
 
 
-def distribution_checks(lake: Lake) -> DataFrame:
+def distribution_checks(facts: Facts) -> DataFrame:
     """Counts per band and condition, from the model and independently from the raw extract."""
-    again = clean_fields(lake.raw).withColumn("StayBand", stay_band())
     parts = []
     for column in ("StayBand", "ConditionKey"):
-        a, b = (
-            df.groupBy(column).agg(F.count(F.lit(1)).alias("n")) for df in (lake.model, again)
-        )
+        a, b = (facts.values(counts, column) for counts in (facts.model_values, facts.raw_values))
         parts.append(none_of(differing_rows(a, b), f"counts per {column} agree"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -214,8 +249,8 @@ def peer_reconciliation(lake: Lake) -> DataFrame:
     )
 
 
-def peer_checks(lake: Lake) -> DataFrame:
-    found = peer_reconciliation(lake)
+def peer_checks(facts: Facts) -> DataFrame:
+    found = peer_reconciliation(facts.lake)
     bad = F.col("peer_n_differs") + F.col("peer_hospitals_differ") + F.col("expected_differs")
     return _rows(found, {"every stratum agrees with direct totals": (bad, F.lit(0))})
 
@@ -255,7 +290,8 @@ def checks(lake: Lake) -> DataFrame:
         distribution_checks,
         peer_checks,
     )
-    return reduce(DataFrame.unionByName, [group(lake) for group in groups])
+    facts = Facts(lake)
+    return reduce(DataFrame.unionByName, [group(facts) for group in groups])
 
 
 def contract_check(lake: Lake) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerbench.functions.text import band, parse_capped, short_label, to_cents, to_int
+from peerbench.functions.text import band, lenient_int, parse_capped, short_label, to_cents, to_int
 from peerbench.operators.benchmark import assign_expected, leave_one_out
 from peerbench.operators.ordering import number_rows, place_rows
 from peerbench.plans.layout import (
@@ -32,10 +32,10 @@ def clean_fields(raw: DataFrame, *kept: str) -> DataFrame:
         F.col("permanent_facility_id").alias("HospitalKey"),
         F.col("facility_name").alias("HospitalName"),
         F.col("hospital_county").alias("HospitalCounty"),
-        to_int(F.col("discharge_year")).alias("DischargeYear"),
+        lenient_int(F.col("discharge_year")).alias("DischargeYear"),
         F.col("apr_drg_code").alias("ConditionKey"),
         F.col("apr_drg_description").alias("ConditionDescription"),
-        to_int(F.col("apr_severity_of_illness_code")).alias("SeverityKey"),
+        lenient_int(F.col("apr_severity_of_illness_code")).alias("SeverityKey"),
         F.col("apr_severity_of_illness").alias("Severity"),
         F.col("age_group").alias("AgeGroup"),
         F.col("payment_typology_1").alias("PrimaryPayer"),

@@ -33,7 +33,7 @@ from peerbench.plans.layout import (
     Domain,
 )
 from peerbench.session import stored
-from peerbench.sources.files import snapshot_state, spread_small
+from peerbench.sources.files import snapshot_state
 from peerbench.sources.literals import ordered_labels, scenario_table
 from peerbench.sources.text import read_text_table
 
@@ -41,9 +41,10 @@ from peerbench.sources.text import read_text_table
 class Lake:
     """Layers derived from one raw extract."""
 
-    def __init__(self, source: DataFrame, domain: Domain):
+    def __init__(self, source: DataFrame, domain: Domain, folder: str = ""):
         self.source = source
         self.domain = domain
+        self.folder = folder
         self.spark: SparkSession = source.sparkSession
 
     @cached_property
@@ -80,7 +81,9 @@ class Lake:
     @cached_property
     def dimensions(self) -> dict[str, DataFrame]:
         """The seven small tables of the star schema."""
-        model = self.model
+        # One pass over the records; what is left has as many rows as attributes occur together.
+        names = ["ConditionKey", "ConditionDescription", "SeverityKey", "Severity", "PrimaryPayer"]
+        model = stored(self.model.select(*ENTITY_FIELDS, *names).distinct(), "attributes")
         conditions = dimension(model, "ConditionKey", ["ConditionDescription"])
         conditions = conditions.withColumn("Condition", condition_label(self.domain))
         return {
@@ -126,7 +129,7 @@ class Lake:
 def from_extract(spark: SparkSession, path: str | list[str], domain: Domain) -> Lake:
     """Layers of a raw CSV extract, or of a folder of its pages."""
     rows = read_text_table(spark, path, RAW_FIELDS)
-    return Lake(spread_small(rows, snapshot_state(spark, path).bytes), domain)
+    return Lake(rows, domain)
 
 
 _lakes: dict[tuple[str, str, str], Lake] = {}
@@ -136,8 +139,8 @@ _lock = threading.Lock()
 def supply_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """Layers of the supply-chain tables in ``sf_dir``, built once per application and state of the files."""
     state = snapshot_state(spark, table_paths(sf_dir))
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), state.mark)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), state)
     with _lock:
         if key not in _lakes:
-            _lakes[key] = Lake(raw_stays(spark, sf_dir, state.bytes), SUPPLY)
+            _lakes[key] = Lake(raw_stays(spark, sf_dir), SUPPLY, sf_dir.rstrip("/"))
         return _lakes[key]

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.functions.text import half_even_cents
+from peerbench.functions.text import half_even_cents, to_cents
 from peerbench.operators import benchmark as bm
 from peerbench.operators.ordering import every_kth
 from peerbench.operators.profile import blank_counts, group_counts, repeated_rows
@@ -103,6 +103,21 @@ def half_even_costs(lake: Lake) -> DataFrame:
     )
 
 
+@query
+def money_texts(lake: Lake) -> DataFrame:
+    """Truncated and half-even cents of money texts with four decimals, made from whole ten-thousandths."""
+    line = lake.spark.read.parquet(f"{lake.folder}/lineitem.parquet")
+    units = F.round(F.col("l_extendedprice") * 100).cast("bigint") * (
+        100 + F.round(F.col("l_tax") * 100).cast("bigint")
+    )
+    text = F.concat_ws(
+        ".", F.call_function("div", units, F.lit(10000)).cast("string"), F.lpad((units % 10000).cast("string"), 4, "0")
+    )
+    return line.groupBy(F.col("l_returnflag").alias("PrimaryPayer")).agg(
+        F.sum(to_cents(text)).alias("TruncatedCents"), F.sum(half_even_cents(text)).alias("HalfEvenCents")
+    )
+
+
 @query
 def stay_bands(lake: Lake) -> DataFrame:
     return reports.discharges_by_band(lake.model)
@@ -191,6 +206,11 @@ def q6_sensitivity(lake: Lake) -> DataFrame:
     return analysis.sensitivity_index(lake)
 
 
+@query
+def q6_sensitivity_350(lake: Lake) -> DataFrame:
+    return analysis.sensitivity_index(lake, min_peers=350)
+
+
 @query
 def q6_movement(lake: Lake) -> DataFrame:
     return bm.movement(analysis.sensitivity_index(lake))

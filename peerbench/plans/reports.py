@@ -58,7 +58,10 @@ def cost_pareto(model: DataFrame, partition: Sequence[str] = ()) -> DataFrame:
     ranked = pareto(model, "HospitalName", "CostCents", by)
     tips = evaluate(model, ["Discharges", "AvgEstimatedCost"], [*by, "HospitalName"])
     dollars = {"EstimatedCost": "CostCents", "CumulativeEstimatedCost": "cumulative"}
-    return ranked.join(tips, [*by, "HospitalName"]).select(
+    keys = [*by, "HospitalName"]
+    tips = tips.withColumnsRenamed({name: f"_t_{name}" for name in keys})
+    same = [F.col(name).eqNullSafe(F.col(f"_t_{name}")) for name in keys]
+    return ranked.join(tips, same).select(
         *by,
         "HospitalName",
         *[(F.col(c).cast("double") / 100).alias(name) for name, c in dollars.items()],

@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder from ``spark.checkpoint.dir``; a temporary one only for a local session without it."""
+    """Folder from ``spark.checkpoint.dir``; a temporary one only for a local session without it.
+
+    The session's own checkpoint setting is left as it is.
+    """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None
@@ -24,9 +28,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="peerbench-")
-    context.setCheckpointDir(folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="peerbench-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

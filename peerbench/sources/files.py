@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -15,9 +14,6 @@ from pyspark.sql import functions as F
 # Bytes read at a time while hashing.
 CHUNK = 8 << 20
 
-# Inputs below this size are spread over all cores before the work on their rows.
-SMALL_INPUT = 1 << 30
-
 
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """path, bytes, modified of every file under ``path``; no file content is read."""
@@ -86,26 +82,11 @@ def verify_manifest(spark: SparkSession, root: str, manifest: DataFrame) -> Data
     return listed.join(actual, "path", "full").withColumn("status", status)
 
 
-class Snapshot(NamedTuple):
-    """State of the files under a path: ``mark`` changes when one is added, removed or rewritten."""
-
-    mark: str
-    bytes: int
-
-
-def snapshot_state(spark: SparkSession, path: str | list[str]) -> Snapshot:
+def snapshot_state(spark: SparkSession, path: str | list[str]) -> str:
+    """A mark of the files under a path that changes when one is added, removed or rewritten."""
     state = list_files(spark, path).agg(
         F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
         F.bit_xor(F.xxhash64("path", "bytes", "modified")).alias("mark"),
     )
     row = state.first()
-    return Snapshot(f"{row['files']}-{row['mark']}", row["bytes"])
-
-
-def spread_small(df: DataFrame, input_bytes: int) -> DataFrame:
-    """Rows of a small input over all cores; its few files would otherwise be read by as few tasks.
-
-    Large inputs are left as they are, since they have more splits than cores already.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if input_bytes < SMALL_INPUT else df
+    return f"{row['files']}-{row['mark']}"

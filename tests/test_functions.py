@@ -40,7 +40,9 @@ def test_trim_agrees_with_python(spark):
 @pytest.mark.parametrize(
     "value, cents, even",
     [("12.34", 1234, 1234), ("12.349", 1234, 1235), ("0.01", 1, 1), ("0.125", 12, 12), ("0.135", 13, 14),
-     ("7", 700, 700), ("x", None, None), ("", None, None), ("99999999999.99", 9999999999999, 9999999999999)],
+     ("7", 700, 700), ("x", None, None), ("", None, None), ("99999999999.99", 9999999999999, 9999999999999),
+     ("0.0099999999999999", 0, 1), ("0.00500000000000000000001", 0, 1), ("0.005", 0, 0), ("0.015", 1, 2),
+     ("90000000000000000.019", 9000000000000000001, 9000000000000000002), ("-1.239", -123, -124), (".5", 50, 50)],
 )
 def test_cents(spark, value, cents, even):
     assert one(spark, text.to_cents(F.col("v")), v=value) == cents

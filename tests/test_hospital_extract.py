@@ -379,7 +379,7 @@ def test_wrong_dimensions_are_reported(spark, lake, monkeypatch):
     monkeypatch.setitem(lake.dimensions, "Hospitals", hospitals.filter("HospitalKey <> '001464'"))
     shapes = {r.table: r.header_rows for r in checks.contract_check(lake).collect()}
     assert shapes["Payers"] == 1 and sum(shapes.values()) == 1
-    found = {r.check: (r.passed, r.observed) for r in checks.key_checks(lake).collect()}
+    found = {r.check: (r.passed, r.observed) for r in checks.key_checks(checks.Facts(lake)).collect()}
     assert found["Payers key is unique"] == (False, 1)
     assert found["Hospitals has no orphans"] == (False, 1)
     assert found["Hospitals key is unique"] == (True, 0)

@@ -258,3 +258,58 @@ def test_empty_selection(spark):
     none = rows["none"].asDict()
     assert none["Discharges"] == 0 and none["Hospitals"] == 0
     assert none["EstimatedCost"] is None and none["BenchmarkCoverage"] is None and none["LOSIndex"] is None
+
+
+def test_pareto_keeps_null_partitions_and_ties_null_amounts(spark):
+    rows = [(None, "a", 5), (None, "b", 5), (None, "c", None), (None, "d", None), ("p", "a", 7), ("p", "b", None)]
+    df = spark.createDataFrame(rows, "p string, h string, v bigint")
+    got = {(r.p, r.h): (r["rank"], r.cumulative) for r in pareto(df, "h", "v", ["p"]).collect()}
+    assert got == {
+        (None, "a"): (1, 5), (None, "b"): (1, 5), (None, "c"): (3, 10), (None, "d"): (3, 10),
+        ("p", "a"): (1, 7), ("p", "b"): (2, 7),
+    }
+
+
+def test_labels_refuse_a_key_with_two_rows(spark):
+    fact = spark.createDataFrame([("k1", 1), ("k2", 2), ("k3", 3), (None, 4)], "k string, v int")
+    dim = spark.createDataFrame([("k1", "one"), ("k2", "two")], "k string, name string")
+    got = {tuple(r) for r in Star(fact, {"d": (dim, "k")}).label(["name"]).select("k", "v", "name").collect()}
+    assert got == {("k1", 1, "one"), ("k2", 2, "two"), ("k3", 3, None), (None, 4, None)}
+    twice = dim.unionAll(spark.createDataFrame([("k1", "uno")], dim.schema))
+    with pytest.raises(Exception, match="several rows for key k1"):
+        Star(fact, {"d": (twice, "k")}).label(["name"]).collect()
+
+
+def test_totals_beyond_64_bits(spark):
+    big = 9_000_000_000_000_000_007
+    rows = [("h1", big, 3), ("h1", big, 4), ("h2", 2**53 + 1, None)]
+    model = spark.createDataFrame(rows, "h string, CostCents bigint, ExactLOS int").selectExpr(
+        "*", "0 AS LOSCensored", "0 AS BenchmarkEligible", "CAST(NULL AS double) AS ExpectedLOS"
+    )
+    sums = {r.h: (int(r.TotalCostCents), r.ExactDays) for r in bm.entity_sums(model, ["h"]).collect()}
+    assert sums == {"h1": (2 * big, 7), "h2": (2**53 + 1, None)}
+    total = bm.entity_sums(model, ["h"]).agg(F.sum("TotalCostCents")).first()[0]
+    assert int(total) == 2 * big + 2**53 + 1
+
+
+def test_blank_severity_is_a_stratum_of_the_sensitivity_rebuild(spark):
+    from peerbench.plans.clean import clean_fields
+    from peerbench.plans.layout import RAW_FIELDS
+
+    rows = []
+    for i in range(640):
+        row = dict.fromkeys(RAW_FIELDS, "x") | {"source_row_id": str(i), "length_of_stay": str(1 + i % 9)}
+        row |= {"permanent_facility_id": f"h{i % 4}", "apr_severity_of_illness_code": "1" if i % 8 < 4 else ""}
+        rows.append(tuple(row[c] for c in RAW_FIELDS))
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_FIELDS))
+    records = clean_fields(raw)
+    summary = records.select("HospitalKey", "HospitalName").distinct().withColumn("LOSIndex", F.lit(1.0))
+    strata = ["ConditionKey", "SeverityKey", "AgeGroup"]
+    rebuilt = bm.sensitivity(records, summary, "HospitalKey", strata, "ExactLOS")
+    assert {r.MatchedDischarges for r in rebuilt.collect()} == {160}
+
+
+def test_repeated_rows_count_copies_exactly(spark):
+    rows = [(i, i % 50 if i < 400 else i, "x") for i in range(500)]
+    row = repeated_rows(spark.createDataFrame(rows, "id int, a int, b string"), ["id"]).first()
+    assert tuple(row) == (500, 150, 350)
