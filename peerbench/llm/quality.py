@@ -5,8 +5,9 @@ score exceeds a cutoff, and the cutoffs are chosen per stratum from labelled doc
 cutoff to tighter ones, each is tested with the exact binomial distribution for rejecting more than its share of
 good documents, and the first that cannot be certified ends the sequence.  Testing in a fixed order needs no
 correction over cutoffs; over rules and strata the error is divided (Bonferroni).  Of the certified cutoffs the
-one that rejects most bad documents is used, the loosest of equals; a rule that rejects none stays off.  So with
-confidence ``1 - error`` at most ``risk`` of the good documents of any stratum are lost to these rules.
+one that rejects most bad documents left by the rules before it is used, the loosest of equals; a rule that adds
+none stays off.  So with confidence ``1 - error`` at most ``risk`` of the good documents of any stratum are lost
+to these rules.
 
 Null texts count as empty and fail the base rules.  A null stratum is a stratum.  A stratum without enough
 labels has no cutoffs and keeps what passes the base rules.  Documents labelled both ways are not used.
@@ -158,31 +159,37 @@ def fit_cutoffs(
         .where("low = good")
     )
     known = measured.where("not base_failed").join(agreed, F.col("_id") == F.col("_label_id"))
-    counts = [F.sum((F.col("good") == 1).cast("bigint")).alias("n_good")]
-    for side, value in (("lost", 1), ("caught", 0)):
-        for rule, (_, _, cutoffs) in RULES.items():
-            rejected = [
-                F.sum(((F.col("good") == value) & (score(rule) > cutoff)).cast("bigint")) for cutoff in cutoffs
-            ]
-            counts.append(F.array(*rejected).alias(f"{side}_{rule}"))
-    strata = stored(known.groupBy(F.col("_stratum").alias("_s")).agg(*counts), "quality-strata")
-    tests = max(strata.count(), 1) * len(RULES)
-
-    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            chosen = [
-                [
-                    choose_cutoff(
-                        int(row["n_good"]), list(row[f"lost_{rule}"]), list(row[f"caught_{rule}"]),
-                        cutoffs, risk / len(RULES), error / tests,
-                    )
-                    for rule, (_, _, cutoffs) in RULES.items()
-                ]
-                for _, row in frame.iterrows()
-            ]
-            yield pd.DataFrame({"_s": frame["_s"], "cutoffs": chosen})
-
-    return stored(strata.mapInPandas(choose, "_s string, cutoffs array<double>"), "quality-cutoffs")
+    # How many of its cutoffs a score exceeds, for each rule; at most 9 ** 6 combinations in a stratum.
+    levels = F.array(
+        *[
+            sum((F.when(score(rule) > cutoff, 1).otherwise(0) for cutoff in cutoffs), F.lit(0))
+            for rule, (_, _, cutoffs) in RULES.items()
+        ]
+    )
+    combined = stored(
+        known.groupBy(F.col("_stratum").alias("_s"), (F.col("good") == 1).alias("good"), levels.alias("levels")).agg(
+            F.count(F.lit(1)).alias("n")
+        ),
+        "quality-levels",
+    )
+    tests = max(combined.select("_s").distinct().count(), 1) * len(RULES)
+
+    def choose(frame: pd.DataFrame) -> pd.DataFrame:
+        level = np.array(frame["levels"].tolist())
+        count, good = frame["n"].to_numpy(), frame["good"].to_numpy(dtype=bool)
+        left, chosen = ~good, []
+        for place, (_, _, cutoffs) in enumerate(RULES.values()):
+            over = [level[:, place] >= len(cutoffs) - i for i in range(len(cutoffs))]
+            lost, caught = ([int(count[own & hit].sum()) for hit in over] for own in (good, left))
+            cutoff = choose_cutoff(
+                int(count[good].sum()), lost, caught, cutoffs, risk / len(RULES), error / tests
+            )
+            chosen.append(cutoff)
+            if cutoff is not None:
+                left &= ~over[cutoffs.index(cutoff)]
+        return pd.DataFrame({"_s": frame["_s"].iloc[:1], "cutoffs": [chosen]})
+
+    return stored(combined.groupBy("_s").applyInPandas(choose, "_s string, cutoffs array<double>"), "quality-cutoffs")
 
 
 def judge(

@@ -31,7 +31,7 @@ SAMPLE = 20_000
 CANDIDATES = 16_384
 FEATURES = 512
 PREFIXES = (3, 4, 5, 6)
-RIDGE = 1.0
+RIDGE = 0.2
 COUNTERFACTUAL = 4.0
 THRESHOLD = 0.3
 WORD = r"[^\W\d_]+"
