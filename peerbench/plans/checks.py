@@ -13,6 +13,7 @@ from peerbench.operators.benchmark import entity_sums, leave_one_out_from_record
 from peerbench.operators.compare import differing_rows, outside_domain, unused_domain
 from peerbench.operators.ordering import every_kth
 from peerbench.operators.pareto import pareto
+from peerbench.operators.scenario import scenario_days
 from peerbench.operators.star import duplicate_keys, orphans
 from peerbench.plans.clean import clean_fields, stay_band
 from peerbench.plans.lake import Lake
@@ -111,7 +112,16 @@ def record_checks(facts: Facts) -> DataFrame:
         F.sum(to_cents(F.col("total_costs")).cast("decimal(20,0)")).alias("raw_cost"),
     )
     known, eligible = F.col("ExactLOS").isNotNull(), F.col("BenchmarkEligible") == 1
-    matched_days = F.coalesce(F.sum(F.when(eligible, F.col("ExactLOS"))), F.lit(0))
+    matched = facts.hospitals.agg(F.coalesce(F.sum("MatchedObservedDays"), F.lit(0)).alias("ObservedMatchedDays"))
+    scenario = scenario_days(matched, rates=(0.0, 0.05, 0.1))
+
+    def at(rate: float, factor: int) -> Column:
+        chosen = F.max(F.when(F.col("ReductionPct") == rate, F.col("ScenarioBedDays")))
+        return F.round(factor * chosen).cast("bigint")
+
+    reduced = scenario.agg(
+        at(0.1, 1000).alias("tenth"), at(0.05, 2000).alias("two_twentieths"), at(0.0, 1).alias("nothing")
+    )
     model = lake.model.agg(
         F.count(F.lit(1)).alias("rows"),
         whole_sum("CostCents").alias("cost"),
@@ -124,9 +134,6 @@ def record_checks(facts: Facts) -> DataFrame:
         _count(known).alias("exact"),
         F.sum("LOSCensored").alias("capped"),
         F.greatest(F.sum("BenchmarkEligible"), F.count(F.lit(1))).alias("largest"),
-        F.round(matched_days * 0.1 * 1000).cast("bigint").alias("tenth"),
-        F.round(2 * (matched_days * 0.05) * 1000).cast("bigint").alias("two_twentieths"),
-        F.round(matched_days * 0.0).cast("bigint").alias("nothing"),
     )
     # A hospital's name is looked up in its dimension, as a report does.
     names = lake.dimensions["Hospitals"].select(F.col("HospitalKey").alias("_key"), "HospitalName")
@@ -136,7 +143,9 @@ def record_checks(facts: Facts) -> DataFrame:
     unlabelled = found.where(F.col("HospitalName").isNull()).agg(F.coalesce(F.sum("n"), F.lit(0)))
     zero = F.lit(0)
     both = model.select(
-        "*", *[source.select(c).scalar().alias(c) for c in source.columns], unlabelled.scalar().alias("unlabelled")
+        "*",
+        *[table.select(c).scalar().alias(c) for table in (source, stored(reduced, "scenario")) for c in table.columns],
+        unlabelled.scalar().alias("unlabelled"),
     )
     return _rows(
         both,

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from peerbench.functions.numbers import ratio
 from peerbench.functions.text import half_even_cents, to_cents, to_int, trim_all
 from peerbench.operators.compare import compare_values
 from peerbench.operators.ordering import row_key
-from peerbench.operators.selections import long_form, selection_metrics
+from peerbench.operators.selections import SELECTION_METRICS, by_selection, long_form, selection_metrics
 from peerbench.plans.clean import clean_fields, fact_table
 from peerbench.plans.lake import Lake
 from peerbench.plans.layout import ENTITY, RAW_FIELDS
 from peerbench.plans.measures import evaluate
-from peerbench.session import fresh_path, stored
+from peerbench.session import drop, fresh_path, stored
 from peerbench.sources.files import file_digests, list_files, relative_to, verify_manifest
 from peerbench.sources.sinks import formatted, write_csv, write_document, write_model_csv
 from peerbench.sources.text import read_document, read_text_table, read_typed_table
@@ -28,17 +29,25 @@ def pages(raw: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
     return numbered.select(page.cast("string").alias("page"), *raw.columns)
 
 
+def _without_copy(result: DataFrame, path: str) -> DataFrame:
+    """A small result, stored, so that the full copy under ``path`` that it was made from can be deleted."""
+    kept = stored(result, "copied")
+    drop(result.sparkSession, path)
+    return kept
+
+
 def page_union(lake: Lake, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Pages written as a folder of CSV files, read back as one table, and summed per page."""
     path = fresh_path(lake.spark, "pages")
     write_csv(pages(lake.raw, page_rows), path)
     back = read_text_table(lake.spark, path, ["page", *RAW_FIELDS])
-    return back.groupBy(to_int(F.col("page")).cast("bigint").alias("page")).agg(
+    sums = back.groupBy(to_int(F.col("page")).cast("bigint").alias("page")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("source_row_id").alias("first_id"),
         F.max("source_row_id").alias("last_id"),
         F.sum(to_cents(F.col("total_costs"))).alias("CostCents"),
     )
+    return _without_copy(sums, path)
 
 
 def first_rows(model: DataFrame, n: int = 5) -> DataFrame:
@@ -65,7 +74,7 @@ def csv_roundtrip(lake: Lake) -> DataFrame:
     path = fresh_path(lake.spark, "extract")
     write_csv(lake.raw, path)
     again = clean_fields(trim_all(read_text_table(lake.spark, path, RAW_FIELDS)))
-    return again.groupBy("ConditionKey").agg(
+    sums = again.groupBy("ConditionKey").agg(
         F.count(F.lit(1)).alias("Discharges"),
         F.count("ExactLOS").alias("ExactLOSDischarges"),
         F.sum("LOSCensored").alias("CensoredStays"),
@@ -73,6 +82,7 @@ def csv_roundtrip(lake: Lake) -> DataFrame:
         F.sum("CostCents").alias("CostCents"),
         F.sum("ChargesCents").alias("ChargesCents"),
     )
+    return _without_copy(sums, path)
 
 
 def fact_export(lake: Lake) -> DataFrame:
@@ -95,23 +105,64 @@ def export_roundtrip(lake: Lake) -> DataFrame:
     )
     raw = lake.raw.agg(F.sum(half_even_cents(F.col("total_costs"))))
     model = lake.model.agg(F.sum("CostCents"))
-    return exported.select(
-        "*", raw.scalar().alias("raw_cents"), model.scalar().alias("model_cents")
-    )
+    sums = exported.select("*", raw.scalar().alias("raw_cents"), model.scalar().alias("model_cents"))
+    return _without_copy(sums, path)
 
 
 def expected_compare(lake: Lake, tolerance: float = 1e-6) -> DataFrame:
-    """Selection metrics written with ten decimals, read back, and compared with a fresh evaluation."""
+    """Selection metrics written with ten decimals, read back, and compared with the measure catalogue.
+
+    The two sides share no code: one reduces the records per combination of selections, the other evaluates
+    named measures over the records of each selection.
+    """
     path = fresh_path(lake.spark, "expected")
     metrics = selection_metrics(lake.model, lake.domain.predicates(), ENTITY)
     write_model_csv(metrics, path)
     written = read_typed_table(lake.spark, path, metrics.schema)
-    fresh = selection_metrics(lake.model, lake.domain.predicates(), ENTITY)
+    fresh = evaluated_selections(lake.model, lake.domain.predicates())
     return compare_values(
         long_form(written), long_form(fresh), ["Selection", "metric"], "value", tolerance
     )
 
 
+def evaluated_selections(model: DataFrame, selections: dict[str, Column]) -> DataFrame:
+    """The columns of ``selection_metrics`` from the measure catalogue; empty selections have no row."""
+    same = [m for m in SELECTION_METRICS if not m.startswith(("AvgExact", "LOSIndex", "Scenario"))]
+    flagged = model.withColumns({f"_in{i}": p for i, p in enumerate(selections.values())})
+    rows = by_selection(flagged, {label: f"_in{i}" for i, label in enumerate(selections)})
+    result = evaluate(rows, [*same, "AvgLOS", "ScenarioBedDays"], ["Selection"], rate=F.lit(0.05))
+    result = result.withColumnsRenamed({"AvgLOS": "AvgExactLOS", "ScenarioBedDays": "ScenarioBedDays_5pct"})
+    for name, rate in (("ScenarioBedDays_0pct", 0.0), ("ScenarioBedDays_10pct", 0.1)):
+        other = evaluate(rows, ["ScenarioBedDays"], ["Selection"], rate=F.lit(rate))
+        result = result.join(other.withColumnRenamed("ScenarioBedDays", name), "Selection")
+    index = ratio(F.col("ObservedMatchedDays"), F.col("ExpectedMatchedDays"))
+    return result.withColumn("LOSIndex", index).select("Selection", *SELECTION_METRICS)
+
+
+def file_statuses(spark: SparkSession, texts: DataFrame, key: str, text: str) -> DataFrame:
+    """One text file per key, digested, and verified against a manifest with known defects.
+
+    In the manifest the second key has a wrong digest, the third a wrong size, the fourth is missing, and a
+    file that does not exist is listed under key -1.
+    """
+    path = fresh_path(spark, "texts")
+    texts.select(F.col(key).alias("key"), F.col(text).alias("text")).repartition("key").write.partitionBy("key").text(path)
+    number = F.regexp_extract("path", r"key=(-?\d+)", 1).cast("int")
+    digests = relative_to(file_digests(spark, path), path).withColumn("key", number)
+    digests = stored(digests.where(F.col("key").isNotNull() & F.col("path").endswith(".txt")), "text-digests")
+    place = F.row_number().over(Window.orderBy("key"))
+    kept = digests.withColumn("place", place).where("place <> 4")
+    manifest = kept.select(
+        "path",
+        (F.col("bytes") + F.when(F.col("place") == 3, 1).otherwise(0)).alias("bytes"),
+        F.when(F.col("place") == 2, F.repeat(F.lit("0"), 64)).otherwise(F.col("sha256")).alias("sha256"),
+    )
+    gone = spark.range(1).select(F.lit("key=-1/gone.txt").alias("path"), F.lit(0).cast("bigint").alias("bytes"), F.lit("").alias("sha256"))
+    verified = verify_manifest(spark, path, manifest.unionByName(gone)).withColumn("key", number)
+    listed = F.col("path").endswith(".txt")
+    return verified.where(listed).select("key", "actual_bytes", "actual_sha256", "status")
+
+
 def snapshot_manifest(lake: Lake, path: str) -> DataFrame:
     """path, bytes, sha256 of the files of an extract, its total rows and the time of reading."""
     files = relative_to(file_digests(lake.spark, path), path)

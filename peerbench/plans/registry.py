@@ -553,3 +553,11 @@ def _manifest_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY["manifest_check"] = _manifest_check
+
+
+def _file_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nations = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
+    return extract.file_statuses(spark, nations, "n_nationkey", "n_name")
+
+
+REGISTRY["file_statuses"] = _file_statuses

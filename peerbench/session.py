@@ -48,3 +48,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whatever file system it is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has stored; results that still read it fail afterwards."""
+    drop(spark, f"{shared_folder(spark)}/peerbench/{spark.sparkContext.applicationId}")

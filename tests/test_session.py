@@ -1,6 +1,6 @@
 import pytest
 
-from peerbench.session import fresh_path, shared_folder, stored
+from peerbench.session import drop, fresh_path, shared_folder, stored
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
@@ -35,3 +35,11 @@ def test_stored_table_keeps_schema_also_when_empty(spark):
     df = spark.createDataFrame([], "a int, b string")
     back = stored(df, "empty")
     assert back.count() == 0 and back.dtypes == df.dtypes
+
+
+def test_drop_removes_a_stored_table(spark):
+    path = fresh_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    drop(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
