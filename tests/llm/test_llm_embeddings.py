@@ -1,5 +1,6 @@
 """Embedding near-duplicates against all pairs."""
 
+import __spark_entry__ as entry_point
 import numpy as np
 from peerbench.llm.embeddings import bucket_codes, connected, first_meeting, hadamard, near_duplicate_vectors
 
@@ -98,3 +99,9 @@ def test_connected_places():
 
 def test_empty_table(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_query_on_the_given_table(spark):
+    sf = "/root/testdata/sf0.001"
+    given = [tuple(r) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    assert ordered(entry_point.queries()["op5_embeddings"](spark, sf).collect()) == ordered(slow(given))

@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import __spark_entry__ as entry_point
 from cases import documents, labels, odd_documents, prose, results
 from peerbench.llm.quality import RULES, binomial_tail, choose_cutoff, judge, keep_good, measure_text
 
@@ -104,3 +105,15 @@ def test_empty_tables(spark):
 def test_rules_go_from_loose_to_tight():
     for _, _, cutoffs in RULES.values():
         assert list(cutoffs) == sorted(cutoffs, reverse=True)
+
+
+def test_query_on_the_given_table(spark):
+    sf = "/root/testdata/sf0.001"
+    found = {r.doc_id: r for r in entry_point.queries()["op2_quality_rules"](spark, sf).collect()}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        own = slow_measures(r.text)
+        row = found.pop(r.doc_id)
+        assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == own[:5]
+        assert row.base_failed == (own[0] < 50 or 100 * own[4] > 50 * own[0])
+        assert not (row.base_failed and row.kept)
+    assert not found

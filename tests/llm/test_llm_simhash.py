@@ -2,6 +2,7 @@
 
 import random
 
+import __spark_entry__ as entry_point
 import pytest
 import xxhash
 from cases import documents, odd_documents, prose, results
@@ -112,3 +113,17 @@ def test_repeated_row_stays_once(spark):
 def test_empty_table(spark):
     assert near_duplicates(documents(spark, [])).collect() == []
     assert one_of_each(documents(spark, [])).collect() == []
+
+
+def test_query_on_the_given_table(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    prints = [slow_print(r.text) for r in rows]
+    roots = slow_components(prints)
+    least = {}
+    for r, root in zip(rows, roots):
+        least[root] = min(least.get(root, r.doc_id), r.doc_id)
+    expected = {(r.doc_id, f"{p:016x}", least[root]) for r, p, root in zip(rows, prints, roots)}
+    found = entry_point.queries()["op9_simhash"](spark, sf)
+    assert found.columns == ["doc_id", "fingerprint", "component_id"]
+    assert set(map(tuple, found.collect())) == expected and len(expected) == len(rows)
