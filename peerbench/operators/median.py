@@ -2,7 +2,8 @@
 
 ``narrowed_median`` looks at a whole-number column a few binary digits at a time: a small histogram per
 group tells in which bucket the two middle ranks lie, and the next pass counts only inside those buckets.
-Every pass is one column-pruned scan whose shuffle holds at most ``2**BITS`` counts per group and mapper.
+Every pass is one column-pruned scan whose shuffle holds at most ``2**BITS`` counts per group and mapper, for
+each bucket looked into: two at most per group, but those of all groups together where subtotals share records.
 
 ``ranked_median`` counts equal values, numbers them in order with running totals, and picks the middle rows.
 """
@@ -101,6 +102,7 @@ def ranked_median(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
         .groupBy(*by, F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    counts = stored(counts, "median-counts")
     numbered = stored(running(counts, by, [F.col("_v")], ["_n"]), "median-ranks")
     totals = numbered.groupBy(*by).agg(F.sum("_n").alias("_total"))
     last, first = F.col("cum__n"), F.col("cum__n") - F.col("_n") + 1

@@ -1,9 +1,10 @@
 """Numbering and running totals over ordered rows without a single-task window.
 
 The rows are range-partitioned and sorted, written to the shared folder together with their partition
-number, and every partition learns from a tiny per-partition summary where it starts.  No task ever holds
-more than one range, also when one group holds most of the rows.  ``order`` (within ``by``) must be unique;
-aggregate first where it is not.
+number, and every partition learns from a tiny per-partition summary where it starts.  Running totals need a
+second shuffle, by range number: a task then holds a few whole ranges, whatever the size of the largest group.
+``order`` (within ``by``) must be unique; aggregate first where it is not.  Choosing the ranges reads the rows
+an extra time, so store what is costly to compute.
 """
 
 from __future__ import annotations

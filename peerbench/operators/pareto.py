@@ -21,7 +21,8 @@ def pareto(df: DataFrame, entity: str, amount: str, partition: Sequence[str] = (
     partition, and NULL amounts tie with each other, behind all others.
     """
     by = list(partition)
-    totals = df.groupBy(*by, entity).agg(F.sum(amount).alias(amount))
+    # Written once: the ranges are chosen from the totals before they are put in order.
+    totals = stored(df.groupBy(*by, entity).agg(F.sum(amount).alias(amount)), "pareto-totals")
     order = [F.col(amount).desc(), F.col(entity).asc()]
     ordered = stored(running(totals, by, order, [amount], "_position", "_cum_"), "pareto")
     ties = (
