@@ -303,6 +303,42 @@ def checks(lake: Lake) -> DataFrame:
     return reduce(DataFrame.unionByName, [group(facts) for group in groups])
 
 
+def damaged(raw: DataFrame) -> DataFrame:
+    """A raw extract with known defects, told by the fourth and fifth part of its ids (line and quantity).
+
+    Line 7 has a stay that is no number, line 6 costs nothing, line 5 has charges that are no money, line 4 is
+    there twice, and quantity 1 has an age outside the domain.
+    """
+    part = F.split("source_row_id", "-")
+    line, quantity = part[3], part[4]
+    hurt = raw.withColumns(
+        {
+            "length_of_stay": F.when(line == "7", "abc").otherwise(F.col("length_of_stay")),
+            "total_costs": F.when(line == "6", "0.00").otherwise(F.col("total_costs")),
+            "total_charges": F.when(line == "5", "n/a").otherwise(F.col("total_charges")),
+            "age_group": F.when(quantity == "1", "UNKNOWN").otherwise(F.col("age_group")),
+        }
+    )
+    return hurt.unionByName(hurt.where(line == "4"))
+
+
+DAMAGED_CHECKS = (
+    "stay text is valid",
+    "costs are positive",
+    "charges are positive",
+    "source id is unique",
+    "age_group is within its domain",
+    "model rows equal raw rows",
+)
+
+
+def damaged_checks(lake: Lake) -> DataFrame:
+    """What the checks say of the damaged extract, for the checks that its defects concern."""
+    facts = Facts(Lake(damaged(lake.raw), lake.domain))
+    parts = (record_checks(facts), key_checks(facts), domain_checks(facts))
+    return reduce(DataFrame.unionByName, parts).where(F.col("check").isin(*DAMAGED_CHECKS))
+
+
 def contract_check(lake: Lake) -> DataFrame:
     """Each model table against its contract: columns, rows, undescribed columns, header rows as data."""
     tables = {"Discharges": lake.star().fact, **lake.dimensions}

@@ -525,6 +525,11 @@ def expected_compare(lake: Lake) -> DataFrame:
     return compared.select("Selection", "metric", F.round("expected", 4).alias("expected"), "passed")
 
 
+@query
+def checks_damaged(lake: Lake) -> DataFrame:
+    return checks.damaged_checks(lake)
+
+
 @query
 def contract_check(lake: Lake) -> DataFrame:
     return checks.contract_check(lake)
