@@ -207,8 +207,8 @@ def q6_sensitivity(lake: Lake) -> DataFrame:
 
 
 @query
-def q6_sensitivity_350(lake: Lake) -> DataFrame:
-    return analysis.sensitivity_index(lake, min_peers=350)
+def q6_sensitivity_70(lake: Lake) -> DataFrame:
+    return analysis.sensitivity_index(lake, min_peers=70)
 
 
 @query
