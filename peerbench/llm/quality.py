@@ -217,4 +217,5 @@ def keep_good(
         F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash")
     )
     same = F.col("id").eqNullSafe(rejected["_id"]) & (F.col("hash") == rejected["_text"])
-    return whole.join(rejected, same, "left_anti").select("row.*")
+    # What is rejected grows with the documents, so it is never broadcast: one plan at every size.
+    return whole.join(rejected.hint("merge"), same, "left_anti").select("row.*")

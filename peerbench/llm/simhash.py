@@ -212,7 +212,8 @@ def one_of_each(
         F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash")
     )
     same = F.col("id").eqNullSafe(firsts["_id"]) & (F.col("hash") == firsts["_text"])
-    kept = whole.join(firsts, same, "left_semi")
+    # What stays grows with the documents, so it is never broadcast: one plan at every size.
+    kept = whole.join(firsts.hint("merge"), same, "left_semi")
     # Rows repeated with id and text are told apart by nothing, so one of them is taken.
     if not found.groupBy("_id", "_text").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["id", "hash"])
