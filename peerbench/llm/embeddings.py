@@ -41,6 +41,13 @@ CHUNK = 4096
 BLOCK = 512
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1 in double precision; scaled first, so that very large or small ones stay finite."""
+    vectors = vectors.astype(np.float64)
+    vectors /= np.abs(vectors).max(axis=1, keepdims=True)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Walsh-Hadamard transform along the last axis, whose length is a power of two."""
     rows, size = x.shape
@@ -109,7 +116,7 @@ def connected(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
 class Cell:
     """The vectors of one bucket, or of two chunks of it, in order of their number."""
 
-    def __init__(self, rows: dict[str, np.ndarray]) -> None:
+    def __init__(self, rows: dict[str, np.ndarray], kind: str) -> None:
         order = np.argsort(rows["gid"], kind="stable")
         self.gid, self.copies, self.own, self.chunk = (
             rows[name][order] for name in ("gid", "copies", "own", "chunk")
@@ -117,7 +124,7 @@ class Cell:
         self.table, self.bucket = rows["table"][0], rows["bucket"][0]
         # Two chunks are compared with each other only; each with itself has a cell of its own.
         self.crossing = rows["low"][0] != rows["high"][0]
-        self.vectors = np.stack([np.frombuffer(v, dtype=np.float64) for v in rows["vector"][order]])
+        self.vectors = unit(np.stack([np.frombuffer(v, dtype=kind) for v in rows["vector"][order]]))
         self.codes = np.stack([np.frombuffer(c, dtype=np.int32).reshape(TABLES, PROBES) for c in rows["codes"][order]])
 
     def links(self, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -159,15 +166,12 @@ def bucket_rows(distinct: DataFrame) -> DataFrame:
         for batch in batches:
             lists = batch.column("vector")
             lengths = np.diff(np.asarray(lists.offsets))
-            flat = np.asarray(lists.flatten(), dtype=np.float64)
+            flat = np.asarray(lists.flatten())
             ends = np.cumsum(lengths)
             for length in np.unique(lengths):
                 rows = np.flatnonzero(lengths == length)
                 vectors = flat[(ends[rows] - length)[:, None] + np.arange(length)]
-                # Scaled first, so that very large or small components keep a finite length.
-                vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-                vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-                codes = bucket_codes(vectors)
+                codes = bucket_codes(unit(vectors))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch.column(name).take(pa.array(rows)) for name in ("gid", "label", "copies")],
@@ -209,8 +213,11 @@ def cell_rows(rows: DataFrame, chunk: int) -> DataFrame:
     )
 
 
-def bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
-    """``gid``, ``n`` (vectors linked here) and ``root`` (smallest connected here) from every cell."""
+def bucket_links(rows: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """``gid``, ``n`` (vectors linked here) and ``root`` (smallest connected here) from every cell.
+
+    The vectors come as bytes of numbers of the given ``kind``.
+    """
     cell = ["cell", "label", "size", "low", "high"]
     names = ["gid", "copies", "own", "table", "bucket", "chunk", "low", "high", "vector", "codes"]
 
@@ -234,7 +241,7 @@ def bucket_links(rows: DataFrame, threshold: float) -> DataFrame:
         for place in np.flatnonzero(np.diff(bounds) > 1):
             part = slice(bounds[place], bounds[place + 1])
             if read["own"][part].any():
-                found.append(Cell({name: read[name][part] for name in names}).result(threshold))
+                found.append(Cell({name: read[name][part] for name in names}, kind).result(threshold))
         found = [x for x in found if x is not None]
         if found:
             columns = [pa.array(np.concatenate(column)) for column in zip(*found)]
@@ -254,9 +261,10 @@ def near_duplicate_vectors(
     chunk: int = CHUNK,
 ) -> DataFrame:
     """``id_col``, n_links, component_id, kept of every row."""
-    rows = vectors.select(
-        F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), F.col(vector_col).alias("_vector")
-    )
+    # Components travel in the precision they have.
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    vector = F.col(vector_col) if single else F.col(vector_col).cast("array<double>")
+    rows = vectors.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), vector.alias("_vector"))
     fine = F.col("_label").isNotNull() & valid(F.col("_vector"))
     distinct = (
         rows.where(fine).groupBy(F.col("_label").alias("label"), F.col("_vector").alias("vector"))
@@ -265,7 +273,8 @@ def near_duplicate_vectors(
     )
     # Written before the numbers are used, so they stay the same.
     distinct = stored(distinct, "embedding-distinct")
-    found = stored(bucket_links(cell_rows(bucket_rows(distinct), chunk), threshold), "embedding-links")
+    cells = cell_rows(bucket_rows(distinct), chunk)
+    found = stored(bucket_links(cells, threshold, "float32" if single else "float64"), "embedding-links")
     counts = found.groupBy(F.col("gid").alias("c_gid")).agg(F.sum("n").alias("n"))
     roots = components(found.select(F.col("gid").alias("a"), F.col("root").alias("b")), "embedding")
     member = (
