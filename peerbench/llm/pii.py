@@ -318,7 +318,7 @@ def finds(text: Column, key: str = KEY) -> Column:
     """Array of (kind, found, pseudonym) of all candidates; an invalid one is its own pseudonym."""
     found = (
         F.when(text.contains("@"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-        .when(text.rlike("[0-9]{2}"), F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0)))
+        .when(text.rlike("[0-9]"), F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0)))
         .when(text.isNotNull(), F.array().cast("array<string>"))
     )
     with_kind = F.transform(found, lambda m: F.struct(m.alias("found"), kind_of(m).alias("kind")))

@@ -81,6 +81,17 @@ def test_what_is_not_valid_stays(spark):
     assert {r.n_changed for r in found.values()} == {0}
 
 
+def test_numbers_without_two_adjacent_digits(spark):
+    values = ["8.8.8.8", "+1 2 3 4 5 6 7 8", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"]
+    alone = [f"ask {v} now" for v in values]
+    # An address of e-mail lets every text be searched for everything.
+    searched = [f"ask {v} now a@b.example.com" for v in values]
+    found = changed(spark, alone + searched)
+    for i, value in enumerate(values):
+        assert found[i].n_changed == 1 and value not in found[i].text
+        assert found[i].text == found[i + len(values)].text.rsplit(" ", 1)[0]
+
+
 def test_another_key_gives_other_pseudonyms(spark):
     text = "97.51.17.173 jane.doe42@mail.example.com"
     assert changed(spark, [text])[0].text != changed(spark, [text], "other")[0].text
