@@ -4,7 +4,8 @@ Candidates are found by one pattern, validated by kind (check digits, ranges, ca
 Feistel network over their own format: digits stay digits, letters stay letters of their case, cards and account
 numbers keep valid check digits, addresses and dates stay valid.  The permutation depends on the key and the
 kind only, so equal values get equal pseudonyms in all documents, however they are grouped by blanks or dashes.
-What fails validation is left as it is.
+What fails validation is left as it is.  Account and card numbers are looked for at every group of a run of groups,
+so that an amount before or a code behind does not hide them; of two that overlap the surer one is taken.
 
 The key is a parameter; whoever has it could undo the pseudonyms, so a production run passes its own secret.
 Null texts stay null, empty ones empty; texts without a find are returned unchanged.  Repeated rows give
@@ -24,16 +25,37 @@ ROUNDS = 8
 BEFORE = r"(?<![\p{L}\p{N}_])"
 AFTER = r"(?![\p{L}\p{N}_])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}" + AFTER
-NUMBERS = {
-    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + AFTER,
+# What ends in 7 to 15 digits after a plus sign; looking back takes no repeated group.
+PHONE_SIZE = r"(?<=\+" + "[0-9][ .()-]{0,3}" * 6 + "(?:[0-9][ .()-]{0,3})?" * 8 + "[0-9])"
+FORMATS = {
     "ip": r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])" + AFTER,
-    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}[./-][0-9]{2}[./-][0-9]{4})" + AFTER,
+    "date": r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|(?:19|20)[0-9]{2}/[0-9]{2}/[0-9]{2}"
+    + r"|[0-9]{2}[./-][0-9]{2}[./-](?:19|20)[0-9]{2})" + AFTER,
     "ssn": r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-)" + AFTER,
-    "phone": r"(?<!\+)\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{1,4}){2,6}" + AFTER
+    # With a plus sign as many groups as make 15 digits at most, none of them from a card behind it.
+    "phone": r"(?<!\+)\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?"
+    + r"(?:(?![ -]?(?:[0-9]{4}[ -]?){3}[0-9]{4}(?![0-9]|[ -]?[0-9]{4}(?![0-9/-])))[ .-]?[0-9]{1,4}){2,6}" + PHONE_SIZE + AFTER
     + r"|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + AFTER,
-    "card": r"[0-9](?:[ -]?[0-9]){12,18}" + AFTER,
 }
-KINDS = {"email": EMAIL} | NUMBERS
+# Groups of digits (or capitals) that blanks or dashes join are taken as one run, up to where something else starts;
+# the account and card numbers are chosen inside it (``parts_of``).
+ELSE = "(?!" + "|".join(f"(?:{p})" for p in (EMAIL, *FORMATS.values())) + ")"
+RUNS = {
+    "iban": r"(?=[A-Z]{2}[0-9]{2}(?:(?: " + ELSE + r")?[A-Z0-9]){8}[A-Z0-9]*+" + AFTER + ")"
+    + r"[A-Z0-9]++(?:[ -]" + ELSE + "[A-Z0-9]++" + AFTER + ")*+",
+    "card": r"(?=[0-9](?:(?:[ -]" + ELSE + r")?[0-9]){12}[0-9]*+" + AFTER + ")"
+    + r"[0-9]++(?:[ -]" + ELSE + "[0-9]++" + AFTER + ")*+",
+}
+NUMBERS = {"iban": RUNS["iban"], **FORMATS, "card": RUNS["card"]}
+# Characters of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+# The usual groups of a card number.
+CARD_GROUPS = "^(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})$"
 NUMBER = r"(?=[0-9+(A-Z])" + BEFORE + "(?:" + "|".join(f"(?:{p})" for p in NUMBERS.values()) + ")"
 # Texts with an @ are searched for both, texts with a digit for numbers only, others not at all.
 PATTERN = f"(?:{EMAIL})|{NUMBER}"
@@ -163,6 +185,8 @@ def luhn_sum(digits: Column, odd: int) -> Column:
 
 
 def card(found: Column, key: str) -> Column:
+    """A number with valid check digit."""
+
     def changed(digits: Column) -> Column:
         payload = F.substring(digits, F.lit(1), F.length(digits) - 1)
         return let(
@@ -170,10 +194,7 @@ def card(found: Column, key: str) -> Column:
             lambda p: F.concat(p, F.pmod(F.lit(10) - luhn_sum(p, 0) % 10, F.lit(10)).cast("string")),
         )
 
-    return let(
-        digits_of(found),
-        lambda d: F.when(luhn_sum(d, 1) % 10 == 0, put_back(found, "[0-9]", changed(d))).otherwise(found),
-    )
+    return let(digits_of(found), lambda d: put_back(found, "[0-9]", changed(d)))
 
 
 def mod_97(text: Column) -> Column:
@@ -188,6 +209,8 @@ def mod_97(text: Column) -> Column:
 
 
 def iban(found: Column, key: str) -> Column:
+    """A number with valid check digits."""
+
     def changed(plain: Column) -> Column:
         country = F.substring(plain, 1, 2)
         return let(
@@ -199,10 +222,7 @@ def iban(found: Column, key: str) -> Column:
 
     return let(
         F.regexp_replace(found, " ", ""),
-        lambda plain: F.when(
-            mod_97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1,
-            put_back(found, "[A-Z0-9]", changed(plain)),
-        ).otherwise(found),
+        lambda plain: put_back(found, "[A-Z0-9]", changed(plain)),
     )
 
 
@@ -293,41 +313,134 @@ def email(found: Column, key: str) -> Column:
     )
 
 
-PSEUDONYMS = {"email": email, "iban": iban, "ip": ip, "date": date, "ssn": ssn, "phone": phone, "card": card}
+# Account and card numbers are chosen in runs and changed there.
+PSEUDONYMS = {"email": email, "ip": ip, "date": date, "ssn": ssn, "phone": phone}
 
 
 def kind_of(found: Column) -> Column:
-    """The kind whose pattern a find matches as a whole, the first of several.
+    """The kind of a find; "run" for groups in which account and card numbers are still to be chosen.
 
     Looking around is left out, since the find has no surroundings any more.
     """
-    kind = F.lit(None).cast("string")
-    for name, pattern in reversed(KINDS.items()):
+    kind = F.lit("run")
+    for name, pattern in reversed(FORMATS.items()):
         kind = F.when(found.rlike(f"^(?:{pattern})$"), name).otherwise(kind)
-    return kind
+    return F.when(found.contains("@"), "email").when(found.rlike("^[A-Z]"), "run").otherwise(kind)
+
+
+def number_rank(text: Column) -> Column:
+    """0 to 3 if groups are one valid account or card number, the surest first, else null."""
+
+    def rank(plain: Column) -> Column:
+        country, size = F.substring(plain, 1, 2), F.length(plain)
+        listed = F.lit(False)
+        for length, countries in IBAN_LENGTHS.items():
+            listed = listed | ((size == length) & country.isin(countries.split()))
+        rotated = F.concat(F.substring(plain, F.lit(5), size), F.substring(plain, 1, 4))
+        return F.when(
+            text.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9 ]*$") & size.between(12, 35),
+            F.when(mod_97(rotated) == 1, F.when(listed, 0).otherwise(2)),
+        ).when(
+            text.rlike("^[0-9 -]+$") & size.between(13, 19),
+            F.when(luhn_sum(plain, 1) % 10 == 0, F.when(text.rlike(CARD_GROUPS), 1).otherwise(3)),
+        )
+
+    return let(F.regexp_replace(text, "[ -]", ""), rank)
+
+
+def numbers_in(run: Column) -> Column:
+    """Array of (start, end) of the account and card numbers in a run, in order; they begin and end with groups.
+
+    Of numbers that overlap the surer one is taken, then the one further left, then the longer one.
+    """
+
+    def bounds(groups: Column) -> Column:
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("all"))
+
+        def step(acc: Column, group: Column) -> Column:
+            end = acc["at"] + F.length(group)
+            one = F.struct(acc["at"].alias("start"), end.alias("end"))
+            return F.struct((end + 1).alias("at"), F.concat(acc["all"], F.array(one)).alias("all"))
+
+        return F.aggregate(groups, empty, step, lambda acc: acc["all"])
+
+    def spans(groups: Column) -> Column:
+        # An account number has 35 characters at most, so no more groups than that count.
+        return F.flatten(
+            F.transform(
+                groups,
+                lambda first, i: F.transform(
+                    F.filter(F.slice(groups, i + 1, F.lit(35)), lambda last: last["end"] - first["start"] <= 69),
+                    lambda last: F.struct(
+                        number_rank(F.substring(run, first["start"] + 1, last["end"] - first["start"])).alias("rank"),
+                        first["start"].alias("start"), (-last["end"]).alias("until"), last["end"].alias("end"),
+                    ),
+                ),
+            )
+        )
+
+    def take(taken: Column, x: Column) -> Column:
+        free = ~F.exists(taken, lambda t: (t["start"] < x["end"]) & (x["start"] < t["end"]))
+        return F.when(
+            free, F.concat(taken, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+        ).otherwise(taken)
+
+    valid = F.filter(let(bounds(F.split(run, "[ -]")), spans), lambda x: x["rank"].isNotNull())
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    return F.array_sort(F.aggregate(F.array_sort(valid), none, take))
 
 
-def pseudonym(found: Column, kind: Column, key: str) -> Column:
-    result = found
-    for name, make in PSEUDONYMS.items():
-        result = F.when(kind == name, make(found, key)).otherwise(result)
-    return result
+def part(kind: Column, found: Column, pseudonym: Column) -> Column:
+    return F.struct(kind.alias("kind"), found.alias("found"), pseudonym.alias("pseudonym"))
+
+
+def parts_of(found: Column, key: str) -> Column:
+    """Array of (kind, found, pseudonym) that make up a find; the kind of what lies between numbers is null.
+
+    A run without a valid number is one find, its own pseudonym.
+    """
+    kind_if_none = F.when(found.rlike("^[A-Z]"), "iban").otherwise("card")
+    nothing = F.lit(None).cast("string")
+
+    def number(text: Column) -> Column:
+        is_iban = text.rlike("^[A-Z]")
+        return part(
+            F.when(is_iban, "iban").otherwise("card"),
+            text,
+            F.when(is_iban, iban(text, key)).otherwise(card(text, key)),
+        )
+
+    def split_up(numbers: Column) -> Column:
+        def piece(start: Column, end: Column) -> Column:
+            return let(F.substring(found, start + 1, end - start), lambda text: part(nothing, text, text))
+
+        def one(x: Column, i: Column) -> Column:
+            before = F.when(i == 0, F.lit(0)).otherwise(F.get(numbers, i - 1)["end"])
+            text = F.substring(found, x["start"] + 1, x["end"] - x["start"])
+            return F.array(piece(before, x["start"]), let(text, number))
+
+        last = F.element_at(numbers, -1)["end"]
+        return F.when(F.size(numbers) == 0, F.array(part(kind_if_none, found, found))).otherwise(
+            F.concat(F.flatten(F.transform(numbers, one)), F.array(piece(last, F.length(found))))
+        )
+
+    def whole(kind: Column) -> Column:
+        result = found
+        for name, make in PSEUDONYMS.items():
+            result = F.when(kind == name, make(found, key)).otherwise(result)
+        return F.when(kind == "run", let(numbers_in(found), split_up)).otherwise(F.array(part(kind, found, result)))
+
+    return let(kind_of(found), whole)
 
 
 def finds(text: Column, key: str = KEY) -> Column:
-    """Array of (kind, found, pseudonym) of all candidates; an invalid one is its own pseudonym."""
+    """Array of all finds, each an array of (kind, found, pseudonym) as of ``parts_of``."""
     found = (
         F.when(text.contains("@"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
         .when(text.rlike("[0-9]"), F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0)))
         .when(text.isNotNull(), F.array().cast("array<string>"))
     )
-    with_kind = F.transform(found, lambda m: F.struct(m.alias("found"), kind_of(m).alias("kind")))
-    return F.transform(
-        with_kind,
-        lambda x: F.struct(
-            x["kind"].alias("kind"), x["found"].alias("found"), pseudonym(x["found"], x["kind"], key).alias("pseudonym")
-        ),
-    )
+    return F.transform(found, lambda m: parts_of(m, key))
 
 
 def spans_of(text: Column, found: Column) -> Column:
@@ -338,22 +451,25 @@ def spans_of(text: Column, found: Column) -> Column:
     )
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["piece"])
-        end = start + F.length(x["find"]["found"])
+        end = acc["at"] + F.length(x["found"])
         span = F.struct(
-            x["find"]["kind"].alias("kind"), start.alias("start"), end.alias("end"),
-            (x["find"]["found"] != x["find"]["pseudonym"]).alias("changed"),
+            x["kind"].alias("kind"), acc["at"].alias("start"), end.alias("end"),
+            (x["found"] != x["pseudonym"]).alias("changed"),
         )
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        spans = F.when(x["kind"].isNotNull(), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
+        return F.struct(end.alias("at"), spans.alias("spans"))
 
-    paired = F.filter(F.arrays_zip(pieces.alias("piece"), found.alias("find")), lambda x: x["find"].isNotNull())
-    return F.aggregate(paired, state, step, lambda acc: acc["spans"])
+    nothing = F.lit(None).cast("string")
+    parts = F.flatten(
+        F.zip_with(pieces, found, lambda p, x: F.concat(F.array(part(nothing, p, p)), F.coalesce(x, F.array())))
+    )
+    return F.aggregate(parts, state, step, lambda acc: acc["spans"])
 
 
 def rewritten(text: Column, found: Column) -> Column:
     """The text with every find replaced by its pseudonym."""
     pieces = F.split(text, PATTERN, -1)
-    joined = F.zip_with(pieces, found, lambda p, x: F.concat(p, F.coalesce(x["pseudonym"], F.lit(""))))
+    joined = F.zip_with(pieces, found, lambda p, x: F.concat(p, F.coalesce(F.array_join(x["pseudonym"], ""), F.lit(""))))
     return F.when(F.size(found) > 0, F.array_join(joined, "")).otherwise(text)
 
 
@@ -376,7 +492,7 @@ def pseudonyms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return spanned.select(
         F.col("_id").alias(id_col),
         rewritten(F.col("_given"), F.col("_found")).alias("text"),
-        F.greatest(F.size("_found"), F.lit(0)).cast("bigint").alias("n_found"),
+        F.coalesce(F.size(F.filter(F.flatten("_found"), lambda x: x["kind"].isNotNull())), F.lit(0)).cast("bigint").alias("n_found"),
         F.coalesce(F.size("_spans"), F.lit(0)).cast("bigint").alias("n_changed"),
         F.coalesce(F.array_join(spans, ","), F.lit("")).alias("spans"),
     )

@@ -92,6 +92,37 @@ def test_numbers_without_two_adjacent_digits(spark):
         assert found[i].text == found[i + len(values)].text.rsplit(" ", 1)[0]
 
 
+def test_numbers_beside_other_groups(spark):
+    plain, spaced, dashed = "4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111"
+    spanish, austrian, german = "ES9121000418450200051332", "AT611904300234573201", "DE89 3704 0044 0532 0130 00"
+    spelled = " ".join(plain)
+    cases = [
+        (f"{spaced} 12/26", [spaced]), (f"{plain} 12/26", [plain]), (f"{spaced} 123", [spaced]),
+        (f"order 7 {spaced}", [spaced]), (f"paid 25 {dashed}", [dashed]), (f"7 8 9 10 11 12 13 {spaced} 9", [spaced]),
+        (f"{spanish} EUR", [spanish]), (f"{austrian} BIC", [austrian]), (f"{german} 2500 EUR", [german]),
+        (f"AB12 {spanish} {dashed}", [spanish, dashed]), (f"{spaced} 378282246310005 1", [spaced, "378282246310005"]),
+        (f"{spaced} 2026-12-31 {spaced}", [spaced, "2026-12-31", spaced]), (f"{plain} 123-45-6789", [plain, "123-45-6789"]),
+        (f"{plain} 8.8.8.8", [plain, "8.8.8.8"]), (f"+1 (017) 555-7713 {spaced}", ["+1 (017) 555-7713", spaced]),
+        (f"{german} JOHN.DOE@X.COM", [german, "JOHN.DOE@X.COM"]), (f"card {spelled}", [spelled]),
+        (f"{spaced} 2x", [spaced]), (f"DE12 {spaced} 12/26", [spaced]),
+    ]
+    values = sorted({v for _, own in cases for v in own})
+    found = changed(spark, [text for text, _ in cases] + values)
+    single = {v: found[len(cases) + i].text for i, v in enumerate(values)}
+    for i, (text, own) in enumerate(cases):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in found[i].spans.split(",")]
+        assert [text[a:b] for a, b in spans] == own, (text, found[i].spans)
+        for a, b in reversed(spans):
+            text = text[:a] + single[text[a:b]] + text[b:]
+        assert found[i].text == text
+        assert found[i].n_found == found[i].n_changed == len(own)
+
+
+def test_long_runs(spark):
+    found = changed(spark, ["0000 " * 400 + "end", "1" * 100_000, "A1 " * 2000, "AB12 " * 500])
+    assert [found[i].n_changed for i in (1, 2)] == [0, 0]
+
+
 def test_another_key_gives_other_pseudonyms(spark):
     text = "97.51.17.173 jane.doe42@mail.example.com"
     assert changed(spark, [text])[0].text != changed(spark, [text], "other")[0].text
