@@ -1,13 +1,15 @@
 """Quality rules with risk-controlled thresholds.
 
 Every text is measured once.  Fixed base rules reject the hopeless ones; the other rules each reject texts whose
-score exceeds a cutoff, and the cutoffs are chosen per stratum from labelled documents: going from the loosest
-cutoff to tighter ones, each is tested with the exact binomial distribution for rejecting more than its share of
-good documents, and the first that cannot be certified ends the sequence.  Testing in a fixed order needs no
-correction over cutoffs; over rules and strata the error is divided (Bonferroni).  Of the certified cutoffs the
-one that rejects most bad documents left by the rules before it is used, the loosest of equals; a rule that adds
-none stays off.  So with confidence ``1 - error`` at most ``risk`` of the good documents of any stratum are lost
-to these rules.
+score exceeds a cutoff, and the cutoffs are chosen per stratum from labelled documents.  One sequence of settings
+of all rules, fixed beforehand, goes from no rule to all rules at their tightest cutoff, one rule tightened by one
+cutoff at a time.  Each setting is tested with the exact binomial distribution for its rules together rejecting more
+than their share of good documents, and the first that cannot be certified ends the sequence.  Testing in a fixed
+order needs no correction over rules and cutoffs; over strata the error is divided (Bonferroni).  Of the certified
+settings the one that rejects most bad documents is used, the loosest of equals.  Then every rule is loosened as
+long as it rejects as many of the bad documents left by the rules before it, which rejects no further good ones; a
+rule that adds none stays off.  So with confidence ``1 - error`` at most ``risk`` of the good documents of any
+stratum are lost to these rules.  ``needed_good`` says how many good labels that takes.
 
 Null texts count as empty and fail the base rules.  A null stratum is a stratum.  A stratum without enough
 labels has no cutoffs and keeps what passes the base rules.  Documents labelled both ways are not used.
@@ -135,7 +137,7 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 def choose_cutoff(
     good: int, lost: list[int], caught: list[int], cutoffs: tuple[float, ...], risk: float, error: float
 ) -> float | None:
-    """The certified cutoff that catches most; ``lost`` and ``caught`` go with ``cutoffs``, loosest first."""
+    """The certified cutoff (or setting) that catches most; ``lost`` and ``caught`` go with ``cutoffs``, loosest first."""
     best, most = None, 0
     for cutoff, rejected, hits in zip(cutoffs, lost, caught):
         if not good or binomial_tail(rejected, good, risk) > error:
@@ -145,6 +147,22 @@ def choose_cutoff(
     return best
 
 
+def settings() -> list[tuple[int, ...]]:
+    """The sequence of settings: how many of its cutoffs each rule has gone through, 0 for off."""
+    levels, sequence = [0] * len(RULES), []
+    for turn in range(max(len(cutoffs) for _, _, cutoffs in RULES.values())):
+        for place, (_, _, cutoffs) in enumerate(RULES.values()):
+            if turn < len(cutoffs):
+                levels[place] = turn + 1
+                sequence.append(tuple(levels))
+    return sequence
+
+
+def needed_good(strata: int, risk: float = RISK, error: float = ERROR) -> int:
+    """Good labelled texts that a stratum needs for any cutoff, if none of them is lost."""
+    return math.ceil(math.log(error / strata) / math.log1p(-risk))
+
+
 def fit_cutoffs(
     measured: DataFrame, labels: DataFrame, label_id: str = "doc_id", label: str = "quality",
     risk: float = RISK, error: float = ERROR,
@@ -172,21 +190,27 @@ def fit_cutoffs(
         ),
         "quality-levels",
     )
-    tests = max(combined.select("_s").distinct().count(), 1) * len(RULES)
+    strata = max(combined.select("_s").distinct().count(), 1)
+    sequence = settings()
 
     def choose(frame: pd.DataFrame) -> pd.DataFrame:
         level = np.array(frame["levels"].tolist())
         count, good = frame["n"].to_numpy(), frame["good"].to_numpy(dtype=bool)
+        sizes = np.array([len(cutoffs) for _, _, cutoffs in RULES.values()])
+        # A rule through k of its cutoffs rejects what exceeds the k-th, that is len - k + 1 cutoffs or more.
+        hit = [((level > sizes - np.array(x)) & (np.array(x) > 0)).any(axis=1) for x in sequence]
+        lost, caught = ([int(count[own & x].sum()) for x in hit] for own in (good, ~good))
+        best = choose_cutoff(int(count[good].sum()), lost, caught, tuple(range(len(sequence))), risk, error / strata)
         left, chosen = ~good, []
         for place, (_, _, cutoffs) in enumerate(RULES.values()):
-            over = [level[:, place] >= len(cutoffs) - i for i in range(len(cutoffs))]
-            lost, caught = ([int(count[own & hit].sum()) for hit in over] for own in (good, left))
-            cutoff = choose_cutoff(
-                int(count[good].sum()), lost, caught, cutoffs, risk / len(RULES), error / tests
-            )
-            chosen.append(cutoff)
-            if cutoff is not None:
-                left &= ~over[cutoffs.index(cutoff)]
+            tightest = 0 if best is None else sequence[best][place]
+            over = [level[:, place] >= len(cutoffs) - i for i in range(tightest)]
+            caught_here = [int(count[left & x].sum()) for x in over]
+            most = max(caught_here, default=0)
+            at = caught_here.index(most) if most else None
+            chosen.append(None if at is None else cutoffs[at])
+            if at is not None:
+                left &= ~over[at]
         return pd.DataFrame({"_s": frame["_s"].iloc[:1], "cutoffs": [chosen]})
 
     return stored(combined.groupBy("_s").applyInPandas(choose, "_s string, cutoffs array<double>"), "quality-cutoffs")

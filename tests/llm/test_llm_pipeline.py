@@ -1,12 +1,13 @@
 """The pipeline against its operators applied one after another on the driver."""
 
 import hashlib
+import random
 
 import corpus_pipeline
 import __spark_entry__ as entry_point
 import pytest
 import tiktoken
-from cases import odd_documents
+from cases import odd_documents, prose
 from peerbench.llm.byte_bpe import RANKS, read_ranks
 from peerbench.llm.pii import pseudonyms
 from test_llm_mixing import slow_mix
@@ -74,6 +75,19 @@ def test_given_table(spark, tmp_path):
     assert ordered(corpus_pipeline.run(spark, folder).collect()) == ordered(slow_pipeline(spark, rows))
 
 
+def test_quality_stage_uses_labels(spark, tmp_path):
+    random_ = random.Random(4)
+    texts = [prose(random_, 60) for _ in range(130)]
+    rows = [(i, t.replace(" ", "### ") if i < 30 else t, "de", "a", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    marks = [(i, int(i >= 30), 0) for i in range(10, 130)]
+    spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(30, 130))
+
+
 def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, write(spark, tmp_path, [])).collect() == []
 

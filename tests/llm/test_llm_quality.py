@@ -6,7 +6,7 @@ import re
 
 import __spark_entry__ as entry_point
 from cases import documents, labels, odd_documents, prose, results
-from peerbench.llm.quality import RULES, binomial_tail, choose_cutoff, judge, keep_good, measure_text
+from peerbench.llm.quality import RULES, binomial_tail, choose_cutoff, judge, keep_good, measure_text, needed_good, settings
 
 
 def slow_measures(text):
@@ -88,6 +88,32 @@ def test_junk_is_rejected_and_good_texts_stay(spark):
     assert kept >= {i for i in range(4000) if i % 10}
 
 
+def test_small_strata_have_cutoffs(spark):
+    random_ = random.Random(8)
+    good = needed_good(4)
+    assert good == 86 and 0.95**good <= 0.05 / 4 < 0.95 ** (good - 1)
+    rows, marks = [], []
+    for place, lang in enumerate(["en", "de", "fr", None]):
+        # The last stratum has one good text too few.
+        for i in range(good - (place == 3) + 10):
+            text = prose(random_, 60)
+            bad = i < 10
+            rows.append((1000 * place + i, text.replace(" ", "### ") if bad else text, lang, "s", 1))
+            marks.append((1000 * place + i, int(not bad), 0))
+    kept = {r["_id"] for r in judge(documents(spark, rows), labels(spark, marks)).where("kept").collect()}
+    assert kept == {i for i, known, _ in marks if known or i >= 3000}
+
+
+def test_settings_only_tighten():
+    sequence = settings()
+    assert len(sequence) == sum(len(cutoffs) for _, _, cutoffs in RULES.values())
+    before = (0,) * len(RULES)
+    for setting in sequence:
+        assert sorted(b - a for a, b in zip(before, setting)) == [0] * (len(RULES) - 1) + [1]
+        before = setting
+    assert before == tuple(len(cutoffs) for _, _, cutoffs in RULES.values())
+
+
 def test_kept_rows_have_all_columns(spark):
     docs = documents(spark, clashing=True)
     kept = keep_good(docs, labels(spark))
