@@ -14,6 +14,7 @@ Null and empty texts have no finds.  Repeated rows give repeated results; an emp
 
 from __future__ import annotations
 
+import re
 from itertools import product
 from re import _parser as regex_parser
 from typing import NamedTuple
@@ -159,20 +160,24 @@ def scan(
     trigrams = sorted({t for clauses in queries.values() for clause in clauses for t in clause})
     key = F.xxhash64(F.col(id_col), F.col(text_col))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    index = stored(postings(docs, key, text, trigrams), "secret-index")
-    found = stored(
-        candidates(index, queries, trigrams).select(F.col("key").alias("_candidate"), "rules"), "secret-candidates"
-    )
     rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), key.alias("_key"))
-    joined = rows.join(found, F.col("_key") == F.col("_candidate"), "left")
+    joined = rows
+    if queries:
+        index = stored(postings(docs, key, text, trigrams), "secret-index")
+        found = stored(
+            candidates(index, queries, trigrams).select(F.col("key").alias("_candidate"), "rules"), "secret-candidates"
+        )
+        joined = rows.join(found, F.col("_key") == F.col("_candidate"), "left")
     none = F.array().cast("array<struct<start:int,place:int,kind:string,end:int>>")
     spans = []
     for place, rule in enumerate(rules):
         if place in queries:
             due = F.col("rules").bitwiseAND(F.lit(1 << place)) != 0
-        else:
-            # Whether there is any long enough match is seen much faster than where.
+        elif rule.group == 0 and not rule.any_case and re.fullmatch(r"\[[^\]\[\\]+\]\+", rule.pattern):
+            # One class, repeated: whether there is any long enough match is seen much faster than where.
             due = F.col("_text").rlike(rule.pattern.removesuffix("+") + "{%d,}" % rule.least)
+        else:
+            due = F.lit(True)
         spans.append(F.when(due, spans_of(F.col("_text"), rule, place)).otherwise(none))
     return joined.select("_id", F.array_sort(F.concat(*spans)).alias("_spans"))
 

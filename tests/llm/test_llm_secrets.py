@@ -5,7 +5,7 @@ import re
 from itertools import product
 
 from cases import documents, odd_documents, results
-from peerbench.llm.secrets import RULES, scan, secrets, trigram_query
+from peerbench.llm.secrets import RULES, Rule, scan, secrets, trigram_query
 
 TEXTS = [
     'password = "abcdefghijkl" token:xyz PASSWD=AAAAAAAAAAAAAAAA',
@@ -47,6 +47,27 @@ def test_finds(spark):
     assert all(any(kind in row[-1] for row in expected) for kind in (r.kind for r in RULES))
 
 
+def test_rules_of_a_caller_without_trigrams(spark):
+    own = (
+        Rule("pin", "[0-9]{4}-[0-9]{4}", 0, 9),
+        Rule("any", "[a-f]+", 0, 8, any_case=True),
+        Rule("part", "[x-z]([0-9]+)", 1, 3),
+        Rule("hex", "[0-9a-f]+", 0, 8),
+    )
+    texts = ["pin 1234-5678", "DEADBEEF deadBEEF", "x12 y123 z1234", "deadbeef 0123456", "", None]
+    expected = []
+    for i, text in enumerate(texts):
+        spans = []
+        for place, rule in enumerate(own):
+            for m in re.finditer(rule.pattern, text or "", re.IGNORECASE if rule.any_case else 0):
+                if len(m.group(rule.group)) >= rule.least:
+                    spans.append((m.start(), place, rule.kind, m.end()))
+        expected.append((i, sorted(spans)))
+    found = scan(documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)]), rules=own)
+    assert sorted((r["_id"], [tuple(s) for s in r["_spans"]]) for r in found.collect()) == expected
+    assert {s[2] for _, spans in expected for s in spans} == {rule.kind for rule in own}
+
+
 def test_queries_are_necessary():
     for rule in RULES:
         clauses = trigram_query(rule.pattern)
