@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.llm import mixing
+from peerbench.llm import collocations, mixing
 from peerbench.llm import secrets as secret_scan
 from peerbench.llm.byte_bpe import encode_digests
 from peerbench.llm.common import table
 from peerbench.llm.embeddings import near_duplicate_vectors
 from peerbench.llm.langid import identify
+from peerbench.llm.periodic import run_digests, with_periodic_tails
 from peerbench.llm.pii import pseudonyms
 from peerbench.llm.quality import judge
+from peerbench.llm.sharding import file_place, shard_digests
 from peerbench.llm.simhash import near_duplicates
 from peerbench.llm.token_counts import count_tokens
 from peerbench.llm.toxicity import classify
@@ -67,6 +69,19 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def repetitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(with_periodic_tails(table(spark, sf_dir, "documents")))
+
+
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return shard_digests(docs, place=file_place(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": language,
     "op2_quality_rules": quality,
@@ -78,9 +93,13 @@ QUERIES: dict[str, Query] = {
     "op8_pii": pii,
     "op9_simhash": simhash,
     "op10_toxicity": toxicity,
+    "op11_collocations": phrases,
+    "op12_periodic_runs": repetitions,
+    "op13_sharding": sharding,
 }
 
 ORACLE: dict[str, str] = {
     "op3_secrets": secret_scan.oracle(),
     "op4_mixing": mixing.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }
