@@ -14,8 +14,7 @@ WHITESPACE = (
     "    　"
 )
 
-# Decimal money text: sign, whole part, decimals.  Anything else, exponents included, is not money.
-MONEY = r"^([+-]?)([0-9]*)(?:\.([0-9]*))?$"
+DIGITS = "0123456789"
 
 
 def trim(text: Column) -> Column:
@@ -43,21 +42,28 @@ def to_int(text: Column) -> Column:
 
 def lenient_int(text: Column) -> Column:
     """Leading whole number of a text, 0 where there is none (the behaviour of a lenient CAST)."""
+    # Plain numbers need no pattern.
     digits = F.regexp_extract(text, r"^\s*([+-]?\d+)", 1)
-    return F.when(text.isNotNull(), F.coalesce(digits.try_cast("int"), F.lit(0)))
+    return F.when(text.isNotNull(), F.coalesce(to_int(text), digits.try_cast("int"), F.lit(0)))
 
 
 def _money_parts(text: Column) -> tuple[Column, Column, Column]:
     """Sign (1 or -1), whole cents without the sign, and the digits behind them; NULL where it is not money.
 
-    The digits are taken from the text, so no number of decimals is rounded away.  Amounts beyond the range of
-    whole cents in 64 bits are NULL, which the checks of positive money report.
+    Money is an optional sign, digits and at most one point among them; exponents are not.  The digits are taken
+    from the text, so no number of decimals is rounded away.  Amounts beyond the range of whole cents in 64 bits
+    are NULL, which the checks of positive money report.
     """
     bare = F.btrim(text)
-    money = bare.rlike(MONEY) & bare.rlike("[0-9]")
-    decimals = F.regexp_extract(bare, MONEY, 3)
-    cents = F.concat(F.regexp_extract(bare, MONEY, 2), F.rpad(F.substring(decimals, 1, 2), 2, "0"))
-    sign = F.when(F.regexp_extract(bare, MONEY, 1) == "-", -1).otherwise(1)
+    first = F.substring(bare, 1, 1)
+    signed = (first == "-") | (first == "+")
+    number = F.when(signed, F.substring(bare, F.lit(2), F.length(bare))).otherwise(bare)
+    others = F.translate(number, DIGITS, "")
+    money = ((others == "") | (others == ".")) & (F.length(number) > F.length(others))
+    point = F.instr(number, ".")
+    decimals = F.when(point > 0, F.substring(number, point + 1, F.length(number))).otherwise("")
+    cents = F.concat(F.substring_index(number, ".", 1), F.rpad(F.substring(decimals, 1, 2), 2, "0"))
+    sign = F.when(first == "-", -1).otherwise(1)
     return sign, F.when(money, cents.try_cast("bigint")), F.substring(decimals, F.lit(3), F.length(decimals))
 
 
@@ -70,7 +76,7 @@ def to_cents(text: Column) -> Column:
 def half_even_cents(text: Column) -> Column:
     """Decimal text to whole cents, rounding half a cent to the even neighbour."""
     sign, cents, rest = _money_parts(text)
-    half = rest.rlike("^50*$")
+    half = F.rtrim(rest, F.lit("0")) == "5"
     up = F.when(half, cents % 2 == 1).otherwise(rest >= "5")
     return sign * (cents + up.cast("bigint"))
 

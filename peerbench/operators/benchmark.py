@@ -69,6 +69,33 @@ def leave_one_out_from_records(
     return _minus_own(partials, totals, entity, strata, min_peers, min_entities, False)
 
 
+def leave_one_out_from_counts(
+    counts: DataFrame,
+    entity: str,
+    strata: Sequence[str],
+    value: str,
+    weight: str,
+    min_peers: int = 30,
+    min_entities: int = 3,
+) -> DataFrame:
+    """The same result from how often each value occurs per entity and stratum (``weight``).
+
+    Totals are taken from the counts of all entities, not from the entity parts.
+    """
+    amounts = [F.sum(weight).alias("n"), F.sum(F.col(value) * F.col(weight)).alias("sum")]
+    totals = counts.groupBy(*strata).agg(*amounts, F.count_distinct(entity).alias("entities"))
+    partials = counts.groupBy(entity, *strata).agg(*amounts)
+    return _minus_own(
+        partials.withColumnsRenamed({"n": "own_n", "sum": "own_sum"}),
+        totals.withColumnsRenamed({"n": "total_n", "sum": "total_sum"}),
+        entity,
+        strata,
+        min_peers,
+        min_entities,
+        False,
+    )
+
+
 def _minus_own(
     partials: DataFrame,
     totals: DataFrame,

@@ -45,3 +45,21 @@ def unused_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFra
     """Listed values that do not occur."""
     listed = df.sparkSession.createDataFrame([(v,) for v in allowed], f"{column} string")
     return listed.exceptAll(df.select(column).distinct())
+
+
+def value_gaps(found: DataFrame, listed: DataFrame) -> DataFrame:
+    """``field``, ``unlisted``, ``unused``, ``repeated``: for every listed field how many found values are not
+    listed, how many listed values are not found, and how many are listed more than once.
+
+    Both sides have ``field`` and ``value`` (text); NULL is a value.
+    """
+    a = found.select("field", "value").distinct().withColumn("_found", F.lit(True))
+    b = listed.groupBy("field", "value").agg(F.count(F.lit(1)).alias("_copies"))
+    b = b.withColumnsRenamed({"field": "_field", "value": "_value"})
+    same = (F.col("field") == F.col("_field")) & F.col("value").eqNullSafe(F.col("_value"))
+    both = a.join(b, same, "full").withColumn("field", F.coalesce("field", "_field"))
+    return both.groupBy("field").agg(
+        F.count(F.when(F.col("_copies").isNull(), 1)).alias("unlisted"),
+        F.count(F.when(F.col("_found").isNull(), 1)).alias("unused"),
+        F.count(F.when(F.col("_copies") > 1, 1)).alias("repeated"),
+    )

@@ -2,14 +2,14 @@
 
 The rows are range-partitioned and sorted, written to the shared folder together with their partition
 number, and every partition learns from a tiny per-partition summary where it starts.  Running totals need a
-second shuffle, by range number: a task then holds a few whole ranges, whatever the size of the largest group.
+second shuffle, by range number: each range is a task, whatever the size of the largest group.
 ``order`` (within ``by``) must be unique; aggregate first where it is not.  Choosing the ranges reads the rows
 an extra time, so store what is costly to compute.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,18 +20,13 @@ from peerbench.session import stored
 _PLACE_MASK = (1 << 33) - 1
 
 
-def place_rows(
-    df: DataFrame,
-    order: Sequence[Column],
-    name: str,
-    finish: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
-    """Write the rows of ``df`` in order, with the number of their range and their place in it.
+def placed_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """The rows of ``df`` in order, with the number of their range and their place in it, to be written.
 
-    Choosing the ranges reads ``df`` an extra time.  ``finish`` is a row-by-row projection (keeping the
-    columns ``_part`` and ``_place``) that is better done once, on the ordered rows.
+    Choosing the ranges reads ``df`` an extra time.  Row-by-row projections that keep the columns ``_part`` and
+    ``_place`` may follow before the rows are written, nothing else.
     """
-    placed = (
+    return (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select(
@@ -40,7 +35,11 @@ def place_rows(
             "*",
         )
     )
-    return stored(finish(placed) if finish else placed, name)
+
+
+def place_rows(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Write the rows of ``df`` in order, with the number of their range and their place in it."""
+    return stored(placed_rows(df, order), name)
 
 
 def number_rows(placed: DataFrame, name: str) -> DataFrame:
@@ -93,8 +92,10 @@ def running(
         Window.unboundedPreceding, Window.currentRow
     )
     zero = F.lit(0)
+    # Every range is a task of its own: the number of the range is the number of the partition.
+    ranges = (placed.agg(F.max("_part")).first()[0] or 0) + 1
     return (
-        placed.select(
+        placed.repartitionById(ranges, "_part").select(
             "*",
             F.row_number().over(inside).cast("bigint").alias("_inside"),
             *[F.sum(c).over(inside).alias(f"_inside_{c}") for c in sums],

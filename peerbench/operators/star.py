@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerbench.session import stored
+
 
 def dimension(df: DataFrame, key: str, attributes: Sequence[str] = ()) -> DataFrame:
     """Distinct key with attributes."""
@@ -31,6 +33,28 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return joined.filter(F.col("_known").isNull()).select(key, "rows")
 
 
+def surplus_numbers(df: DataFrame, key: str) -> DataFrame:
+    """``rows`` and ``repeated``: how many rows of a table of whole numbers repeat one from another row.
+
+    Numbers from 1 on are counted as bits, so the shuffle holds a bit per number, not a row.
+    """
+    number = F.col(key).cast("bigint")
+    bitmaps = df.where(number.isNotNull()).groupBy(F.bitmap_bucket_number(number).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(number))).alias("found"),
+    )
+    rows = F.coalesce(F.sum("rows"), F.lit(0))
+    return bitmaps.agg(rows.alias("rows"), (rows - F.coalesce(F.sum("found"), F.lit(0))).alias("repeated"))
+
+
+def duplicate_texts(df: DataFrame, key: str) -> DataFrame:
+    """As ``duplicate_keys`` for one long key: digests are counted first, and texts only where one occurs again."""
+    digest = F.xxhash64(key).alias("_digest")
+    counts = df.groupBy(digest).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_digest")
+    again = stored(counts, "digests-again")
+    return duplicate_keys(df.select(key, digest).join(again, "_digest", "left_semi"), [key])
+
+
 @dataclass(frozen=True)
 class Star:
     """A fact with its dimensions: name -> (table, key column).

@@ -8,16 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import ratio, within
-from peerbench.functions.text import to_cents, valid_capped
-from peerbench.operators.benchmark import entity_sums, leave_one_out_from_records, whole_sum
-from peerbench.operators.compare import differing_rows, outside_domain, unused_domain
+from peerbench.operators.benchmark import leave_one_out_from_counts
+from peerbench.operators.compare import value_gaps
+from peerbench.operators.figures import long_figures, stored_with
 from peerbench.operators.ordering import every_kth
 from peerbench.operators.pareto import pareto
 from peerbench.operators.scenario import scenario_days
-from peerbench.operators.star import duplicate_keys, orphans
+from peerbench.operators.star import duplicate_texts, surplus_numbers
 from peerbench.plans.clean import clean_fields, stay_band
-from peerbench.plans.lake import Lake
-from peerbench.plans.layout import ENTITY, ENTITY_FIELDS, MODEL_TABLES, RELATIONSHIPS, STRATA
+from peerbench.plans.lake import Lake, model_figures
+from peerbench.plans.layout import ENTITY, MODEL_TABLES, RELATIONSHIPS, STRATA
 from peerbench.session import stored
 
 PEER_TOLERANCE = 1e-10
@@ -70,11 +70,6 @@ def _rows(one_row: DataFrame, checks: dict[str, tuple[Column, Column]]) -> DataF
     return one_row.select(F.explode(F.array(*entries)).alias("_c")).select("_c.*")
 
 
-def none_of(df: DataFrame, check: str) -> DataFrame:
-    """A check that passes when ``df`` has no rows."""
-    return _rows(df.agg(F.count(F.lit(1)).alias("n")), {check: (F.col("n"), F.lit(0))})
-
-
 def _count(predicate: Column) -> Column:
     return F.count(F.when(predicate, 1))
 
@@ -87,33 +82,34 @@ def value_counts(df: DataFrame, columns: dict[str, Column], name: str) -> DataFr
 
 
 class Facts:
-    """What the checks need, gathered once: the model and the raw extract are each read twice."""
+    """What the checks need, gathered once.
+
+    Rows, money and eligibility come from the figures of the layers, without reading a layer.  The model is read
+    once for the values of its keys, once for its stays per hospital and stratum and once for its row numbers, and
+    the raw extract once for the values that are counted again, independently of the model.
+    """
 
     def __init__(self, lake: Lake):
         self.lake = lake
-        keys = {key: F.col(key) for key in RELATIONSHIPS.values()} | {"ConditionKey": F.col("ConditionKey")}
-        self.model_values = value_counts(lake.model, keys, "model-values")
+        self.model_values = lake.key_values.groupBy("field", "value").agg(F.sum("n").alias("n"))
         listed = ("age_group", "apr_drg_code", "discharge_year", "health_service_area")
         again = clean_fields(lake.raw, *listed).withColumn("StayBand", stay_band())
         columns = {c: F.col(c) for c in (*listed, "StayBand", "ConditionKey")}
         self.raw_values = value_counts(again, columns, "raw-values")
-        self.hospitals = stored(entity_sums(lake.model, ENTITY_FIELDS), "hospital-sums")
-
-    def values(self, counts: DataFrame, field: str) -> DataFrame:
-        return counts.where(F.col("field") == field).select(F.col("value").alias(field), "n")
+        hospitals = lake.key_values.where(F.col("field") == ENTITY)
+        name = F.get_json_object("attributes", "$.HospitalName").alias("HospitalName")
+        self.hospitals = hospitals.select(F.col("value").alias(ENTITY), name, "n", "cost_cents")
 
 
 def record_checks(facts: Facts) -> DataFrame:
-    """Everything that one pass over the model and one over the raw extract can tell."""
+    """Everything that the figures of the layers tell."""
     lake = facts.lake
-    domain = lake.domain
-    source = lake.raw.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.sum(to_cents(F.col("total_costs")).cast("decimal(20,0)")).alias("raw_cost"),
-    )
-    known, eligible = F.col("ExactLOS").isNotNull(), F.col("BenchmarkEligible") == 1
-    matched = facts.hospitals.agg(F.coalesce(F.sum("MatchedObservedDays"), F.lit(0)).alias("ObservedMatchedDays"))
-    scenario = scenario_days(matched, rates=(0.0, 0.05, 0.1))
+
+    def layer(name: str) -> DataFrame:
+        return lake.figures[name].select(F.struct("*").alias(name))
+
+    days = lake.figures["model"].select(F.coalesce("matched_days", F.lit(0)).alias("ObservedMatchedDays"))
+    scenario = scenario_days(days, rates=(0.0, 0.05, 0.1))
 
     def at(rate: float, factor: int) -> Column:
         chosen = F.max(F.when(F.col("ReductionPct") == rate, F.col("ScenarioBedDays")))
@@ -122,65 +118,82 @@ def record_checks(facts: Facts) -> DataFrame:
     reduced = scenario.agg(
         at(0.1, 1000).alias("tenth"), at(0.05, 2000).alias("two_twentieths"), at(0.0, 1).alias("nothing")
     )
-    model = lake.model.agg(
-        F.count(F.lit(1)).alias("rows"),
-        whole_sum("CostCents").alias("cost"),
-        _count(~valid_capped(F.col("SourceLOS"))).alias("invalid_stay"),
-        _count(~F.coalesce(F.col("CostCents") > 0, F.lit(False))).alias("cost_not_positive"),
-        _count(~F.coalesce(F.col("ChargesCents") > 0, F.lit(False))).alias("charges_not_positive"),
-        _count((F.col("LOSCensored") == 1) & known).alias("capped_with_exact"),
-        _count(eligible & (F.col("PeerN") < domain.min_peers)).alias("few_peers"),
-        _count(eligible & (F.col("PeerHospitals") < domain.min_entities)).alias("few_hospitals"),
-        _count(known).alias("exact"),
-        F.sum("LOSCensored").alias("capped"),
-        F.greatest(F.sum("BenchmarkEligible"), F.count(F.lit(1))).alias("largest"),
-    )
     # A hospital's name is looked up in its dimension, as a report does.
-    names = lake.dimensions["Hospitals"].select(F.col("HospitalKey").alias("_key"), "HospitalName")
-    found = facts.values(facts.model_values, "HospitalKey").join(
-        names, F.col("HospitalKey").eqNullSafe(F.col("_key")), "left"
-    )
+    names = lake.dimensions["Hospitals"].select(F.col(ENTITY).alias("_key"), "HospitalName")
+    used = facts.model_values.where(F.col("field") == ENTITY)
+    found = used.join(names, F.col("value").eqNullSafe(F.col("_key")), "left")
     unlabelled = found.where(F.col("HospitalName").isNull()).agg(F.coalesce(F.sum("n"), F.lit(0)))
-    zero = F.lit(0)
-    both = model.select(
-        "*",
-        *[table.select(c).scalar().alias(c) for table in (source, stored(reduced, "scenario")) for c in table.columns],
+    summed = facts.hospitals.agg(F.sum("cost_cents"))
+    # Every side has one row.
+    row = layer("model").select(
+        "model",
+        *[layer(name).select(F.struct(f"{name}.*")).scalar().alias(name) for name in ("raw", "records")],
+        reduced.select(F.struct("*")).scalar().alias("scenario"),
         unlabelled.scalar().alias("unlabelled"),
+        summed.scalar().alias("hospital_cost"),
     )
-    return _rows(
-        both,
-        {
-            "model rows equal raw rows": (F.col("rows"), F.col("raw_rows")),
-            "cost cents equal raw cost cents": (F.col("cost"), F.col("raw_cost")),
-            "stay text is valid": (F.col("invalid_stay"), zero),
-            "costs are positive": (F.col("cost_not_positive"), zero),
-            "charges are positive": (F.col("charges_not_positive"), zero),
-            "capped stays have no exact stay": (F.col("capped_with_exact"), zero),
-            "eligible records have enough peers": (F.col("few_peers"), zero),
-            "eligible records have enough peer hospitals": (F.col("few_hospitals"), zero),
-            "exact and capped stays add up": (F.col("exact") + F.col("capped"), F.col("rows")),
-            "matched records do not exceed all": (F.col("largest"), F.col("rows")),
-            "ten percent is twice five percent": (F.col("tenth"), F.col("two_twentieths")),
-            "zero percent is nothing": (F.col("nothing"), zero),
-            "hospital name is present": (F.col("unlabelled"), zero),
-        },
-    )
+    zero, rows = F.lit(0), F.col("model.rows")
+    found_checks = {
+        "model rows equal raw rows": (rows, F.col("raw.rows")),
+        "cost cents equal raw cost cents": (F.col("model.cost_cents"), F.col("raw.cost_cents")),
+        "stay text is valid": (F.col("records.invalid_stays"), zero),
+        "costs are positive": (F.col("records.costs_not_positive"), zero),
+        "charges are positive": (F.col("records.charges_not_positive"), zero),
+        "capped stays have no exact stay": (F.col("model.capped_with_exact"), zero),
+        "eligible records have enough peers": (F.col("model.few_peers"), zero),
+        "eligible records have enough peer hospitals": (F.col("model.few_hospitals"), zero),
+        "exact and capped stays add up": (F.col("model.exact_stays") + F.col("model.capped_stays"), rows),
+        "matched records do not exceed all": (F.greatest("model.matched", "model.rows"), rows),
+        "ten percent is twice five percent": (F.col("scenario.tenth"), F.col("scenario.two_twentieths")),
+        "zero percent is nothing": (F.col("scenario.nothing"), zero),
+        "hospital name is present": (F.col("unlabelled"), zero),
+        "hospital costs add up to the cohort": (F.col("hospital_cost"), F.col("raw.cost_cents")),
+    }
+    if lake.listed_rows is not None:
+        found_checks["raw rows equal the manifest"] = (F.col("raw.rows"), F.lit(lake.listed_rows))
+    return _rows(row, found_checks)
 
 
 def key_checks(facts: Facts) -> DataFrame:
     """Unique keys and fact keys without a dimension row."""
     lake = facts.lake
-    parts = [
-        none_of(duplicate_keys(lake.records, ["SourceRowId"]), "source id is unique"),
-        none_of(duplicate_keys(lake.model, ["DischargeKey"]), "discharge key is unique"),
+    ids = duplicate_texts(lake.records, "SourceRowId").agg(F.count(F.lit(1)).alias("n"))
+    numbers = surplus_numbers(lake.model, "DischargeKey")
+    known = [
+        lake.dimensions[table].select(F.lit(key).alias("field"), F.col(key).cast("string").alias("value"))
+        for table, key in RELATIONSHIPS.items()
     ]
-    for table, key in RELATIONSHIPS.items():
-        dim = lake.dimensions[table]
-        known = dim.select(F.col(key).cast("string").alias(key))
-        keys = facts.values(facts.model_values, key)
-        parts.append(none_of(duplicate_keys(dim, [key]), f"{table} key is unique"))
-        parts.append(none_of(orphans(keys, known, key), f"{table} has no orphans"))
-    return reduce(DataFrame.unionByName, parts)
+    used = facts.model_values.where(F.col("field").isin(list(RELATIONSHIPS.values())))
+    gaps = _per_field(value_gaps(used, reduce(DataFrame.unionByName, known)), {k: t for t, k in RELATIONSHIPS.items()})
+    return reduce(
+        DataFrame.unionByName,
+        [
+            _rows(ids, {"source id is unique": (F.col("n"), F.lit(0))}),
+            _rows(numbers, {"discharge key is unique": (F.col("repeated"), F.lit(0))}),
+            _field_rows(gaps, {"key is unique": "repeated", "has no orphans": "unlisted"}),
+        ],
+    )
+
+
+def _per_field(gaps: DataFrame, names: dict[str, str]) -> DataFrame:
+    """One row for every named field, with zeros where it has no gap, and its display ``name``."""
+    listed = gaps.sparkSession.createDataFrame(list(names.items()), "field string, name string")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in gaps.columns if c != "field"]
+    return listed.join(gaps, "field", "left").select("field", "name", *counts)
+
+
+def _field_rows(gaps: DataFrame, checks: dict[str, str]) -> DataFrame:
+    """A check for every field and count, which passes when the count is zero."""
+    entries = [
+        F.struct(
+            F.concat_ws(" ", "name", F.lit(text)).alias("check"),
+            (F.col(count) == 0).alias("passed"),
+            F.col(count).cast("bigint").alias("observed"),
+            F.lit(0).cast("bigint").alias("expected"),
+        )
+        for text, count in checks.items()
+    ]
+    return gaps.select(F.explode(F.array(*entries)).alias("_c")).select("_c.*")
 
 
 def domain_checks(facts: Facts) -> DataFrame:
@@ -194,53 +207,51 @@ def domain_checks(facts: Facts) -> DataFrame:
         listed["discharge_year"] = domain.years
     if domain.areas:
         listed["health_service_area"] = domain.areas
-    found = {column: facts.values(facts.raw_values, column) for column in listed}
-    parts = [
-        none_of(outside_domain(found[column], column, values), f"{column} is within its domain")
-        for column, values in listed.items()
-    ]
-    parts += [
-        none_of(unused_domain(found[column], column, values), f"{column} uses all of its domain")
-        for column, values in listed.items()
-        if column != "age_group"
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    pairs = [(field, value) for field, values in listed.items() for value in values]
+    allowed = facts.lake.spark.createDataFrame(pairs, "field string, value string")
+    found = facts.raw_values.where(F.col("field").isin(list(listed)))
+    gaps = _per_field(value_gaps(found, allowed), {field: field for field in listed})
+    within_domain = _field_rows(gaps, {"is within its domain": "unlisted"})
+    return within_domain.unionByName(
+        _field_rows(gaps.where(F.col("field") != "age_group"), {"uses all of its domain": "unused"})
+    )
 
 
 def total_checks(facts: Facts) -> DataFrame:
-    """Hospital totals add up to the cohort, and the last Pareto point is everything.
-
-    Totals are compared as whole cents, however large.
-    """
-    summed = facts.hospitals.agg(F.sum("TotalCostCents").alias("summed"))
-    cohort = facts.lake.raw.agg(F.sum(to_cents(F.col("total_costs")).cast("decimal(20,0)"))).scalar()
-    ranked = pareto(facts.hospitals, "HospitalName", "TotalCostCents")
+    """The last Pareto point is everything, in millionths."""
+    ranked = pareto(facts.hospitals, "HospitalName", "cost_cents")
     last = ranked.agg(F.round(F.max("share") * 1000000).cast("bigint").alias("last"))
-    return _rows(
-        summed.withColumn("cohort", cohort),
-        {"hospital costs add up to the cohort": (F.col("summed"), F.col("cohort"))},
-    ).unionByName(
-        _rows(last, {"last Pareto point is everything": (F.col("last"), F.lit(1000000))})
-    )
+    return _rows(last, {"last Pareto point is everything": (F.col("last"), F.lit(1000000))})
 
 
 def distribution_checks(facts: Facts) -> DataFrame:
-    """Counts per band and condition, from the model and independently from the raw extract."""
-    parts = []
-    for column in ("StayBand", "ConditionKey"):
-        a, b = (facts.values(counts, column) for counts in (facts.model_values, facts.raw_values))
-        parts.append(none_of(differing_rows(a, b), f"counts per {column} agree"))
-    return reduce(DataFrame.unionByName, parts)
+    """Counts per band and condition, from the model and independently from the raw extract.
+
+    ``observed`` is the number of values whose counts differ or that one side lacks.
+    """
+    fields = ("StayBand", "ConditionKey")
+    a, b = (
+        counts.where(F.col("field").isin(list(fields))).select("field", "value", F.col("n").alias(name))
+        for counts, name in ((facts.model_values, "_model"), (facts.raw_values, "_raw"))
+    )
+    b = b.withColumnsRenamed({"field": "_field", "value": "_value"})
+    same = (F.col("field") == F.col("_field")) & F.col("value").eqNullSafe(F.col("_value"))
+    both = a.join(b, same, "full").withColumn("field", F.coalesce("field", "_field"))
+    gaps = both.groupBy("field").agg(_count(~F.col("_model").eqNullSafe(F.col("_raw"))).alias("differ"))
+    return _field_rows(_per_field(gaps, {f: f"counts per {f}" for f in fields}), {"agree": "differ"})
 
 
 def peer_reconciliation(lake: Lake) -> DataFrame:
-    """Every stored hospital and stratum against totals taken directly from the records."""
+    """Every stored hospital and stratum against totals taken directly from the stays of the model."""
     keys = [ENTITY, *STRATA]
-    direct = leave_one_out_from_records(
-        lake.model.filter(lake.domain.comparable()),
+    # One pass over the model: how often each stay occurs per hospital and stratum.
+    stays = lake.model.filter(lake.domain.comparable()).groupBy(*keys, "ExactLOS").agg(F.count(F.lit(1)).alias("_n"))
+    direct = leave_one_out_from_counts(
+        stored(stays, "stay-counts"),
         ENTITY,
         STRATA,
         "ExactLOS",
+        "_n",
         lake.domain.min_peers,
         lake.domain.min_entities,
     ).select(*keys, *[F.col(c).alias(f"_{c}") for c in ("peer_n", "peer_entities", "expected")])
@@ -329,19 +340,111 @@ DAMAGED_CHECKS = (
     "source id is unique",
     "age_group is within its domain",
     "model rows equal raw rows",
+    "raw rows equal the manifest",
 )
 
 
 def damaged_checks(lake: Lake) -> DataFrame:
     """What the checks say of the damaged extract, for the checks that its defects concern."""
-    facts = Facts(Lake(damaged(lake.raw), lake.domain))
+    facts = Facts(Lake(damaged(lake.raw), lake.domain, listed_rows=lake.listed_rows))
     parts = (record_checks(facts), key_checks(facts), domain_checks(facts))
     return reduce(DataFrame.unionByName, parts).where(F.col("check").isin(*DAMAGED_CHECKS))
 
 
-def contract_check(lake: Lake) -> DataFrame:
+def peer_reconciliation_damaged(lake: Lake) -> DataFrame:
+    """The reconciliation with a stored benchmark that is wrong for some hospitals, told by the last digit of their key.
+
+    Digit 5 is missing, 7 has a peer too many, 3 a peer hospital too few and 9 an expectation half as high again.
+    """
+    digit = F.substring(ENTITY, -1, 1)
+    wrong = lake.benchmark.where(digit != "5").withColumns(
+        {
+            "peer_n": F.col("peer_n") + F.when(digit == "7", 1).otherwise(0),
+            "peer_entities": F.col("peer_entities") - F.when(digit == "3", 1).otherwise(0),
+            "expected": F.col("expected") * F.when(digit == "9", 1.5).otherwise(1.0),
+        }
+    )
+    other = lake.with_layers(benchmark=stored(wrong, "benchmark-damaged"))
+    return peer_reconciliation(other)
+
+
+def damaged_model(model: DataFrame) -> DataFrame:
+    """A model with known defects, told by the quantity in its source ids."""
+    quantity = F.element_at(F.split("SourceRowId", "-"), -1)
+
+    def on(number: int, value: Column, column: str) -> Column:
+        return F.when(quantity == str(number), value).otherwise(F.col(column))
+
+    hurt = {
+        # A hospital that no dimension lists.
+        "HospitalKey": on(3, F.lit("GONE"), "HospitalKey"),
+        # Eligible records with too few peers, or too few peer hospitals.
+        "PeerN": on(5, F.lit(1).cast("bigint"), "PeerN"),
+        "PeerHospitals": on(6, F.lit(1).cast("bigint"), "PeerHospitals"),
+        # Capped stays with an exact stay.
+        "ExactLOS": F.when((quantity == "7") & (F.col("LOSCensored") == 1), 1).otherwise(F.col("ExactLOS")),
+        # One record number many times.
+        "DischargeKey": on(8, F.lit(1).cast("bigint"), "DischargeKey"),
+        # More matched records than records.
+        "BenchmarkEligible": on(9, F.lit(100), "BenchmarkEligible"),
+        # A cent too much.
+        "CostCents": on(10, F.col("CostCents") + 1, "CostCents"),
+        # Another condition.
+        "ConditionKey": on(11, F.lit("PROMO"), "ConditionKey"),
+    }
+    # Records that got lost.
+    return model.where(quantity != "2").withColumns(hurt)
+
+
+def damaged_dimensions(dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Payers listed twice, the first band missing, and hospitals without a name where the key ends in 1."""
+    unnamed = F.when(F.substring(ENTITY, -1, 1) != "1", F.col("HospitalName"))
+    return dims | {
+        "Payers": dims["Payers"].unionAll(dims["Payers"]),
+        "StayBands": dims["StayBands"].where("BandSort > 1"),
+        "Hospitals": dims["Hospitals"].withColumn("HospitalName", unnamed),
+    }
+
+
+def damaged_model_checks(lake: Lake) -> DataFrame:
+    """What the checks say of a damaged model and its damaged dimensions."""
+    model = stored_with(damaged_model(lake.model), "model-damaged", model_figures(lake.domain))
+    other = lake.with_layers(_model=model, dimensions=damaged_dimensions(lake.dimensions))
+    facts = Facts(other)
+    return reduce(DataFrame.unionByName, [f(facts) for f in (record_checks, key_checks, distribution_checks)])
+
+
+def layer_figures(lake: Lake) -> DataFrame:
+    """``layer``, ``figure``, ``value`` (text) of every layer, as gathered while it was written."""
+    return reduce(DataFrame.unionByName, [long_figures(row, name) for name, row in lake.figures.items()])
+
+
+def manifest_rows(lake: Lake) -> DataFrame:
+    """The rows that the manifest lists against those counted while each layer was written.
+
+    Beside the layers there are two extracts that do not keep to the manifest: one with line 4 of its ids twice, one
+    without line 7.
+    """
+    line = F.split("source_row_id", "-")[3]
+    extracts = {
+        "repeated extract": lake.raw.unionByName(lake.raw.where(line == "4")),
+        "cut extract": lake.raw.where(line != "7"),
+    }
+    figures = dict(lake.figures)
+    for name, rows in extracts.items():
+        figures[name] = stored_with(rows, "extract", {"rows": F.count(F.lit(1))})[1]
+    listed, read = F.lit(lake.listed_rows).cast("bigint"), F.col("rows")
+    status = F.when(read == listed, "ok").when(read > listed, "more").otherwise("fewer")
+    parts = [
+        row.select(F.lit(name).alias("layer"), listed.alias("listed_rows"), read.alias("rows_read"), status.alias("status"))
+        for name, row in figures.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def contract_check(lake: Lake, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Each model table against its contract: columns, rows, undescribed columns, header rows as data."""
-    tables = {"Discharges": lake.star().fact, **lake.dimensions}
+    tables = {"Discharges": lake.star().fact, **lake.dimensions} if tables is None else tables
     parts = []
     for name, columns in MODEL_TABLES.items():
         table = tables[name]
@@ -363,3 +466,17 @@ def contract_check(lake: Lake) -> DataFrame:
             )
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+def contract_damaged(lake: Lake) -> DataFrame:
+    """The contract check of tables that break it: a header as data, a lost, a foreign and an undescribed column."""
+    fact, dims = lake.star().fact, lake.dimensions
+    header = lake.spark.createDataFrame([("PrimaryPayer",)], "PrimaryPayer string")
+    tables = {
+        "Discharges": fact.drop("PeerN", "PeerHospitals"),
+        **dims,
+        "Payers": dims["Payers"].unionAll(header),
+        "Severity": dims["Severity"].withColumnRenamed("Severity", "Note"),
+        "Hospitals": dims["Hospitals"].withColumn("Beds", F.lit(0)),
+    }
+    return contract_check(lake, tables)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from peerbench.functions.text import band, lenient_int, parse_capped, short_label, to_cents, to_int
 from peerbench.operators.benchmark import assign_expected, leave_one_out
-from peerbench.operators.ordering import number_rows, place_rows
+from peerbench.operators.figures import stored_with
+from peerbench.operators.ordering import number_rows, placed_rows
 from peerbench.plans.layout import (
     BAND_EDGES,
     ENTITY,
@@ -52,14 +53,10 @@ def clean_fields(raw: DataFrame, *kept: str) -> DataFrame:
     )
 
 
-def place_records(raw: DataFrame) -> DataFrame:
-    """Typed records of a trimmed extract, written in the order of the source id."""
-    return place_rows(
-        raw.select(*RAW_FIELDS),
-        [F.col("source_row_id")],
-        "records",
-        lambda ordered: clean_fields(ordered, "_part", "_place"),
-    )
+def place_records(raw: DataFrame, figures: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Typed records of a trimmed extract, written in the order of the source id, and their figures."""
+    placed = placed_rows(raw.select(*RAW_FIELDS), [F.col("source_row_id")])
+    return stored_with(clean_fields(placed, "_part", "_place"), "records", figures)
 
 
 def clean_records(placed: DataFrame) -> DataFrame:

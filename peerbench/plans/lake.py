@@ -9,11 +9,12 @@ from __future__ import annotations
 import threading
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.functions.text import to_cents, trim_all
-from peerbench.operators.benchmark import entity_summary, stratum_totals
+from peerbench.functions.text import to_cents, trim_all, valid_capped
+from peerbench.operators.benchmark import entity_summary, observed_matched, stratum_totals, whole_sum
+from peerbench.operators.figures import blanks, bounds, stored_with
 from peerbench.operators.star import Star, dimension
 from peerbench.plans.binding import raw_stays, table_paths
 from peerbench.plans.clean import (
@@ -38,24 +39,126 @@ from peerbench.sources.literals import ordered_labels, scenario_table
 from peerbench.sources.text import read_text_table
 
 
+def _count(predicate: Column) -> Column:
+    return F.count(F.when(predicate, 1))
+
+
+def raw_figures() -> dict[str, Column]:
+    """What the writing of a raw extract tells: rows, money, blanks of every field, first and last id."""
+    return {
+        "rows": F.count(F.lit(1)),
+        "cost_cents": F.sum(to_cents(F.col("total_costs")).cast("decimal(20,0)")),
+        "charges_cents": F.sum(to_cents(F.col("total_charges")).cast("decimal(20,0)")),
+        **bounds(["source_row_id"]),
+        **blanks(list(RAW_FIELDS)),
+    }
+
+
+def record_figures() -> dict[str, Column]:
+    """What the writing of typed records tells: rows, money, bounds and values that are no stay or no money."""
+    return {
+        "rows": F.count(F.lit(1)),
+        "cost_cents": whole_sum("CostCents"),
+        "charges_cents": whole_sum("ChargesCents"),
+        "exact_stays": F.count("ExactLOS"),
+        "capped_stays": F.sum("LOSCensored"),
+        "invalid_stays": _count(~valid_capped(F.col("SourceLOS"))),
+        "costs_not_positive": _count(~F.coalesce(F.col("CostCents") > 0, F.lit(False))),
+        "charges_not_positive": _count(~F.coalesce(F.col("ChargesCents") > 0, F.lit(False))),
+        **bounds(["ExactLOS", "CostCents", "ChargesCents", "DischargeYear", "SeverityKey"]),
+    }
+
+
+def model_figures(domain: Domain) -> dict[str, Column]:
+    """What the writing of the model tells: rows, money, and whether eligibility keeps its rules."""
+    known, eligible = F.col("ExactLOS").isNotNull(), F.col("BenchmarkEligible") == 1
+    return {
+        "rows": F.count(F.lit(1)),
+        "cost_cents": whole_sum("CostCents"),
+        "exact_stays": F.count("ExactLOS"),
+        "capped_stays": F.sum("LOSCensored"),
+        "capped_with_exact": _count((F.col("LOSCensored") == 1) & known),
+        "matched": F.sum("BenchmarkEligible"),
+        "matched_days": observed_matched(),
+        "few_peers": _count(eligible & (F.col("PeerN") < domain.min_peers)),
+        "few_hospitals": _count(eligible & (F.col("PeerHospitals") < domain.min_entities)),
+        **bounds(["DischargeKey", "PeerN", "PeerHospitals"]),
+    }
+
+
+# Keys of the model with the attributes that belong to each; dimensions and checks start from their values.
+KEY_ATTRIBUTES = {
+    "HospitalKey": ("HospitalName", "HospitalCounty"),
+    "ConditionKey": ("ConditionDescription",),
+    "SeverityKey": ("Severity",),
+    "AgeGroup": (),
+    "PrimaryPayer": (),
+    "StayBand": (),
+}
+
+
+def key_values(model: DataFrame) -> DataFrame:
+    """``field``, ``value`` (text), ``attributes`` (JSON), ``n``, and for hospitals ``cost_cents``: every key of the
+    model with what belongs to it, from one pass."""
+    options = {"ignoreNullFields": "false"}
+    entries = [
+        F.struct(
+            F.lit(key).alias("field"),
+            F.col(key).cast("string").alias("value"),
+            (F.to_json(F.struct(*names), options) if names else F.lit(None).cast("string")).alias("attributes"),
+            (F.col("CostCents") if key == ENTITY_FIELDS[0] else F.lit(None).cast("bigint")).alias("cents"),
+        )
+        for key, names in KEY_ATTRIBUTES.items()
+    ]
+    rows = model.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
+    return rows.groupBy("field", "value", "attributes").agg(
+        F.count(F.lit(1)).alias("n"), whole_sum("cents").alias("cost_cents")
+    )
+
+
 class Lake:
-    """Layers derived from one raw extract."""
+    """Layers derived from one raw extract.
+
+    ``listed_rows`` is the number of rows that the manifest of the extract gives, if there is one.  Every layer has
+    ``figures`` that were gathered while it was written.
+    """
 
-    def __init__(self, source: DataFrame, domain: Domain, folder: str = ""):
+    def __init__(self, source: DataFrame, domain: Domain, folder: str = "", listed_rows: int | None = None):
         self.source = source
         self.domain = domain
         self.folder = folder
+        self.listed_rows = listed_rows
         self.spark: SparkSession = source.sparkSession
 
+    def with_layers(self, **layers) -> Lake:
+        """The same lake with other layers (attribute -> value); those that are written already are shared."""
+        other = Lake(self.source, self.domain, self.folder, self.listed_rows)
+        for name in ("_raw", "_records", "benchmark", "_model", "dimensions"):
+            other.__dict__[name] = layers.get(name, getattr(self, name))
+        return other
+
     @cached_property
+    def _raw(self) -> tuple[DataFrame, DataFrame]:
+        return stored_with(trim_all(self.source), "raw", raw_figures())
+
+    @property
     def raw(self) -> DataFrame:
         """The all-text extract, surrounding whitespace removed."""
-        return stored(trim_all(self.source), "raw")
+        return self._raw[0]
 
     @cached_property
+    def _records(self) -> tuple[DataFrame, DataFrame]:
+        return place_records(self.raw, record_figures())
+
+    @property
     def records(self) -> DataFrame:
         """Typed records without their key, for whatever does not need it."""
-        return place_records(self.raw)
+        return self._records[0]
+
+    @property
+    def figures(self) -> dict[str, DataFrame]:
+        """One row of figures for each written layer: raw, records, model."""
+        return {"raw": self._raw[1], "records": self._records[1], "model": self._model[1]}
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -67,8 +170,12 @@ class Lake:
         return stored(benchmark_table(self.records, self.domain), "benchmark")
 
     @cached_property
+    def _model(self) -> tuple[DataFrame, DataFrame]:
+        return stored_with(model_records(self.clean, self.benchmark), "model", model_figures(self.domain))
+
+    @property
     def model(self) -> DataFrame:
-        return stored(model_records(self.clean, self.benchmark), "model")
+        return self._model[0]
 
     @cached_property
     def labelled(self) -> DataFrame:
@@ -78,20 +185,33 @@ class Lake:
     def summary(self) -> DataFrame:
         return entity_summary(self.model, ENTITY_FIELDS, self.domain.min_matched)
 
+    @cached_property
+    def key_values(self) -> DataFrame:
+        """Values of every key of the model, with attributes, counts and costs, from one pass."""
+        return stored(key_values(self.model), "key-values")
+
+    def _dimension(self, key: str) -> DataFrame:
+        """Distinct values of a key with their attributes."""
+        kinds = {f.name: f.dataType.simpleString() for f in self.model.schema}
+        names = KEY_ATTRIBUTES[key]
+        rows = self.key_values.where(F.col("field") == key)
+        value = F.col("value").cast(kinds[key]).alias(key)
+        if not names:
+            return dimension(rows.select(value), key)
+        kind = ", ".join(f"{name} {kinds[name]}" for name in names)
+        attributes = rows.select(value, F.from_json("attributes", kind).alias("_a")).select(key, "_a.*")
+        return dimension(attributes, key, names)
+
     @cached_property
     def dimensions(self) -> dict[str, DataFrame]:
         """The seven small tables of the star schema."""
-        # One pass over the records; what is left has as many rows as attributes occur together.
-        names = ["ConditionKey", "ConditionDescription", "SeverityKey", "Severity", "PrimaryPayer"]
-        model = stored(self.model.select(*ENTITY_FIELDS, *names).distinct(), "attributes")
-        conditions = dimension(model, "ConditionKey", ["ConditionDescription"])
-        conditions = conditions.withColumn("Condition", condition_label(self.domain))
+        conditions = self._dimension("ConditionKey").withColumn("Condition", condition_label(self.domain))
         return {
-            "Hospitals": stored(dimension(model, ENTITY_FIELDS[0], ENTITY_FIELDS[1:]), "hospitals"),
+            "Hospitals": stored(self._dimension("HospitalKey"), "hospitals"),
             "Conditions": stored(conditions, "conditions"),
-            "Severity": stored(dimension(model, "SeverityKey", ["Severity"]), "severity"),
+            "Severity": stored(self._dimension("SeverityKey"), "severity"),
             "AgeGroups": ordered_labels(self.spark, self.domain.age_groups, "AgeGroup", "AgeSort"),
-            "Payers": stored(dimension(model, "PrimaryPayer"), "payers"),
+            "Payers": stored(self._dimension("PrimaryPayer"), "payers"),
             "StayBands": ordered_labels(self.spark, STAY_BANDS, "StayBand", "BandSort"),
             "Scenario": scenario_table(self.spark),
         }
@@ -126,10 +246,16 @@ class Lake:
         return Star(fact_table(self.model), dims)
 
 
-def from_extract(spark: SparkSession, path: str | list[str], domain: Domain) -> Lake:
-    """Layers of a raw CSV extract, or of a folder of its pages."""
+def from_extract(
+    spark: SparkSession, path: str | list[str], domain: Domain, manifest: DataFrame | None = None
+) -> Lake:
+    """Layers of a raw CSV extract, or of a folder of its pages.
+
+    With a manifest (a column ``row_count``, the same in each of its rows) the checks compare the rows read.
+    """
     rows = read_text_table(spark, path, RAW_FIELDS)
-    return Lake(rows, domain)
+    listed = manifest.agg(F.max(F.col("row_count").cast("bigint"))).first()[0] if manifest is not None else None
+    return Lake(rows, domain, listed_rows=listed)
 
 
 _lakes: dict[tuple[str, str, str], Lake] = {}
@@ -142,5 +268,7 @@ def supply_lake(spark: SparkSession, sf_dir: str) -> Lake:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), state)
     with _lock:
         if key not in _lakes:
-            _lakes[key] = Lake(raw_stays(spark, sf_dir), SUPPLY, sf_dir.rstrip("/"))
+            # Every line item is a stay; the footers of its files tell how many there are.
+            listed = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").count()
+            _lakes[key] = Lake(raw_stays(spark, sf_dir), SUPPLY, sf_dir.rstrip("/"), listed)
         return _lakes[key]

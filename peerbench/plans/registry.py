@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.functions.text import half_even_cents, to_cents
+from peerbench.functions.text import half_even_cents, to_cents, trim_all
 from peerbench.operators import benchmark as bm
 from peerbench.operators.ordering import every_kth
 from peerbench.operators.profile import blank_counts, group_counts, repeated_rows
@@ -281,6 +281,33 @@ def blank_fields(lake: Lake) -> DataFrame:
     return blank_counts(lake.raw)
 
 
+def _padded(lake: Lake) -> DataFrame:
+    """The raw extract with blanks and surrounding whitespace, told by the line in its ids."""
+    line = F.split("source_row_id", "-")[3]
+    area = F.col("health_service_area")
+    return trim_all(
+        lake.raw.withColumns(
+            {
+                "health_service_area": F.when(line == "2", F.concat(F.lit("\u00a0\t"), area, F.lit(" \u2003\n")))
+                .when(line == "3", F.lit(" \u3000"))
+                .when(line == "4", F.lit(None).cast("string"))
+                .otherwise(area),
+                "patient_disposition": F.when(line == "5", "\x1f").otherwise(F.col("patient_disposition")),
+            }
+        )
+    )
+
+
+@query
+def blank_fields_padded(lake: Lake) -> DataFrame:
+    return blank_counts(_padded(lake))
+
+
+@query
+def profile_area_padded(lake: Lake) -> DataFrame:
+    return group_counts(_padded(lake), ["health_service_area"])
+
+
 @query
 def profile_area(lake: Lake) -> DataFrame:
     return group_counts(lake.raw, ["health_service_area"])
@@ -530,6 +557,31 @@ def checks_damaged(lake: Lake) -> DataFrame:
     return checks.damaged_checks(lake)
 
 
+@query
+def checks_damaged_model(lake: Lake) -> DataFrame:
+    return checks.damaged_model_checks(lake)
+
+
+@query
+def layer_figures(lake: Lake) -> DataFrame:
+    return checks.layer_figures(lake)
+
+
+@query
+def manifest_rows(lake: Lake) -> DataFrame:
+    return checks.manifest_rows(lake)
+
+
+@query
+def contract_damaged(lake: Lake) -> DataFrame:
+    return checks.contract_damaged(lake)
+
+
+@query
+def peer_reconciliation_damaged(lake: Lake) -> DataFrame:
+    return checks.peer_reconciliation_damaged(lake)
+
+
 @query
 def contract_check(lake: Lake) -> DataFrame:
     return checks.contract_check(lake)
