@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import ratio
 from peerbench.operators.benchmark import observed_matched
-from peerbench.operators.median import narrowed_median
+from peerbench.operators.sketches import seeded_median
 
 
 def by_selection(df: DataFrame, flags: dict[str, str]) -> DataFrame:
@@ -56,11 +56,11 @@ def selection_metrics(model: DataFrame, selections: dict[str, Column], entity: s
             F.sum("_expected").alias("ExpectedMatchedDays"),
         )
     )
-    medians = narrowed_median(
+    medians = seeded_median(
         rows,
         list(flags.values()),
         "CostCents",
-        lambda counts: by_selection(counts, flags),
+        lambda finest: by_selection(finest, flags),
         ["Selection"],
     )
     labels = model.sparkSession.createDataFrame([(s,) for s in selections], "Selection string")

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import blank_minus, display, ratio
-from peerbench.operators.median import narrowed_median
 from peerbench.operators.scenario import BRIDGE_STEPS, selected_rate
+from peerbench.operators.sketches import REGISTERS, seeded_median
 
 # Display threshold of the index measures: matched records needed in the current selection.
 MIN_MATCHED = 30
@@ -303,13 +303,15 @@ def evaluate(
     mode: str = "group",
     step: Column | None = None,
     entity: str = "HospitalKey",
+    approximate: bool = False,
 ) -> DataFrame:
     """``by`` columns and one column per measure.
 
     ``selection`` narrows the records (column -> chosen values, or a predicate); their expectations stay as
     assigned.  ``rate`` is the chosen reduction and ``step`` the chosen bridge step.  With ``mode`` rollup or
     cube there are subtotal rows as well, told apart by ``level`` (the grouping id); every measure of a
-    subtotal is computed from its own sums, never from the values of its parts.
+    subtotal is computed from its own sums, never from the values of its parts.  With ``approximate`` hospitals are
+    estimated from sketches, so they need no row per group and hospital.
     """
     rows = model
     if isinstance(selection, dict):
@@ -320,7 +322,10 @@ def evaluate(
 
     needs = list(dict.fromkeys(need for m in measures for need in MEASURES[m].needs))
     level = [] if mode == "group" else ["level"]
-    bases = _grouped(rows, by, needs, entity) if mode == "group" else _subtotals(rows, by, needs, entity, mode)
+    if mode == "group":
+        bases = _grouped(rows, by, needs, entity, approximate)
+    else:
+        bases = _subtotals(rows, by, needs, entity, mode, approximate)
     if COST_MEDIAN in needs:
         medians = _cost_medians(rows, by, mode)
         if by or level:
@@ -340,10 +345,13 @@ def evaluate(
     )
 
 
-def _grouped(rows: DataFrame, by: Sequence[str], needs: Sequence[str], entity: str) -> DataFrame:
+def _grouped(
+    rows: DataFrame, by: Sequence[str], needs: Sequence[str], entity: str, approximate: bool
+) -> DataFrame:
     aggregates = [ADDITIVE[need]().alias(f"_{need}") for need in needs if need in ADDITIVE]
     if HOSPITALS in needs:
-        aggregates.append(F.count_distinct(entity).alias(HOSPITALS))
+        sketched = F.hll_sketch_estimate(F.hll_sketch_agg(entity, REGISTERS))
+        aggregates.append((sketched if approximate else F.count_distinct(entity)).alias(HOSPITALS))
     if STAY_MEDIAN in needs:
         # At most 119 distinct stays per group, so the aggregation state is small.
         aggregates.append(F.median("ExactLOS").alias(STAY_MEDIAN))
@@ -351,40 +359,45 @@ def _grouped(rows: DataFrame, by: Sequence[str], needs: Sequence[str], entity: s
 
 
 def _subtotals(
-    rows: DataFrame, by: Sequence[str], needs: Sequence[str], entity: str, mode: str
+    rows: DataFrame, by: Sequence[str], needs: Sequence[str], entity: str, mode: str, approximate: bool
 ) -> DataFrame:
     detail = list(by)
-    if HOSPITALS in needs and entity not in detail:
+    if HOSPITALS in needs and entity not in detail and not approximate:
         detail.append(entity)
     if STAY_MEDIAN in needs:
         detail.append("ExactLOS")
     additive = [need for need in needs if need in ADDITIVE]
+    sketches = [F.hll_sketch_agg(entity, REGISTERS).alias("_sketch")] if approximate and HOSPITALS in needs else []
     finest = rows.groupBy(*detail).agg(
-        F.count(F.lit(1)).alias("_rows"), *[ADDITIVE[need]().alias(f"_{need}") for need in additive]
+        F.count(F.lit(1)).alias("_rows"), *[ADDITIVE[need]().alias(f"_{need}") for need in additive], *sketches
     )
     grouped = finest.rollup(*by) if mode == "rollup" else finest.cube(*by)
     aggregates = [F.grouping_id().alias("level")]
     aggregates += [F.sum(f"_{need}").alias(f"_{need}") for need in additive]
     if HOSPITALS in needs:
-        aggregates.append(F.count_distinct(entity).alias(HOSPITALS))
+        merged = F.hll_sketch_estimate(F.hll_union_agg("_sketch", F.lit(False)))
+        aggregates.append((merged if approximate else F.count_distinct(entity)).alias(HOSPITALS))
     if STAY_MEDIAN in needs:
         aggregates.append(F.percentile("ExactLOS", 0.5, F.col("_rows")).alias(STAY_MEDIAN))
     return grouped.agg(*aggregates)
 
 
-def _cost_medians(rows: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
+def cost_medians(rows: DataFrame, by: Sequence[str], mode: str = "group") -> DataFrame:
+    """``by`` (and ``level`` for subtotals), ``low`` and ``high``: the middle costs in cents."""
     if mode == "group":
-        keys = list(by)
-        medians = narrowed_median(rows, by, "CostCents")
-    else:
-        keys = ["level", *by]
+        return seeded_median(rows, by, "CostCents")
+
+    def expand(finest: DataFrame) -> DataFrame:
+        others = [c for c in finest.columns if c not in by]
+        sets = F.explode(_grouping_sets(finest, by, mode)).alias("_g")
+        return finest.select(*others, sets).select(*others, "_g.*")
 
-        def expand(counts: DataFrame) -> DataFrame:
-            sets = F.explode(_grouping_sets(counts, by, mode)).alias("_g")
-            return counts.select("_b", "_n", sets).select("_b", "_n", "_g.*")
+    return seeded_median(rows, by, "CostCents", expand, ["level", *by])
 
-        medians = narrowed_median(rows, by, "CostCents", expand, keys)
-    return medians.select(*keys, (F.col("low") + F.col("high")).alias(COST_MEDIAN))
+
+def _cost_medians(rows: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
+    keys = list(by) if mode == "group" else ["level", *by]
+    return cost_medians(rows, by, mode).select(*keys, (F.col("low") + F.col("high")).alias(COST_MEDIAN))
 
 
 def _grouping_sets(rows: DataFrame, by: Sequence[str], mode: str) -> Column:

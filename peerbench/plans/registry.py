@@ -16,12 +16,14 @@ from peerbench.operators import benchmark as bm
 from peerbench.operators.ordering import every_kth
 from peerbench.operators.profile import blank_counts, group_counts, repeated_rows
 from peerbench.operators.scenario import selected_rate
-from peerbench.operators.selections import selection_metrics
+from peerbench.operators.selections import by_selection, selection_metrics
+from peerbench.operators.sketches import distinct_counts, distinct_sketches, within_error
 from peerbench.plans import analysis, checks, extract, reports
 from peerbench.plans.clean import benchmark_table
 from peerbench.plans.lake import Lake, supply_lake
 from peerbench.plans.layout import ENTITY, STRATA
-from peerbench.plans.measures import displayed, evaluate
+from peerbench.plans.measures import cost_medians, displayed, evaluate
+from peerbench.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -345,6 +347,70 @@ def selection_results(lake: Lake) -> DataFrame:
     return selection_metrics(lake.model, lake.domain.predicates(), ENTITY)
 
 
+def _with_order(lake: Lake) -> DataFrame:
+    """The labelled model with the order of each line, of which there are many per group."""
+    return lake.labelled.withColumn("OrderId", F.split("SourceRowId", "-")[0])
+
+
+@query
+def hospitals_sketched(lake: Lake) -> DataFrame:
+    """Exact distinct counts of a cube, and whether the merged sketches of its finest groups are within their error."""
+    by = ["Condition", "SeverityKey"]
+    rows = _with_order(lake)
+    names = {"Hospitals": F.col("HospitalKey"), "Orders": F.col("OrderId")}
+    sketches = stored(distinct_sketches(rows, by, names), "sketches")
+    estimates = distinct_counts(sketches, by, list(names), "cube").withColumnsRenamed({n: f"_{n}" for n in names})
+    exact = rows.cube(*by).agg(
+        F.grouping_id().alias("level"), *[F.count_distinct(c).alias(n) for n, c in names.items()]
+    )
+    return _compared(exact, estimates, [*by, "level"], list(names))
+
+
+def _compared(exact: DataFrame, estimates: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    on = F.lit(True)
+    for key in keys:
+        on = on & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
+    within = [within_error(F.col(f"_{n}"), F.col(n)).alias(f"{n}Within") for n in names]
+    return exact.alias("l").join(estimates.alias("r"), on, "left").select(*[f"l.{k}" for k in keys], *names, *within)
+
+
+@query
+def selections_sketched(lake: Lake) -> DataFrame:
+    """The same for the named selections: sketches per combination of selections, merged per selection."""
+    selections = lake.domain.predicates()
+    flags = {label: f"_in{i}" for i, label in enumerate(selections)}
+    rows = _with_order(lake).withColumns({flags[s]: F.coalesce(p, F.lit(False)) for s, p in selections.items()})
+    names = {"Hospitals": F.col("HospitalKey"), "Orders": F.col("OrderId")}
+    sketches = stored(distinct_sketches(rows, list(flags.values()), names), "sketches")
+    estimates = distinct_counts(by_selection(sketches, flags), ["Selection"], list(names))
+    exact = by_selection(rows, flags).groupBy("Selection").agg(*[F.count_distinct(c).alias(n) for n, c in names.items()])
+    return _compared(exact, estimates.withColumnsRenamed({n: f"_{n}" for n in names}), ["Selection"], list(names))
+
+
+@query
+def measures_approximate(lake: Lake) -> DataFrame:
+    """A rollup whose hospitals are estimated: within the error of the exact ones, all other measures equal."""
+    by = ["Condition", "SeverityKey"]
+    names = ["Discharges", "Hospitals", "AvgLOS"]
+    estimated = evaluate(lake.labelled, names, by, mode="rollup", approximate=True)
+    exact = evaluate(lake.labelled, ["Hospitals"], by, mode="rollup")
+    kept = estimated.withColumnRenamed("Hospitals", "_Hospitals")
+    on = F.lit(True)
+    for key in [*by, "level"]:
+        on = on & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
+    within = within_error(F.col("_Hospitals"), F.col("Hospitals")).alias("HospitalsWithin")
+    return kept.alias("l").join(exact.alias("r"), on).select(
+        *[f"l.{key}" for key in [*by, "level"]], "Discharges", "AvgLOS", "Hospitals", within
+    )
+
+
+@query
+def medians_seeded(lake: Lake) -> DataFrame:
+    """Middle costs of a cube, found with sketches of its finest groups."""
+    by = ["Condition", "HospitalCounty"]
+    return cost_medians(lake.labelled, by, "cube").withColumn("level", F.col("level").cast("bigint"))
+
+
 # --- measures ----------------------------------------------------------------------------------------
 
 PLAIN = (
