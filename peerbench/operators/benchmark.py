@@ -51,6 +51,13 @@ def leave_one_out(
     )
 
 
+def leave_one_out_from_parts(
+    partials: DataFrame, entity: str, strata: Sequence[str], min_peers: int = 30, min_entities: int = 3
+) -> DataFrame:
+    """The same result from the parts of all entities (``own_n``, ``own_sum``)."""
+    return _minus_own(partials, stratum_totals(partials, strata), entity, strata, min_peers, min_entities, False)
+
+
 def leave_one_out_from_records(
     df: DataFrame,
     entity: str,

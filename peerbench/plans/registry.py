@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from peerbench.functions.text import half_even_cents, to_cents, trim_all
 from peerbench.operators import benchmark as bm
+from peerbench.operators.digests import compare_tables
 from peerbench.operators.ordering import every_kth
 from peerbench.operators.profile import blank_counts, group_counts, repeated_rows
 from peerbench.operators.scenario import selected_rate
 from peerbench.operators.selections import by_selection, selection_metrics
 from peerbench.operators.sketches import distinct_counts, distinct_sketches, within_error
+from peerbench.operators.upkeep import Rules, Version, first_version, next_version
 from peerbench.plans import analysis, checks, extract, reports
-from peerbench.plans.clean import benchmark_table
+from peerbench.plans.clean import benchmark_table, model_records
 from peerbench.plans.lake import Lake, supply_lake
 from peerbench.plans.layout import ENTITY, STRATA
 from peerbench.plans.measures import cost_medians, displayed, evaluate
@@ -170,6 +172,42 @@ def condition_summary(lake: Lake) -> DataFrame:
     return bm.entity_summary(lake.model, by, min_matched=100)
 
 
+UPKEEP = Rules(ENTITY, STRATA, "ExactLOS")
+
+
+def benchmark_versions(lake: Lake) -> tuple[Version, Version]:
+    """A benchmark without late promotional stays, and one with them but without line 7 of economy stays."""
+    records = lake.records.filter(lake.domain.comparable())
+    late = (F.col("ConditionKey") == "PROMO") & (F.col("DischargeYear") >= 1996)
+    line = F.split("SourceRowId", "-")[3]
+    out = (F.col("ConditionKey") == "ECONOMY") & (line == "7")
+    first = first_version(records.where(~late), UPKEEP)
+    return first, next_version(first, records.where(late), records.where(out), UPKEEP)
+
+
+@query
+def benchmark_upkeep(lake: Lake) -> DataFrame:
+    """The second version, with a mark on the strata that it changed."""
+    _, second = benchmark_versions(lake)
+    touched = second.touched.withColumn("touched", F.lit(True))
+    return second.benchmark.join(touched, list(STRATA), "left").withColumn("touched", F.coalesce("touched", F.lit(False)))
+
+
+@query
+def benchmark_version_sizes(lake: Lake) -> DataFrame:
+    """Rows, supported rows and changed strata of both versions; the first stays as it was."""
+    parts = [
+        v.benchmark.agg(
+            F.lit(v.number).alias("version"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count("expected").alias("supported"),
+            F.sum("own_n").alias("records"),
+        ).withColumn("touched_strata", v.touched.agg(F.count(F.lit(1))).scalar())
+        for v in benchmark_versions(lake)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # --- analysis ----------------------------------------------------------------------------------------
 
 
@@ -658,6 +696,41 @@ def peer_reconciliation(lake: Lake) -> DataFrame:
     return checks.peer_reconciliation(lake)
 
 
+def _independent_model(lake: Lake) -> DataFrame:
+    """The model again, with stratum totals taken from the records and not from the hospitals' parts."""
+    again = bm.leave_one_out_from_records(lake.records.filter(lake.domain.comparable()), ENTITY, STRATA, "ExactLOS")
+    return model_records(lake.clean, again).select(*lake.model.columns)
+
+
+def _defective_model(lake: Lake) -> DataFrame:
+    """The model with a wrong cost, a lost record and a repeated one here and there."""
+    key, cost = F.col("DischargeKey"), F.col("CostCents")
+    changed = lake.model.where(key % 2003 != 0).withColumn("CostCents", F.when(key % 1009 == 0, cost + 1).otherwise(cost))
+    return changed.unionAll(changed.where(key % 4001 == 0))
+
+
+@query
+def digest_equal(lake: Lake) -> DataFrame:
+    """Two models made in different ways: equal digests, so no row is compared."""
+    compared = compare_tables(lake.model, stored(_independent_model(lake), "model-again"), "DischargeKey")
+    sizes = [t.agg(F.sum("rows").cast("bigint")).scalar() for t in (compared.left_leaves, compared.right_leaves)]
+    return compared.ranges().agg(F.count(F.lit(1)).alias("differing_ranges")).select(
+        sizes[0].alias("left_rows"), sizes[1].alias("right_rows"), "differing_ranges"
+    )
+
+
+@query
+def digest_ranges(lake: Lake) -> DataFrame:
+    return compare_tables(lake.model, _defective_model(lake), "DischargeKey").ranges()
+
+
+@query
+def digest_rows(lake: Lake) -> DataFrame:
+    """The differing rows themselves, from the differing ranges only."""
+    compared = compare_tables(lake.model, _defective_model(lake), "DischargeKey")
+    return compared.rows().select("DischargeKey", "HospitalKey", "CostCents", "side")
+
+
 @query
 def peer_spot_check(lake: Lake) -> DataFrame:
     return checks.peer_spot_check(lake)
