@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import blank_minus, display, ratio
+from peerbench.operators.pareto import pareto
 from peerbench.operators.scenario import BRIDGE_STEPS, selected_rate
 from peerbench.operators.sketches import REGISTERS, seeded_median
+from peerbench.session import stored
 
 # Display threshold of the index measures: matched records needed in the current selection.
 MIN_MATCHED = 30
@@ -36,6 +38,9 @@ ADDITIVE = {
 }
 # Base aggregates that need the values themselves.
 HOSPITALS, STAY_MEDIAN, COST_MEDIAN = "hospitals", "stay_median", "cost_median"
+# Bases that compare the hospitals of a group with each other.
+COST_RANK, RUNNING_COST, RUNNING_SHARE = "cost_rank", "running_cost", "running_share"
+RANKED = "HospitalName"
 
 
 @dataclass(frozen=True)
@@ -243,20 +248,20 @@ MEASURES = {
         "Observed less expected days on matched records.",
     ),
     "HospitalCostRank": Measure(
-        "Hospital Cost Rank", (), lambda b: _in_pareto(), "#,##0", "Cost", "Rank of a hospital by cost."
+        "Hospital Cost Rank", (COST_RANK,), lambda b: b[COST_RANK], "#,##0", "Cost", "Rank of a hospital by cost."
     ),
     "CumulativeEstimatedCost": Measure(
         "Cumulative Estimated Cost",
-        (),
-        lambda b: _in_pareto(),
+        (RUNNING_COST,),
+        lambda b: b[RUNNING_COST].cast("double") / 100,
         "$#,##0",
         "Cost",
         "Running cost from the costliest hospital.",
     ),
     "CumulativeCostPct": Measure(
         "Cumulative Cost %",
-        (),
-        lambda b: _in_pareto(),
+        (RUNNING_SHARE,),
+        lambda b: b[RUNNING_SHARE],
         "0.0%",
         "Cost",
         "Running cost over the cost of the selection.",
@@ -272,10 +277,6 @@ MEASURES = {
 }
 
 
-def _in_pareto() -> Column:
-    raise ValueError("rank and running cost depend on all hospitals: use reports.cost_pareto")
-
-
 def bridge_value(step: Column, observed: Column, rate: Column) -> Column:
     """Value of the one chosen bridge step; blank for none."""
     days = observed.cast("double")
@@ -327,15 +328,10 @@ def evaluate(
     else:
         bases = _subtotals(rows, by, needs, entity, mode, approximate)
     if COST_MEDIAN in needs:
-        medians = _cost_medians(rows, by, mode)
-        if by or level:
-            on = F.lit(True)
-            for key in [*by, *level]:
-                on = on & F.col(f"b.{key}").eqNullSafe(F.col(f"m.{key}"))
-            joined = bases.alias("b").join(medians.alias("m"), on, "left")
-            bases = joined.select("b.*", f"m.{COST_MEDIAN}")
-        else:
-            bases = bases.withColumn(COST_MEDIAN, medians.select(COST_MEDIAN).scalar())
+        bases = _beside(bases, _cost_medians(rows, by, mode), [*by, *level])
+    if {COST_RANK, RUNNING_COST, RUNNING_SHARE} & set(needs):
+        keys = [*by, *level]
+        bases = _beside(bases, _cost_ranks(rows, by, mode), keys)
 
     known = {need: F.col(f"_{need}" if need in ADDITIVE else need) for need in needs}
     known["rate"] = selected_rate() if rate is None else rate
@@ -345,6 +341,58 @@ def evaluate(
     )
 
 
+def _beside(bases: DataFrame, more: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``bases`` with the other columns of ``more``, which has at most one row per key; NULL keys are equal."""
+    added = [c for c in more.columns if c not in keys]
+    if not keys:
+        return bases.select("*", *[more.select(c).scalar().alias(c) for c in added])
+    on = F.lit(True)
+    for key in keys:
+        on = on & F.col(f"b.{key}").eqNullSafe(F.col(f"m.{key}"))
+    return bases.alias("b").join(more.alias("m"), on, "left").select("b.*", *[f"m.{c}" for c in added])
+
+
+def _cost_ranks(rows: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
+    """Rank, running cost and running share of every group among the hospitals that its other columns leave.
+
+    A group of one hospital is ranked among the hospitals of the same other columns.  A group of several hospitals
+    costs more than each of them, so it has rank 1, and the running cost is that of its costliest hospital.
+    """
+    keys = list(by) if mode == "group" else [*by, "level"]
+    costs = rows.groupBy(*by, F.col(RANKED).alias("_hospital")).agg(
+        F.sum(F.col("CostCents").cast("decimal(20,0)")).alias("_cost")
+    )
+    if mode != "group":
+        costs = _expanded(costs, by, mode).groupBy(*keys, "_hospital").agg(F.sum("_cost").alias("_cost"))
+    # One row per group and hospital; the records are not needed again.
+    costs = stored(costs, "hospital-costs")
+    kept = F.lit(RANKED in by)
+    if RANKED in by and mode != "group":
+        kept = F.col("level").bitwiseAND(F.lit(1 << (len(by) - 1 - list(by).index(RANKED)))) == 0
+    groups = costs.where(~kept).groupBy(*keys).agg(F.max("_cost").alias("_top"), F.sum("_cost").alias("_all"))
+    several = groups.select(
+        *keys,
+        F.when(F.col("_all").isNotNull(), F.lit(1)).cast("bigint").alias(COST_RANK),
+        F.col("_top").alias(RUNNING_COST),
+        ratio(F.col("_top"), F.col("_all")).alias(RUNNING_SHARE),
+    )
+    if RANKED not in by:
+        return several
+    others = [key for key in keys if key != RANKED]
+    single = pareto(costs.where(kept).withColumnRenamed("_cost", RUNNING_COST).drop("_hospital"), RANKED, RUNNING_COST, others)
+    single = single.select(
+        *keys, F.col("rank").cast("bigint").alias(COST_RANK), F.col("cumulative").alias(RUNNING_COST), F.col("share").alias(RUNNING_SHARE)
+    )
+    return single if mode == "group" else several.unionByName(single)
+
+
+def _expanded(finest: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
+    """One row for every subtotal that a finest group belongs to, with its ``level`` and all other columns."""
+    others = [c for c in finest.columns if c not in by]
+    sets = F.explode(_grouping_sets(finest, by, mode)).alias("_g")
+    return finest.select(*others, sets).select(*others, "_g.*")
+
+
 def _grouped(
     rows: DataFrame, by: Sequence[str], needs: Sequence[str], entity: str, approximate: bool
 ) -> DataFrame:
@@ -387,12 +435,7 @@ def cost_medians(rows: DataFrame, by: Sequence[str], mode: str = "group") -> Dat
     if mode == "group":
         return seeded_median(rows, by, "CostCents")
 
-    def expand(finest: DataFrame) -> DataFrame:
-        others = [c for c in finest.columns if c not in by]
-        sets = F.explode(_grouping_sets(finest, by, mode)).alias("_g")
-        return finest.select(*others, sets).select(*others, "_g.*")
-
-    return seeded_median(rows, by, "CostCents", expand, ["level", *by])
+    return seeded_median(rows, by, "CostCents", lambda finest: _expanded(finest, by, mode), ["level", *by])
 
 
 def _cost_medians(rows: DataFrame, by: Sequence[str], mode: str) -> DataFrame:

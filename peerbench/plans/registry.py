@@ -16,7 +16,7 @@ from peerbench.operators import benchmark as bm
 from peerbench.operators.digests import compare_tables
 from peerbench.operators.ordering import every_kth
 from peerbench.operators.profile import blank_counts, group_counts, repeated_rows
-from peerbench.operators.scenario import selected_rate
+from peerbench.operators.scenario import BRIDGE_STEPS, selected_rate
 from peerbench.operators.selections import by_selection, selection_metrics
 from peerbench.operators.sketches import distinct_counts, distinct_sketches, within_error
 from peerbench.operators.upkeep import Rules, Version, first_version, next_version
@@ -24,7 +24,7 @@ from peerbench.plans import analysis, checks, extract, reports
 from peerbench.plans.clean import benchmark_table, model_records
 from peerbench.plans.lake import Lake, supply_lake
 from peerbench.plans.layout import ENTITY, STRATA
-from peerbench.plans.measures import cost_medians, displayed, evaluate
+from peerbench.plans.measures import MEASURES, cost_medians, displayed, evaluate
 from peerbench.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -497,6 +497,32 @@ def measures_filtered(lake: Lake) -> DataFrame:
     return evaluate(lake.labelled, PLAIN, ["HospitalName", "SeverityKey"], selection, rate)
 
 
+@query
+def measures_ranked(lake: Lake) -> DataFrame:
+    """Ranks and running costs of the hospitals within each named selection."""
+    return evaluate(_by_selection(lake), RANKS, ["Selection", "HospitalName"])
+
+
+@query
+def measures_ranked_cube(lake: Lake) -> DataFrame:
+    return evaluate(lake.labelled, RANKS, ["Condition", "HospitalName"], mode="cube")
+
+
+@query
+def measures_all(lake: Lake) -> DataFrame:
+    """All 28 measures of the seven named selections in one call."""
+    remaining = F.lit(BRIDGE_STEPS[-1])
+    return evaluate(_by_selection(lake), list(MEASURES), ["Selection"], step=remaining)
+
+
+def _by_selection(lake: Lake) -> DataFrame:
+    flagged = lake.labelled.withColumns({f"_in{i}": p for i, p in enumerate(lake.domain.predicates().values())})
+    return by_selection(flagged, {label: f"_in{i}" for i, label in enumerate(lake.domain.selections)})
+
+
+RANKS = ["EstimatedCost", "HospitalCostRank", "CumulativeEstimatedCost", "CumulativeCostPct"]
+
+
 @query
 def measures_rollup(lake: Lake) -> DataFrame:
     return evaluate(lake.labelled, PLAIN, ["Condition", "SeverityKey"], mode="rollup")
