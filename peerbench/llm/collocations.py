@@ -1,22 +1,24 @@
 """Phrase collocation mining with stripes.
 
-A stripe belongs to a prefix of one or two words and counts the words that follow it; the empty word stands for
-the end of a piece, so a one-word stripe adds up to all occurrences of its prefix.  Tasks count whole slices of
-text, and what they emit are stripes, not pairs.  Merged element by element, the stripes give everything:
+A stripe belongs to a prefix of no, one or two words and counts the words that follow it.  Tasks count whole blocks
+of text, and what they emit are stripes, not pairs.  Merged element by element, the stripes give everything:
 
 * extensions: an element is the frequency of prefix and next word together;
-* prefix totals: the sum of a one-word stripe is the frequency of the word, and all sums together are ``n``;
+* prefix totals: the frequency of a prefix is an element of the stripe one word shorter, and the sum of the stripe
+  without prefix is ``n``;
 * subsumption maxima: the largest element of a two-word stripe is the best extension to the right of its prefix,
   and the largest of all elements with the same last two words is the best extension to the left.
 
-A stripe travels in up to ``PARTS`` parts by the hash of the next word, so the stripe of a frequent word is spread
-over as many tasks; equal elements always meet.  Parts are sorted by Spark, which spills, and merged as they
-stream by: a worker holds one part of one stripe beyond the batch at hand.
+The stripes are counted level by level.  A phrase cannot be more frequent than its parts, so the next level counts
+only phrases whose parts are frequent.  Tasks know these by a bitmap of a fixed size (``BITS``); parts that fall on
+the bit of a frequent one are counted too and drop out later, so the bitmap changes how much is shuffled, never the
+result.
 
-Two-word stripes are counted in a second pass, and only where both pairs of words of the phrase are frequent,
-for a phrase cannot be more frequent than its pairs.  Tasks know the frequent pairs by a bitmap of a fixed size
-(``PAIR_BITS``); pairs that fall on the bit of a frequent one are counted too and drop out later, so the bitmap
-changes how much is shuffled, never the result.
+A stripe is a row of two texts: its key, and its elements.  The stripe of a prefix that makes up more than one in
+``HOT`` of all words travels in ``PARTS`` parts by the hash of the next word, and that without prefix in
+``PARTS * PARTS``; equal elements always meet.  There are fewer than ``HOT`` such prefixes, whatever the data.
+Stripes are sorted by Spark, which spills, and merged as they stream by: a worker holds one part of one stripe
+beyond the batch at hand.
 
 Null texts are empty and have no words; a null language is ``und``.  Repeated rows count as often as they occur.
 Phrases do not cross the marks that end a piece.  An empty table, or one without frequent phrases, gives an empty
@@ -26,6 +28,7 @@ result.  Texts are handled in blocks of whole pieces, so memory follows the long
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,24 +46,17 @@ MARKS = b".,;:!?\n\x0b\x0c\r"
 ROMAN = bytes(range(65, 91)), bytes(range(97, 123))
 LEVELLED = bytes.maketrans(ROMAN[0] + MARKS + b"\t", ROMAN[1] + b"." * len(MARKS) + b" ")
 PARTS = 64
-PAIR_BITS = 1 << 27
-# Bits of one row of the bitmap, as Spark's bitmap functions lay them out.
+HOT = 1000
+BITS = 1 << 27
+# Bits of one row of a bitmap, as Spark's bitmap functions lay them out.
 BITMAP_ROW = 1 << 15
 # Bytes of text counted at a time.
-BLOCK = 4 << 20
+BLOCK = 8 << 20
 # The best phrases are found in so many salts first, then among the best of all salts.
 SALTS = 16
 
-STRIPE = pa.schema(
-    [
-        ("lang", pa.string()),
-        ("prefix", pa.binary()),
-        ("part", pa.int32()),
-        ("next", pa.list_(pa.binary())),
-        ("count", pa.list_(pa.int64())),
-    ]
-)
-STRIPE_DDL = "lang string, prefix binary, part int, next array<binary>, count array<bigint>"
+# Key: prefix, part and language in lines; words: the elements, each with its count behind a tab where that is not 1.
+STRIPE_DDL = "key binary, words binary"
 MERGED_DDL = "lang string, prefix binary, next binary, f bigint, bit bigint"
 DECIMAL = "decimal(38,0)"
 
@@ -82,34 +78,64 @@ def hashed_words(words: list[bytes], lang: str) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def pair_bits(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Place in the bitmap of pairs of hashed words."""
+def places(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Places in a bitmap of pairs of hashed words; a word alone is paired with the empty one."""
     mixed = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (second + (first >> np.uint64(29)))
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return (mixed >> np.uint64(33)).astype(np.int64) % PAIR_BITS
+    return (mixed >> np.uint64(33)).astype(np.int64) % BITS
+
+
+def marked(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return ((bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)
 
 
 class Block:
-    """The words of one language in a block, numbered so that words of one part are neighbours."""
+    """The words of one language in a block, numbered in the order of the parts that they fall into."""
 
     def __init__(self, lang: str, pieces: list[bytes]) -> None:
         tokens = b".".join(pieces).replace(b".", b" . ").split()
         tokens.append(b".")
         words = set(tokens)
         words.discard(b".")
-        part = {w: zlib.crc32(w) % PARTS for w in words}
-        ordered = sorted(words, key=part.__getitem__)
+        fine = {w: zlib.crc32(w) % (PARTS * PARTS) for w in words}
+        ordered = sorted(words, key=fine.__getitem__)
         # Number 0 is the end of a piece.
         number = dict(zip(ordered, range(1, len(ordered) + 1)))
         number[b"."] = 0
         self.lang, self.words = lang, [b"", *ordered]
-        self.parts = np.fromiter((part.get(w, 0) for w in self.words), np.int64, len(self.words))
+        self.vocabulary = pa.array(self.words, pa.binary())
+        self.fine = np.fromiter((fine.get(w, 0) for w in self.words), np.int64, len(self.words))
         self.ids = np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
 
-    def pairs(self) -> tuple[np.ndarray, ...]:
-        """First word, next word (0: the end), how often, and for every word but the last the row of its pair."""
+    def stripes(self, prefix: pa.Array, group: np.ndarray, part: np.ndarray, after: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        """A row for every run of equal group and part (-1: not parted) of elements that are in this order."""
+        heads = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (part[1:] != part[:-1])))[: len(group)]
+        elements = self.vocabulary.take(pa.array(after))
+        more = counts > 1
+        number = pa.array(counts[more]).cast(pa.string()).cast(pa.binary())
+        elements = pc.replace_with_mask(
+            elements, pa.array(more), pc.binary_join_element_wise(elements.filter(pa.array(more)), number, b"\t")
+        )
+        lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(group)).astype(np.int32)), elements)
+        parts = pa.array([b"%d" % i for i in range(-1, PARTS * PARTS)], pa.binary()).take(pa.array(part[heads] + 1))
+        keys = pc.binary_join_element_wise(prefix.take(pa.array(heads)), parts, self.lang.encode(), b"\n")
+        return pa.RecordBatch.from_arrays([keys, pc.binary_join(lists, b" ")], ["key", "words"])
+
+    def no_word_stripes(self) -> pa.RecordBatch:
+        counts = np.bincount(self.ids, minlength=len(self.words))[1:]
+        after = np.arange(1, len(self.words))
+        same = np.zeros(len(after), dtype=np.int64)
+        return self.stripes(pa.array([b""] * len(after), pa.binary()), same, self.fine[1:], after, counts)
+
+    def pairs(self, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
+        """First and next word of all pairs of words that ``frequent`` marks, their counts, and for every word of the
+        block the row of the pair that begins there (-1: none)."""
+        hashed = hashed_words(self.words, self.lang)
+        good = marked(frequent, places(hashed, np.full_like(hashed, hashed[0])))
+        good[0] = False
+        in_text = good[self.ids]
+        starts = np.flatnonzero(in_text[:-1] & in_text[1:])
         width = len(self.words)
-        starts = np.flatnonzero(self.ids[:-1] != 0)
         codes, rows, counts = np.unique(
             self.ids[starts] * width + self.ids[starts + 1], return_inverse=True, return_counts=True
         )
@@ -117,45 +143,27 @@ class Block:
         row_at[starts] = rows
         return codes // width, codes % width, counts, row_at
 
-    def stripes(self, prefix: pa.Array, group: np.ndarray, following: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        """Elements in the order of their prefixes and next words as one stripe for every prefix and part."""
-        part = self.parts[following]
-        cuts = np.flatnonzero((group[1:] != group[:-1]) | (part[1:] != part[:-1])) + 1
-        heads = np.append(0, cuts) if len(group) else cuts
-        offsets = pa.array(np.append(heads, len(group)).astype(np.int32))
-        vocabulary = pa.array(self.words, pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([self.lang] * len(heads), pa.string()),
-                prefix.take(pa.array(heads)),
-                pa.array(part[heads].astype(np.int32)),
-                pa.ListArray.from_arrays(offsets, vocabulary.take(pa.array(following))),
-                pa.ListArray.from_arrays(offsets, pa.array(counts)),
-            ],
-            schema=STRIPE,
-        )
-
-    def one_word_stripes(self) -> pa.RecordBatch:
-        first, second, counts, _ = self.pairs()
-        return self.stripes(pa.array(self.words, pa.binary()).take(pa.array(first)), first, second, counts)
+    def one_word_stripes(self, words: np.ndarray, hot: set[bytes]) -> pa.RecordBatch:
+        first, second, counts, _ = self.pairs(words)
+        is_hot = np.fromiter((w in hot for w in self.words), bool, len(self.words))
+        part = np.where(is_hot[first], self.fine[second] // PARTS, -1)
+        return self.stripes(self.vocabulary.take(pa.array(first)), first, part, second, counts)
 
-    def two_word_stripes(self, frequent: np.ndarray) -> pa.RecordBatch:
-        """Stripes of the pairs that ``frequent`` (a bitmap) may hold, over the words that make such a pair again."""
-        first, second, _, row_at = self.pairs()
+    def two_word_stripes(self, words: np.ndarray, pairs: np.ndarray, hot: set[bytes]) -> pa.RecordBatch:
+        first, second, _, row_at = self.pairs(words)
         hashed = hashed_words(self.words, self.lang)
-        bit = pair_bits(hashed[first], hashed[second])
-        may = (second != 0) & ((frequent[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool)
-        # The last place is the end of a piece, so its neighbour is never asked for.
+        may = marked(pairs, places(hashed[first], hashed[second]))
         good = np.append(may, False)[row_at]
         at = np.flatnonzero(good[:-1] & good[1:])
         width = len(self.words)
         codes, counts = np.unique(row_at[at] * width + second[row_at[at + 1]], return_counts=True)
         row, third = codes // width, codes % width
-        vocabulary = pa.array(self.words, pa.binary())
-        prefix = pc.binary_join_element_wise(
-            vocabulary.take(pa.array(first[row])), vocabulary.take(pa.array(second[row])), b" "
+        both = pc.binary_join_element_wise(
+            self.vocabulary.take(pa.array(first)), self.vocabulary.take(pa.array(second)), b" "
         )
-        return self.stripes(prefix, row, third, counts)
+        is_hot = np.asarray(pc.is_in(both, pa.array(list(hot), pa.binary())))
+        part = np.where(is_hot[row], self.fine[third] // PARTS, -1)
+        return self.stripes(both.take(pa.array(row)), row, part, third, counts)
 
 
 def language_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
@@ -173,121 +181,150 @@ def language_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
                     start, size = i + 1, 0
 
 
-def merged(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
-    """Sorted stripes added up element by element (columns group, next, count_sum), and the first row of every
-    group of stripes with one language, prefix and part."""
-    change = np.zeros(table.num_rows, dtype=np.int64)
-    for name in ("lang", "prefix", "part"):
-        column = table.column(name)
-        change[1:] |= np.asarray(pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)))
-    following, counts = table.column("next").chunk(0), table.column("count").chunk(0)
-    rows = np.asarray(pc.list_parent_indices(following))
-    elements = pa.table(
-        {"group": np.cumsum(change)[rows], "next": pc.list_flatten(following), "count": pc.list_flatten(counts)}
-    )
-    added = elements.group_by(["group", "next"]).aggregate([("count", "sum")]).sort_by("group")
-    return added.combine_chunks(), np.append(0, np.flatnonzero(change))
-
-
-def extensions(
-    table: pa.Table, added: pa.Table, heads: np.ndarray, upto: int, least: int, totals: bool
-) -> pa.RecordBatch:
-    """What the first ``upto`` groups give: frequent elements, and the sum of each group as a row without next."""
-    group, counts = np.asarray(added.column("group")), np.asarray(added.column("count_sum"))
-    following = added.column("next").chunk(0)
-    wanted = (group < upto) & (counts >= least) & np.asarray(pc.greater(pc.binary_length(following), 0))
-    found = np.flatnonzero(wanted)
-    rows, after = pa.array(heads[group[found]]), following.take(pa.array(found))
-    lang, prefix = table.column("lang").chunk(0), table.column("prefix").chunk(0)
-    columns = [lang.take(rows), prefix.take(rows), after, pa.array(counts[found])]
-    bit = np.zeros(len(found), dtype=np.int64)
-    if totals:
-        names = np.array(columns[0].to_pylist(), dtype=object)
-        for name in set(names):
-            own = np.flatnonzero(names == name)
-            first, second = (hashed_words(column.take(pa.array(own)).to_pylist(), name) for column in columns[1:3])
-            bit[own] = pair_bits(first, second)
-    columns.append(pa.array(bit))
-    if totals:
-        ends = np.cumsum(np.bincount(group, minlength=len(heads)))[:upto]
-        sums = np.append(0, np.cumsum(counts))[np.append(0, ends)]
-        first = pa.array(heads[:upto])
-        more = [lang.take(first), prefix.take(first), pa.nulls(upto, pa.binary()), pa.array(np.diff(sums))]
-        more.append(pa.nulls(upto, pa.int64()))
-        columns = [pa.concat_arrays(pair) for pair in zip(columns, more)]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "next", "f", "bit"])
+def elements_of(words: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Row, word and count of every element of stripes."""
+    lists = pc.split_pattern(words, b" ")
+    flat = pc.list_flatten(lists)
+    counted = pc.match_substring(flat, b"\t")
+    counts = np.ones(len(flat), dtype=np.int64)
+    pairs = pc.list_flatten(pc.split_pattern(flat.filter(counted), b"\t"))
+    even = np.arange(0, len(pairs), 2)
+    counts[np.asarray(counted)] = np.asarray(pairs.take(pa.array(even + 1)).cast(pa.string()).cast(pa.int64()))
+    return np.asarray(pc.list_parent_indices(lists)), pc.replace_with_mask(flat, counted, pairs.take(pa.array(even))), counts
 
 
 def merge_stripes(batches: Iterator[pa.RecordBatch], least: int, totals: bool) -> Iterator[pa.RecordBatch]:
-    """Extensions from ``least`` occurrences, and with ``totals`` the sum of every part of a stripe."""
-    held = STRIPE.empty_table()
+    """Stripes sorted by key, added up element by element: extensions from ``least`` occurrences with their place in
+    the bitmap, and with ``totals`` the sum of every stripe as a row without a next word."""
+    # The stripe that may go on in the next batch, as merged elements.
+    key, held, counts = None, pa.array([], pa.binary()), np.zeros(0, dtype=np.int64)
+
+    def added(group: np.ndarray, words: pa.Array, n: np.ndarray) -> pa.Table:
+        table = pa.table({"group": group, "next": words, "f": n})
+        return table.group_by(["group", "next"]).aggregate([("f", "sum")]).sort_by("group").combine_chunks()
+
+    def results(table: pa.Table, keys: pa.Array) -> pa.RecordBatch:
+        group, f = np.asarray(table.column("group")), np.asarray(table.column("f_sum"))
+        found = np.flatnonzero(f >= least)
+        used, after = group[found], table.column("next").combine_chunks().take(pa.array(found))
+        names = [k.split(b"\n", 2) for k in keys.to_pylist()]
+        lang, prefix = [n[2].decode("utf-8", "replace") for n in names], [n[0] for n in names]
+        nexts = after.to_pylist()
+        place = np.zeros(len(found), dtype=np.int64)
+        by_lang = defaultdict(list)
+        for i, g in enumerate(used.tolist()):
+            by_lang[lang[g]].append(i)
+        for name, own in by_lang.items():
+            words = [nexts[i] for i in own]
+            before = [prefix[used[i]] for i in own]
+            # Without prefix the word itself is marked, paired with the empty word.
+            first, second = (words, before) if not before[0] else (before, words)
+            place[own] = places(hashed_words(first, name), hashed_words(second, name))
+        rows = used.tolist()
+        columns = [[lang[g] for g in rows], [prefix[g] for g in rows], nexts, f[found].tolist(), place.tolist()]
+        if totals:
+            sums = np.bincount(group, weights=f, minlength=len(names)).astype(np.int64)
+            for column, more in zip(columns, (lang, prefix, [None] * len(names), sums.tolist(), [None] * len(names))):
+                column.extend(more)
+        kinds = pa.string(), pa.binary(), pa.binary(), pa.int64(), pa.int64()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "prefix", "next", "f", "bit"]
+        )
+
     for batch in batches:
-        table = pa.concat_tables([held, pa.Table.from_batches([batch]).cast(STRIPE)]).combine_chunks()
-        if not table.num_rows:
+        if not batch.num_rows:
             continue
-        added, heads = merged(table)
+        keys = batch.column("key")
+        change = np.append(True, np.asarray(pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1))))
+        group = np.cumsum(change) - 1
+        heads = keys.take(pa.array(np.flatnonzero(change)))
+        rows, words, n = elements_of(batch.column("words"))
+        rows = group[rows]
+        if key is not None:
+            if heads[0].as_py() == key:
+                rows = np.append(np.zeros(len(held), dtype=np.int64), rows)
+            else:
+                rows = np.append(np.zeros(len(held), dtype=np.int64), rows + 1)
+                heads = pa.concat_arrays([pa.array([key], pa.binary()), heads])
+            words, n = pa.concat_arrays([held, words]), np.append(counts, n)
+        table = added(rows, words, n)
         last = len(heads) - 1
-        yield extensions(table, added, heads, last, least, totals)
-        # The last stripe may go on in the next batch; only its merged elements are kept.
-        rest = added.filter(pc.equal(added.column("group"), last)).combine_chunks()
-        ends = pa.array([0, rest.num_rows], pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, rest.column(name).chunk(0)) for name in ("next", "count_sum")]
-        row = table.slice(int(heads[last]), 1)
-        held = pa.table([row.column("lang"), row.column("prefix"), row.column("part"), *lists], schema=STRIPE)
-    if held.num_rows:
-        added, heads = merged(held.combine_chunks())
-        yield extensions(held.combine_chunks(), added, heads, 1, least, totals)
-
-
-def add_up(stripes: DataFrame, least: int, totals: bool) -> DataFrame:
+        end = int(np.searchsorted(np.asarray(table.column("group")), last))
+        if last:
+            yield results(table.slice(0, end), heads.slice(0, last))
+        rest = table.slice(end)
+        key, held = heads[last].as_py(), rest.column("next").combine_chunks()
+        counts = np.asarray(rest.column("f_sum"))
+    if key is not None:
+        yield results(added(np.zeros(len(held), dtype=np.int64), held, counts), pa.array([key], pa.binary()))
+
+
+def add_up(stripes: DataFrame, least: int, totals: bool = False) -> DataFrame:
     """``lang``, ``prefix``, ``next`` (null: a total), ``f`` and ``bit`` from the stripes of all tasks."""
-    key = ["lang", "prefix", "part"]
-    dealt = stripes.repartition(*key).sortWithinPartitions(*key)
+    dealt = stripes.repartition("key").sortWithinPartitions("key")
     found = dealt.mapInArrow(lambda batches: merge_stripes(batches, least, totals), MERGED_DDL)
     return found.withColumns({name: F.col(name).cast("string") for name in ("prefix", "next")})
 
 
-def bitmap(pairs: DataFrame) -> np.ndarray:
-    """The bits of all frequent pairs: ``PAIR_BITS / 8`` bytes, however many pairs there are."""
+def bitmap(marks: DataFrame) -> np.ndarray:
+    """The places in column ``bit`` as ``BITS / 8`` bytes, however many there are."""
     # Row k of Spark's bitmaps holds the numbers from (k - 1) * BITMAP_ROW + 1 on.
     number = F.col("bit") + 1
     rows = (
-        pairs.groupBy(F.bitmap_bucket_number(number).alias("row"))
+        marks.groupBy(F.bitmap_bucket_number(number).alias("row"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
         .collect()
     )
     size = BITMAP_ROW // 8
-    bits = np.zeros(PAIR_BITS // 8, dtype=np.uint8)
+    bits = np.zeros(BITS // 8, dtype=np.uint8)
     for row in rows:
         bits[(row["row"] - 1) * size : row["row"] * size] = np.frombuffer(row["bits"], dtype=np.uint8)
     return bits
 
 
+def hot_prefixes(phrases: DataFrame, phrase: str, total: int) -> dict[str, set[bytes]]:
+    """Phrases that make up more than one in ``HOT`` of all words, by language: fewer than ``HOT``."""
+    found = defaultdict(set)
+    for row in phrases.where(F.col("f") * HOT > total).selectExpr("lang", f"{phrase} AS phrase").collect():
+        found[row["lang"]].add(row["phrase"].encode())
+    return found
+
+
 def frequencies(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 10
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Words (``lang``, ``phrase``, ``f``), and phrases of two and of three words from ``least`` occurrences
-    (``lang``, ``prefix``, ``next``, ``f``)."""
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Words (``lang``, ``phrase``, ``f``), phrases of two and of three words (``lang``, ``prefix``, ``next``, ``f``),
+    all from ``least`` occurrences, and ``lang``, ``n``: the number of all words."""
+    spark = docs.sparkSession
     texts = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), utf8(F.col(text_col)).alias("text")
     )
 
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in language_blocks(batches):
+            yield block.no_word_stripes()
+
+    none = stored(add_up(texts.mapInArrow(count_words, STRIPE_DDL), least, True), "collocation-words")
+    totals = stored(none.where("next IS NULL").groupBy("lang").agg(F.sum("f").alias("n")), "collocation-totals")
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    words = none.where("next IS NOT NULL")
+    word_bits = spark.sparkContext.broadcast(bitmap(words))
+    hot_words = hot_prefixes(words, "next", total)
+
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in language_blocks(batches):
-            yield block.one_word_stripes()
+            yield block.one_word_stripes(word_bits.value, hot_words.get(block.lang, set()))
 
-    one = stored(add_up(texts.mapInArrow(count_pairs, STRIPE_DDL), least, True), "collocation-pairs")
-    parts = one.where("next IS NULL").groupBy("lang", F.col("prefix").alias("phrase"))
-    words = stored(parts.agg(F.sum("f").alias("f")), "collocation-words")
-    pairs = one.where("next IS NOT NULL")
-    frequent = docs.sparkSession.sparkContext.broadcast(bitmap(pairs))
+    pairs = stored(add_up(texts.mapInArrow(count_pairs, STRIPE_DDL), least), "collocation-pairs")
+    pair_bits = spark.sparkContext.broadcast(bitmap(pairs))
+    hot_pairs = hot_prefixes(pairs, "concat_ws(' ', prefix, next)", total)
 
     def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in language_blocks(batches):
-            yield block.two_word_stripes(frequent.value)
+            yield block.two_word_stripes(word_bits.value, pair_bits.value, hot_pairs.get(block.lang, set()))
 
-    triples = stored(add_up(texts.mapInArrow(count_triples, STRIPE_DDL), least, False), "collocation-triples")
-    return words, pairs.drop("bit"), triples.drop("bit")
+    triples = stored(add_up(texts.mapInArrow(count_triples, STRIPE_DDL), least), "collocation-triples")
+    return words.select("lang", F.col("next").alias("phrase"), "f"), pairs.drop("bit"), triples.drop("bit"), totals
 
 
 def cuts(pairs: DataFrame, triples: DataFrame) -> DataFrame:
@@ -317,13 +354,8 @@ def collocations(
     all words; ``score`` is a million times ``a * a / (l * r)``, rounded down.  A phrase is left out if a longer
     one that contains it reaches ``covered_percent`` of its frequency.
     """
-    words, pairs, triples = frequencies(docs, text_col, lang_col, least)
-    known = stored(
-        words.where(F.col("f") >= least).unionByName(
-            pairs.select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "f")
-        ),
-        "collocation-known",
-    )
+    words, pairs, triples, totals = frequencies(docs, text_col, lang_col, least)
+    known = words.unionByName(pairs.select("lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "f"))
     cut = cuts(pairs, triples)
     left = known.select("lang", F.col("phrase").alias("left"), F.col("f").alias("l"))
     right = known.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r"))
@@ -346,7 +378,6 @@ def collocations(
     ranked = some.where(F.col("place") <= best).withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint")
     )
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     return (
         ranked.where(F.col("rank") <= best)
         .join(totals, "lang")
@@ -359,7 +390,8 @@ WITH pieces AS (
     SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(string_split_regex(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
     FROM documents
 ), words AS (
     SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces

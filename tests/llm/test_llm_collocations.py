@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -88,32 +89,42 @@ def test_hot_word_and_one_long_piece(spark):
     assert found(co.collocations(documents(spark, rows))) == sorted(slow(rows))
 
 
-def test_full_bitmap_changes_nothing(spark, monkeypatch):
+def test_full_bitmaps_change_nothing(spark, monkeypatch):
     rows = sentences(3, 200)
-    monkeypatch.setattr(co, "PAIR_BITS", 1 << 15)
-    monkeypatch.setattr(co, "bitmap", lambda pairs: __import__("numpy").full(co.PAIR_BITS // 8, 255, dtype="uint8"))
+    monkeypatch.setattr(co, "BITS", 1 << 15)
+    monkeypatch.setattr(co, "bitmap", lambda marks: np.full(co.BITS // 8, 255, dtype=np.uint8))
     assert found(co.collocations(documents(spark, rows))) == sorted(slow(rows))
 
 
-def test_bitmap_holds_the_frequent_pairs_only(spark):
-    numbers = [0, 1, 7, 8, 32_767, 32_768, co.PAIR_BITS - 1]
+@pytest.mark.parametrize("hot", [1, 2, 10**9])
+def test_parted_stripes_change_nothing(spark, monkeypatch, hot):
+    rows = sentences(4, 120)
+    monkeypatch.setattr(co, "HOT", hot)
+    assert found(co.collocations(documents(spark, rows))) == sorted(slow(rows))
+
+
+def test_hot_prefixes_are_bounded(spark):
+    rows = [("en", f"w{i}", 500 if i < 3 else 1) for i in range(2000)]
+    words = spark.createDataFrame(rows, "lang string, next string, f bigint")
+    assert co.hot_prefixes(words, "next", 3497) == {"en": {b"w0", b"w1", b"w2"}}
+
+
+def test_bitmap_holds_the_marked_places_only(spark):
+    numbers = [0, 1, 7, 8, 32_767, 32_768, co.BITS - 1]
     bits = co.bitmap(spark.createDataFrame([(b,) for b in numbers], "bit bigint"))
-    assert bits.nbytes == co.PAIR_BITS // 8
+    assert bits.nbytes == co.BITS // 8
     set_ = [8 * i + k for i in bits.nonzero()[0].tolist() for k in range(8) if bits[i] >> k & 1]
     assert set_ == numbers
 
 
-def stripes(rows):
-    return pa.RecordBatch.from_pylist(
-        [dict(zip(co.STRIPE.names, ("en", p, part, list(e), list(e.values())))) for p, part, e in rows], co.STRIPE
-    )
-
-
 @pytest.mark.parametrize("size", [1, 2, 3, 100])
 def test_stripes_merge_element_by_element_across_batches(size):
-    rows = [(b"a", 0, {b"": 2, b"x": 4}), (b"a", 0, {b"x": 6, b"y": 1}), (b"a", 1, {b"z": 10}), (b"b", 0, {b"x": 9})]
-    rows += [(b"c", 0, {b"x": 3})] * 4
-    batches = [stripes(rows[i : i + size]) for i in range(0, len(rows), size)]
+    rows = [(b"a\n0\nen", b"x\t4 z"), (b"a\n0\nen", b"x\t6 y"), (b"a\n1\nen", b"z\t10"), (b"b\n-1\nen", b"x\t9")]
+    rows += [(b"c\n-1\nen", b"x\t3")] * 4
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows[i : i + size])], ["key", "words"])
+        for i in range(0, len(rows), size)
+    ]
     got = [r for b in co.merge_stripes(iter(batches), 10, True) for r in b.to_pylist()]
     assert sorted((r["prefix"], r["next"], r["f"]) for r in got if r["next"]) == [
         (b"a", b"x", 10), (b"a", b"z", 10), (b"c", b"x", 12)
@@ -121,7 +132,7 @@ def test_stripes_merge_element_by_element_across_batches(size):
     sums = Counter()
     for r in got:
         sums[r["prefix"]] += r["f"] if r["next"] is None else 0
-    assert sums == {b"a": 23, b"b": 9, b"c": 12}
+    assert sums == {b"a": 22, b"b": 9, b"c": 12}
 
 
 def test_scores_do_not_overflow(spark):
