@@ -35,8 +35,8 @@ SHARDS = 16
 SEED = 13
 # Bytes of text in a bucket; the second pass holds two buckets' worth in a worker.
 BUCKET_BYTES = 32 << 20
-# Buckets of a task at least, so that small tables are scattered too.
-BUCKETS_OF_TASK = 4
+# Bytes that a worker gives back at a time.
+BATCH_BYTES = 1 << 20
 
 
 def file_place(docs: DataFrame) -> Column:
@@ -67,7 +67,8 @@ def shuffled(batches: Iterator[pa.RecordBatch], seed: int, shards: int, total: i
         slot = place - -(-shard * total // shards)
         rows = held.column("row").combine_chunks().take(pa.array(order + 1))
         whole = pa.table({"shard": pa.array(shard.astype(np.int32)), "slot": pa.array(slot), "row": rows})
-        yield from whole.to_batches(max_chunksize=4096)
+        # Small batches, since both sides hold a batch outside of their managed memory.
+        yield from whole.to_batches(max_chunksize=max(1, whole.num_rows * BATCH_BYTES // max(1, whole.nbytes)))
 
     bucket, parts = None, []
     for batch in batches:
@@ -79,6 +80,7 @@ def shuffled(batches: Iterator[pa.RecordBatch], seed: int, shards: int, total: i
             if numbers[a] != bucket and parts:
                 yield from finish(bucket, parts)
                 parts = []
+                pa.default_memory_pool().release_unused()
             bucket = int(numbers[a])
             parts.append(pa.Table.from_batches([batch.slice(a, b - a)]))
     if parts:
@@ -99,7 +101,7 @@ def shuffled_shards(
     drawn = F.xxhash64(F.lit(seed), place)
     total, size = docs.agg(F.count(F.lit(1)), F.sum(size_of(F.col(text_col)))).first()
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    of_task = max(BUCKETS_OF_TASK, -(-(size or 0) // (bucket_bytes * tasks)))
+    of_task = max(1, -(-(size or 0) // (bucket_bytes * tasks)))
     # The hash is used from the top for the bucket and whole for the order, so both are uniform.
     bucket = F.pmod(F.shiftright(drawn, 16), F.lit(of_task * tasks))
     counts = stored(docs.select(bucket.alias("bucket")).groupBy("bucket").count(), "shard-buckets")
