@@ -151,6 +151,9 @@ def record_checks(facts: Facts) -> DataFrame:
     }
     if lake.listed_rows is not None:
         found_checks["raw rows equal the manifest"] = (F.col("raw.rows"), F.lit(lake.listed_rows))
+    if lake.rescued is not None:
+        row = row.withColumn("set_aside", lake.rescued.agg(F.count(F.lit(1))).scalar())
+        found_checks["no rows were set aside"] = (F.col("set_aside"), zero)
     return _rows(row, found_checks)
 
 

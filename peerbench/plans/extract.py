@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import ratio
@@ -10,14 +10,16 @@ from peerbench.functions.text import half_even_cents, to_cents, to_int, trim_all
 from peerbench.operators.compare import compare_values
 from peerbench.operators.ordering import row_key
 from peerbench.operators.selections import SELECTION_METRICS, by_selection, long_form, selection_metrics
+from peerbench.plans import analysis
 from peerbench.plans.clean import clean_fields, fact_table
 from peerbench.plans.lake import Lake
 from peerbench.plans.layout import ENTITY, RAW_FIELDS
 from peerbench.plans.measures import evaluate
 from peerbench.session import drop, fresh_path, stored
 from peerbench.sources.files import file_digests, list_files, relative_to, verify_manifest
-from peerbench.sources.sinks import formatted, write_csv, write_document, write_model_csv
-from peerbench.sources.text import read_document, read_text_table, read_typed_table
+from peerbench.sources.sinks import formatted, write_csv, write_document, write_model_csv, write_table
+from peerbench.sources.tables import paged
+from peerbench.sources.text import read_document, read_rescued, read_text_table, read_typed_table
 
 PAGE_ROWS = 50_000
 
@@ -103,7 +105,8 @@ def export_roundtrip(lake: Lake) -> DataFrame:
         F.sum("BenchmarkEligible").alias("matched_rows"),
         F.min(F.length("HospitalKey")).cast("bigint").alias("key_length"),
     )
-    raw = lake.raw.agg(F.sum(half_even_cents(F.col("total_costs"))))
+    # The source again, not the layer that was trimmed and stored from it.
+    raw = lake.source.agg(F.sum(half_even_cents(F.col("total_costs"))))
     model = lake.model.agg(F.sum("CostCents"))
     sums = exported.select("*", raw.scalar().alias("raw_cents"), model.scalar().alias("model_cents"))
     return _without_copy(sums, path)
@@ -140,27 +143,153 @@ def evaluated_selections(model: DataFrame, selections: dict[str, Column]) -> Dat
 
 
 def file_statuses(spark: SparkSession, texts: DataFrame, key: str, text: str) -> DataFrame:
-    """One text file per key, digested, and verified against a manifest with known defects.
+    """One text file per whole-number key, digested, and verified against a manifest with known defects.
 
-    In the manifest the second key has a wrong digest, the third a wrong size, the fourth is missing, and a
-    file that does not exist is listed under key -1.
+    The last digit of the key tells the defect: 2 has a wrong digest in the manifest, 3 a wrong size, 4 is not listed,
+    and for 5 a second file is listed that does not exist (its key is negative).
     """
     path = fresh_path(spark, "texts")
     texts.select(F.col(key).alias("key"), F.col(text).alias("text")).repartition("key").write.partitionBy("key").text(path)
-    number = F.regexp_extract("path", r"key=(-?\d+)", 1).cast("int")
+    number = F.regexp_extract("path", r"key=(-?\d+)", 1).cast("bigint")
     digests = relative_to(file_digests(spark, path), path).withColumn("key", number)
     digests = stored(digests.where(F.col("key").isNotNull() & F.col("path").endswith(".txt")), "text-digests")
-    place = F.row_number().over(Window.orderBy("key"))
-    kept = digests.withColumn("place", place).where("place <> 4")
-    manifest = kept.select(
+    digit = F.col("key") % 10
+    manifest = digests.where(digit != 4).select(
         "path",
-        (F.col("bytes") + F.when(F.col("place") == 3, 1).otherwise(0)).alias("bytes"),
-        F.when(F.col("place") == 2, F.repeat(F.lit("0"), 64)).otherwise(F.col("sha256")).alias("sha256"),
+        (F.col("bytes") + F.when(digit == 3, 1).otherwise(0)).alias("bytes"),
+        F.when(digit == 2, F.repeat(F.lit("0"), 64)).otherwise(F.col("sha256")).alias("sha256"),
+    )
+    gone = digests.where(digit == 5).select(
+        F.concat(F.lit("key=-"), F.col("key").cast("string"), F.lit("/gone.txt")).alias("path"),
+        F.lit(0).cast("bigint").alias("bytes"),
+        F.lit("").alias("sha256"),
     )
-    gone = spark.range(1).select(F.lit("key=-1/gone.txt").alias("path"), F.lit(0).cast("bigint").alias("bytes"), F.lit("").alias("sha256"))
     verified = verify_manifest(spark, path, manifest.unionByName(gone)).withColumn("key", number)
-    listed = F.col("path").endswith(".txt")
-    return verified.where(listed).select("key", "actual_bytes", "actual_sha256", "status")
+    return verified.where(F.col("path").endswith(".txt")).select("key", "actual_bytes", "actual_sha256", "status")
+
+
+def lines(raw: DataFrame, names: list[str]) -> Column:
+    """A row as a line of CSV text."""
+    return F.to_csv(F.struct(*names), {"quoteAll": "false"})
+
+
+def rescued_rows(lake: Lake) -> DataFrame:
+    """A damaged extract, read with its malformed rows set aside: rows, reasons and money per year.
+
+    The years are folders of text files.  Line 7 of the ids ends after ten fields, line 6 has one field too many and
+    line 5 a quote that is not closed.
+    """
+    path = fresh_path(lake.spark, "damaged-pages")
+    line, text = F.split("source_row_id", "-")[3], lines(lake.raw, list(RAW_FIELDS))
+    damaged = (
+        F.when(line == "7", F.substring_index(text, ",", 10))
+        .when(line == "6", F.concat(text, F.lit(",more")))
+        .when(line == "5", F.concat(F.substring_index(text, ",", 4), F.lit(',"open'), F.lit(",x")))
+        .otherwise(text)
+    )
+    folders = lake.raw.select(F.col("discharge_year").alias("page"), damaged.alias("value"))
+    folders.repartition("page").write.partitionBy("page").text(path)
+    good, bad = read_rescued(lake.spark, f"{path}/*", RAW_FIELDS, header=False)
+    year = F.regexp_extract("file", r"page=(\d+)", 1)
+    cents = F.sum(to_cents(F.col("total_costs")))
+    kept = good.groupBy(F.col("discharge_year").alias("year"), F.lit("ok").alias("reason")).agg(
+        F.count(F.lit(1)).alias("rows"), cents.alias("CostCents")
+    )
+    aside = bad.groupBy(year.alias("year"), "reason").agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(None).cast("bigint").alias("CostCents")
+    )
+    return _without_copy(kept.unionByName(aside), path)
+
+
+def marked_pages(lake: Lake) -> DataFrame:
+    """Pages with a byte-order mark and a header each, one per year, read as one table and summed per condition."""
+    path = fresh_path(lake.spark, "marked-pages")
+    header = F.lit("\ufeff" + ",".join(RAW_FIELDS))
+    rows = lake.raw.select(F.col("discharge_year").alias("page"), F.lit(1).alias("_place"), lines(lake.raw, list(RAW_FIELDS)).alias("value"))
+    heads = rows.select("page").distinct().select("page", F.lit(0).alias("_place"), header.alias("value"))
+    pages_ = rows.unionByName(heads).repartition("page").sortWithinPartitions("page", "_place")
+    pages_.select("page", "value").write.partitionBy("page").text(path)
+    back = read_text_table(lake.spark, f"{path}/*", RAW_FIELDS)
+    sums = back.groupBy(F.col("apr_drg_code").alias("ConditionKey")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("source_row_id").alias("ids"),
+        F.sum(to_cents(F.col("total_costs"))).alias("CostCents"),
+    )
+    return _without_copy(sums, path)
+
+
+def profile_documents(lake: Lake) -> DataFrame:
+    """Counts per condition and area written as JSON arrays with text counts and a missing key, read back as a table."""
+    path = fresh_path(lake.spark, "profiles")
+    counts = lake.raw.groupBy("apr_drg_code", "health_service_area").agg(F.count(F.lit(1)).alias("n"))
+    # The area of the economy condition is left out of its objects.
+    area = F.when(F.col("apr_drg_code") != "ECONOMY", F.col("health_service_area"))
+    objects = counts.select("apr_drg_code", F.struct("apr_drg_code", area.alias("area"), F.col("n").cast("string").alias("discharges")).alias("o"))
+    arrays = objects.groupBy("apr_drg_code").agg(F.to_json(F.collect_list("o")).alias("value"))
+    # One array per file: at most one object per area in each.
+    arrays.repartition("apr_drg_code").write.partitionBy("apr_drg_code").text(path)
+    schema = "apr_drg_code string, area string, discharges string"
+    back = read_document(lake.spark, f"{path}/*/*", schema)
+    found = back.groupBy("apr_drg_code").agg(
+        F.count(F.lit(1)).alias("objects"), F.count("area").alias("with_area"), F.sum(F.col("discharges").cast("bigint")).alias("discharges")
+    )
+    return _without_copy(found, path)
+
+
+def result_files(lake: Lake) -> DataFrame:
+    """Query results and the hospital summary as written by the whole run, read back from their files."""
+    path = fresh_path(lake.spark, "results")
+    results = {
+        "query_01": analysis.by_condition(lake),
+        "query_03": analysis.by_severity(lake),
+        "query_05": analysis.by_disposition(lake),
+        "hospital_summary": lake.summary(),
+    }
+    parts = []
+    for name, table in results.items():
+        write_csv(table, f"{path}/{name}")
+        back = read_typed_table(lake.spark, f"{path}/{name}", table.schema)
+        parts.append(
+            back.agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.sum("Discharges").alias("discharges"),
+                F.round(F.sum(F.round("AvgExactLOS", 6)), 4).alias("mean_stays"),
+            ).select(F.lit(name).alias("file"), F.lit(len(table.columns)).cast("bigint").alias("columns"), "rows", "discharges", "mean_stays")
+        )
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return _without_copy(found, path)
+
+
+def replaced_table(lake: Lake) -> DataFrame:
+    """A raw table replaced by a later extract: what is read afterwards is the later one only."""
+    path = fresh_path(lake.spark, "replaced")
+    write_table(lake.raw.where("type_of_admission = 'F'"), path)
+    write_table(lake.raw.where("type_of_admission = 'O'"), path)
+    found = lake.spark.read.parquet(path).groupBy("type_of_admission", "discharge_year").agg(F.count(F.lit(1)).alias("rows"))
+    return _without_copy(found, path)
+
+
+def read_pages(lake: Lake, page_rows: int = PAGE_ROWS // 10) -> DataFrame:
+    """First, second and last page of the raw rows in id order, each read by its stored key range."""
+    pages_ = paged(lake.raw, "source_row_id", page_rows)
+    last = pages_.ranges.agg(F.max("page")).first()[0]
+    parts = []
+    for page in sorted({0, min(1, last), last}):
+        parts.append(
+            pages_.read(page).agg(
+                F.lit(page).cast("bigint").alias("page"),
+                F.count(F.lit(1)).alias("rows"),
+                F.min("source_row_id").alias("first_id"),
+                F.max("source_row_id").alias("last_id"),
+                F.sum(to_cents(F.col("total_costs"))).alias("CostCents"),
+            )
+        )
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
 
 
 def snapshot_manifest(lake: Lake, path: str) -> DataFrame:

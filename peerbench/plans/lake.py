@@ -35,8 +35,9 @@ from peerbench.plans.layout import (
 )
 from peerbench.session import stored
 from peerbench.sources.files import snapshot_state
+from peerbench.sources.tables import store_partitioned
 from peerbench.sources.literals import ordered_labels, scenario_table
-from peerbench.sources.text import read_text_table
+from peerbench.sources.text import read_rescued, read_text_table
 
 
 def _count(predicate: Column) -> Column:
@@ -119,12 +120,20 @@ def key_values(model: DataFrame) -> DataFrame:
 class Lake:
     """Layers derived from one raw extract.
 
-    ``listed_rows`` is the number of rows that the manifest of the extract gives, if there is one.  Every layer has
-    ``figures`` that were gathered while it was written.
+    ``listed_rows`` is the number of rows that the manifest of the extract gives, if there is one, and ``rescued`` the
+    malformed rows that were set aside in reading.  Every layer has ``figures`` gathered while it was written.
     """
 
-    def __init__(self, source: DataFrame, domain: Domain, folder: str = "", listed_rows: int | None = None):
+    def __init__(
+        self,
+        source: DataFrame,
+        domain: Domain,
+        folder: str = "",
+        listed_rows: int | None = None,
+        rescued: DataFrame | None = None,
+    ):
         self.source = source
+        self.rescued = rescued
         self.domain = domain
         self.folder = folder
         self.listed_rows = listed_rows
@@ -132,7 +141,7 @@ class Lake:
 
     def with_layers(self, **layers) -> Lake:
         """The same lake with other layers (attribute -> value); those that are written already are shared."""
-        other = Lake(self.source, self.domain, self.folder, self.listed_rows)
+        other = Lake(self.source, self.domain, self.folder, self.listed_rows, self.rescued)
         for name in ("_raw", "_records", "benchmark", "_model", "dimensions"):
             other.__dict__[name] = layers.get(name, getattr(self, name))
         return other
@@ -241,21 +250,39 @@ class Lake:
         for name, table in tables.items():
             table.createOrReplaceTempView(name)
 
+    @cached_property
+    def stored_fact(self) -> DataFrame:
+        """The fact with a folder per condition and year, so slicers on either read only their folders."""
+        return store_partitioned(fact_table(self.model), "fact", ["ConditionKey", "DischargeYear"])
+
+    def stored_star(self) -> Star:
+        """The star over the stored fact."""
+        return Star(self.stored_fact, self.star().dims)
+
     def star(self) -> Star:
         dims = {name: (self.dimensions[name], key) for name, key in RELATIONSHIPS.items()}
         return Star(fact_table(self.model), dims)
 
 
 def from_extract(
-    spark: SparkSession, path: str | list[str], domain: Domain, manifest: DataFrame | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    domain: Domain,
+    manifest: DataFrame | None = None,
+    rescue: bool = False,
 ) -> Lake:
     """Layers of a raw CSV extract, or of a folder of its pages.
 
-    With a manifest (a column ``row_count``, the same in each of its rows) the checks compare the rows read.
+    With a manifest (a column ``row_count``, the same in each of its rows) the checks compare the rows read.  A
+    malformed row fails the read, or with ``rescue`` is set aside and counted by the checks.
     """
-    rows = read_text_table(spark, path, RAW_FIELDS)
+    rescued = None
+    if rescue:
+        rows, rescued = read_rescued(spark, path, RAW_FIELDS)
+    else:
+        rows = read_text_table(spark, path, RAW_FIELDS)
     listed = manifest.agg(F.max(F.col("row_count").cast("bigint"))).first()[0] if manifest is not None else None
-    return Lake(rows, domain, listed_rows=listed)
+    return Lake(rows, domain, listed_rows=listed, rescued=rescued)
 
 
 _lakes: dict[tuple[str, str, str], Lake] = {}

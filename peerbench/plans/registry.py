@@ -19,6 +19,7 @@ from peerbench.operators.profile import blank_counts, group_counts, repeated_row
 from peerbench.operators.scenario import BRIDGE_STEPS, selected_rate
 from peerbench.operators.selections import by_selection, selection_metrics
 from peerbench.operators.sketches import distinct_counts, distinct_sketches, within_error
+from peerbench.operators.star import Star
 from peerbench.operators.upkeep import Rules, Version, first_version, next_version
 from peerbench.plans import analysis, checks, extract, reports
 from peerbench.plans.clean import benchmark_table, model_records
@@ -26,6 +27,7 @@ from peerbench.plans.lake import Lake, supply_lake
 from peerbench.plans.layout import ENTITY, STRATA
 from peerbench.plans.measures import MEASURES, cost_medians, displayed, evaluate
 from peerbench.session import stored
+from peerbench.sources.tables import overwrite_partitions, save_bucketed, unique_name
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -666,6 +668,78 @@ def page_union(lake: Lake) -> DataFrame:
     return extract.page_union(lake)
 
 
+@query
+def page_read(lake: Lake) -> DataFrame:
+    return extract.read_pages(lake)
+
+
+@query
+def rescued_rows(lake: Lake) -> DataFrame:
+    return extract.rescued_rows(lake)
+
+
+@query
+def marked_pages(lake: Lake) -> DataFrame:
+    return extract.marked_pages(lake)
+
+
+@query
+def profile_documents(lake: Lake) -> DataFrame:
+    return extract.profile_documents(lake)
+
+
+@query
+def result_files(lake: Lake) -> DataFrame:
+    return extract.result_files(lake)
+
+
+@query
+def replaced_table(lake: Lake) -> DataFrame:
+    return extract.replaced_table(lake)
+
+
+BUCKETED = [ENTITY, *STRATA]
+
+
+@query
+def bucketed_model(lake: Lake) -> DataFrame:
+    """The model from two tables in the same buckets, joined without a shuffle."""
+    records = save_bucketed(lake.clean, unique_name("records"), BUCKETED)
+    bench = save_bucketed(lake.benchmark, unique_name("benchmark"), BUCKETED)
+    return model_records(records, bench)
+
+
+@query
+def bucketed_strata(lake: Lake) -> DataFrame:
+    """Sums per hospital and stratum of a bucketed table partitioned by year, without a shuffle."""
+    records = save_bucketed(lake.clean, unique_name("records"), BUCKETED, partition=["DischargeYear"])
+    return bm.entity_strata(records.filter(lake.domain.comparable()), ENTITY, STRATA, "ExactLOS")
+
+
+@query
+def year_overwrite(lake: Lake) -> DataFrame:
+    """One year of a saved table written anew, with a cent more per record and without line 1; the others stay."""
+    name = unique_name("records")
+    records = save_bucketed(lake.clean, name, BUCKETED, partition=["DischargeYear"])
+    line = F.split("SourceRowId", "-")[3]
+    year = stored(records.where((F.col("DischargeYear") == 1995) & (line != "1")), "year")
+    overwrite_partitions(year.withColumn("CostCents", F.col("CostCents") + 1), name)
+    return lake.spark.table(name).groupBy("DischargeYear").agg(
+        F.count(F.lit(1)).alias("Discharges"), F.sum("CostCents").alias("CostCents")
+    )
+
+
+@query
+def star_pruned(lake: Lake) -> DataFrame:
+    """Slicers over the stored fact: only the folders of the chosen conditions and years are read."""
+    star = lake.stored_star().select({"HospitalCounty": ["EUROPE", "ASIA"], "Condition": ["Economy", "Small"]})
+    labelled = Star(star.fact.where(F.col("DischargeYear").isin(1994, 1995)), star.dims).label(["Condition", "BandSort"])
+    cents = (F.col("EstimatedCost") * 100).cast("bigint")
+    return labelled.groupBy("Condition", "DischargeYear", "BandSort").agg(
+        F.count(F.lit(1)).alias("Discharges"), F.sum(cents).alias("CostCents")
+    )
+
+
 @query
 def csv_roundtrip(lake: Lake) -> DataFrame:
     return extract.csv_roundtrip(lake)
@@ -778,8 +852,8 @@ REGISTRY["manifest_check"] = _manifest_check
 
 
 def _file_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet")
-    return extract.file_statuses(spark, nations, "n_nationkey", "n_name")
+    suppliers = spark.read.parquet(f"{sf_dir.rstrip('/')}/supplier.parquet")
+    return extract.file_statuses(spark, suppliers, "s_suppkey", "s_name")
 
 
 REGISTRY["file_statuses"] = _file_statuses
