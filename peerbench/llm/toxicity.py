@@ -1,15 +1,20 @@
 """Toxicity classifier regularised by counterfactuals.
 
-A text is the set of its words and of their first letters (prefixes).  The classifier is a logistic regression
-over the features that tell labelled toxic and clean texts apart.  Every labelled text that mentions a group is
-also read with the group's name swapped for another, and the squared change of its log-odds is penalised, so
-that a name alone does not raise a score.
-
-The model is fitted on a bounded sample of labelled rows: at most ``SAMPLE`` texts, chosen by a hash of the id,
-and at most ``CANDIDATES`` features from the sample's toxic texts; ``FEATURES`` of them are used.  Texts labelled both ways are
-not used.  Without labels of both kinds every score is the share of toxic labels (0 without labels).  Null and
-empty texts are scored as texts without words.  Repeated rows are scored each; an empty table gives an empty
-result.
+A text is the set of its words and of their first letters (prefixes).  The classifier is a logistic regression over
+the features whose frequency in labelled toxic and clean texts differs by ``SIGNIFICANT`` standard errors or more,
+on either side; how many there are follows the data.
+
+Names of groups must not raise a score.  Every labelled text is therefore also read with names of groups: where it
+mentions one, the name is swapped for every other of its line; and the names of one line, chosen by a hash of the
+text, are put into it in turn.  The squared change of the log-odds is penalised for every reading, so a neutral
+mention counts for nothing and a name for as much as the others.  Lines are in English, German, French and Spanish;
+which one a text is read with does not depend on its language.
+
+The model is fitted on a bounded sample of labelled rows: at most ``SAMPLE`` texts, chosen by a hash of the id.  What
+reaches the driver is their significant features and the distinct changes with their counts.  Texts labelled both ways
+are not used.  Without labels of both kinds, or without a significant feature, every score is the share of toxic
+labels (0 without labels).  Null and empty texts are scored as texts without words.  Repeated rows are scored each; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,8 +33,7 @@ from peerbench.llm.common import kept_in, output, remainder, text_slices, texts_
 from peerbench.session import stored
 
 SAMPLE = 20_000
-CANDIDATES = 16_384
-FEATURES = 512
+SIGNIFICANT = 5.0
 PREFIXES = (3, 4, 5, 6)
 RIDGE = 0.2
 COUNTERFACTUAL = 4.0
@@ -38,7 +42,7 @@ WORD = r"[^\W\d_]+"
 # Words kept by a worker; beyond this the store is emptied and filled anew.
 KEPT_WORDS = 300_000
 
-# Names of groups; within a line each is swapped for the next.
+# Names of groups; within a line each is swapped for every other.
 IDENTITY = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
@@ -53,11 +57,53 @@ IDENTITY = (
     ("african", "european", "american", "mexican", "chinese", "indian"),
     ("old", "young"),
     ("blind", "deaf", "disabled"),
+    ("muslimisch", "christlich", "jüdisch", "hinduistisch", "buddhistisch", "atheistisch"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("schwul", "heterosexuell", "lesbisch", "bisexuell", "transgeschlechtlich"),
+    ("frauen", "männer"),
+    ("mädchen", "jungen"),
+    ("einwanderer", "flüchtlinge", "einheimische", "ausländer"),
+    ("afrikanisch", "europäisch", "amerikanisch", "türkisch", "chinesisch", "indisch"),
+    ("blinde", "gehörlose", "behinderte"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("homosexuel", "hétérosexuel", "lesbienne", "bisexuel", "transgenre"),
+    ("femmes", "hommes"),
+    ("filles", "garçons"),
+    ("immigrés", "réfugiés", "natifs", "étrangers"),
+    ("africain", "européen", "américain", "mexicain", "chinois", "indien"),
+    ("aveugles", "sourds", "handicapés"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("homosexual", "heterosexual", "lesbiana", "bisexual", "transgénero"),
+    ("mujeres", "hombres"),
+    ("niñas", "niños"),
+    ("inmigrantes", "refugiados", "nativos", "extranjeros"),
+    ("africano", "europeo", "americano", "mexicano", "chino", "indio"),
+    ("ciegos", "sordos", "discapacitados"),
 )
 
 
-def swaps() -> dict[str, str]:
-    return {name: line[(i + 1) % len(line)] for line in IDENTITY for i, name in enumerate(line)}
+def lines_of() -> dict[str, list[tuple[str, ...]]]:
+    """The lines that a name stands in."""
+    found: dict[str, list[tuple[str, ...]]] = {}
+    for line in IDENTITY:
+        for name in line:
+            found.setdefault(name, []).append(line)
+    return found
+
+
+def readings(words: set[str], text: str, lines: dict[str, list[tuple[str, ...]]]) -> list[list[set[str]]]:
+    """Groups of readings of a text, as sets of words: its own names swapped for every other of their line, and one
+    line's names put in."""
+    found = []
+    for name in sorted(words & lines.keys()):
+        for line in lines[name]:
+            others = [(words - {name}) | {other} for other in line if other != name]
+            found.append(others)
+    put_in = IDENTITY[xxhash.xxh64_intdigest(text, 1) % len(IDENTITY)]
+    found.append([words | {name} for name in put_in])
+    return found
 
 
 def features_of(word: str) -> list[int]:
@@ -100,10 +146,6 @@ class Model(NamedTuple):
     bias: float
 
 
-def _packed(rows: list[set[int]]) -> pa.Array:
-    return pa.array([np.array(sorted(r), dtype=np.int32).tobytes() for r in rows], pa.binary())
-
-
 def sample_labelled(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, folds: int, held: int, sample: int
 ) -> DataFrame:
@@ -121,90 +163,153 @@ def sample_labelled(
     return rows.join(stored(agreed, "toxicity-labels"), F.col("_id") == F.col("_label_id")).select("text", "toxic")
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 4,
-    held: int = 2, sample: int = SAMPLE,
-) -> Model:
-    """The model; what reaches the driver is the candidate features of the sample, a few kB per text."""
-    store = worker_store(docs.sparkSession)
-    known = stored(sample_labelled(docs, labels, id_col, text_col, folds, held, sample), "toxicity-sample")
+def significant(known: DataFrame, sizes: tuple[int, int], least: float) -> DataFrame:
+    """``hash`` of every feature that ``least`` standard errors or more lie between its shares in both kinds of texts.
 
-    def toxic_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``known`` has ``text`` and ``toxic``, ``sizes`` says how many texts there are of kind 0 and 1.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in text_slices(batches):
+            kinds = batch.column("toxic").to_pylist()
             found = [reader.features(reader.words(text)) for text in texts_of(batch)]
             flat = np.fromiter((h for f in found for h in f), np.int64)
-            hashes, counts = np.unique(flat, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(counts.astype(np.int64))], ["hash", "n"])
+            toxic = np.repeat(np.array(kinds, dtype=np.int64), [len(f) for f in found])
+            hashes, place = np.unique(flat, return_inverse=True)
+            of_toxic = np.bincount(place, toxic, len(hashes)).astype(np.int64)
+            of_clean = np.bincount(place, minlength=len(hashes)) - of_toxic
+            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(of_clean), pa.array(of_toxic)], ["hash", "n0", "n1"])
+
+    counts = known.mapInArrow(count, "hash bigint, n0 bigint, n1 bigint").groupBy("hash").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")
+    )
+    clean, toxic = sizes
+    rate = (F.col("n0") + F.col("n1")) / (clean + toxic)
+    spread = F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * (1 / clean + 1 / toxic))
+    strength = F.abs(F.col("n1") / toxic - F.col("n0") / clean) / spread
+    return counts.where((F.col("n0") + F.col("n1") > 1) & (strength >= least)).select("hash")
 
-    frequent = (
-        known.where("toxic = 1").select("text").mapInArrow(toxic_features, "hash bigint, n bigint")
-        .groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1")
-        .orderBy(F.desc("n"), "hash").limit(CANDIDATES)
-    )
-    wanted = np.array(sorted(row["hash"] for row in frequent.collect()), dtype=np.int64)
-    partner = swaps()
+
+def fit(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 4,
+    held: int = 2, sample: int = SAMPLE, counterfactual: float = COUNTERFACTUAL,
+) -> Model:
+    """The model; what reaches the driver is the significant features of the sample and the distinct changes."""
+    store = worker_store(docs.sparkSession)
+    known = stored(sample_labelled(docs, labels, id_col, text_col, folds, held, sample), "toxicity-sample")
+    clean, toxic = known.agg(F.count(F.when(F.col("toxic") == 0, 1)), F.count(F.when(F.col("toxic") == 1, 1))).first()
+    if not (clean and toxic):
+        return Model(np.zeros(0, dtype=np.int64), np.zeros(0), float(toxic > 0))
+    hashes = [row["hash"] for row in significant(known, (clean, toxic), SIGNIFICANT).collect()]
+    wanted = np.array(sorted(hashes), dtype=np.int64)
+    if not len(wanted):
+        return Model(wanted, np.zeros(0), toxic / (clean + toxic))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = kept_in(store, lambda: Reader(wanted))
+        reader, lines = kept_in(store, lambda: Reader(wanted)), lines_of()
         for batch in text_slices(batches):
-            found = [reader.words(text) for text in texts_of(batch)]
-            swapped = [{partner.get(w, w) for w in words} for words in found]
-            other = _packed([reader.features(b) if a != b else set() for a, b in zip(found, swapped)])
-            has = pa.array([a != b for a, b in zip(found, swapped)])
-            own = _packed([reader.features(words) for words in found])
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), own, has, other], ["toxic", "own", "has", "other"])
-
-    kind = known.schema["toxic"].dataType.simpleString()
-    rows = known.select("text", "toxic").mapInArrow(pack, f"toxic {kind}, own binary, has boolean, other binary")
-    return train(rows.collect(), wanted)
-
-
-def _dense(rows: list[bytes], place: np.ndarray, width: int) -> np.ndarray:
-    matrix = np.zeros((len(rows), width))
-    for i, packed in enumerate(rows):
-        chosen = place[np.frombuffer(packed, dtype=np.int32)]
-        matrix[i, chosen[chosen >= 0]] = 1
-    return matrix
-
-
-def train(rows: list, wanted: np.ndarray) -> Model:
-    """Fit the penalised regression with Newton's method."""
-    labels = np.array([row["toxic"] for row in rows], dtype=np.float64)
-    share = float(labels.mean()) if len(labels) else 0.0
-    nothing = Model(np.zeros(0, dtype=np.int64), np.zeros(0), share)
-    if share in (0.0, 1.0) or not len(wanted):
-        return nothing
-    counts = np.zeros((2, len(wanted)))
-    for row in rows:
-        counts[int(row["toxic"]), np.frombuffer(row["own"], dtype=np.int32)] += 1
-    # How much more frequent a feature is in toxic texts, in standard errors.
-    sizes = np.array([[len(labels) - labels.sum()], [labels.sum()]])
-    rate = counts.sum(axis=0) / len(labels)
-    spread = np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / sizes).sum())
-    strength = np.abs(counts[1] / sizes[1] - counts[0] / sizes[0]) / spread
-    chosen = np.sort(np.lexsort((wanted, -strength))[:FEATURES])
-    place = np.full(len(wanted), -1)
-    place[chosen] = np.arange(len(chosen))
-    x = np.hstack([_dense([r["own"] for r in rows], place, len(chosen)), np.ones((len(rows), 1))])
-    pairs = [r for r in rows if r["has"]]
-    change = _dense([r["own"] for r in pairs], place, len(chosen)) - _dense(
-        [r["other"] for r in pairs], place, len(chosen)
+            packed, changes, shares = [], [], []
+            for text in texts_of(batch):
+                words = reader.words(text)
+                own = reader.features(words)
+                packed.append(np.array(sorted(own), dtype=np.int32).tobytes())
+                for group in readings(words, text, lines):
+                    for other in map(reader.features, group):
+                        # Features that come are positive, those that go negative; numbers start at 1.
+                        change = sorted([i + 1 for i in other - own] + [-i - 1 for i in own - other])
+                        if change:
+                            changes.append(np.array(change, dtype=np.int32).tobytes())
+                            shares.append(1 / len(group))
+            rows = [packed + changes, batch.column("toxic").to_pylist() + [None] * len(changes), [1.0] * len(packed) + shares]
+            kinds = (pa.binary(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], ["packed", "toxic", "share"])
+
+    rows = known.select("text", F.col("toxic").cast("bigint").alias("toxic")).mapInArrow(
+        pack, "packed binary, toxic bigint, share double"
     )
-    penalty = np.zeros((x.shape[1], x.shape[1]))
-    penalty[:-1, :-1] = RIDGE * np.eye(len(chosen)) + 2 * COUNTERFACTUAL * change.T @ change
-    weights = np.zeros(x.shape[1])
-    weights[-1] = np.log(share / (1 - share))
-    for _ in range(30):
-        odds = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (odds - labels) + penalty @ weights
-        curvature = (x * np.maximum(odds * (1 - odds), 1e-6)[:, None]).T @ x + penalty
-        curvature[-1, -1] += 1e-9
-        step = np.linalg.solve(curvature, gradient)
-        weights -= step * min(1.0, 5 / max(np.abs(step).max(), 1e-12))
+    # Equal texts and equal changes are one row each.
+    rows = rows.groupBy("packed", "toxic").agg(F.count(F.lit(1)).alias("n"), F.first("share").alias("share"))
+    return train(rows.collect(), wanted, counterfactual)
+
+
+class Rows(NamedTuple):
+    """Sparse rows: place of the row, feature and value of every entry, and a weight per row."""
+
+    row: np.ndarray
+    feature: np.ndarray
+    value: np.ndarray
+    weight: np.ndarray
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * weights[self.feature], len(self.weight))
+
+    def back(self, amounts: np.ndarray, width: int) -> np.ndarray:
+        return np.bincount(self.feature, self.value * amounts[self.row], width)
+
+
+def _sparse(packed: list[bytes], weights: list[float]) -> Rows:
+    entries = [np.frombuffer(p, dtype=np.int32) for p in packed]
+    row = np.repeat(np.arange(len(entries)), [len(e) for e in entries])
+    flat = np.concatenate([np.zeros(0, dtype=np.int32), *entries]).astype(np.int64)
+    return Rows(row, flat, np.ones(len(flat)), np.array(weights, dtype=np.float64))
+
+
+def train(rows: list, wanted: np.ndarray, counterfactual: float = COUNTERFACTUAL) -> Model:
+    """Fit the penalised regression with Newton's method; each step is solved by conjugate gradients.
+
+    A row has ``packed`` features, ``n`` (how often it occurs) and ``toxic``, or without ``toxic`` it is a change,
+    with ``share``.  Memory grows with the entries of the rows, not with the square of the features.
+    """
+    rows = sorted(rows, key=lambda r: (r["packed"], -1 if r["toxic"] is None else r["toxic"]))
+    texts, moves = [r for r in rows if r["toxic"] is not None], [r for r in rows if r["toxic"] is None]
+    labels = np.array([r["toxic"] for r in texts], dtype=np.float64)
+    x = _sparse([r["packed"] for r in texts], [r["n"] for r in texts])
+    total = x.weight.sum()
+    share = float((labels * x.weight).sum() / total) if total else 0.0
+    if share in (0.0, 1.0) or not len(wanted):
+        return Model(np.zeros(0, dtype=np.int64), np.zeros(0), share)
+    change = _sparse([r["packed"] for r in moves], [2 * counterfactual * r["n"] * r["share"] for r in moves])
+    change = change._replace(value=np.sign(change.feature).astype(np.float64), feature=np.abs(change.feature) - 1)
+    width = len(wanted)
+
+    def penalty(v: np.ndarray) -> np.ndarray:
+        return RIDGE * v + change.back(change.weight * change.times(v), width)
+
+    weights, bias = np.zeros(width), float(np.log(share / (1 - share)))
+    for _ in range(40):
+        odds = 1 / (1 + np.exp(-np.clip(x.times(weights) + bias, -30, 30)))
+        rest = x.weight * (odds - labels)
+        bend = x.weight * np.maximum(odds * (1 - odds), 1e-6)
+        gradient = np.append(x.back(rest, width) + penalty(weights), rest.sum())
+
+        def curvature(v: np.ndarray) -> np.ndarray:
+            inner = bend * (x.times(v[:-1]) + v[-1])
+            return np.append(x.back(inner, width) + penalty(v[:-1]), inner.sum() + 1e-9 * v[-1])
+
+        step = _solve(curvature, gradient)
+        scale = min(1.0, 5 / max(np.abs(step).max(), 1e-12))
+        weights, bias = weights - scale * step[:-1], bias - scale * step[-1]
         if np.abs(step).max() < 1e-6:
             break
-    return Model(wanted[chosen], weights[:-1], float(weights[-1]))
+    return Model(wanted, weights, bias)
+
+
+def _solve(product, right: np.ndarray, rounds: int = 500) -> np.ndarray:
+    """Conjugate gradients for a symmetric positive definite operator."""
+    found, rest = np.zeros_like(right), right.copy()
+    way, size = rest.copy(), rest @ rest
+    target = 1e-20 * size
+    for _ in range(rounds):
+        if size <= target or not size:
+            break
+        along = product(way)
+        length = size / (way @ along)
+        found += length * way
+        rest -= length * along
+        size, before = rest @ rest, size
+        way = rest + (size / before) * way
+    return found
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

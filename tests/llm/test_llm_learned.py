@@ -6,7 +6,9 @@ import zlib
 import numpy as np
 from cases import documents, labels, odd_documents, prose, results
 from peerbench.llm.langid import Profiler, identify, learn
-from peerbench.llm.toxicity import FEATURES, Model, classify, fit, score, swaps, train
+from peerbench.llm.toxicity import (
+    COUNTERFACTUAL, IDENTITY, RIDGE, Model, Reader, classify, fit, lines_of, readings, score, significant, train,
+)
 
 SF = "/root/testdata/sf0.1"
 
@@ -108,18 +110,96 @@ def test_names_of_groups_alone_are_not_toxic(spark):
     assert found[4] > 0.3 > max(found[1], found[2], found[3])
 
 
-def test_a_swapped_name_changes_the_score_less_with_the_penalty(spark):
+def packed(*features):
+    return np.array(features, dtype=np.int32).tobytes()
+
+
+def slow_fit(rows, width, counterfactual):
+    """The penalised likelihood minimised with dense matrices."""
+    texts = [r for r in rows if r["toxic"] is not None]
+    x = np.zeros((len(texts), width + 1))
+    for i, r in enumerate(texts):
+        x[i, np.frombuffer(r["packed"], np.int32)] = 1
+    x[:, -1] = 1
+    y, n = (np.array([r[c] for r in texts], dtype=float) for c in ("toxic", "n"))
+    penalty = np.diag([RIDGE] * width + [0.0])
+    for r in rows:
+        if r["toxic"] is None:
+            d = np.zeros(width + 1)
+            for f in np.frombuffer(r["packed"], np.int32):
+                d[abs(f) - 1] = np.sign(f)
+            penalty += 2 * counterfactual * r["n"] * r["share"] * np.outer(d, d)
+    w = np.zeros(width + 1)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-x @ w))
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(width + 1), x.T @ (n * (p - y)) + penalty @ w)
+        w -= step * min(1, 1 / np.abs(step).max())
+    return w
+
+
+def test_the_fit_equals_a_dense_one():
+    random_ = random.Random(7)
+    rows = [
+        {"packed": packed(*sorted(random_.sample(range(9), random_.randint(0, 5)))), "toxic": random_.randint(0, 1), "n": random_.randint(1, 4), "share": 1.0}
+        for _ in range(60)
+    ]
+    rows += [{"packed": packed(3, -5), "toxic": None, "n": 7, "share": 0.5}, {"packed": packed(9), "toxic": None, "n": 2, "share": 1.0}]
+    for strength in (0.0, COUNTERFACTUAL):
+        model = train(list(rows), np.arange(9), strength)
+        expected = slow_fit(rows, 9, strength)
+        assert np.allclose(np.append(model.weights, model.bias), expected, atol=1e-5)
+
+
+def test_a_swapped_name_changes_the_score_less_with_the_penalty():
     """One name only in toxic texts, the other only in clean ones: without the penalty it would decide."""
-    wanted = np.arange(3)
-    pack = lambda *x: np.array(x, dtype=np.int32).tobytes()
-    plain = [{"toxic": 1, "own": pack(0, 2), "has": False, "other": pack()}] * 40
-    plain += [{"toxic": 0, "own": pack(1), "has": False, "other": pack()}] * 60
-    paired = [r | {"has": True, "other": pack(*({0: 1, 1: 0}.get(x, x) for x in np.frombuffer(r["own"], np.int32)))} for r in plain]
-    free, held_down = train(plain, wanted), train(paired, wanted)
+    rows = [{"packed": packed(0, 2), "toxic": 1, "n": 40, "share": 1.0}, {"packed": packed(1), "toxic": 0, "n": 60, "share": 1.0}]
+    rows += [{"packed": packed(-1, 2), "toxic": None, "n": 40, "share": 1.0}, {"packed": packed(1, -2), "toxic": None, "n": 60, "share": 1.0}]
+    free, held_down = train(rows, np.arange(3), 0.0), train(rows, np.arange(3), COUNTERFACTUAL)
     gap = lambda m: abs(m.weights[0] - m.weights[1])
     assert gap(held_down) < 0.2 * gap(free)
 
 
+def test_readings_swap_through_all_members_of_a_line():
+    words = Reader().words("our Muslim neighbours")
+    swapped, put_in = readings(words, "our Muslim neighbours", lines_of())
+    line = next(l for l in IDENTITY if "muslim" in l)
+    assert [w - {"our", "neighbours"} for w in swapped] == [{n} for n in line if n != "muslim"]
+    assert any({next(iter(w - words), "muslim") for w in put_in} == set(l) | ({"muslim"} & set(l)) for l in IDENTITY)
+    [alone] = readings({"plain", "words"}, "plain words", lines_of())
+    assert any([w - {"plain", "words"} for w in alone] == [{n} for n in l] for l in IDENTITY)
+
+
+def test_lines_name_no_group_twice():
+    assert all(len(set(line)) == len(line) > 1 for line in IDENTITY)
+    assert all(name == name.lower() and Reader().words(name) == {name} for line in IDENTITY for name in line)
+
+
+def test_significant_features_follow_the_data(spark):
+    rows = [("bad word", 1)] * 30 + [("fine word", 0)] * 50 + [("rare", 1)]
+    known = spark.createDataFrame([(t.encode(), x) for t, x in rows], "text binary, toxic int")
+    reader = Reader()
+    found = {r["hash"] for r in significant(known, (50, 31), 5.0).collect()}
+    # Both kinds count: words of toxic texts and words of clean ones.
+    assert found == reader.features({"bad"}) | reader.features({"fine"})
+
+
+def test_neutral_mentions_are_not_toxic_on_the_given_texts(spark):
+    """On the given labels the penalty acts: names of groups change scores with it less than without."""
+    docs, known = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    frames = ("our {} neighbours came to dinner", "nach dem essen kamen {} leute", "des voisins {} sont venus", "unos vecinos {} vinieron")
+    names = [name for line in IDENTITY for name in line]
+    texts = [f.format(n) for f in frames for n in ["", *names]]
+    sentences = documents(spark, [(i, text, "en", "a", 1) for i, text in enumerate(texts)])
+
+    def shift(strength):
+        scores = {r["_id"]: r.score for r in score(sentences, fit(docs, known, counterfactual=strength)).collect()}
+        size = len(names) + 1
+        return max(abs(scores[k * size + i] - scores[k * size]) for k in range(len(frames)) for i in range(size))
+
+    free, held_down = shift(0.0), shift(COUNTERFACTUAL)
+    assert free > 0.01 and held_down < 0.1 * free
+
+
 def test_toxicity_odd_cases(spark):
     docs = documents(spark, clashing=True)
     known = labels(spark, [(1, 1, 0), (5, 1, 1), (5, 1, 0), (7, 0, 1), (None, 1, 1), (20, 1, None)])
@@ -138,7 +218,6 @@ def test_labels_of_held_out_documents_teach_nothing(spark):
     assert results(classify(docs, labels(spark, marks))) == results(classify(docs, labels(spark, wrong)))
 
 
-def test_every_swap_stays_among_the_names():
-    partner = swaps()
-    assert set(partner.values()) == set(partner) and all(a != b for a, b in partner.items())
-    assert isinstance(train([], np.arange(3)), Model) and FEATURES > 0
+def test_nothing_to_train_on():
+    model = train([], np.arange(3))
+    assert isinstance(model, Model) and not len(model.weights) and model.bias == 0.0
