@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +64,13 @@ def labels(spark: SparkSession, rows: list[tuple] = ()) -> DataFrame:
 
 def results(df: DataFrame) -> list[tuple]:
     return sorted(map(tuple, df.collect()), key=lambda row: [(v is None, str(v)) for v in row])
+
+
+def peak_megabytes(run: Callable) -> tuple[float, object]:
+    """The most memory that a call holds at a time, and its result."""
+    tracemalloc.start()
+    try:
+        result = run()
+        return tracemalloc.get_traced_memory()[1] / 1e6, result
+    finally:
+        tracemalloc.stop()

@@ -2,7 +2,11 @@
 
 import __spark_entry__ as entry_point
 import numpy as np
-from peerbench.llm.embeddings import bucket_codes, connected, first_meeting, hadamard, near_duplicate_vectors
+import pytest
+from cases import peak_megabytes
+from peerbench.llm.embeddings import (
+    CHUNK, Cell, bucket_codes, connected, first_meeting, hadamard, near_duplicate_vectors, tables_for,
+)
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
@@ -72,16 +76,52 @@ def test_hot_bucket_split_into_chunks(spark):
     assert ordered(near_duplicate_vectors(table, chunk=20).collect()) == ordered(slow(rows))
 
 
-def test_recall_at_the_threshold():
-    rng = np.random.default_rng(3)
-    a = rng.normal(size=(3000, 64))
+def pairs_at(cosine, length, count, seed=3):
+    rng = np.random.default_rng(seed)
+    a = rng.normal(size=(count, length))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b = rng.normal(size=a.shape)
     b -= (a * b).sum(axis=1, keepdims=True) * a
     b /= np.linalg.norm(b, axis=1, keepdims=True)
-    b = 0.93 * a + np.sqrt(1 - 0.93**2) * b
-    table, bucket = first_meeting(bucket_codes(a), bucket_codes(b))
-    assert (bucket != np.iinfo(np.int32).max).mean() > 0.995
+    return a, cosine * a + np.sqrt(1 - cosine**2) * b
+
+
+@pytest.mark.parametrize("length", [16, 64, 128, 384, 768, 1024])
+def test_recall_at_the_threshold(length):
+    a, b = pairs_at(0.93, length, 3000)
+    _, bucket = first_meeting(bucket_codes(a), bucket_codes(b))
+    recall = (bucket != np.iinfo(np.int32).max).mean()
+    print(f"length {length}: {tables_for(length)} tables, recall {recall:.4f}")
+    assert recall > 0.997
+
+
+def dense_cell(count, chunks=1, length=64):
+    """A bucket of vectors that are all linked, as a worker reads it."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=length) + rng.normal(size=(count, length)) * 0.02
+    codes = bucket_codes(vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+    mine = codes[:, 0, 0] == codes[0, 0, 0]
+    vectors, codes = vectors[mine], codes[mine]
+    n = len(vectors)
+    rows = {
+        "gid": np.arange(n), "copies": np.ones(n, dtype=np.int64), "own": np.ones(n, dtype=bool),
+        "chunk": np.arange(n) % chunks, "table": np.zeros(n, dtype=np.int32),
+        "bucket": np.full(n, codes[0, 0, 0], dtype=np.int32), "low": np.zeros(n), "high": np.full(n, chunks - 1),
+        "vector": np.array([v.tobytes() for v in vectors], dtype=object),
+        "codes": np.array([c.tobytes() for c in codes], dtype=object),
+    }
+    return Cell(rows, "float64"), n
+
+
+@pytest.mark.parametrize("chunks", [1, 2])
+def test_full_chunks_of_near_copies_stay_small(chunks):
+    cell, n = dense_cell(CHUNK * chunks + 200, chunks)
+    assert n > CHUNK * chunks * 0.95
+    peak, (gid, counts, roots) = peak_megabytes(lambda: cell.result(0.93))
+    own = np.bincount(np.arange(n) % chunks)
+    assert len(gid) == n and (roots == 0).all()
+    assert counts.sum() == (n * (n - 1) if chunks == 1 else 2 * own[0] * own[1])
+    assert peak < 300
 
 
 def test_hadamard_is_the_matrix():
