@@ -5,9 +5,10 @@ filled with documents in the order of their exponential keys, ``-ln(u) / weight`
 digest of the document and ``weight`` is its quality weight, so better documents come earlier.  The last document
 is taken if at least half of it fits.
 
-The order within a source is found without sorting the source: keys fall into cells, the sizes of cells are
-summed, and only the cell in which the target is reached is put in order.  So no task holds a source, and the
-choice is a row per source (epochs and last key) that any pass over the documents can apply.
+The order within a source is found without sorting the source: keys fall into ``CELLS`` cells, the sizes of cells are
+summed, and the cell in which the target is reached is cut into as many cells again, until it holds a single key.  So
+no task holds a source or an unbounded part of one, and the choice is a row per source (epochs and last key) that any
+pass over the documents can apply.
 
 Words are runs of other characters than space, tab and line ends.  Null and empty texts have size 0 and are never
 taken.  A null source is a source and comes last.  Rows with one key (repeated rows) are taken together.  A
@@ -26,7 +27,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-CELLS = 1 << 16
+CELLS = 1 << 12
 SEED = "mix-1"
 
 
@@ -47,7 +48,7 @@ def uniform(identity: Column, text: Column, seed: str) -> Column:
 
 
 def drawn(row: DataFrame, id_col: str, text_col: str, source_col: str, seed: str, also: list[Column]) -> DataFrame:
-    """``also`` and ``_source``, ``_size``, ``_key``, ``_cell`` of every row."""
+    """``also`` and ``_source``, ``_size``, ``_key`` of every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     sized = row.select(
         *also,
@@ -58,8 +59,7 @@ def drawn(row: DataFrame, id_col: str, text_col: str, source_col: str, seed: str
     )
     key = -F.log(uniform(F.col("_i"), F.col("_t"), seed)) / quality_weight(F.col("_t"), F.col("_size"))
     names = [c for c in sized.columns if c not in ("_t", "_i")]
-    keyed = sized.select(*names, key.alias("_key"))
-    return keyed.withColumn("_cell", F.least(F.floor((1 - F.exp(-F.col("_key"))) * CELLS), F.lit(CELLS - 1)).cast("int"))
+    return sized.select(*names, key.alias("_key"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
@@ -88,48 +88,76 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return shares.select("source", "source_size", F.when(full, limit.cast("double")).otherwise(share).alias("target"))
 
 
+def _cells(rows: DataFrame, cell: Column) -> DataFrame:
+    """Words, smallest and largest key of the cells of every source."""
+    in_cell = F.least(F.floor(cell * CELLS), F.lit(CELLS - 1)).cast("int").alias("_cell")
+    return rows.groupBy("_source", in_cell).agg(
+        F.sum("_size").alias("words"), F.min("_key").alias("low"), F.max("_key").alias("high")
+    )
+
+
+def _reached(cells: DataFrame, aims: DataFrame, name: str) -> DataFrame:
+    """The cell of every source in which its target is reached: its keys, the words before it, its own, and the last
+    key of the cells before it (``last_key``)."""
+    # At most CELLS rows for any source.
+    placed = cells.join(aims, F.col("_source").eqNullSafe(F.col("a_source")))
+    up_to = Window.partitionBy("_source").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    ends = placed.withColumn("end", F.col("before") + F.sum("words").over(up_to))
+    whole = F.max(F.when(F.col("end") <= F.col("rest"), F.col("high"))).alias("whole_key")
+    crossing = F.min(
+        F.when(F.col("end") > F.col("rest"), F.struct("_cell", "low", "high", (F.col("end") - F.col("words")).alias("start"), "words"))
+    ).alias("c")
+    found = ends.groupBy("a_source", "rest").agg(whole, F.first("last_key").alias("earlier"), crossing)
+    return stored(
+        found.select(
+            "a_source", "rest", F.col("c.low").alias("low"), F.col("c.high").alias("high"),
+            F.col("c.start").alias("before"), F.col("c.words").alias("words"),
+            F.greatest("earlier", "whole_key").alias("last_key"),
+        ),
+        name,
+    )
+
+
 def plan_mix(drawn_rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """One row per source: ``source``, ``source_size``, ``target``, ``epochs``, ``last_key`` (of the fraction).
 
     ``drawn_rows`` has the columns of ``drawn`` and should be a written table.
     """
-    cells = stored(drawn_rows.groupBy("_source", "_cell").agg(F.sum("_size").alias("words")), "mix-cells")
+    cells = stored(_cells(drawn_rows, 1 - F.exp(-F.col("_key"))), "mix-cells")
     sizes = cells.groupBy(F.col("_source").alias("source")).agg(F.sum("words").alias("source_size"))
     aims = targets(stored(sizes, "mix-sizes"), weights, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     aims = aims.withColumn("epochs", epochs.cast("bigint"))
     aims = stored(aims.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-targets")
-    # At most CELLS rows for any source.
-    up_to = Window.partitionBy("_source").orderBy("_cell")
-    reached = (
-        cells.withColumn("end", F.sum("words").over(up_to))
-        .join(aims, F.col("_source").eqNullSafe(F.col("source")))
-        .withColumn("start", F.col("end") - F.col("words"))
-    )
-    whole = reached.where("end <= rest").groupBy("source").agg(F.max("_cell").alias("whole_cell"))
-    crossing = reached.where("start < rest and end > rest").select(
-        F.col("source").alias("c_source"), F.col("_cell").alias("c_cell"), "start", "rest"
-    )
-    inside = drawn_rows.join(
-        stored(crossing, "mix-crossing"), F.col("_source").eqNullSafe(F.col("c_source")) & (F.col("_cell") == F.col("c_cell"))
-    )
-    by_key = inside.groupBy("c_source", "_key").agg(
-        F.sum("_size").alias("words"), F.first("start").alias("start"), F.first("rest").alias("rest")
-    )
-    before = F.sum("words").over(Window.partitionBy("c_source").orderBy("_key")) - F.col("words")
-    fits = by_key.withColumn("before", F.col("start") + before).where("2 * before + words <= 2 * rest")
-    last = fits.groupBy("c_source").agg(F.max("_key").alias("last_key"))
-    plan = (
-        aims.join(whole.withColumnRenamed("source", "w_source"), F.col("source").eqNullSafe(F.col("w_source")), "left")
-        .join(last, F.col("source").eqNullSafe(F.col("c_source")), "left")
-        .select("source", "source_size", "target", "epochs", F.coalesce("whole_cell", F.lit(-1)).alias("whole_cell"), "last_key")
-    )
-    return stored(plan, "mix-plan")
+    nothing = [F.lit(0).cast("bigint").alias("before"), F.lit(None).cast("double").alias("last_key")]
+    state = _reached(cells, aims.select(F.col("source").alias("a_source"), "rest", *nothing), "mix-reached")
+    settled = []
+    while True:
+        # A cell with a single key is taken if at least half of it fits; a source without one ends with a whole cell.
+        fits = (F.col("low") == F.col("high")) & (2 * F.col("before") + F.col("words") <= 2 * F.col("rest"))
+        done = F.col("low").isNull() | (F.col("low") == F.col("high"))
+        last = F.when(fits, F.col("low")).otherwise(F.col("last_key")).alias("last_key")
+        settled.append(state.where(done).select("a_source", last))
+        open_ = state.where(~done)
+        if open_.isEmpty():
+            break
+        bounds = open_.select(F.col("a_source").alias("b_source"), "low", "high")
+        inside = drawn_rows.join(
+            bounds, F.col("_source").eqNullSafe(F.col("b_source")) & F.col("_key").between(F.col("low"), F.col("high"))
+        )
+        share = (F.col("_key") - F.col("low")) / (F.col("high") - F.col("low"))
+        cells = _cells(inside.select("_source", "_size", "_key", share.alias("_share")), F.col("_share"))
+        state = _reached(cells, open_.select("a_source", "rest", "before", "last_key"), "mix-reached")
+    chosen = settled[0]
+    for more in settled[1:]:
+        chosen = chosen.unionByName(more)
+    plan = aims.join(chosen, F.col("source").eqNullSafe(F.col("a_source")), "left")
+    return stored(plan.select("source", "source_size", "target", "epochs", "last_key"), "mix-plan")
 
 
 def copies() -> Column:
     """How often a row is taken, by the row of its source."""
-    chosen = (F.col("_cell") <= F.col("whole_cell")) | F.coalesce(F.col("_key") <= F.col("last_key"), F.lit(False))
+    chosen = F.coalesce(F.col("_key") <= F.col("last_key"), F.lit(False))
     return F.when(F.col("_size") > 0, F.col("epochs") + chosen.cast("bigint")).otherwise(F.lit(0))
 
 

@@ -76,6 +76,18 @@ def test_targets_are_reached_and_limits_kept(spark):
     assert math.isclose(sum(target.values()), sum(r.size for r in found))
 
 
+def test_target_in_a_cell_with_most_of_a_source(spark):
+    """Symbols make the weights small, so nearly all keys of the larger source fall into the last cell."""
+    rows = [(i, "# " * 60 + "w " * (i % 5 + 1), "en", "a", 1) for i in range(3000)]
+    rows += [(5000 + i, "word " * 4, "en", "b", 1) for i in range(300)]
+    assert ordered(map(tuple, mix(documents(spark, rows)).collect())) == ordered(slow_mix(rows))
+
+
+def test_equal_rows_at_the_target_are_taken_together(spark):
+    rows = [(1, "one two three", "en", "a", 1)] * 500 + [(i, "w " * 9, "en", "b", 1) for i in range(2, 40)]
+    assert ordered(map(tuple, mix(documents(spark, rows)).collect())) == ordered(slow_mix(rows))
+
+
 def test_reruns_agree_whatever_the_partitions(spark):
     docs = documents(spark)
     assert results(mix(docs)) == results(mix(docs.repartition(5)))
