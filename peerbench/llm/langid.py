@@ -28,6 +28,10 @@ SEED = 20
 UNKNOWN = "und"
 # Texts whose n-grams are bundled by one matrix product.
 TOGETHER = 64
+# N-grams whose vectors are spelled out at a time.
+GRAMS_TOGETHER = 16_384
+# Sums of single precision are whole numbers up to here.
+EXACT = 1 << 24
 # Alphabets up to this size find their n-grams by counting, larger ones by sorting.
 SMALL_ALPHABET = 128
 
@@ -86,15 +90,31 @@ class Profiler:
         return bound.astype(np.float32)
 
     def bundles(self, texts: list[str], groups: np.ndarray | None = None, n_groups: int = 0) -> np.ndarray:
-        """The bundle of every text, or of every group of texts; exact, as counts stay below 2**24."""
+        """The bundle of every text, or of every group of texts, in whole numbers.
+
+        Vectors are spelled out for ``GRAMS_TOGETHER`` n-grams at a time, however many different ones a text has; the
+        sum is the same in any order.
+        """
         owner, numbers, spelled = self.grams(texts)
         rows = len(texts) if groups is None else n_groups
+        total = np.zeros((rows, self.dimensions), dtype=np.int64)
         if not len(owner):
-            return np.zeros((rows, self.dimensions), dtype=np.float32)
+            return total
         owner = owner if groups is None else groups[owner]
-        cells = np.bincount(owner * spelled.shape[1] + numbers, minlength=rows * spelled.shape[1])
-        counts = cells.reshape(rows, spelled.shape[1]).astype(np.float32)
-        return counts @ self.gram_vectors(spelled)
+        different = spelled.shape[1]
+        if different > GRAMS_TOGETHER:
+            order = np.argsort(numbers, kind="stable")
+            owner, numbers = owner[order], numbers[order]
+        for start in range(0, different, GRAMS_TOGETHER):
+            width = min(GRAMS_TOGETHER, different - start)
+            part = slice(None)
+            if different > GRAMS_TOGETHER:
+                part = slice(*np.searchsorted(numbers, [start, start + width]))
+            cells = np.bincount(owner[part] * width + numbers[part] - start, minlength=rows * width)
+            kind = np.float32 if len(owner) < EXACT else np.float64
+            counts = cells.reshape(rows, width).astype(kind)
+            total += (counts @ self.gram_vectors(spelled[:, start : start + width]).astype(kind, copy=False)).astype(np.int64)
+        return total
 
 
 def learn(
@@ -111,7 +131,7 @@ def learn(
         sums: dict[str, np.ndarray] = {}
         for batch in text_slices(batches):
             names, groups = np.unique(np.array(batch.column("lang").to_pylist()), return_inverse=True)
-            found = profiler.bundles(texts_of(batch), groups, len(names)).astype(np.int64)
+            found = profiler.bundles(texts_of(batch), groups, len(names))
             for name, vector in zip(names.tolist(), found):
                 sums[name] = sums.get(name, 0) + vector
         names = sorted(sums)

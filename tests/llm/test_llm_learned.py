@@ -4,7 +4,7 @@ import random
 import zlib
 
 import numpy as np
-from cases import documents, labels, odd_documents, prose, results
+from cases import documents, labels, odd_documents, peak_megabytes, prose, results
 from peerbench.llm.langid import Profiler, identify, learn
 from peerbench.llm.toxicity import (
     COUNTERFACTUAL, IDENTITY, RIDGE, Model, Reader, classify, fit, lines_of, readings, score, significant, train,
@@ -47,6 +47,50 @@ def test_large_alphabets_give_the_same():
     assert (profiler.bundles([text, "abc"])[0] == slow_bundle(profiler, text)).all()
 
 
+def test_many_different_ngrams_in_blocks(monkeypatch):
+    from peerbench.llm import langid
+
+    profiler = Profiler()
+    random_ = random.Random(4)
+    texts = ["".join(chr(0x4E00 + random_.randrange(900)) for _ in range(700)), "abc abc", ""]
+    whole = profiler.bundles(texts)
+    monkeypatch.setattr(langid, "GRAMS_TOGETHER", 100)
+    monkeypatch.setattr(langid, "EXACT", 1)
+    assert (profiler.bundles(texts) == whole).all() and (whole[0] == slow_bundle(profiler, texts[0])).all()
+
+
+def test_a_text_of_ten_megabytes_of_different_ngrams_stays_small():
+    random_ = random.Random(5)
+    text = "".join(map(chr, random_.choices(range(0x4E00, 0x9F00), k=3_400_000)))
+    assert len(text.encode()) > 10_000_000
+    profiler = Profiler()
+    peak, found = peak_megabytes(lambda: profiler.bundles([text]))
+    assert found.any() and peak < 1000
+
+
+def slow_languages(docs, fold, which):
+    """Prototypes as sums of the definition's bundles, and the first of the languages with the largest cosine."""
+    profiler, sums = Profiler(), {}
+    for doc_id, text, lang, *_ in docs:
+        if lang is not None and text is not None and not held(doc_id, fold, which):
+            sums[lang] = sums.get(lang, 0) + slow_bundle(profiler, text)
+    found = []
+    for doc_id, text, *_ in docs:
+        own = slow_bundle(profiler, text or "")
+        length = np.linalg.norm(own)
+        cosines = {k: own @ v / np.linalg.norm(v) / length for k, v in sums.items()} if length else {}
+        best = min(cosines, key=lambda k: (-round(cosines[k], 9), k), default="und")
+        found.append((doc_id, best, round((1 + cosines[best]) / 2, 6) if cosines else 0.0))
+    return found
+
+
+def test_predictions_equal_the_definition(spark):
+    docs = [r for r in odd_documents() if r[0] not in (5, 6)] + [(200 + i, f"der die das {i} und", "de", "a", 1) for i in range(9)]
+    got = identify(documents(spark, docs)).collect()
+    key = lambda r: str(r)
+    assert sorted(((r.doc_id, r.lang_pred, round(r.score, 6)) for r in got), key=key) == sorted(slow_languages(docs, 3, 1), key=key)
+
+
 def test_prototypes_do_not_depend_on_the_partitioning(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(300)
     one, two = (learn(docs.repartition(n), "doc_id", "text", "lang") for n in (1, 7))
