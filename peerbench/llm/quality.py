@@ -12,7 +12,9 @@ rule that adds none stays off.  So with confidence ``1 - error`` at most ``risk`
 stratum are lost to these rules.  ``needed_good`` says how many good labels that takes.
 
 Null texts count as empty and fail the base rules.  A null stratum is a stratum.  A stratum without enough
-labels has no cutoffs and keeps what passes the base rules.  Documents labelled both ways are not used.
+labels has no cutoffs and keeps what passes the base rules.  Documents labelled both ways are not used.  A text counts
+once per stratum, however many documents hold it, since copies are no independent trials; near copies are not told
+apart from others.  Rules, cutoffs and their order were fixed without the labels that they are tested on.
 Repeated rows are measured each; an empty table gives an empty result.
 """
 
@@ -169,7 +171,7 @@ def fit_cutoffs(
 ) -> DataFrame:
     """One row per stratum with labelled documents: ``_s``, ``cutoffs`` (in the order of ``RULES``, null: off).
 
-    Counts cover all labelled documents that pass the base rules.
+    Counts cover the texts of all labelled documents that pass the base rules; a text labelled both ways is not used.
     """
     agreed = (
         labels.groupBy(F.col(label_id).alias("_label_id"))
@@ -184,8 +186,11 @@ def fit_cutoffs(
             for rule, (_, _, cutoffs) in RULES.items()
         ]
     )
+    texts = known.groupBy(F.col("_stratum").alias("_s"), "_text", levels.alias("levels")).agg(
+        F.min("good").alias("low"), F.max("good").alias("good")
+    )
     combined = stored(
-        known.groupBy(F.col("_stratum").alias("_s"), (F.col("good") == 1).alias("good"), levels.alias("levels")).agg(
+        texts.where("low = good").groupBy("_s", (F.col("good") == 1).alias("good"), "levels").agg(
             F.count(F.lit(1)).alias("n")
         ),
         "quality-levels",

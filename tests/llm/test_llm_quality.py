@@ -104,6 +104,94 @@ def test_small_strata_have_cutoffs(spark):
     assert kept == {i for i, known, _ in marks if known or i >= 3000}
 
 
+def slow_kept(rows, marks):
+    """Cutoffs by trying every setting on the distinct labelled texts of a stratum, without counting tables."""
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals", "n_marks")
+    label, both = {}, set()
+    for doc_id, quality, _ in marks:
+        if label.setdefault(doc_id, quality) != quality:
+            both.add(doc_id)
+    measured = {text: dict(zip(names, slow_measures(text))) for _, text, *_ in rows}
+
+    def failed(text):
+        m = measured[text]
+        return m["n_words"] < 50 or 100 * m["n_repeat_words"] > 50 * m["n_words"]
+
+    def over(text, rule, cutoff):
+        amount, base, _ = RULES[rule]
+        return measured[text][amount] / max(measured[text][base], 1) > cutoff
+
+    known = {}
+    for doc_id, text, lang, *_ in rows:
+        if doc_id in label and doc_id not in both and not failed(text):
+            known.setdefault(lang, {}).setdefault(text, set()).add(label[doc_id])
+    cutoffs = {}
+    for lang, texts in known.items():
+        good = [t for t, kinds in texts.items() if kinds == {1}]
+        bad = [t for t, kinds in texts.items() if kinds == {0}]
+        best, most = None, 0
+        for setting in settings():
+            rules = [(r, RULES[r][2][k - 1]) for r, k in zip(RULES, setting) if k]
+            lost = sum(any(over(t, *x) for x in rules) for t in good)
+            tail = sum(math.comb(len(good), k) * 0.05**k * 0.95 ** (len(good) - k) for k in range(lost + 1))
+            if not good or lost >= 0.05 * len(good) or tail > 0.05 / len(known):
+                break
+            hits = sum(any(over(t, *x) for x in rules) for t in bad)
+            if hits > most:
+                best, most = setting, hits
+        chosen, left = {}, list(bad)
+        for rule, k in zip(RULES, best or ()):
+            hits = [sum(over(t, rule, c) for t in left) for c in RULES[rule][2][:k]]
+            if hits and max(hits):
+                chosen[rule] = RULES[rule][2][hits.index(max(hits))]
+                left = [t for t in left if not over(t, rule, chosen[rule])]
+        cutoffs[lang] = chosen
+    return {
+        (doc_id, text)
+        for doc_id, text, lang, *_ in rows
+        if not failed(text) and not any(over(text, *x) for x in cutoffs.get(lang, {}).items())
+    }
+
+
+def test_kept_rows_equal_a_plain_choice_of_cutoffs(spark):
+    random_ = random.Random(12)
+    rows, marks = [], []
+    for i in range(1500):
+        words = prose(random_, random_.randint(45, 80)).split()
+        bad = random_.random() < 0.3
+        kind = random_.choice(["symbols", "capitals", "lines", "plain"]) if bad else random_.choice(["plain"] * 30 + ["symbols"])
+        if kind == "symbols":
+            words = [w + "#" * (random_.random() < 0.5) for w in words]
+        elif kind == "capitals":
+            words = [w.upper() if random_.random() < 0.7 else w for w in words]
+        text = " ".join(words)
+        if kind == "lines":
+            text = "\n".join([" ".join(words[:6])] * random_.randint(2, 4) + words)
+        rows.append((i, text, random_.choice(["en", "en", "de", None]), "s", 1))
+        marks.append((i, int(not bad), 0))
+    # Copies of one good text, some labelled, and one labelled both ways.
+    rows += [(2000 + i, rows[0][1], "en", "s", 1) for i in range(300)]
+    marks += [(2000 + i, 1, 0) for i in range(300)] + [(5, 1, 0), (5, 0, 0)]
+    found = judge(documents(spark, rows), labels(spark, marks))
+    kept = {r["_id"] for r in found.where("kept").collect()}
+    expected = {doc_id for doc_id, _ in slow_kept(rows, marks)}
+    assert kept == expected and len(expected) < len(rows) - 200
+
+
+def test_copies_are_no_independent_texts(spark):
+    """Too few different good texts for a cutoff, however many copies there are."""
+    random_ = random.Random(13)
+    rows, marks = [], []
+    for i in range(400):
+        same = random.Random(i % 20)
+        rows.append((i, prose(same, 60), "en", "s", 1))
+        marks.append((i, 1, 0))
+    for i in range(400, 440):
+        rows.append((i, prose(random_, 60).replace(" ", "### "), "en", "s", 1))
+        marks.append((i, 0, 0))
+    assert judge(documents(spark, rows), labels(spark, marks)).where("kept").count() == 440
+
+
 def test_settings_only_tighten():
     sequence = settings()
     assert len(sequence) == sum(len(cutoffs) for _, _, cutoffs in RULES.values())
