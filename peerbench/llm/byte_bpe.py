@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding.
 
-Pre-tokenisation is the array scan of ``pretokens``; every piece is merged once by its ranks and kept, with
-its offsets in the text, so decoding can be checked piece by piece.  Texts are handled in slices, whole texts
+Pre-tokenisation is the array scan of ``pretokens``; every piece is merged once by its ranks and kept.  The offsets of
+the pieces, in the text and in the ids, are retained, and ids are decoded piece by piece through them.  Texts are handled in slices, whole texts
 never cut.  Null counts as empty; an empty text has no ids and decodes to nothing.  Repeated rows give
 repeated results, and an empty table an empty result.
 """
@@ -88,6 +88,17 @@ class Pieces(dict):
         return ids
 
 
+class Spelled(dict):
+    """ids of a piece -> its bytes."""
+
+    def __init__(self, bytes_of: dict[int, bytes]) -> None:
+        self.bytes_of = bytes_of
+
+    def __missing__(self, ids: tuple[int, ...]) -> bytes:
+        self[ids] = found = b"".join(map(self.bytes_of.__getitem__, ids))
+        return found
+
+
 class Codec:
     """Encodes and decodes with one rank file."""
 
@@ -96,23 +107,26 @@ class Codec:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.written = {rank: str(rank) for rank in self.bytes_of}
         self.known = Pieces(ranks)
+        self.spelled = Spelled(self.bytes_of)
         self.splitter = Splitter()
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[str], list[int]]]:
-        """Pieces and ids of every text."""
+    def encode(self, texts: list[str]) -> Iterator[tuple[list[str], list[int], list[int]]]:
+        """Pieces and ids of every text, and where in the ids each piece begins, with their number at the end."""
         for pieces in self.splitter.pieces(texts):
-            if len(self.known) > KEPT_PIECES:
-                self.known.clear()
-            yield pieces, list(chain.from_iterable(map(self.known.__getitem__, pieces)))
+            for store in (self.known, self.spelled):
+                if len(store) > KEPT_PIECES:
+                    store.clear()
+            found = list(map(self.known.__getitem__, pieces))
+            yield pieces, list(chain.from_iterable(found)), list(accumulate(map(len, found), initial=0))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: list[int], starts: list[int]) -> bytes:
+        """The bytes of the pieces that begin at ``starts``."""
+        return b"".join([self.spelled[tuple(ids[a:b])] for a, b in pairwise(starts)])
 
-    def offsets(self, pieces: list[str]) -> list[tuple[int, int, int]]:
+    def offsets(self, pieces: list[str], starts: list[int]) -> list[tuple[int, int, int]]:
         """First id, start and end (code points, end exclusive) of every piece."""
-        ids = accumulate((len(self.known[p]) for p in pieces), initial=0)
         ends = list(accumulate(map(len, pieces), initial=0))
-        return list(zip(ids, ends, ends[1:]))
+        return list(zip(starts, ends, ends[1:]))
 
 
 def encode_documents(
@@ -131,12 +145,12 @@ def encode_documents(
         for batch in text_slices(batches):
             encoded = list(codec.encode(texts_of(batch)))
             columns = {
-                "ids": pa.array([ids for _, ids in encoded], pa.list_(pa.int32())),
-                "decoded": pa.array([codec.decode(ids) for _, ids in encoded], pa.binary()),
+                "ids": pa.array([ids for _, ids, _ in encoded], pa.list_(pa.int32())),
+                "decoded": pa.array([codec.decode(ids, starts) for _, ids, starts in encoded], pa.binary()),
             }
             if with_offsets:
                 columns["offsets"] = pa.array(
-                    [[dict(zip(("id", "start", "end"), x)) for x in codec.offsets(p)] for p, _ in encoded],
+                    [[dict(zip(("id", "start", "end"), x)) for x in codec.offsets(p, s)] for p, _, s in encoded],
                     pa.list_(pa.struct([(k, pa.int32()) for k in ("id", "start", "end")])),
                 )
             yield output(batch, ["_id"], **columns)
@@ -162,11 +176,11 @@ def encode_digests(
         codec = kept_in(store, lambda: Codec(path))
         for batch in text_slices(batches):
             counts, of_ids, of_bytes = [], [], []
-            for _, ids in codec.encode(texts_of(batch)):
+            for _, ids, starts in codec.encode(texts_of(batch)):
                 counts.append(len(ids))
                 decimal = ",".join(map(codec.written.__getitem__, ids))
                 of_ids.append(hashlib.sha256(decimal.encode()).hexdigest())
-                of_bytes.append(hashlib.sha256(codec.decode(ids)).hexdigest())
+                of_bytes.append(hashlib.sha256(codec.decode(ids, starts)).hexdigest())
             yield output(
                 batch,
                 ["_id"],
