@@ -15,6 +15,7 @@ Null and empty texts have no finds.  Repeated rows give repeated results; an emp
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from itertools import product
 from re import _parser as regex_parser
 from typing import NamedTuple
@@ -51,6 +52,8 @@ RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 20),
 )
 BASE = 3
+# Finds placed together.
+FINDS = 256
 # A set of characters up to this size is spelled out in a query; a larger one ends the stretch.
 SPELLED = 6
 
@@ -109,7 +112,6 @@ def spans_of(text: Column, rule: Rule, place: int) -> Column:
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     tested = F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group))
     kind = "struct<start:int,place:int,kind:string,end:int>"
-    state = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("spans"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["piece"])
@@ -118,10 +120,37 @@ def spans_of(text: Column, rule: Rule, place: int) -> Column:
         spans = F.when(F.length(x["tested"]) >= rule.least, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
         return F.struct(end.alias("at"), spans.alias("spans"))
 
+    def in_chunk(chunk: Column, start: Column) -> Column:
+        state = F.struct(start.alias("at"), F.array().cast(f"array<{kind}>").alias("spans"))
+        return F.aggregate(chunk, state, step, lambda acc: acc["spans"])
+
+    def width(chunk: Column) -> Column:
+        return F.aggregate(chunk, F.lit(0), lambda acc, x: acc + F.length(x["piece"]) + F.length(x["match"]))
+
+    def starts(chunks: Column) -> Column:
+        state = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+
+        def add(acc: Column, chunk: Column) -> Column:
+            return F.struct((acc["at"] + width(chunk)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+        return F.aggregate(chunks, state, add, lambda acc: acc["out"])
+
+    def chunked(found: Column) -> Column:
+        last = F.call_function("div", F.greatest(F.size(found) - 1, F.lit(0)), F.lit(FINDS)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(found, i * FINDS + 1, F.lit(FINDS)))
+
     # What lies between the matches, one more than there are matches.
     pieces = F.split(text, pattern, -1)
     zipped = F.arrays_zip(pieces.alias("piece"), matches.alias("match"), tested.alias("tested"))
-    return F.aggregate(F.filter(zipped, lambda x: x["match"].isNotNull()), state, step, lambda acc: acc["spans"])
+    found = F.filter(zipped, lambda x: x["match"].isNotNull())
+    # An array grows by copying, so finds are placed in chunks: time grows with their number, not with its square.
+    chunks = _with(found, chunked)
+    return _with(chunks, lambda cut: F.flatten(F.zip_with(cut, starts(cut), in_chunk)))
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def postings(docs: DataFrame, key: Column, text: Column, trigrams: list[str]) -> DataFrame:

@@ -88,3 +88,23 @@ def test_query_derivation():
 def test_empty_table(spark):
     assert secrets(documents(spark, [])).collect() == []
     assert scan(documents(spark, [(1, None, None, None, None)])).collect()[0]["_spans"] == []
+
+
+def test_a_hundred_thousand_finds_in_one_text(spark):
+    import hashlib
+    import time
+
+    tokens = [hashlib.md5(str(i).encode()).hexdigest() for i in range(100_000)]
+    # Some are too short to be kept.
+    text = " ".join(t[:8] if i % 7 == 0 else t for i, t in enumerate(tokens))
+    started = time.perf_counter()
+    [row] = secrets(documents(spark, [(1, text, "en", "a", 1)])).collect()
+    took = time.perf_counter() - started
+    expected, at = [], 0
+    for i, t in enumerate(tokens):
+        size = 8 if i % 7 == 0 else 32
+        if size > 8:
+            expected.append(f"hex:{at}:{at + size}")
+        at += size + 1
+    assert row.n_hex == len(expected) and row.spans == ",".join(expected)
+    assert took < 60
