@@ -9,7 +9,9 @@ The variants (2,081 for four bits) are not shuffled one by one.  A variant is de
 its four 16-bit words, and the variants of a fingerprint that go to the same place travel as one row (137 rows
 for four bits) and are spelled out there.  This is exact, since equal variants have equal places.  A cluster of
 similar fingerprints spreads over many places, because every changed bit changes the place; equal fingerprints
-are reduced to one before.
+are reduced to one before.  Beyond ``OF_PLACES`` fingerprints the words get longer, one bit for every doubling, so a
+place stays small (211 rows for 20-bit words, 529 for 32-bit words).  Rows are sorted by place and stream by: a task
+holds a few places at a time.
 
 Null and empty texts have fingerprint zero and are linked like any other.  A null id takes part, but is
 never the name of a component unless nothing else is in it.  Repeated rows are one another's copies; an empty
@@ -18,6 +20,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -34,8 +37,11 @@ from peerbench.session import stored
 SEED = 42
 BITS = 64
 PLACE_BITS = 16
-# Variants that a worker spells out and sorts at a time.
+# Fingerprints up to which places have PLACE_BITS bits.
+OF_PLACES = 1 << 24
+# Variants that a worker spells out and sorts at a time, and shingles that it hashes at a time.
 VARIANTS_AT_ONCE = 4_000_000
+SHINGLES_AT_ONCE = 1 << 20
 
 
 def fingerprint(raw: bytes, shingle: int) -> int:
@@ -51,8 +57,11 @@ def fingerprint(raw: bytes, shingle: int) -> int:
     hashed = np.fromiter(
         (xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans), np.uint64, len(words) - size + 1
     )
-    bits = np.unpackbits(hashed.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    set_often = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashed)
+    total = np.zeros(BITS, dtype=np.int64)
+    for some in range(0, len(hashed), SHINGLES_AT_ONCE):
+        part = hashed[some : some + SHINGLES_AT_ONCE].astype(">u8").view(np.uint8).reshape(-1, 8)
+        total += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+    set_often = 2 * total > len(hashed)
     return int(np.packbits(set_often).view(">i8")[0])
 
 
@@ -73,24 +82,38 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4)
     return source.mapInArrow(take, f"_id {kind}, _text bigint, print bigint")
 
 
-def masks_by_place(radius: int) -> dict[int, np.ndarray]:
+def place_bits(prints: int) -> int:
+    """Bits of a place: one more for every doubling beyond ``OF_PLACES`` fingerprints."""
+    return min(32, PLACE_BITS + max(0, math.ceil(math.log2(max(prints, 1) / OF_PLACES))))
+
+
+def masks_by_place(radius: int, width: int = PLACE_BITS) -> dict[int, np.ndarray]:
     """All masks of at most ``radius`` bits, by what they change in the place of a fingerprint."""
     found: dict[int, list[int]] = {}
     for size in range(radius + 1):
         for bits in combinations(range(BITS), size):
             place = 0
             for bit in bits:
-                place ^= 1 << bit % PLACE_BITS
+                place ^= 1 << bit % width
             found.setdefault(place, []).append(sum(1 << bit for bit in bits))
     return {place: np.array(masks, dtype=np.uint64).view(np.int64) for place, masks in found.items()}
 
 
-def place_of(value: Column) -> Column:
-    """Exclusive-or of the 16-bit words."""
+def place_of(value: Column, width: int = PLACE_BITS) -> Column:
+    """Exclusive-or of the words of ``width`` bits."""
     folded = value
-    for shift in range(PLACE_BITS, BITS, PLACE_BITS):
+    for shift in range(width, BITS, width):
         folded = folded.bitwiseXOR(F.shiftrightunsigned(value, shift))
-    return folded.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return folded.bitwiseAND(F.lit((1 << width) - 1))
+
+
+def places_of(values: np.ndarray, width: int = PLACE_BITS) -> np.ndarray:
+    """As ``place_of``, for an array."""
+    whole = values.view(np.uint64)
+    folded = whole.copy()
+    for shift in range(width, BITS, width):
+        folded ^= whole >> np.uint64(shift)
+    return (folded & np.uint64((1 << width) - 1)).astype(np.int64)
 
 
 def colliding(prints: np.ndarray, changes: np.ndarray, masks: dict[int, np.ndarray]) -> np.ndarray:
@@ -118,47 +141,56 @@ def colliding(prints: np.ndarray, changes: np.ndarray, masks: dict[int, np.ndarr
     return np.unique(np.stack([owner[differ], smallest[differ]], axis=1), axis=0)
 
 
-def print_links(prints: DataFrame, max_distance: int = 4) -> DataFrame:
+def print_links(prints: DataFrame, max_distance: int = 4, width: int | None = None) -> DataFrame:
     """``a`` and ``b``: fingerprints linked so that components are those of all pairs within the distance.
 
     ``prints`` has distinct values in ``print``.  The distance is even, for only then are all fingerprints
-    that share a variant within it.
+    that share a variant within it.  ``width`` is the number of bits of a place, by default what their number asks for.
     """
     if max_distance % 2:
         raise ValueError("meeting in the middle needs an even distance")
-    masks = masks_by_place(max_distance // 2)
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = [(np.asarray(b.column("print")), np.asarray(b.column("place"))) for b in batches]
-        if not read:
-            return
-        values, places = (np.concatenate(column) for column in zip(*read))
-        order = np.argsort(places, kind="stable")
-        values, places = values[order], places[order]
-        folded = values.view(np.uint64)
-        folded = folded ^ (folded >> np.uint64(32))
-        folded = (folded ^ (folded >> np.uint64(16))).astype(np.int64) & ((1 << PLACE_BITS) - 1)
-        changes = folded ^ places
-        sizes = np.zeros(1 << PLACE_BITS, dtype=np.int64)
-        for change, own in masks.items():
-            sizes[change] = len(own)
-        # Whole places at a time, as many as fit.
+    width = place_bits(prints.count()) if width is None else width
+    masks = masks_by_place(max_distance // 2, width)
+    known = np.array(sorted(masks))
+    sizes = np.array([len(masks[change]) for change in known.tolist()])
+
+    def spelled(values: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Pairs of whole places, as many at a time as fit."""
+        changes = places_of(values, width) ^ places
         ends = np.append(np.flatnonzero(places[1:] != places[:-1]) + 1, len(places))
-        filled = np.cumsum(sizes[changes])[ends - 1]
-        start = 0
+        filled = np.cumsum(sizes[np.searchsorted(known, changes)])[ends - 1]
+        start = place = 0
         while start < len(values):
-            before = filled[ends <= start][-1] if start else 0
-            fits = ends[(ends > start) & (filled <= before + VARIANTS_AT_ONCE)]
-            stop = fits[-1] if len(fits) else ends[ends > start][0]
+            before = filled[place - 1] if place else 0
+            place = max(place + 1, int(np.searchsorted(filled, before + VARIANTS_AT_ONCE, "right")))
+            stop = int(ends[place - 1])
             pairs = colliding(values[start:stop], changes[start:stop], masks)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
             start = stop
 
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        rows = 0
+        for batch in batches:
+            held.append((np.asarray(batch.column("print")), np.asarray(batch.column("place"))))
+            rows += batch.num_rows
+            if rows * len(masks) < VARIANTS_AT_ONCE:
+                continue
+            values, places = (np.concatenate(column) for column in zip(*held))
+            # The last place may go on in the next batch.
+            cut = int(np.searchsorted(places, places[-1]))
+            yield from spelled(values[:cut], places[:cut])
+            held, rows = [(values[cut:], places[cut:])], len(values) - cut
+        if rows:
+            values, places = (np.concatenate(column) for column in zip(*held))
+            yield from spelled(values, places)
+
     changes = F.array(*[F.lit(change).cast("bigint") for change in sorted(masks)])
-    placed = prints.select("print", place_of(F.col("print")).alias("own")).select(
+    placed = prints.select("print", place_of(F.col("print"), width).alias("own")).select(
         "print", F.explode(F.transform(changes, lambda c: c.bitwiseXOR(F.col("own")))).alias("place")
     )
-    pairs = placed.repartition("place").mapInArrow(meet, "a bigint, b bigint").distinct()
+    dealt = placed.repartition("place").sortWithinPartitions("place")
+    pairs = dealt.mapInArrow(meet, "a bigint, b bigint").distinct()
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
 
 

@@ -3,11 +3,15 @@
 import random
 
 import __spark_entry__ as entry_point
+import numpy as np
 import pytest
 import xxhash
 from cases import documents, odd_documents, prose, results
 from peerbench.llm.components import components
-from peerbench.llm.simhash import fingerprint, masks_by_place, near_duplicates, one_of_each, print_links
+from peerbench.llm import simhash
+from peerbench.llm.simhash import (
+    fingerprint, masks_by_place, near_duplicates, one_of_each, place_bits, place_of, places_of, print_links,
+)
 
 
 def slow_print(text, shingle=4):
@@ -53,7 +57,7 @@ def test_masks_cover_the_ball_once():
     assert len(masks_by_place(2)) == 137
 
 
-def test_links_against_all_pairs(spark):
+def chains():
     random_ = random.Random(5)
     prints = {random_.getrandbits(64) for _ in range(60)}
     for value in list(prints)[:30]:
@@ -62,15 +66,51 @@ def test_links_against_all_pairs(spark):
             for bit in random_.sample(range(64), random_.randint(1, 6)):
                 value ^= 1 << bit
             prints.add(value)
-    prints = sorted(signed(p) for p in prints)
+    return sorted(signed(p) for p in prints)
+
+
+@pytest.mark.parametrize("width", [None, 16, 20, 32])
+def test_links_against_all_pairs(spark, width):
+    prints = chains()
     table = spark.createDataFrame([(p,) for p in prints], "print bigint")
-    found = {r.node: r.root for r in components(print_links(table), "t").collect()}
+    found = {r.node: r.root for r in components(print_links(table, width=width), "t").collect()}
     roots = slow_components([p & (1 << 64) - 1 for p in prints])
     assert [found.get(p, p) for p in prints] == [prints[r] for r in roots]
     with pytest.raises(ValueError):
         print_links(table, 3)
 
 
+def test_places_stream_by_a_few_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "VARIANTS_AT_ONCE", 300)
+    prints = chains()
+    table = spark.createDataFrame([(p,) for p in prints], "print bigint")
+    few = {r.node: r.root for r in components(print_links(table, width=16), "t").collect()}
+    roots = slow_components([p & (1 << 64) - 1 for p in prints])
+    assert [few.get(p, p) for p in prints] == [prints[r] for r in roots]
+
+
+def test_places_grow_with_the_fingerprints(spark):
+    assert [place_bits(n) for n in (0, 1, 1 << 24, (1 << 24) + 1, 1 << 30, 10**12, 10**18)] == [16, 16, 16, 17, 22, 32, 32]
+    prints = chains()
+    table = spark.createDataFrame([(p,) for p in prints], "print bigint")
+    for width in (16, 20, 32):
+        expected = [0] * len(prints)
+        for i, p in enumerate(prints):
+            value = p & (1 << 64) - 1
+            while value:
+                expected[i] ^= value & (1 << width) - 1
+                value >>= width
+        found = {r["print"]: r["place"] for r in table.select("print", place_of(table["print"], width).alias("place")).collect()}
+        assert [found[p] for p in prints] == expected == places_of(np.array(prints), width).tolist()
+
+
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    text = prose(random.Random(6), 500).encode()
+    whole = fingerprint(text, 4)
+    monkeypatch.setattr(simhash, "SHINGLES_AT_ONCE", 7)
+    assert fingerprint(text, 4) == whole
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(5, x) for x in range(200, 400)] + [(400, 399), (7, 7), (8, 7)]
     table = spark.createDataFrame(links, "a bigint, b bigint")
