@@ -1,6 +1,7 @@
 """Pseudonyms: format, validity, linkage, bijection, and nothing else changed."""
 
 import datetime
+import hashlib
 import random
 import re
 
@@ -123,6 +124,133 @@ def test_long_runs(spark):
     assert [found[i].n_changed for i in (1, 2)] == [0, 0]
 
 
+class Slow:
+    """The pseudonyms of single values, computed one by one in plain Python."""
+
+    def __init__(self, key):
+        self.key = key
+
+    def digest(self, kind, turn, value):
+        return hashlib.sha256(f"{self.key}|{kind}|{turn}|{value}".encode()).hexdigest()
+
+    def number(self, value, halves, kind):
+        left, right = divmod(value, halves[1])
+        for turn in range(1, 9):
+            if turn % 2:
+                right = (right + int(self.digest(kind, turn, left)[:15], 16)) % halves[1]
+            else:
+                left = (left + int(self.digest(kind, turn, right)[:15], 16)) % halves[0]
+        return left * halves[1] + right
+
+    def letters(self, text, kind):
+        def moved(half, other, turn):
+            by = bytes.fromhex(self.digest(kind, turn, other))
+            out = ""
+            for i, c in enumerate(half):
+                for alphabet in ("0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"):
+                    if c in alphabet:
+                        c = alphabet[(alphabet.index(c) + by[i % 32]) % len(alphabet)]
+                        break
+                out += c
+            return out
+
+        left, right = text[: len(text) // 2], text[len(text) // 2 :]
+        for turn in range(1, 9):
+            if turn % 2:
+                right = moved(right, left, turn)
+            else:
+                left = moved(left, right, turn)
+        return left + right
+
+    def put_back(self, found, allowed, new):
+        new = iter(new)
+        return "".join(next(new) if c in allowed else c for c in found)
+
+    def email(self, value):
+        name, host = value.split("@")
+        return self.letters(name, "email") + "@" + host
+
+    def ip(self, value):
+        n = self.number(int.from_bytes(map(int, value.split("."))), (1 << 16, 1 << 16), "ip")
+        return ".".join(map(str, n.to_bytes(4)))
+
+    def date(self, value, form):
+        first = datetime.date(1900, 1, 1)
+        day = datetime.datetime.strptime(value, form).date()
+        return (first + datetime.timedelta(self.number((day - first).days, DAY_HALVES, "date"))).strftime(form)
+
+    def ssn(self, value):
+        area, group, serial = map(int, value.split("-"))
+        area -= 2 if area > 666 else 1
+        n = self.number(area * 99 * 9999 + (group - 1) * 9999 + serial - 1, (898, 99 * 9999), "ssn")
+        area, rest = divmod(n, 99 * 9999)
+        return f"{area + (2 if area >= 665 else 1):03d}-{rest // 9999 + 1:02d}-{rest % 9999 + 1:04d}"
+
+    def card(self, value):
+        digits = re.sub("[^0-9]", "", value)
+        payload = self.letters(digits[:-1], "card")
+        return self.put_back(value, "0123456789", next(payload + c for c in "0123456789" if luhn(payload + c)))
+
+    def iban(self, value):
+        plain = value.replace(" ", "")
+        rest = self.letters(plain[4:], "iban")
+        check = next(f"{n:02d}" for n in range(2, 99) if iban_ok(plain[:2] + f"{n:02d}" + rest))
+        return self.put_back(value, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", plain[:2] + check + rest)
+
+    def phone(self, value):
+        digits = re.sub("[^0-9]", "", value)
+        code = len(re.match(r"\+([0-9]{1,3})[ .(-]", value)[1]) if value.startswith("+") else 0
+        return self.put_back(value, "0123456789", digits[:code] + self.letters(digits[code:], "phone"))
+
+
+def planted(random_, slow):
+    """A value of a random kind and its pseudonym."""
+    digits = lambda n: "".join(random_.choices("0123456789", k=n))
+    kind = random_.choice(["email", "ip", "date", "ssn", "card", "iban", "phone"])
+    if kind == "email":
+        name = "".join(random_.choices("abcXYZ019._-", k=random_.randint(1, 40))).strip(".") or "a"
+        value = f"{name}@{random_.choice(['x.org', 'mail.example.com'])}"
+    elif kind == "ip":
+        value = ".".join(str(random_.randint(0, 255)) for _ in range(4))
+    elif kind == "date":
+        day = datetime.date(1900, 1, 1) + datetime.timedelta(random_.randrange(17 * 4297))
+        form = random_.choice(["%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%d-%m-%Y", "%m/%d/%Y"])
+        return (value := day.strftime(form)), slow.date(value, form)
+    elif kind == "ssn":
+        area = random_.choice([x for x in range(1, 900) if x != 666])
+        value = f"{area:03d}-{random_.randint(1, 99):02d}-{random_.randint(1, 9999):04d}"
+    elif kind == "card":
+        plain = card(random_)
+        value = random_.choice(["", " ", "-"]).join(plain[i : i + 4] for i in range(0, 16, 4))
+    elif kind == "iban":
+        country, rest = random_.choice([("DE", digits(18)), ("ES", digits(20)), ("GB", "WEST" + digits(14))])
+        plain = next(x for n in range(2, 99) if iban_ok(x := f"{country}{n:02d}{rest}"))
+        value = random_.choice([plain, " ".join(plain[i : i + 4] for i in range(0, len(plain), 4))])
+    else:
+        value = random_.choice([f"+{random_.randint(1, 99)} {digits(3)} {digits(3)} {digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}"])
+    return value, getattr(slow, kind)(value)
+
+
+def test_planted_values_equal_a_plain_computation(spark):
+    random_, slow = random.Random(21), Slow("a secret")
+    texts, expected, counts = [], [], []
+    for _ in range(400):
+        text = wanted = ""
+        n = random_.randint(0, 4)
+        for _ in range(n):
+            word = random_.choice(["see", "über", "note", "日本", "call;"])
+            value, pseudonym = planted(random_, slow)
+            end = random_.choice([" ok, ", "; then ", ")\n", " x\t"])
+            text, wanted = text + f"{word} {value}{end}", wanted + f"{word} {pseudonym}{end}"
+        texts.append(text)
+        expected.append(wanted)
+        counts.append(n)
+    found = changed(spark, texts, "a secret")
+    for i, text in enumerate(texts):
+        assert found[i].text == expected[i], (text, found[i].text, expected[i])
+        assert found[i].n_found == counts[i]
+
+
 def test_another_key_gives_other_pseudonyms(spark):
     text = "97.51.17.173 jane.doe42@mail.example.com"
     assert changed(spark, [text])[0].text != changed(spark, [text], "other")[0].text
