@@ -35,18 +35,6 @@ def compare_values(
     )
 
 
-def outside_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
-    """Distinct values that a domain does not list."""
-    values = df.select(column).distinct()
-    return values.filter(~F.coalesce(F.col(column).isin(list(allowed)), F.lit(False)))
-
-
-def unused_domain(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
-    """Listed values that do not occur."""
-    listed = df.sparkSession.createDataFrame([(v,) for v in allowed], f"{column} string")
-    return listed.exceptAll(df.select(column).distinct())
-
-
 def value_gaps(found: DataFrame, listed: DataFrame) -> DataFrame:
     """``field``, ``unlisted``, ``unused``, ``repeated``: for every listed field how many found values are not
     listed, how many listed values are not found, and how many are listed more than once.

@@ -21,18 +21,6 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Fact keys without a dimension row, with the number of fact rows they hold.
-
-    The fact is reduced to one row per key before it meets the dimension.
-    """
-    keys = fact.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    # An outer join rather than an anti join, which the optimizer would push below the aggregation.
-    known = dim.select(F.col(key).alias("_key"), F.lit(True).alias("_known"))
-    joined = keys.join(known, F.col(key).eqNullSafe(F.col("_key")), "left")
-    return joined.filter(F.col("_known").isNull()).select(key, "rows")
-
-
 def surplus_numbers(df: DataFrame, key: str) -> DataFrame:
     """``rows`` and ``repeated``: how many rows of a table of whole numbers repeat one from another row.
 

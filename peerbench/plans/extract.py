@@ -66,11 +66,6 @@ def first_rows(model: DataFrame, n: int = 5) -> DataFrame:
     return model.orderBy("DischargeKey").limit(n).select("DischargeKey", *names)
 
 
-def page_of(model: DataFrame, offset: int, limit: int) -> DataFrame:
-    """One page of records by key range: the dense key makes an offset a filter."""
-    return model.filter(F.col("DischargeKey").between(offset + 1, offset + limit))
-
-
 def csv_roundtrip(lake: Lake) -> DataFrame:
     """The raw extract written as CSV, read back as text and cleaned again, summed per condition."""
     path = fresh_path(lake.spark, "extract")

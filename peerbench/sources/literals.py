@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.operators.scenario import BRIDGE_STEPS, RATES
+from peerbench.operators.scenario import RATES
 
 
 def ordered_labels(spark: SparkSession, labels: Sequence[str], name: str, sort: str) -> DataFrame:
@@ -17,7 +17,3 @@ def ordered_labels(spark: SparkSession, labels: Sequence[str], name: str, sort:
 
 def scenario_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(rate,) for rate in RATES], "ReductionPct double")
-
-
-def bridge_table(spark: SparkSession) -> DataFrame:
-    return ordered_labels(spark, BRIDGE_STEPS, "Step", "StepSort")

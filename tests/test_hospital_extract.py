@@ -15,6 +15,7 @@ from peerbench.plans.layout import ENTITY, HOSPITAL, RAW_FIELDS, STAY_BANDS
 from peerbench.plans.measures import MEASURES, catalogue, displayed, evaluate
 from peerbench.sources.files import snapshot_state, verify_manifest
 from peerbench.sources.sinks import formatted, write_csv, write_document, write_table
+from peerbench.sources.tables import paged
 from peerbench.sources.text import read_document, read_text_table, read_typed_table, select_as
 
 AGES = ("18-29", "30-49", "50-69", "70 or Older")
@@ -276,8 +277,8 @@ def test_pages_and_round_trips(lake, model):
     cents = sum(r["cost"] for r in model)
     assert (row.rows, row.exported_cents, row.raw_cents, row.model_cents) == (1500, cents, cents, cents)
     assert all(r.passed for r in extract.expected_compare(lake).collect())
-    page = extract.page_of(lake.model, 400, 10).orderBy("DischargeKey").collect()
-    assert [r.SourceRowId for r in page] == [r["id"] for r in model[400:410]]
+    page = paged(lake.raw, "source_row_id", 10).read(40)
+    assert sorted(r.source_row_id for r in page.collect()) == [r["id"] for r in model[400:410]]
 
 
 def test_written_texts_come_back(spark, tmp_path):
