@@ -232,8 +232,12 @@ def test_measures_of_subtotals_equal_direct_groups(lake):
 def test_bridge_measure_and_pareto_measures(lake):
     row = evaluate(lake.model, ["ObservedMatchedDays", "ScenarioBridgeValue"], step=F.lit("Illustrative reduction")).first()
     assert row.ScenarioBridgeValue == pytest.approx(-0.05 * row.ObservedMatchedDays)
-    with pytest.raises(ValueError):
-        evaluate(lake.model, ["HospitalCostRank"])
+    ranked = {r.HospitalName: r for r in reports.cost_pareto(lake.labelled).collect()}
+    names = ["HospitalCostRank", "CumulativeEstimatedCost", "CumulativeCostPct"]
+    for r in evaluate(lake.labelled, names, ["HospitalName"]).collect():
+        assert tuple(r)[1:] == tuple(ranked[r.HospitalName][name] for name in names)
+    first = evaluate(lake.labelled, names).first()
+    assert first.HospitalCostRank == 1 and first.CumulativeCostPct == min(r.CumulativeCostPct for r in ranked.values())
     steps = {r.Step: r.ScenarioBridgeValue for r in reports.bridge(lake.model).collect()}
     assert steps["Scenario remaining days"] == pytest.approx(sum(steps.values()) - steps["Scenario remaining days"])
 
