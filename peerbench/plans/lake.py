@@ -33,7 +33,7 @@ from peerbench.plans.layout import (
     SUPPLY,
     Domain,
 )
-from peerbench.session import stored
+from peerbench.session import sized, stored
 from peerbench.sources.files import snapshot_state
 from peerbench.sources.tables import store_partitioned
 from peerbench.sources.literals import ordered_labels, scenario_table
@@ -148,16 +148,24 @@ class Lake:
 
     @cached_property
     def _raw(self) -> tuple[DataFrame, DataFrame]:
-        return stored_with(trim_all(self.source), "raw", raw_figures())
+        # A source made by joins has shuffles as well.
+        with sized(self.spark, self.listed_rows or 0):
+            return stored_with(trim_all(self.source), "raw", raw_figures())
 
     @property
     def raw(self) -> DataFrame:
         """The all-text extract, surrounding whitespace removed."""
         return self._raw[0]
 
+    @cached_property
+    def rows(self) -> int:
+        """How many rows the extract has, as counted while it was written."""
+        return self._raw[1].first()["rows"]
+
     @cached_property
     def _records(self) -> tuple[DataFrame, DataFrame]:
-        return place_records(self.raw, record_figures())
+        with sized(self.spark, self.rows):
+            return place_records(self.raw, record_figures())
 
     @property
     def records(self) -> DataFrame:
@@ -176,11 +184,14 @@ class Lake:
 
     @cached_property
     def benchmark(self) -> DataFrame:
-        return stored(benchmark_table(self.records, self.domain), "benchmark")
+        with sized(self.spark, self.rows):
+            return stored(benchmark_table(self.records, self.domain), "benchmark")
 
     @cached_property
     def _model(self) -> tuple[DataFrame, DataFrame]:
-        return stored_with(model_records(self.clean, self.benchmark), "model", model_figures(self.domain))
+        clean, benchmark = self.clean, self.benchmark
+        with sized(self.spark, self.rows):
+            return stored_with(model_records(clean, benchmark), "model", model_figures(self.domain))
 
     @property
     def model(self) -> DataFrame:

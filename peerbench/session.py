@@ -8,11 +8,24 @@ Catalyst compares with the broadcast threshold, so small ones are broadcast and
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Layers are read more often than written, and their size on disk counts.
+CODEC = "zstd"
+# Wide rows that a task sorts in memory: about 600 bytes each.
+TASK_ROWS = 1 << 19
+
+_PARTITIONS = "spark.sql.shuffle.partitions"
+_sizes: list[int] = []
+_configured: list[str] = []
+_sizing = threading.Lock()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder from ``spark.checkpoint.dir``; a temporary one only for a local session without it.
@@ -42,11 +55,36 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/peerbench/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def task_count(spark: SparkSession, rows: int) -> int:
+    """Tasks for a shuffle of ``rows`` rows: as many as the session sets, more if a task got over ``TASK_ROWS`` rows."""
+    with _sizing:
+        configured = int(_configured[0] if _sizes else spark.conf.get(_PARTITIONS))
+    return max(configured, -(-rows // TASK_ROWS))
+
+
+@contextmanager
+def sized(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside have ``task_count`` tasks after a shuffle, so their sorts need no disk; adaptive execution may
+    still merge small ones.  The session's own setting is back when the last of several such blocks ends."""
+    count = task_count(spark, rows)
+    with _sizing:
+        if not _sizes:
+            _configured[:] = [spark.conf.get(_PARTITIONS)]
+        _sizes.append(count)
+        spark.conf.set(_PARTITIONS, str(max(_sizes)))
+    try:
+        yield
+    finally:
+        with _sizing:
+            _sizes.remove(count)
+            spark.conf.set(_PARTITIONS, str(max(_sizes)) if _sizes else _configured[0])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=CODEC)
     return spark.read.schema(df.schema).parquet(path)
 
 
