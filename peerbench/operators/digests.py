@@ -5,7 +5,8 @@ Sums do not depend on the order of rows and change with repetition.  The digests
 the narrower ones, up to one for the whole table, so a tree costs one pass over the table and no shuffle of its rows.
 
 Two tables are compared from the top: only below nodes that differ are the children compared, and only rows in the
-narrowest ranges that differ are compared one by one.  NULL keys have a range of their own.
+narrowest ranges that differ are looked at: first their keys and hashes, then, of keys that differ, the whole rows one
+by one.  NULL keys have a range of their own.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.operators.compare import differing_rows
-from peerbench.session import stored
+from peerbench.session import sized, stored
 
 # Keys of the narrowest range, and children of a node, as powers of two.
 LEAF_BITS = 10
@@ -31,10 +32,16 @@ def _sums(columns: list[Column]) -> list[Column]:
     return [F.sum(c.cast("decimal(38,0)")).alias(name) for c, name in zip(columns, DIGEST)]
 
 
+def _row_hashes(df: DataFrame) -> list[Column]:
+    """Two hashes over all columns.  The hash skips a NULL, so the second one also covers which columns are NULL."""
+    columns = [F.col(c) for c in sorted(df.columns)]
+    blank = [c.isNull() for c in columns]
+    return [F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns, *blank)]
+
+
 def leaf_digests(df: DataFrame, key: str) -> DataFrame:
     """``node`` (number of the narrowest range) and its digest: one pass with partial sums per task."""
-    columns = sorted(df.columns)
-    hashes = [F.lit(1), F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)]
+    hashes = [F.lit(1), *_row_hashes(df)]
     return df.groupBy(F.shiftright(F.col(key).cast("bigint"), LEAF_BITS).alias("node")).agg(*_sums(hashes))
 
 
@@ -104,7 +111,21 @@ class Comparison:
                 table = table.where(F.col(self.key).between(span[0] << LEAF_BITS, ((span[1] + 1) << LEAF_BITS) - 1))
             node = F.shiftright(F.col(self.key).cast("bigint"), LEAF_BITS)
             parts.append(table.join(nodes, node.eqNullSafe(F.col("_node")), "left_semi"))
-        return differing_rows(*parts)
+        keys = self._differing_keys(*parts)
+        same = F.col(self.key).eqNullSafe(F.col("_key"))
+        return differing_rows(*[part.join(keys, same, "left_semi") for part in parts])
+
+    def _differing_keys(self, left: DataFrame, right: DataFrame) -> DataFrame:
+        """``_key``: keys whose rows are not the same on both sides.  Only keys and hashes are shuffled."""
+        sides = []
+        for table, sign in ((left, 1), (right, -1)):
+            first, second = _row_hashes(table)
+            key = F.col(self.key).alias("_key")
+            sides.append(table.select(key, first.alias("_h1"), second.alias("_h2"), F.lit(sign).alias("_n")))
+        counts = sides[0].unionAll(sides[1]).groupBy("_key", "_h1", "_h2").agg(F.sum("_n").alias("_n"))
+        both = self.left_leaves.unionAll(self.right_leaves).agg(F.sum("rows")).first()[0] or 0
+        with sized(left.sparkSession, int(both)):
+            return stored(counts.where("_n != 0").select("_key").distinct(), "digest-keys")
 
 
 def compare_tables(left: DataFrame, right: DataFrame, key: str) -> Comparison:

@@ -86,3 +86,26 @@ def test_layers_are_written_with_tasks_for_their_rows(lake, spark, monkeypatch):
 def test_layers_are_compressed_well(spark):
     df = stored(spark.range(10), "codec-test")
     assert all(".zstd.parquet" in f for f in df.inputFiles())
+
+
+# --- digests
+
+
+def test_only_rows_of_differing_keys_are_compared(spark):
+    left = [(k, f"v{k}") for k in range(3000)] + [(None, "n"), (7, "v7")]
+    right = [(k, f"v{k}" if k % 500 else "other") for k in range(3000)] + [(None, "n"), (None, "n")]
+    a, b = (spark.createDataFrame(r, "k bigint, v string") for r in (left, right))
+    compared = compare_tables(a, b, "k")
+    keys = {r[0] for r in compared._differing_keys(a, b).collect()}
+    assert keys == {None, 7, 0, 500, 1000, 1500, 2000, 2500}
+    got = Counter(map(tuple, compared.rows().collect()))
+    ca, cb = Counter(left), Counter(right)
+    expected = Counter({(*r, "left"): n for r, n in (ca - cb).items()}) + Counter({(*r, "right"): n for r, n in (cb - ca).items()})
+    assert got == expected
+
+
+def test_blanks_in_other_columns_are_a_difference(spark):
+    schema = "k bigint, a string, b string"
+    left = spark.createDataFrame([(1, "x", None)], schema)
+    right = spark.createDataFrame([(1, None, "x")], schema)
+    assert compare_tables(left, right, "k").rows().count() == 2
