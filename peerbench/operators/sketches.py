@@ -150,6 +150,8 @@ def _counts(
         wanted = groups.alias("l").join(state.alias("r"), _same(keys)).select(
             *[f"l._by_{c}" for c in by], *[f"l.{c}" for c in keys], *bracket
         )
+        # Its size on disk tells whether it is broadcast; otherwise the rows would be shuffled to meet a few brackets.
+        wanted = stored(wanted, "median-wanted")
         same = F.lit(True)
         for c in by:
             same = same & F.col(f"l.{c}").eqNullSafe(F.col(f"r._by_{c}"))

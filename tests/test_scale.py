@@ -109,3 +109,25 @@ def test_blanks_in_other_columns_are_a_difference(spark):
     left = spark.createDataFrame([(1, "x", None)], schema)
     right = spark.createDataFrame([(1, None, "x")], schema)
     assert compare_tables(left, right, "k").rows().count() == 2
+
+
+# --- medians, subtotals, distinct counts
+
+
+def test_rows_meet_few_brackets_by_broadcast(spark):
+    rows = stored(spark.range(40_000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 9973).alias("v")), "few-groups")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        finest = stored(
+            rows.groupBy("g").agg(F.kll_sketch_agg_bigint("v", sketches.SKETCH).alias("_s"), F.count(F.lit(1)).alias("_n")), "few-finest"
+        )
+        state = spark.createDataFrame([(0, 0, 9973, 2)], "key bigint, _from bigint, _to bigint, _shift int")
+        expand = lambda f: f.select("*", F.explode(F.array(F.lit(0).cast("bigint"))).alias("key"))
+        counts = sketches._counts(
+            rows.withColumnRenamed("v", "_v"), stored(state, "few-state"), finest, ["g"], ["key"], expand
+        )
+        assert "SortMergeJoin" not in plan(counts) and "BroadcastHashJoin" in plan(counts)
+        assert counts.agg(F.sum("_n")).first()[0] == 40_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
