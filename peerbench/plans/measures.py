@@ -18,7 +18,7 @@ from peerbench.functions.numbers import blank_minus, display, ratio
 from peerbench.operators.pareto import pareto
 from peerbench.operators.scenario import BRIDGE_STEPS, selected_rate
 from peerbench.operators.sketches import REGISTERS, seeded_median
-from peerbench.session import stored
+from peerbench.session import sized, stored, task_count
 
 # Display threshold of the index measures: matched records needed in the current selection.
 MIN_MATCHED = 30
@@ -409,12 +409,18 @@ def _grouped(
 def _subtotals(
     rows: DataFrame, by: Sequence[str], needs: Sequence[str], entity: str, mode: str, approximate: bool
 ) -> DataFrame:
+    if STAY_MEDIAN in needs:
+        # By itself: its finest groups are few, and those of the other bases need not be split by stay.
+        others = [need for need in needs if need != STAY_MEDIAN]
+        bases = _subtotals(rows, by, others, entity, mode, approximate)
+        return _beside(bases, _stay_medians(rows, by, mode), [*by, "level"])
+    additive = [need for need in needs if need in ADDITIVE]
+    whole = next((c for c in by if c in (RANKED, entity)), None)
+    if whole and HOSPITALS not in needs:
+        return _subtotals_within(rows, by, additive, mode, whole)
     detail = list(by)
     if HOSPITALS in needs and entity not in detail and not approximate:
         detail.append(entity)
-    if STAY_MEDIAN in needs:
-        detail.append("ExactLOS")
-    additive = [need for need in needs if need in ADDITIVE]
     sketches = [F.hll_sketch_agg(entity, REGISTERS).alias("_sketch")] if approximate and HOSPITALS in needs else []
     finest = rows.groupBy(*detail).agg(
         F.count(F.lit(1)).alias("_rows"), *[ADDITIVE[need]().alias(f"_{need}") for need in additive], *sketches
@@ -425,11 +431,63 @@ def _subtotals(
     if HOSPITALS in needs:
         merged = F.hll_sketch_estimate(F.hll_union_agg("_sketch", F.lit(False)))
         aggregates.append((merged if approximate else F.count_distinct(entity)).alias(HOSPITALS))
-    if STAY_MEDIAN in needs:
-        aggregates.append(F.percentile("ExactLOS", 0.5, F.col("_rows")).alias(STAY_MEDIAN))
     return grouped.agg(*aggregates)
 
 
+def _stay_medians(rows: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
+    finest = rows.groupBy(*by, "ExactLOS").agg(F.count(F.lit(1)).alias("_rows"))
+    grouped = finest.rollup(*by) if mode == "rollup" else finest.cube(*by)
+    return grouped.agg(
+        F.grouping_id().alias("level"), F.percentile("ExactLOS", 0.5, F.col("_rows")).alias(STAY_MEDIAN)
+    )
+
+
+def _subtotals_within(
+    rows: DataFrame, by: Sequence[str], additive: Sequence[str], mode: str, whole: str
+) -> DataFrame:
+    """Sums of all subtotals where ``whole`` is the column of many values.
+
+    The finest groups are shuffled once, by ``whole``: every subtotal that keeps it is then summed inside its task, and
+    only sums without it, which are few, are shuffled again.
+    """
+    spark, others = rows.sparkSession, [c for c in by if c != whole]
+    with sized(spark, rows.count()):
+        finest = stored(
+            rows.groupBy(*by).agg(
+                F.count(F.lit(1)).alias("_rows"), *[ADDITIVE[need]().alias(f"_{need}") for need in additive]
+            ),
+            "finest-groups",
+        )
+    sums = [F.sum(c).alias(c) for c in finest.columns if c not in by]
+    # The sums of one value of ``whole`` stay together, so a task has as many as there are grouping sets.
+    tasks = task_count(spark, finest.count() * (len(by) if mode == "rollup" else 1 << len(others)))
+    nothing = F.lit(None).cast(dict(finest.dtypes)[whole]).alias(whole)
+    sides = {True: finest.repartition(tasks, whole), False: finest.groupBy(*others, nothing).agg(*sums)}
+    parts = []
+    for kept, side in sides.items():
+        values = [c for c in side.columns if c not in others]
+        sets = side.select(*values, F.explode(_grouping_sets(side, by, mode, whole, kept)).alias("_g"))
+        parts.append(sets.select(*values, "_g.*").groupBy(*by, "level").agg(*sums))
+    return parts[0].unionByName(parts[1])
+
+
+def distinct_levels(rows: DataFrame, by: Sequence[str], counted: dict[str, Column], mode: str) -> DataFrame:
+    """Exact distinct counts of all subtotals, told apart by ``level``, for every counted expression (name -> column).
+
+    Different values per finest group are shuffled by the value, so each is told apart in one task for all subtotals.
+    """
+    keys, spark, size = [*by, "level"], rows.sparkSession, rows.count()
+    result = None
+    for name, column in counted.items():
+        with sized(spark, size):
+            finest = stored(rows.groupBy(*by, column.alias("_value")).agg(F.count(F.lit(1)).alias("_rows")), "distinct-values")
+        sets = F.explode(_grouping_sets(finest, by, mode)).alias("_g")
+        placed = finest.repartition(task_count(spark, finest.count()), "_value").select("_value", sets)
+        counts = placed.select("_value", "_g.*").distinct().groupBy(*keys).agg(F.count("_value").alias(name))
+        result = counts if result is None else _beside(result, counts, keys)
+    return result
+
+
 def cost_medians(rows: DataFrame, by: Sequence[str], mode: str = "group") -> DataFrame:
     """``by`` (and ``level`` for subtotals), ``low`` and ``high``: the middle costs in cents."""
     if mode == "group":
@@ -443,18 +501,25 @@ def _cost_medians(rows: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
     return cost_medians(rows, by, mode).select(*keys, (F.col("low") + F.col("high")).alias(COST_MEDIAN))
 
 
-def _grouping_sets(rows: DataFrame, by: Sequence[str], mode: str) -> Column:
-    """Array with one struct per grouping set of a record: grouping id and the kept columns."""
+def _grouping_sets(
+    rows: DataFrame, by: Sequence[str], mode: str, whole: str | None = None, with_whole: bool = True
+) -> Column:
+    """Array with one struct per grouping set of a record: grouping id and the kept columns.
+
+    With ``whole`` only the sets that keep this column (or, without ``with_whole``, drop it), which is not in the structs.
+    """
     if mode == "rollup":
         kept_sets = [set(by[:size]) for size in range(len(by), -1, -1)]
     else:
         kept_sets = [set(c) for size in range(len(by), -1, -1) for c in combinations(by, size)]
+    if whole is not None:
+        kept_sets = [kept for kept in kept_sets if (whole in kept) == with_whole]
     kinds = dict(rows.dtypes)
     sets = []
     for kept in kept_sets:
         level = sum(1 << (len(by) - 1 - i) for i, c in enumerate(by) if c not in kept)
         columns = [
-            (F.col(c) if c in kept else F.lit(None).cast(kinds[c])).alias(c) for c in by
+            (F.col(c) if c in kept else F.lit(None).cast(kinds[c])).alias(c) for c in by if c != whole
         ]
         sets.append(F.struct(F.lit(level).cast("bigint").alias("level"), *columns))
     return F.array(*sets)

@@ -25,8 +25,8 @@ from peerbench.plans import analysis, checks, extract, reports
 from peerbench.plans.clean import benchmark_table, model_records
 from peerbench.plans.lake import Lake, supply_lake
 from peerbench.plans.layout import ENTITY, STRATA
-from peerbench.plans.measures import MEASURES, cost_medians, displayed, evaluate
-from peerbench.session import stored
+from peerbench.plans.measures import MEASURES, cost_medians, displayed, distinct_levels, evaluate
+from peerbench.session import sized, stored, task_count
 from peerbench.sources.tables import overwrite_partitions, save_bucketed, unique_name
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -400,9 +400,7 @@ def hospitals_sketched(lake: Lake) -> DataFrame:
     names = {"Hospitals": F.col("HospitalKey"), "Orders": F.col("OrderId")}
     sketches = stored(distinct_sketches(rows, by, names), "sketches")
     estimates = distinct_counts(sketches, by, list(names), "cube").withColumnsRenamed({n: f"_{n}" for n in names})
-    exact = rows.cube(*by).agg(
-        F.grouping_id().alias("level"), *[F.count_distinct(c).alias(n) for n, c in names.items()]
-    )
+    exact = distinct_levels(rows, by, names, "cube")
     return _compared(exact, estimates, [*by, "level"], list(names))
 
 

@@ -131,3 +131,55 @@ def test_rows_meet_few_brackets_by_broadcast(spark):
         assert counts.agg(F.sum("_n")).first()[0] == 40_000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+MODEL = "HospitalName string, HospitalKey string, c string, s int, ExactLOS int, CostCents bigint"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rng = random.Random(3)
+    pick = lambda *v: rng.choice([*v, None])
+    rows = [
+        (f"h{rng.randrange(9)}" if rng.random() < 0.9 else None, f"k{rng.randrange(9)}", pick("a", "b"), pick(1, 2), pick(1, 2, 5), rng.randrange(99))
+        for _ in range(500)
+    ]
+    return spark.createDataFrame(rows, MODEL)
+
+
+@pytest.mark.parametrize("mode", ["cube", "rollup"])
+@pytest.mark.parametrize("by", [["c", "HospitalName", "s"], ["HospitalName"], ["s", "c", "HospitalName"]])
+def test_subtotals_within_a_hospital_are_those_of_spark(spark, model, by, mode):
+    names = ["Discharges", "ExactLOSDischarges", "EstimatedCost"]
+    got = evaluate(model, names, by, mode=mode)
+    plain = (model.cube if mode == "cube" else model.rollup)(*by).agg(
+        F.grouping_id().alias("level"),
+        F.count(F.lit(1)),
+        F.count("ExactLOS"),
+        F.sum("CostCents").cast("double") / 100,
+    )
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
+    assert "Expand" not in plan(got)
+    assert evaluate(model.limit(0), names, by, mode=mode).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["cube", "rollup"])
+def test_stay_medians_do_not_split_the_other_groups(spark, model, mode):
+    by = ["c", "s"]
+    got = evaluate(model, ["Hospitals", "MedianLOS", "Discharges"], by, mode=mode)
+    plain = (model.cube if mode == "cube" else model.rollup)(*by).agg(
+        F.grouping_id().alias("level"), F.count_distinct("HospitalKey"), F.median("ExactLOS"), F.count(F.lit(1))
+    )
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
+    # No group by hospital and stay together.
+    assert not any("HospitalKey" in line and "ExactLOS" in line for line in plan(got).splitlines() if "keys=[" in line)
+
+
+@pytest.mark.parametrize("mode", ["cube", "rollup"])
+def test_distinct_counts_of_subtotals(spark, model, mode):
+    by = ["c", "s"]
+    got = measures.distinct_levels(model, by, {"names": F.col("HospitalName"), "stays": F.col("ExactLOS")}, mode)
+    plain = (model.cube if mode == "cube" else model.rollup)(*by).agg(
+        F.grouping_id().alias("level"), F.count_distinct("HospitalName"), F.count_distinct("ExactLOS")
+    )
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
