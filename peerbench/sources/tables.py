@@ -14,8 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.operators.ordering import row_key
-from peerbench.session import fresh_path, stored
+from peerbench.operators.ordering import number_rows, place_rows
+from peerbench.session import CODEC, fresh_path, sized, stored
 
 
 def unique_name(name: str) -> str:
@@ -74,13 +74,15 @@ class Pages:
 
 def paged(df: DataFrame, key: str, page_rows: int) -> Pages:
     """Write ``df`` in the order of ``key``; pages have ``page_rows`` rows, the last one perhaps fewer."""
-    numbered = stored(row_key(df, [F.col(key)], "_number"), "pages-numbered")
+    with sized(df.sparkSession, df.count()):
+        placed = place_rows(df, [F.col(key)], "pages-placed")
+    numbered = number_rows(placed, "_number")
     page: Column = F.call_function("div", F.col("_number") - 1, F.lit(page_rows))
     ranges = numbered.groupBy(page.alias("page")).agg(
         F.min(key).alias("first_key"), F.max(key).alias("last_key"), F.count(F.lit(1)).alias("rows")
     )
-    # The numbered rows are in ranges of the key already, one file each.
-    return Pages(numbered.drop("_number"), stored(ranges, "page-ranges"), key)
+    # The placed rows are in ranges of the key already, one file each.
+    return Pages(placed.drop("_part", "_place"), stored(ranges, "page-ranges"), key)
 
 
 def drop_tables(spark: SparkSession, names: Sequence[str]) -> None:
