@@ -702,15 +702,17 @@ BUCKETED = [ENTITY, *STRATA]
 @query
 def bucketed_model(lake: Lake) -> DataFrame:
     """The model from two tables in the same buckets, joined without a shuffle."""
-    records = save_bucketed(lake.clean, unique_name("records"), BUCKETED)
-    bench = save_bucketed(lake.benchmark, unique_name("benchmark"), BUCKETED)
+    buckets = task_count(lake.spark, lake.rows)
+    records = save_bucketed(lake.clean, unique_name("records"), BUCKETED, buckets)
+    bench = save_bucketed(lake.benchmark, unique_name("benchmark"), BUCKETED, buckets)
     return model_records(records, bench)
 
 
 @query
 def bucketed_strata(lake: Lake) -> DataFrame:
     """Sums per hospital and stratum of a bucketed table partitioned by year, without a shuffle."""
-    records = save_bucketed(lake.clean, unique_name("records"), BUCKETED, partition=["DischargeYear"])
+    buckets = task_count(lake.spark, lake.rows)
+    records = save_bucketed(lake.clean, unique_name("records"), BUCKETED, buckets, ["DischargeYear"])
     return bm.entity_strata(records.filter(lake.domain.comparable()), ENTITY, STRATA, "ExactLOS")
 
 
@@ -718,7 +720,7 @@ def bucketed_strata(lake: Lake) -> DataFrame:
 def year_overwrite(lake: Lake) -> DataFrame:
     """One year of a saved table written anew, with a cent more per record and without line 1; the others stay."""
     name = unique_name("records")
-    records = save_bucketed(lake.clean, name, BUCKETED, partition=["DischargeYear"])
+    records = save_bucketed(lake.clean, name, BUCKETED, task_count(lake.spark, lake.rows), ["DischargeYear"])
     line = F.split("SourceRowId", "-")[3]
     year = stored(records.where((F.col("DischargeYear") == 1995) & (line != "1")), "year")
     overwrite_partitions(year.withColumn("CostCents", F.col("CostCents") + 1), name)

@@ -33,6 +33,7 @@ def save_bucketed(
     # The partition columns come last in a table.
     ordered = df.select(*[c for c in df.columns if c not in partition], *partition)
     writer = ordered.repartition(count, *by).write.format("parquet").option("path", fresh_path(spark, name))
+    writer = writer.option("compression", CODEC)
     if partition:
         # Kept with the table: an overwrite replaces only the partitions that it brings.
         writer = writer.partitionBy(*partition).option("partitionOverwriteMode", "dynamic")

@@ -183,3 +183,24 @@ def test_distinct_counts_of_subtotals(spark, model, mode):
         F.grouping_id().alias("level"), F.count_distinct("HospitalName"), F.count_distinct("ExactLOS")
     )
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
+
+
+# --- catalogue tables and pages
+
+
+def test_buckets_grow_with_the_rows(lake, spark, monkeypatch):
+    monkeypatch.setattr("peerbench.session.TASK_ROWS", 20)
+    kept = {}
+    monkeypatch.setattr(registry, "save_bucketed", lambda df, name, by, buckets=None, partition=(): kept.update({name: buckets}) or df)
+    registry.bucketed_model(lake)
+    registry.bucketed_strata(lake)
+    assert set(kept.values()) == {20}
+
+
+def test_pages_are_written_once(spark):
+    folder = Path(fresh_path(spark, "x")).parent
+    count = lambda: sum(p.name.startswith(("pages-", "ordered-")) for p in folder.glob("*"))
+    before = count()
+    pages = paged(spark.range(100).select(F.format_string("%03d", "id").alias("id")), "id", 10)
+    assert count() == before + 1
+    assert sorted(r.id for r in pages.read(3).collect()) == [f"{i:03d}" for i in range(30, 40)]
