@@ -15,7 +15,7 @@ from peerbench.plans.clean import clean_fields, fact_table
 from peerbench.plans.lake import Lake
 from peerbench.plans.layout import ENTITY, RAW_FIELDS
 from peerbench.plans.measures import evaluate
-from peerbench.session import drop, fresh_path, stored
+from peerbench.session import TASK_ROWS, drop, fresh_path, sized, stored, task_count
 from peerbench.sources.files import file_digests, list_files, relative_to, verify_manifest
 from peerbench.sources.sinks import formatted, write_csv, write_document, write_model_csv, write_table
 from peerbench.sources.tables import paged
@@ -41,7 +41,8 @@ def _without_copy(result: DataFrame, path: str) -> DataFrame:
 def page_union(lake: Lake, page_rows: int = PAGE_ROWS) -> DataFrame:
     """Pages written as a folder of CSV files, read back as one table, and summed per page."""
     path = fresh_path(lake.spark, "pages")
-    write_csv(pages(lake.raw, page_rows), path)
+    with sized(lake.spark, lake.rows):
+        write_csv(pages(lake.raw, page_rows), path, "gzip")
     back = read_text_table(lake.spark, path, ["page", *RAW_FIELDS])
     sums = back.groupBy(to_int(F.col("page")).cast("bigint").alias("page")).agg(
         F.count(F.lit(1)).alias("rows"),
@@ -69,7 +70,7 @@ def first_rows(model: DataFrame, n: int = 5) -> DataFrame:
 def csv_roundtrip(lake: Lake) -> DataFrame:
     """The raw extract written as CSV, read back as text and cleaned again, summed per condition."""
     path = fresh_path(lake.spark, "extract")
-    write_csv(lake.raw, path)
+    write_csv(lake.raw, path, "gzip")
     again = clean_fields(trim_all(read_text_table(lake.spark, path, RAW_FIELDS)))
     sums = again.groupBy("ConditionKey").agg(
         F.count(F.lit(1)).alias("Discharges"),
@@ -91,7 +92,7 @@ def export_roundtrip(lake: Lake) -> DataFrame:
     """Cost in whole cents on three paths: raw extract, exported fact, stored model."""
     path = fresh_path(lake.spark, "fact")
     fact = fact_table(lake.model)
-    write_model_csv(fact, path)
+    write_model_csv(fact, path, compression="gzip")
     back = read_typed_table(lake.spark, path, fact.schema)
     exported = back.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -104,7 +105,8 @@ def export_roundtrip(lake: Lake) -> DataFrame:
     raw = lake.source.agg(F.sum(half_even_cents(F.col("total_costs"))))
     model = lake.model.agg(F.sum("CostCents"))
     sums = exported.select("*", raw.scalar().alias("raw_cents"), model.scalar().alias("model_cents"))
-    return _without_copy(sums, path)
+    with sized(lake.spark, lake.rows):
+        return _without_copy(sums, path)
 
 
 def expected_compare(lake: Lake, tolerance: float = 1e-6) -> DataFrame:

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from peerbench.functions.numbers import fixed
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Header CSV; quotes inside values are doubled."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Header CSV; quotes inside values are doubled.  Copies that are read back and deleted are best compressed."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path, compression=compression)
 
 
-def write_model_csv(df: DataFrame, path: str, decimals: int = 10) -> None:
+def write_model_csv(df: DataFrame, path: str, decimals: int = 10, compression: str = "none") -> None:
     """Header CSV with floating columns at a fixed number of decimals and money at two."""
-    write_csv(formatted(df, decimals), path)
+    write_csv(formatted(df, decimals), path, compression)
 
 
 def formatted(df: DataFrame, decimals: int = 10) -> DataFrame:

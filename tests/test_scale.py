@@ -204,3 +204,17 @@ def test_pages_are_written_once(spark):
     pages = paged(spark.range(100).select(F.format_string("%03d", "id").alias("id")), "id", 10)
     assert count() == before + 1
     assert sorted(r.id for r in pages.read(3).collect()) == [f"{i:03d}" for i in range(30, 40)]
+
+
+# --- files
+
+
+def test_round_trips_write_compressed_copies(lake, monkeypatch):
+    used = []
+    monkeypatch.setattr(extract, "drop", lambda spark, path: used.append(path))
+    assert extract.page_union(lake, 100).count() == 4
+    assert extract.export_roundtrip(lake).first().rows == 400
+    assert extract.csv_roundtrip(lake).count() == 2
+    assert len(used) == 3
+    for path in used:
+        assert [f for f in Path(path).glob("*.csv*") if f.suffix != ".crc"] and not [*Path(path).glob("*.csv")]
