@@ -146,7 +146,10 @@ def file_statuses(spark: SparkSession, texts: DataFrame, key: str, text: str) ->
     and for 5 a second file is listed that does not exist (its key is negative).
     """
     path = fresh_path(spark, "texts")
-    texts.select(F.col(key).alias("key"), F.col(text).alias("text")).repartition("key").write.partitionBy("key").text(path)
+    texts = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).repartition(task_count(spark, 0), "key")
+    # Tasks put their own files in place: the copy is read only after all have ended.
+    writer = texts.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.partitionBy("key").text(path)
     number = F.regexp_extract("path", r"key=(-?\d+)", 1).cast("bigint")
     digests = relative_to(file_digests(spark, path), path).withColumn("key", number)
     digests = stored(digests.where(F.col("key").isNotNull() & F.col("path").endswith(".txt")), "text-digests")

@@ -11,6 +11,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerbench.session import task_count
+
 # Bytes read at a time while hashing.
 CHUNK = 8 << 20
 
@@ -44,7 +46,8 @@ def file_digests(spark: SparkSession, path: str | list[str]) -> DataFrame:
             yield batch.assign(sha256=digests)
 
     files = list_files(spark, path).select("path", "bytes")
-    return files.repartition("path").mapInPandas(
+    # The list is small and the files are not, so the number of tasks is fixed.
+    return files.repartition(task_count(spark, 0), "path").mapInPandas(
         hash_files, "path string, bytes bigint, sha256 string"
     )
 

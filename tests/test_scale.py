@@ -218,3 +218,14 @@ def test_round_trips_write_compressed_copies(lake, monkeypatch):
     assert len(used) == 3
     for path in used:
         assert [f for f in Path(path).glob("*.csv*") if f.suffix != ".crc"] and not [*Path(path).glob("*.csv")]
+
+
+def test_files_are_written_and_digested_by_many_tasks(spark, tmp_path):
+    texts = spark.range(64).select(F.col("id").alias("k"), F.col("id").cast("string").alias("t"))
+    got = {r.key: r.status for r in extract.file_statuses(spark, texts, "k", "t").collect() if r.key >= 0}
+    wrong = {2: "hash", 3: "size", 4: "extra"}
+    assert got == {k: wrong.get(k % 10, "ok") for k in range(64)}
+    for i in range(16):
+        (tmp_path / f"{i}.txt").write_text(str(i))
+    tasks = file_digests(spark, str(tmp_path)).select(F.spark_partition_id()).distinct().count()
+    assert tasks > 1
