@@ -202,20 +202,32 @@ def rescued_rows(lake: Lake) -> DataFrame:
 
 
 def marked_pages(lake: Lake) -> DataFrame:
-    """Pages with a byte-order mark and a header each, one per year, read as one table and summed per condition."""
+    """Pages with a byte-order mark and a header each, read as one table and summed per condition.
+
+    Every year has a folder of pages, more of them the more rows there are, so that no task holds a whole year.
+    """
     path = fresh_path(lake.spark, "marked-pages")
     header = F.lit("\ufeff" + ",".join(RAW_FIELDS))
-    rows = lake.raw.select(F.col("discharge_year").alias("page"), F.lit(1).alias("_place"), lines(lake.raw, list(RAW_FIELDS)).alias("value"))
-    heads = rows.select("page").distinct().select("page", F.lit(0).alias("_place"), header.alias("value"))
-    pages_ = rows.unionByName(heads).repartition("page").sortWithinPartitions("page", "_place")
-    pages_.select("page", "value").write.partitionBy("page").text(path)
-    back = read_text_table(lake.spark, f"{path}/*", RAW_FIELDS)
+    tasks = task_count(lake.spark, lake.rows)
+    folder = ["year", "page"]
+    rows = lake.raw.select(
+        F.col("discharge_year").alias("year"),
+        F.pmod(F.xxhash64("source_row_id"), F.lit(max(1, -(-lake.rows // TASK_ROWS)))).alias("page"),
+        F.lit(1).alias("_place"),
+        lines(lake.raw, list(RAW_FIELDS)).alias("value"),
+    )
+    heads = rows.select(*folder).distinct().select(*folder, F.lit(0).alias("_place"), header.alias("value"))
+    # A page is in one task and so in one file.
+    pages_ = rows.unionByName(heads).repartition(tasks, *folder).sortWithinPartitions(*folder, "_place")
+    pages_.select(*folder, "value").write.partitionBy(*folder).text(path)
+    back = read_text_table(lake.spark, f"{path}/*/*", RAW_FIELDS)
     sums = back.groupBy(F.col("apr_drg_code").alias("ConditionKey")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("source_row_id").alias("ids"),
         F.sum(to_cents(F.col("total_costs"))).alias("CostCents"),
     )
-    return _without_copy(sums, path)
+    with sized(lake.spark, lake.rows):
+        return _without_copy(sums, path)
 
 
 def profile_documents(lake: Lake) -> DataFrame:

@@ -220,6 +220,19 @@ def test_round_trips_write_compressed_copies(lake, monkeypatch):
         assert [f for f in Path(path).glob("*.csv*") if f.suffix != ".crc"] and not [*Path(path).glob("*.csv")]
 
 
+def test_marked_pages_grow_in_number_with_one_header_each(lake, monkeypatch, rows):
+    used = []
+    monkeypatch.setattr(extract, "drop", lambda spark, path: used.append(path))
+    monkeypatch.setattr(extract, "TASK_ROWS", 50)
+    found = extract.marked_pages(lake).collect()
+    assert sum(r.rows for r in found) == sum(r.ids for r in found) == len(rows)
+    files = [*Path(used[0]).glob("*/*/*.txt")]
+    assert len(files) > 12
+    for file in files:
+        text = file.read_text(encoding="utf-8")
+        assert text.startswith("﻿") and text.count("﻿") == 1
+
+
 def test_files_are_written_and_digested_by_many_tasks(spark, tmp_path):
     texts = spark.range(64).select(F.col("id").alias("k"), F.col("id").cast("string").alias("t"))
     got = {r.key: r.status for r in extract.file_statuses(spark, texts, "k", "t").collect() if r.key >= 0}
