@@ -188,7 +188,8 @@ def rescued_rows(lake: Lake) -> DataFrame:
         .otherwise(text)
     )
     folders = lake.raw.select(F.col("discharge_year").alias("page"), damaged.alias("value"))
-    folders.repartition("page").write.partitionBy("page").text(path)
+    # A year has as many files as tasks: none holds a whole year.
+    folders.repartition(task_count(lake.spark, lake.rows), "value").write.partitionBy("page").text(path)
     good, bad = read_rescued(lake.spark, f"{path}/*", RAW_FIELDS, header=False)
     year = F.regexp_extract("file", r"page=(\d+)", 1)
     cents = F.sum(to_cents(F.col("total_costs")))

@@ -220,6 +220,17 @@ def test_round_trips_write_compressed_copies(lake, monkeypatch):
         assert [f for f in Path(path).glob("*.csv*") if f.suffix != ".crc"] and not [*Path(path).glob("*.csv")]
 
 
+def test_damaged_years_have_several_files(lake, monkeypatch, rows):
+    used = []
+    monkeypatch.setattr(extract, "drop", lambda spark, path: used.append(path))
+    found = extract.rescued_rows(lake).collect()
+    year = RAW_FIELDS.index("discharge_year")
+    assert sum(r.rows for r in found) == len(rows)
+    for name, n in Counter(r[year] for r in rows).items():
+        assert sum(r.rows for r in found if r.year == name) == n
+        assert len([*Path(used[0], f"page={name}").glob("*.txt")]) > 1
+
+
 def test_marked_pages_grow_in_number_with_one_header_each(lake, monkeypatch, rows):
     used = []
     monkeypatch.setattr(extract, "drop", lambda spark, path: used.append(path))
