@@ -16,10 +16,18 @@ from peerbench.session import task_count
 # Bytes read at a time while hashing.
 CHUNK = 8 << 20
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """path, bytes, modified of every file under ``path``; no file content is read."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    kept = spark.conf.get(LISTING_TASKS)
+    # A task for each of many small folders takes far longer to start than to list.
+    spark.conf.set(LISTING_TASKS, str(min(int(kept), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    finally:
+        spark.conf.set(LISTING_TASKS, kept)
     return listing.select(
         "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
     )

@@ -14,7 +14,7 @@ from peerbench.plans.lake import Lake
 from peerbench.plans.layout import HOSPITAL, RAW_FIELDS
 from peerbench.plans.measures import evaluate
 from peerbench.session import TASK_ROWS, fresh_path, sized, stored, task_count
-from peerbench.sources.files import file_digests
+from peerbench.sources.files import LISTING_TASKS, file_digests, list_files
 from peerbench.sources.tables import paged
 
 PARTITIONS = "spark.sql.shuffle.partitions"
@@ -253,3 +253,21 @@ def test_files_are_written_and_digested_by_many_tasks(spark, tmp_path):
         (tmp_path / f"{i}.txt").write_text(str(i))
     tasks = file_digests(spark, str(tmp_path)).select(F.spark_partition_id()).distinct().count()
     assert tasks > 1
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(200):
+        (tmp_path / f"k={i}").mkdir()
+        (tmp_path / f"k={i}" / "a.txt").write_text("x")
+    before = spark.conf.get(LISTING_TASKS)
+    group = "listing-test"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert list_files(spark, str(tmp_path)).count() == 200
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+        sizes = [info.numTasks for s in stages if (info := tracker.getStageInfo(s))]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sizes and max(sizes) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(LISTING_TASKS) == before
