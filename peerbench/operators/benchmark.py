@@ -135,17 +135,24 @@ def assign_expected(
 
     The peer counts are filled for every record of a stratum, the expectation only where ``value`` is known.
     """
+    return expected_fields(with_benchmark(df, bench, entity, strata), df.columns, value)
+
+
+def with_benchmark(df: DataFrame, bench: DataFrame, entity: str, strata: Sequence[str]) -> DataFrame:
+    """Records with what the benchmark tells of their entity and stratum."""
     keys = [entity, *strata]
+    return df.join(bench.select(*keys, "peer_n", "peer_entities", "expected"), keys, "left")
+
+
+def expected_fields(df: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
+    """The ``columns`` of records that met the benchmark, and what it means for each."""
     known = F.col(value).isNotNull()
-    return (
-        df.join(bench.select(*keys, "peer_n", "peer_entities", "expected"), keys, "left")
-        .select(
-            *df.columns,
-            F.col("peer_n").alias("PeerN"),
-            F.col("peer_entities").alias("PeerHospitals"),
-            F.when(known, F.col("expected")).alias("ExpectedLOS"),
-            (known & F.col("expected").isNotNull()).cast("int").alias("BenchmarkEligible"),
-        )
+    return df.select(
+        *columns,
+        F.col("peer_n").alias("PeerN"),
+        F.col("peer_entities").alias("PeerHospitals"),
+        F.when(known, F.col("expected")).alias("ExpectedLOS"),
+        (known & F.col("expected").isNotNull()).cast("int").alias("BenchmarkEligible"),
     )
 
 

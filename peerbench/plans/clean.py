@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.functions.text import band, lenient_int, parse_capped, short_label, to_cents, to_int
-from peerbench.operators.benchmark import assign_expected, leave_one_out
+from peerbench.operators.benchmark import assign_expected, expected_fields, leave_one_out, with_benchmark
 from peerbench.operators.figures import stored_with
 from peerbench.operators.ordering import number_rows, placed_rows
+from peerbench.operators.packing import pack, unpack
 from peerbench.plans.layout import (
     BAND_EDGES,
     ENTITY,
@@ -20,13 +21,29 @@ from peerbench.plans.layout import (
 )
 
 
+# What follows from the text of a stay alone.
+STAY_FIELDS = ("LOSCensored", "ExactLOS", "BedDaysLowerBound")
+
+
+def stay_values(text: str) -> dict[str, Column]:
+    """``STAY_FIELDS`` from the column ``text`` and its number, ``_stay``."""
+    stay = parse_capped(F.col(text), number=F.col("_stay"))
+    return dict(zip(STAY_FIELDS, (stay["censored"], stay["exact"], stay["lower_bound"])))
+
+
+def stay_fields(rows: DataFrame) -> DataFrame:
+    """Records with ``STAY_FIELDS`` from their ``SourceLOS``."""
+    numbered = rows.withColumn("_stay", to_int(F.col("SourceLOS")))
+    return numbered.withColumns(stay_values("SourceLOS")).drop("_stay")
+
+
 def clean_fields(raw: DataFrame, *kept: str) -> DataFrame:
     """The typed fields of a trimmed extract, without the row key but with the ``kept`` columns.
 
     One row per source row: repeated rows stay, and so do rows with an unknown stay.
     """
     raw = raw.select(*kept, *RAW_FIELDS, to_int(F.col("length_of_stay")).alias("_stay"))
-    stay = parse_capped(F.col("length_of_stay"), number=F.col("_stay"))
+    stay = stay_values("length_of_stay")
     return raw.select(
         *kept,
         F.col("source_row_id").alias("SourceRowId"),
@@ -45,9 +62,7 @@ def clean_fields(raw: DataFrame, *kept: str) -> DataFrame:
         F.col("apr_risk_of_mortality").alias("MortalityRisk"),
         F.col("emergency_department_indicator").alias("EDIndicator"),
         F.col("length_of_stay").alias("SourceLOS"),
-        stay["censored"].alias("LOSCensored"),
-        stay["exact"].alias("ExactLOS"),
-        stay["lower_bound"].alias("BedDaysLowerBound"),
+        *[stay[name].alias(name) for name in STAY_FIELDS],
         to_cents(F.col("total_costs")).alias("CostCents"),
         to_cents(F.col("total_charges")).alias("ChargesCents"),
     )
@@ -55,7 +70,8 @@ def clean_fields(raw: DataFrame, *kept: str) -> DataFrame:
 
 def place_records(raw: DataFrame, figures: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Typed records of a trimmed extract, written in the order of the source id, and their figures."""
-    placed = placed_rows(raw.select(*RAW_FIELDS), [F.col("source_row_id")])
+    rows, kept = raw.select(*RAW_FIELDS), ["source_row_id"]
+    placed = unpack(placed_rows(pack(rows, kept), [F.col("source_row_id")]), rows, kept)
     return stored_with(clean_fields(placed, "_part", "_place"), "records", figures)
 
 
@@ -80,9 +96,17 @@ def stay_band() -> Column:
     return band(F.col("ExactLOS"), BAND_EDGES, STAY_BANDS, F.col("LOSCensored"), STAY_BANDS[-1])
 
 
-def model_records(clean: DataFrame, bench: DataFrame) -> DataFrame:
-    """Typed records with their fixed expectation, eligibility and stay band."""
-    assigned = assign_expected(clean, bench, ENTITY, STRATA, "ExactLOS")
+def model_records(clean: DataFrame, bench: DataFrame, packed: bool = False) -> DataFrame:
+    """Typed records with their fixed expectation, eligibility and stay band.
+
+    With ``packed`` the records are short while they meet the benchmark, for joins that shuffle.
+    """
+    if packed:
+        kept, rows = [ENTITY, *STRATA], clean.drop(*STAY_FIELDS)
+        met = unpack(with_benchmark(pack(rows, kept), bench, ENTITY, STRATA), rows, kept)
+        assigned = expected_fields(stay_fields(met), clean.columns, "ExactLOS")
+    else:
+        assigned = assign_expected(clean, bench, ENTITY, STRATA, "ExactLOS")
     return assigned.withColumn("StayBand", stay_band())
 
 

@@ -191,7 +191,7 @@ class Lake:
     def _model(self) -> tuple[DataFrame, DataFrame]:
         clean, benchmark = self.clean, self.benchmark
         with sized(self.spark, self.rows):
-            return stored_with(model_records(clean, benchmark), "model", model_figures(self.domain))
+            return stored_with(model_records(clean, benchmark, packed=True), "model", model_figures(self.domain))
 
     @property
     def model(self) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from peerbench.operators import sketches
 from peerbench.operators.digests import compare_tables
-from peerbench.plans import extract, lake as lakes, measures, registry
+from peerbench.operators.packing import pack, unpack
+from peerbench.plans import clean, extract, lake as lakes, measures, registry
 from peerbench.plans.lake import Lake
 from peerbench.plans.layout import HOSPITAL, RAW_FIELDS
 from peerbench.plans.measures import evaluate
@@ -83,6 +84,45 @@ def test_layers_are_written_with_tasks_for_their_rows(lake, spark, monkeypatch):
     assert {n: seen[n] for n in ("raw", "records", "benchmark", "model")} == dict.fromkeys(("raw", "records", "benchmark", "model"), 40)
 
 
+def test_packed_rows_come_back_as_they_were(spark):
+    texts = ["", " ", "a,b", None, "\x01", "\x02", "x\x02", "\x01\x02\x01", "\u00e9\u6f22", "\n\r", "\\", "1"]
+    rows = [(i, a, b, 10**18 + i if i % 3 else None, -i, i / 7) for i, (a, b) in enumerate((a, b) for a in texts for b in texts)]
+    df = spark.createDataFrame(rows, "k int, a string, b string, n bigint, m int, d double")
+    broken = df.limit(2).withColumn("a", F.expr("cast(unhex('41C3') as string)")).withColumn("b", F.expr("cast(unhex('A942') as string)"))
+    df = df.unionByName(broken).withColumn("hex", F.hex("a"))
+    for kept in ([], ["k"], ["k", "d", "m"]):
+        packed = pack(df, kept)
+        assert {"_packed", "_plain"} < set(packed.columns) and "a" not in packed.columns and "d" in packed.columns
+        back = unpack(packed.repartition(3, "d"), df, kept).select(*df.columns)
+        assert back.dtypes == df.dtypes
+        columns = [F.hex("a").alias("a"), F.hex("b").alias("b"), "k", "n", "m", "d", "hex"]
+        assert Counter(back.select(columns).collect()) == Counter(df.select(columns).collect())
+    assert pack(df, ["k"]).where("_packed IS NULL").count() == df.where("a RLIKE '[\x01\x02]' OR b RLIKE '[\x01\x02]' OR hex = '41C3'").count()
+
+
+def test_whole_rows_are_short_in_a_shuffle(lake, monkeypatch):
+    """The two shuffles of whole rows move their keys and one text, not a slot for every column."""
+    seen = {}
+
+    def watched(df, name, figures):
+        seen[name] = plan(df)
+        return original(df, name, figures)
+
+    original = clean.stored_with
+    monkeypatch.setattr(clean, "stored_with", watched)
+    monkeypatch.setattr("peerbench.plans.lake.stored_with", watched)
+    lake.spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        model = lake.model
+    finally:
+        lake.spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("records", "model"):
+        moved = [line for line in seen[name].split("Exchange")[1].split("\n") if "Project [" in line][0]
+        assert "_packed" in moved and "_plain" in moved
+    same = clean.model_records(lake.clean, lake.benchmark).select(*model.columns)
+    assert Counter(model.collect()) == Counter(same.collect())
+
+
 def test_layers_are_compressed_well(spark):
     df = stored(spark.range(10), "codec-test")
     assert all(".zstd.parquet" in f for f in df.inputFiles())
