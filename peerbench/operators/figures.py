@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from peerbench.session import CODEC, fresh_path
+from peerbench.session import CODEC, fresh_path, tidied
 
 
 def stored_with(df: DataFrame, name: str, figures: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -22,7 +22,8 @@ def stored_with(df: DataFrame, name: str, figures: dict[str, Column]) -> tuple[D
     path = fresh_path(spark, name)
     observation = Observation(name)
     aggregates = [aggregate.alias(figure) for figure, aggregate in figures.items()]
-    df.observe(observation, *aggregates).write.parquet(path, compression=CODEC)
+    with tidied(spark):
+        df.observe(observation, *aggregates).write.parquet(path, compression=CODEC)
     # The types of the figures; this plan is never run.
     schema = df.agg(*aggregates).schema
     found = observation.get

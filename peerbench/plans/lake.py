@@ -33,7 +33,7 @@ from peerbench.plans.layout import (
     SUPPLY,
     Domain,
 )
-from peerbench.session import sized, stored
+from peerbench.session import meeting_small, sized, stored
 from peerbench.sources.files import snapshot_state
 from peerbench.sources.tables import store_partitioned
 from peerbench.sources.literals import ordered_labels, scenario_table
@@ -149,7 +149,7 @@ class Lake:
     @cached_property
     def _raw(self) -> tuple[DataFrame, DataFrame]:
         # A source made by joins has shuffles as well.
-        with sized(self.spark, self.listed_rows or 0):
+        with sized(self.spark, self.listed_rows or 0), meeting_small(self.spark):
             return stored_with(trim_all(self.source), "raw", raw_figures())
 
     @property

@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import fixed
+from peerbench.session import tidied
 
 
 def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """Header CSV; quotes inside values are doubled.  Copies that are read back and deleted are best compressed."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path, compression=compression)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    with tidied(df.sparkSession):
+        writer.csv(path, compression=compression)
 
 
 def write_model_csv(df: DataFrame, path: str, decimals: int = 10, compression: str = "none") -> None:
@@ -33,9 +36,11 @@ def formatted(df: DataFrame, decimals: int = 10) -> DataFrame:
 
 def write_document(df: DataFrame, path: str) -> None:
     """JSON document; blanks are written as null."""
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    with tidied(df.sparkSession):
+        df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
     """Replace a stored table."""
-    df.write.mode("overwrite").parquet(path)
+    with tidied(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)

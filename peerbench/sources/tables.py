@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerbench.operators.ordering import number_rows, place_rows
-from peerbench.session import CODEC, fresh_path, sized, stored
+from peerbench.session import CODEC, fresh_path, sized, stored, tidied
 
 
 def unique_name(name: str) -> str:
@@ -37,7 +37,8 @@ def save_bucketed(
     if partition:
         # Kept with the table: an overwrite replaces only the partitions that it brings.
         writer = writer.partitionBy(*partition).option("partitionOverwriteMode", "dynamic")
-    writer.bucketBy(count, *by).sortBy(*by).saveAsTable(name)
+    with tidied(spark):
+        writer.bucketBy(count, *by).sortBy(*by).saveAsTable(name)
     return spark.table(name)
 
 
@@ -45,7 +46,8 @@ def overwrite_partitions(df: DataFrame, name: str) -> None:
     """Write anew the partitions of a saved table that ``df`` has rows of; all others stay."""
     spark = df.sparkSession
     columns = spark.table(name).columns
-    df.select(*columns).write.insertInto(name, overwrite=True)
+    with tidied(spark):
+        df.select(*columns).write.insertInto(name, overwrite=True)
     spark.catalog.refreshTable(name)
 
 
@@ -53,7 +55,8 @@ def store_partitioned(df: DataFrame, name: str, partition: Sequence[str]) -> Dat
     """Write to the shared folder with a folder per value of ``partition``."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.repartition(*partition).write.partitionBy(*partition).parquet(path)
+    with tidied(spark):
+        df.repartition(*partition).write.partitionBy(*partition).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

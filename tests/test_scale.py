@@ -1,6 +1,7 @@
 """What has to hold so that work grows with its input: rows per task, what is shuffled, what is written."""
 
 import random
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -14,7 +15,9 @@ from peerbench.plans import clean, extract, lake as lakes, measures, registry
 from peerbench.plans.lake import Lake
 from peerbench.plans.layout import HOSPITAL, RAW_FIELDS
 from peerbench.plans.measures import evaluate
-from peerbench.session import TASK_ROWS, fresh_path, sized, stored, task_count
+from peerbench import session
+from peerbench.plans.binding import raw_stays
+from peerbench.session import TASK_ROWS, fresh_path, held, meeting_small, sized, stored, task_count
 from peerbench.sources.files import LISTING_TASKS, file_digests, list_files
 from peerbench.sources.tables import paged
 
@@ -66,6 +69,85 @@ def test_large_jobs_have_more_tasks_and_the_setting_comes_back(spark):
     assert spark.conf.get(PARTITIONS) == before
 
 
+# --- what is left on disk
+
+
+def shuffle_files(spark) -> set[str]:
+    """The files of shuffles that the session still has."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {files.apply(i).getName() for i in range(files.size())}
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def left_behind(spark, before: set[str]) -> set[str]:
+    """New files of shuffles, once those that are about to be deleted are gone."""
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    return left
+
+
+def test_a_setting_is_held_by_several_blocks(spark):
+    key = "spark.sql.some.setting"
+    with held(spark, key, "a"):
+        with held(spark, key, "a"):
+            assert spark.conf.get(key) == "a"
+        assert spark.conf.get(key) == "a"
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "mine")
+    with pytest.raises(ValueError), held(spark, key, "a"):
+        raise ValueError
+    assert spark.conf.get(key) == "mine"
+    spark.conf.unset(key)
+
+
+def test_written_layers_leave_no_shuffle_behind(lake, spark):
+    before = shuffle_files(spark)
+    assert lake.rows == 400 and lake.model.columns and lake.key_values.columns
+    assert not left_behind(spark, before)
+    assert lake.model.count() == lake.rows and lake.key_values.count() > 0
+
+
+def test_a_small_side_is_met_by_broadcast_once_it_is_known(spark, tmp_path, monkeypatch):
+    tables = {
+        "region": spark.range(2).selectExpr("int(id) r_regionkey", "concat('R', id) r_name"),
+        "nation": spark.range(4).selectExpr("int(id) n_nationkey", "concat('N', id) n_name", "int(id % 2) n_regionkey"),
+        "supplier": spark.range(20).selectExpr("id s_suppkey", "concat('S', id) s_name", "int(id % 4) s_nationkey"),
+        "part": spark.range(300).selectExpr("id p_partkey", "'SMALL' p_type", "concat('B', id % 9) p_brand"),
+        "customer": spark.range(300).selectExpr("id c_custkey", "'HOUSEHOLD' c_mktsegment"),
+        "orders": spark.range(400).selectExpr(
+            "id o_orderkey", "id % 300 o_custkey", "'O' o_orderstatus", "timestamp'1995-01-01 23:00:00' o_orderdate", "'1-URGENT' o_orderpriority"
+        ),
+        "lineitem": spark.range(900).selectExpr(
+            "id % 400 l_orderkey", "id % 300 l_partkey", "id % 20 l_suppkey", "int(id % 7) l_linenumber", "5d l_quantity", "id + 0.25d l_extendedprice",
+            "0.04d l_tax", "'N' l_returnflag", "'O' l_linestatus", "timestamp'1995-01-03 01:00:00' l_shipdate",
+        ),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 4096)
+
+    def joins(threshold: str) -> list[bool]:
+        """Whether rows met suppliers, orders and parts by broadcast, beginning with the last join."""
+        with held(spark, "spark.sql.autoBroadcastJoinThreshold", threshold), meeting_small(spark):
+            found = raw_stays(spark, str(tmp_path))
+            assert {(r["length_of_stay"], r["discharge_year"]) for r in found.collect()} == {("2", "1995")}
+            final = plan(found).split("== Initial Plan ==")[0]
+        return ["Broadcast" in line for line in final.splitlines() if "Join [l_" in line]
+
+    assert joins("300") == [True, False, False]
+    assert joins("-1") == [False, False, False]
+    seen = {}
+
+    def write(df, name, figures):
+        seen[name] = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        return stored(df, name), None
+
+    monkeypatch.setattr("peerbench.plans.lake.stored_with", write)
+    assert Lake(raw_stays(spark, str(tmp_path)), HOSPITAL).raw.count() == 900
+    assert seen == {"raw": str(10 << 20)} and spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None) is None
+
+
 def test_layers_are_written_with_tasks_for_their_rows(lake, spark, monkeypatch):
     seen = {}
 
