@@ -396,14 +396,20 @@ def _expanded(finest: DataFrame, by: Sequence[str], mode: str) -> DataFrame:
 def _grouped(
     rows: DataFrame, by: Sequence[str], needs: Sequence[str], entity: str, approximate: bool
 ) -> DataFrame:
+    """The bases of every group.  Hospitals and stays are counted by themselves: beside sums, every group and hospital
+    would be shuffled with all sums and with the stays of its median."""
     aggregates = [ADDITIVE[need]().alias(f"_{need}") for need in needs if need in ADDITIVE]
-    if HOSPITALS in needs:
-        sketched = F.hll_sketch_estimate(F.hll_sketch_agg(entity, REGISTERS))
-        aggregates.append((sketched if approximate else F.count_distinct(entity)).alias(HOSPITALS))
+    if approximate and HOSPITALS in needs:
+        aggregates.append(F.hll_sketch_estimate(F.hll_sketch_agg(entity, REGISTERS)).alias(HOSPITALS))
+    bases = rows.groupBy(*by).agg(*(aggregates or [F.count(F.lit(1)).alias("_n")]))
+    if HOSPITALS in needs and not approximate:
+        bases = _beside(bases, rows.groupBy(*by).agg(F.count_distinct(entity).alias(HOSPITALS)), by)
     if STAY_MEDIAN in needs:
-        # At most 119 distinct stays per group, so the aggregation state is small.
-        aggregates.append(F.median("ExactLOS").alias(STAY_MEDIAN))
-    return rows.groupBy(*by).agg(*(aggregates or [F.count(F.lit(1)).alias("_n")]))
+        # At most 119 distinct stays per group.
+        stays = rows.groupBy(*by, "ExactLOS").agg(F.count(F.lit(1)).alias("_rows"))
+        median = F.percentile("ExactLOS", 0.5, F.col("_rows")).alias(STAY_MEDIAN)
+        bases = _beside(bases, stays.groupBy(*by).agg(median), by)
+    return bases
 
 
 def _subtotals(

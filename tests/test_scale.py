@@ -297,6 +297,22 @@ def test_stay_medians_do_not_split_the_other_groups(spark, model, mode):
     assert not any("HospitalKey" in line and "ExactLOS" in line for line in plan(got).splitlines() if "keys=[" in line)
 
 
+@pytest.mark.parametrize("by", [[], ["c"], ["c", "s"]])
+def test_hospitals_of_groups_are_counted_apart_from_sums_and_stays(model, by):
+    names = ["Hospitals", "MedianLOS", "Discharges", "EstimatedCost"]
+    got = evaluate(model, names, by)
+    plain = model.groupBy(*by).agg(
+        F.count_distinct("HospitalKey"), F.median("ExactLOS"), F.count(F.lit(1)), F.sum("CostCents").cast("double") / 100
+    )
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
+    # A group by hospital has no sum and no stays beside it.
+    hospitals = [line for line in plan(got).splitlines() if "keys=[" in line and "HospitalKey" in line.split("functions=")[0]]
+    assert hospitals and all("functions=[]" in line for line in hospitals)
+    assert evaluate(model, ["Hospitals"], by).count() == plain.count()
+    nothing = evaluate(model.limit(0), names, by).collect()
+    assert [tuple(r) for r in nothing] == ([] if by else [(0, None, 0, None)])
+
+
 @pytest.mark.parametrize("mode", ["cube", "rollup"])
 def test_distinct_counts_of_subtotals(spark, model, mode):
     by = ["c", "s"]
