@@ -15,13 +15,15 @@ from peerbench.plans.clean import clean_fields, fact_table
 from peerbench.plans.lake import Lake
 from peerbench.plans.layout import ENTITY, RAW_FIELDS
 from peerbench.plans.measures import evaluate
-from peerbench.session import TASK_ROWS, drop, fresh_path, sized, stored, task_count
+from peerbench.session import TASK_ROWS, drop, fresh_path, sized, stored, task_count, tidied
 from peerbench.sources.files import file_digests, list_files, relative_to, verify_manifest
 from peerbench.sources.sinks import formatted, write_csv, write_document, write_model_csv, write_table
 from peerbench.sources.tables import paged
 from peerbench.sources.text import read_document, read_rescued, read_text_table, read_typed_table
 
 PAGE_ROWS = 50_000
+# Rows that are shuffled at a time where whole texts are written: about 75 bytes each.
+ROUND_ROWS = 1 << 26
 
 
 def pages(raw: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
@@ -189,7 +191,8 @@ def rescued_rows(lake: Lake) -> DataFrame:
     )
     folders = lake.raw.select(F.col("discharge_year").alias("page"), damaged.alias("value"))
     # A year has as many files as tasks: none holds a whole year.
-    folders.repartition(task_count(lake.spark, lake.rows), "value").write.partitionBy("page").text(path)
+    with tidied(lake.spark):
+        folders.repartition(task_count(lake.spark, lake.rows), "value").write.partitionBy("page").text(path)
     good, bad = read_rescued(lake.spark, f"{path}/*", RAW_FIELDS, header=False)
     year = F.regexp_extract("file", r"page=(\d+)", 1)
     cents = F.sum(to_cents(F.col("total_costs")))
@@ -205,22 +208,29 @@ def rescued_rows(lake: Lake) -> DataFrame:
 def marked_pages(lake: Lake) -> DataFrame:
     """Pages with a byte-order mark and a header each, read as one table and summed per condition.
 
-    Every year has a folder of pages, more of them the more rows there are, so that no task holds a whole year.
+    Every year has a folder of pages, more of them the more rows there are, so that no task holds a whole year.  They are
+    written in rounds of some pages of every year, so that disks hold the shuffle of one round beside the pages.
     """
     path = fresh_path(lake.spark, "marked-pages")
     header = F.lit("\ufeff" + ",".join(RAW_FIELDS))
-    tasks = task_count(lake.spark, lake.rows)
+    rounds = max(1, -(-lake.rows // ROUND_ROWS))
+    tasks = task_count(lake.spark, -(-lake.rows // rounds))
     folder = ["year", "page"]
+    count = rounds * max(1, -(-lake.rows // (TASK_ROWS * rounds)))
     rows = lake.raw.select(
         F.col("discharge_year").alias("year"),
-        F.pmod(F.xxhash64("source_row_id"), F.lit(max(1, -(-lake.rows // TASK_ROWS)))).alias("page"),
+        F.pmod(F.xxhash64("source_row_id"), F.lit(count)).alias("page"),
         F.lit(1).alias("_place"),
         lines(lake.raw, list(RAW_FIELDS)).alias("value"),
     )
     heads = rows.select(*folder).distinct().select(*folder, F.lit(0).alias("_place"), header.alias("value"))
-    # A page is in one task and so in one file.
-    pages_ = rows.unionByName(heads).repartition(tasks, *folder).sortWithinPartitions(*folder, "_place")
-    pages_.select(*folder, "value").write.partitionBy(*folder).text(path)
+    marked = rows.unionByName(heads)
+    for turn in range(rounds):
+        # A page is in one task and so in one file.
+        pages_ = marked.where(F.col("page") % rounds == turn).repartition(tasks, *folder)
+        ordered = pages_.sortWithinPartitions(*folder, "_place").select(*folder, "value")
+        with tidied(lake.spark):
+            ordered.write.mode("append").partitionBy(*folder).text(path)
     back = read_text_table(lake.spark, f"{path}/*/*", RAW_FIELDS)
     sums = back.groupBy(F.col("apr_drg_code").alias("ConditionKey")).agg(
         F.count(F.lit(1)).alias("rows"),
@@ -240,7 +250,8 @@ def profile_documents(lake: Lake) -> DataFrame:
     objects = counts.select("apr_drg_code", F.struct("apr_drg_code", area.alias("area"), F.col("n").cast("string").alias("discharges")).alias("o"))
     arrays = objects.groupBy("apr_drg_code").agg(F.to_json(F.collect_list("o")).alias("value"))
     # One array per file: at most one object per area in each.
-    arrays.repartition("apr_drg_code").write.partitionBy("apr_drg_code").text(path)
+    with tidied(lake.spark):
+        arrays.repartition("apr_drg_code").write.partitionBy("apr_drg_code").text(path)
     schema = "apr_drg_code string, area string, discharges string"
     back = read_document(lake.spark, f"{path}/*/*", schema)
     found = back.groupBy("apr_drg_code").agg(

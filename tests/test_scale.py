@@ -382,6 +382,21 @@ def test_marked_pages_grow_in_number_with_one_header_each(lake, monkeypatch, row
         assert text.startswith("﻿") and text.count("﻿") == 1
 
 
+def test_marked_pages_are_written_in_rounds(lake, spark, monkeypatch, rows):
+    used, before, left = [], shuffle_files(spark), []
+    monkeypatch.setattr(extract, "drop", lambda spark, path: used.append(path))
+    monkeypatch.setattr(extract, "TASK_ROWS", 50)
+    monkeypatch.setattr(extract, "ROUND_ROWS", 150)
+    monkeypatch.setattr(extract, "read_text_table", lambda *a, f=extract.read_text_table: (left.extend(left_behind(spark, before)), f(*a))[1])
+    assert lake.rows == len(rows)
+    found = extract.marked_pages(lake).collect()
+    assert sum(r.rows for r in found) == sum(r.ids for r in found) == len(rows)
+    # Files of one write have its number in their names; no shuffle of theirs is left when they are read.
+    names = [file.name for file in Path(used[0]).glob("*/*/*.txt")]
+    assert len({name.split("-", 2)[2].split(".")[0] for name in names}) == 3 and not left
+    assert all(file.read_text(encoding="utf-8").count("\ufeff") == 1 for file in Path(used[0]).glob("*/*/*.txt"))
+
+
 def test_files_are_written_and_digested_by_many_tasks(spark, tmp_path):
     texts = spark.range(64).select(F.col("id").alias("k"), F.col("id").cast("string").alias("t"))
     got = {r.key: r.status for r in extract.file_statuses(spark, texts, "k", "t").collect() if r.key >= 0}
