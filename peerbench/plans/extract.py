@@ -15,7 +15,7 @@ from peerbench.plans.clean import clean_fields, fact_table
 from peerbench.plans.lake import Lake
 from peerbench.plans.layout import ENTITY, RAW_FIELDS
 from peerbench.plans.measures import evaluate
-from peerbench.session import TASK_ROWS, drop, fresh_path, sized, stored, task_count, tidied
+from peerbench.session import TASK_ROWS, drop, fresh_path, meeting_small, sized, stored, task_count, tidied
 from peerbench.sources.files import file_digests, list_files, relative_to, verify_manifest
 from peerbench.sources.sinks import formatted, write_csv, write_document, write_model_csv, write_table
 from peerbench.sources.tables import paged
@@ -106,9 +106,11 @@ def export_roundtrip(lake: Lake) -> DataFrame:
     # The source again, not the layer that was trimmed and stored from it.
     raw = lake.source.agg(F.sum(half_even_cents(F.col("total_costs"))))
     model = lake.model.agg(F.sum("CostCents"))
-    sums = exported.select("*", raw.scalar().alias("raw_cents"), model.scalar().alias("model_cents"))
-    with sized(lake.spark, lake.rows):
-        return _without_copy(sums, path)
+    # The copy is gone before the source is joined again.
+    kept = _without_copy(exported, path)
+    sums = kept.select("*", raw.scalar().alias("raw_cents"), model.scalar().alias("model_cents"))
+    with sized(lake.spark, lake.rows), meeting_small(lake.spark):
+        return stored(sums, "cents")
 
 
 def expected_compare(lake: Lake, tolerance: float = 1e-6) -> DataFrame:

@@ -397,6 +397,14 @@ def test_marked_pages_are_written_in_rounds(lake, spark, monkeypatch, rows):
     assert all(file.read_text(encoding="utf-8").count("\ufeff") == 1 for file in Path(used[0]).glob("*/*/*.txt"))
 
 
+def test_an_exported_copy_is_gone_before_the_source_is_read_again(lake, monkeypatch):
+    done = []
+    monkeypatch.setattr(extract, "drop", lambda spark, path: done.append("drop"))
+    monkeypatch.setattr(extract, "meeting_small", lambda spark, f=extract.meeting_small: (done.append("source"), f(spark))[1])
+    found = extract.export_roundtrip(lake).first()
+    assert done == ["drop", "source"] and found.rows == 400 and found.raw_cents == found.exported_cents == found.model_cents
+
+
 def test_files_are_written_and_digested_by_many_tasks(spark, tmp_path):
     texts = spark.range(64).select(F.col("id").alias("k"), F.col("id").cast("string").alias("t"))
     got = {r.key: r.status for r in extract.file_statuses(spark, texts, "k", "t").collect() if r.key >= 0}
