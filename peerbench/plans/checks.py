@@ -89,13 +89,16 @@ class Facts:
     the raw extract once for the values that are counted again, independently of the model.
     """
 
-    def __init__(self, lake: Lake):
+    def __init__(self, lake: Lake, keep_raw: bool = True):
+        """Without ``keep_raw`` the stored extract is deleted as soon as the records are made and its values counted."""
         self.lake = lake
-        self.model_values = lake.key_values.groupBy("field", "value").agg(F.sum("n").alias("n"))
         listed = ("age_group", "apr_drg_code", "discharge_year", "health_service_area")
         again = clean_fields(lake.raw, *listed).withColumn("StayBand", stay_band())
         columns = {c: F.col(c) for c in (*listed, "StayBand", "ConditionKey")}
         self.raw_values = value_counts(again, columns, "raw-values")
+        if not keep_raw:
+            lake.drop_raw()
+        self.model_values = lake.key_values.groupBy("field", "value").agg(F.sum("n").alias("n"))
         hospitals = lake.key_values.where(F.col("field") == ENTITY)
         name = F.get_json_object("attributes", "$.HospitalName").alias("HospitalName")
         self.hospitals = hospitals.select(F.col("value").alias(ENTITY), name, "n", "cost_cents")
@@ -349,7 +352,7 @@ DAMAGED_CHECKS = (
 
 def damaged_checks(lake: Lake) -> DataFrame:
     """What the checks say of the damaged extract, for the checks that its defects concern."""
-    facts = Facts(Lake(damaged(lake.raw), lake.domain, listed_rows=lake.listed_rows))
+    facts = Facts(Lake(damaged(lake.raw), lake.domain, listed_rows=lake.listed_rows), keep_raw=False)
     parts = (record_checks(facts), key_checks(facts), domain_checks(facts))
     return reduce(DataFrame.unionByName, parts).where(F.col("check").isin(*DAMAGED_CHECKS))
 

@@ -33,7 +33,7 @@ from peerbench.plans.layout import (
     SUPPLY,
     Domain,
 )
-from peerbench.session import meeting_small, sized, stored
+from peerbench.session import drop, meeting_small, sized, stored
 from peerbench.sources.files import snapshot_state
 from peerbench.sources.tables import store_partitioned
 from peerbench.sources.literals import ordered_labels, scenario_table
@@ -172,6 +172,12 @@ class Lake:
         """Typed records without their key, for whatever does not need it."""
         return self._records[0]
 
+    def drop_raw(self) -> None:
+        """Make the records and delete the stored extract, for a lake that reads it no more; its figures stay."""
+        _ = self.rows, self.records
+        for folder in {file.rsplit("/", 1)[0] for file in self.raw.inputFiles()}:
+            drop(self.spark, folder)
+
     @property
     def figures(self) -> dict[str, DataFrame]:
         """One row of figures for each written layer: raw, records, model."""

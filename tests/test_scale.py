@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from peerbench.operators import sketches
 from peerbench.operators.digests import compare_tables
 from peerbench.operators.packing import pack, unpack
-from peerbench.plans import clean, extract, lake as lakes, measures, registry
+from peerbench.plans import checks, clean, extract, lake as lakes, measures, registry
 from peerbench.plans.lake import Lake
 from peerbench.plans.layout import HOSPITAL, RAW_FIELDS
 from peerbench.plans.measures import evaluate
@@ -405,6 +405,17 @@ def test_an_exported_copy_is_gone_before_the_source_is_read_again(lake, monkeypa
     assert done == ["drop", "source"] and found.rows == 400 and found.raw_cents == found.exported_cents == found.model_cents
 
 
+def test_a_damaged_extract_is_deleted_once_it_is_counted(lake, spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(checks, "Lake", lambda *a, **b: made.append(Lake(*a, **b)) or made[-1])
+    found = {r.check: r for r in checks.damaged_checks(lake).collect()}
+    assert set(found) == set(checks.DAMAGED_CHECKS)
+    assert found["model rows equal raw rows"].observed == found["model rows equal raw rows"].expected == made[0].rows > 400
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
+        made[0].raw.collect()
+    assert lake.raw.count() == 400 and made[0].model.count() == made[0].rows
+
+
 def test_files_are_written_and_digested_by_many_tasks(spark, tmp_path):
     texts = spark.range(64).select(F.col("id").alias("k"), F.col("id").cast("string").alias("t"))
     got = {r.key: r.status for r in extract.file_statuses(spark, texts, "k", "t").collect() if r.key >= 0}
